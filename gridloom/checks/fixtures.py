@@ -65,7 +65,7 @@ PORTABLE = {
           cast(sum(cast(case when event_type = 'error' then -value else value end as decimal(18,4))) as decimal(18,4)) as injection
         from events group by cast(date_trunc('hour', ts) as {ts}), user_id % 50""",
     "v_energy_price": """
-        select ts, cast(sum(mu) / 10 as decimal(18,4)) as price from v_flow_dual group by ts""",
+        select ts, cast(sum(mu) * cast(0.1 as decimal(5,4)) as decimal(18,4)) as price from v_flow_dual group by ts""",
     "v_result_gen": """
         select cast(date_trunc('day', l_shipdate) as {ts}) as ts, l_partkey as plant_id,
           cast(sum(cast(l_quantity as decimal(18,4))) as decimal(18,4)) as value
@@ -75,7 +75,7 @@ PORTABLE = {
         from v_result_gen r join v_gencost g on g.plant_id = r.plant_id""",
     "v_market_demand": """
         select cast(date_trunc('day', o_orderdate) as {ts}) as ts,
-          cast(sum(cast(o_totalprice as decimal(18,4))) / 2000 as decimal(18,4)) as demand
+          cast(sum(cast(o_totalprice as decimal(18,4))) * cast(0.0005 as decimal(5,4)) as decimal(18,4)) as demand
         from orders group by cast(date_trunc('day', o_orderdate) as {ts})""",
     "v_component": """
         select 'Bus' as comp_type, c_name as name from customer
@@ -102,7 +102,7 @@ SPARK_ONLY = {
                    from events group by event_type, cast(date_trunc('hour', ts) as timestamp_ntz)) v
           on g.component = v.component and g.ts = v.ts""",
     "v_series5": """
-        select component, ts, value, cast(value * 2 as decimal(18,4)) as pmax, cast(value / 4 as decimal(18,4)) as pmin
+        select component, ts, value, cast(value * 2 as decimal(18,4)) as pmax, cast(value * cast(0.25 as decimal(5,4)) as decimal(18,4)) as pmin
         from (select component, explode(sequence(ts, ts + interval 55 minutes, interval 5 minutes)) as ts, value from v_series)""",
 }
 DUCKDB_ONLY = {
@@ -116,7 +116,7 @@ DUCKDB_ONLY = {
                    from events group by event_type, date_trunc('hour', ts)) v
           on g.component = v.component and g.ts = v.ts""",
     "v_series5": """
-        select component, ts, value, cast(value * 2 as decimal(18,4)) as pmax, cast(value / 4 as decimal(18,4)) as pmin
+        select component, ts, value, cast(value * 2 as decimal(18,4)) as pmax, cast(value * cast(0.25 as decimal(5,4)) as decimal(18,4)) as pmin
         from (select component, unnest(generate_series(ts, ts + interval 55 minutes, interval 5 minutes)) as ts, value from v_series)""",
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom import fixed
@@ -245,7 +245,12 @@ def _(t: Tables) -> DataFrame:
     return rounded(M.ramp_check(doubles(values, "value"), limits, ["component"], "ts", day_block("ts", WEEK)), 4, "step")
 
 
-_BAND = M.price_band("price", 50.0)
+
+
+def _band() -> Column:
+    return M.price_band("price", 50.0)
+
+
 _CUM = "sum(pmax) over (partition by ts order by price, plant_id rows unbounded preceding)"
 
 
@@ -256,7 +261,7 @@ _CUM = "sum(pmax) over (partition by ts order by price, plant_id rows unbounded
         from (select *, {_CUM} as cum from v_offer) o join v_market_demand d on d.ts = o.ts""",
 )
 def _(t: Tables) -> DataFrame:
-    out = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _BAND)
+    out = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band())
     return doubles(out, "price", "pmax", "power")
 
 
@@ -275,7 +280,7 @@ def _(t: Tables) -> DataFrame:
         from v_market_demand d left join (select *, {_CUM} as cum from v_offer) o on o.ts = d.ts and cum >= demand group by d.ts, demand""",
 )
 def _(t: Tables) -> DataFrame:
-    out = M.clearing_price(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _BAND, fixed.UNSERVED_PENALTY)
+    out = M.clearing_price(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band(), fixed.UNSERVED_PENALTY)
     return doubles(out, "demand")
 
 
@@ -288,7 +293,7 @@ def _(t: Tables) -> DataFrame:
        select round((select sum(price * cast(power as decimal(18,4))) from d) + 100000 * (select sum(unserved) from u), 0) as objective""",
 )
 def _(t: Tables) -> DataFrame:
-    dispatch = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _BAND)
+    dispatch = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band())
     price = t.v_gencost.select("plant_id", F.expr("cast(c1 * 10 + c2 as decimal(18,4))").alias("price"))
     unserved = M.unserved_demand(t.v_offer, t.v_market_demand, ["ts"])
     return rounded(A.objective_value(dispatch, price, unserved, fixed.UNSERVED_PENALTY), 0, "objective")
