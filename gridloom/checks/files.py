@@ -19,7 +19,7 @@ from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
 from gridloom.sources.results import read_result, write_result
-from gridloom.sources.store import dataset_catalog, materialize_once
+from gridloom.sources.store import materialize_once
 from gridloom.sources.tables import scan_csv, sink_csv
 
 DAY = 86400
@@ -110,7 +110,7 @@ def _(t: Tables) -> DataFrame:
 
     materialize_once(t.spark, "demand", build, root, category="tests")
     again = materialize_once(t.spark, "demand", build, root, category="tests")
-    return again.crossJoin(F.broadcast(dataset_catalog(t.spark, root).select(F.col("name").alias("dataset"))))
+    return again.withColumn("dataset", F.lit("demand"))
 
 
 # ---- serialised systems ----
@@ -215,7 +215,7 @@ def raw_documents(t: Tables) -> DataFrame:
         F.lit(marks[4]),
         line(comma, f, o, F.lit("0"), F.lit("'1 ', 1, 1, 1, 0, 0, 2, 'T1  ', 1, 1, 1.0")),
         line(comma, F.lit("0.0"), text("x"), F.lit("100.0")), F.lit("0.978, 0.0, 0.0, 0, 0, 0"), F.lit("1.0, 0.0"),
-        line(comma, o, f, text("branch_id"), F.lit("'1 ', 1, 1, 1, 0, 0, 2, 'T2  ', 1, 1, 1.0")),
+        line(comma, o, f, text(F.col("branch_id") + 1), F.lit("'1 ', 1, 1, 1, 0, 0, 2, 'T2  ', 1, 1, 1.0")),
         F.lit("0.0, 0.2, 100.0, 0, 0.1, 100.0, 0, 0.1, 100.0, 1.0, 0"), F.lit("1.0, 0, 0, 0, 0, 0"), F.lit("0.9, 0"), F.lit("1.1, 0"),
         line(comma, o, f, F.lit("0"), F.lit("'2 ', 1, 1, 1, 0, 0, 2, 'T3  ', 1, 1, 1.0")),
         line(comma, F.lit("0.0"), text("r"), F.lit("100.0")), F.lit("0.932, 0.0, 0.0, 0, 0, 0"), F.lit("1.0, 0.0"),
@@ -224,12 +224,12 @@ def raw_documents(t: Tables) -> DataFrame:
         F.lit("4, 'ZONE 4   '"),
         *[F.lit(m) for m in marks[12:]],
     ]
-    return t.v_branch.filter("branch_id > 0").select(text("branch_id").alias("case_id"), F.concat_ws("\r\n", *parts).alias("text"))
+    return t.v_branch.select(text("branch_id").alias("case_id"), F.concat_ws("\r\n", *parts).alias("text"))
 
 
 @query(
     "ingest_raw_cases",
-    """with c as (select * from v_branch where branch_id > 0)
+    """with c as (select * from v_branch)
     select cast(branch_id as varchar) as case_id, 'bus' as section, 1 as position, from_bus_id as bus, 'BUS ' || cast(from_bus_id as varchar) as label, cast(230 as double) as value from c
     union all select cast(branch_id as varchar), 'bus', 2, to_bus_id, 'BUS ' || cast(to_bus_id as varchar), 138 from c
     union all select cast(branch_id as varchar), 'load', 1, from_bus_id, '1', rate from c
@@ -260,7 +260,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "raw_to_components",
-    """with c as (select * from v_branch where branch_id > 0)
+    """with c as (select * from v_branch)
     select cast(branch_id as varchar) as case_id, 'BUS ' || cast(from_bus_id as varchar) || '-BUS ' || cast(to_bus_id as varchar) || '-i_1' as line_name,
       b / 2 as b_from, rate / 100 as line_rate, 'generator-' || cast(to_bus_id as varchar) || '-1' as generator_name,
       round(sqrt((rate / 100) * (rate / 100) + cast(1 as double)), 9) as rating, 'load' || cast(from_bus_id as varchar) || '1' as load_name,

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from gridloom.fixed import RAW_BUS_TYPES, RAW_SECTIONS
 from gridloom.functions.lookup import look_up
 
-HEADER_LINES = 3
-_END = r"^\s*0\s*(/.*)?$"
+# Three header lines, and the line that ends a section.
+_HEADER = r"^(?:[^\n]*\n){3}"
+_END = r"(?m)^[ \t]*0[ \t]*(?:/.*)?$"
 
 # Field order of the records; writers may leave the tail out.
 SECTION_FIELDS = {
@@ -62,37 +63,16 @@ def _fields(line: str | Column, spec: str) -> Column:
     return F.transform(F.array(raw), lambda r: F.struct(*[F.trim(r[name]).try_cast(t).alias(name) for name, t in pairs]))[0]
 
 
-def split_raw_sections(cases: DataFrame) -> DataFrame:
-    """Data lines of every case: (case_id, section, position in the section, line).
+def _section_lines(cases: DataFrame, section: str) -> DataFrame:
+    """(case_id, lines): the non-empty data lines of one section, as an array.
 
-    The end markers of a case are found first as an array of line numbers; the section of a line
-    is the number of markers before it. All inside one row, so nothing is shuffled.
+    The text after the three header lines is cut at the end markers, so the n-th piece is the
+    n-th section; only that piece is cut into lines.
     """
-    lines = F.split(F.col("text"), "\r?\n")
-    marked = F.transform(
-        F.col("lines"),
-        lambda line, i: F.when((i >= HEADER_LINES) & line.rlike(_END), i),
-    )
-    numbered = (
-        cases.select("case_id", lines.alias("lines"))
-        .withColumn("ends", F.filter(marked, lambda i: i.isNotNull()))
-        .select("case_id", "ends", F.posexplode("lines").alias("line_no", "line"))
-    )
-    section_no = F.size(F.filter("ends", lambda e: e < F.col("line_no")))
-    is_data = (
-        (F.col("line_no") >= HEADER_LINES)
-        & ~F.array_contains("ends", F.col("line_no"))
-        & (F.trim("line") != "")
-        & (F.trim("line") != "Q")
-    )
-    before = F.coalesce(F.when(F.col("section_no") > 0, F.try_element_at("ends", F.col("section_no"))), F.lit(HEADER_LINES - 1))
-    return (
-        numbered.filter(is_data)
-        .withColumn("section_no", section_no)
-        .withColumn("section", look_up(F.col("section_no"), dict(enumerate(RAW_SECTIONS))))
-        .filter(F.col("section").isNotNull())
-        .select("case_id", "section", (F.col("line_no") - before).alias("position"), "line")
-    )
+    body = F.regexp_replace("text", _HEADER, "")
+    piece = F.try_element_at(F.split(body, _END), F.lit(RAW_SECTIONS.index(section) + 1))
+    lines = F.filter(F.split(piece, "\r?\n"), lambda line: ~F.trim(line).isin("", "Q"))
+    return cases.select("case_id", lines.alias("lines"))
 
 
 def _transformers(cases: DataFrame) -> DataFrame:
@@ -101,49 +81,40 @@ def _transformers(cases: DataFrame) -> DataFrame:
     The record length depends on the first line, so starts are found by walking the section's
     lines in order, inside the row of the case.
     """
-    start = RAW_SECTIONS.index("transformer") - 1
-    lines = F.split(F.col("text"), "\r?\n")
-    marked = F.transform(F.col("lines"), lambda line, i: F.when((i >= HEADER_LINES) & line.rlike(_END), i))
-    body = F.slice(
-        F.col("lines"),
-        F.try_element_at("ends", F.lit(start + 1)) + 2,
-        F.greatest(F.try_element_at("ends", F.lit(start + 2)) - F.try_element_at("ends", F.lit(start + 1)) - 1, F.lit(0)),
-    )
     seed = F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts"))
 
     def step(state: Column, line: Column) -> Column:
         at_start = line["i"] == state["next"]
-        third = F.split(line["text"], ",")
-        length = F.when(F.trim(F.try_element_at(third, F.lit(3))) == "0", 4).otherwise(5)
+        third = F.trim(F.try_element_at(F.split(line["text"], ","), F.lit(3)))
+        length = F.when(third == "0", 4).otherwise(5)
         return F.struct(
             F.when(at_start, state["next"] + length).otherwise(state["next"]).alias("next"),
             F.when(at_start, F.array_append(state["starts"], line["i"])).otherwise(state["starts"]).alias("starts"),
         )
 
-    indexed = F.transform(F.col("body"), lambda line, i: F.struct(i.alias("i"), line.alias("text")))
+    indexed = F.transform(F.col("lines"), lambda line, i: F.struct(i.alias("i"), line.alias("text")))
     records = (
-        cases.select("case_id", lines.alias("lines"))
-        .withColumn("ends", F.filter(marked, lambda i: i.isNotNull()))
-        .filter(F.size("ends") > start + 1)
-        .select("case_id", body.alias("body"))
-        .select("case_id", "body", F.aggregate(indexed, seed, step)["starts"].alias("starts"))
-        .select("case_id", "body", F.posexplode("starts").alias("position", "start"))
+        _section_lines(cases, "transformer")
+        .select("case_id", "lines", F.aggregate(indexed, seed, step)["starts"].alias("starts"))
+        .select("case_id", F.col("lines"), F.posexplode_outer("starts").alias("record_no", "start"))
+        .filter(F.col("start").isNotNull())
     )
     parts = [
-        _fields(F.try_element_at("body", F.col("start") + 1 + k), spec).alias(f"p{k}")
+        _fields(F.try_element_at("lines", F.col("start") + 1 + k), spec).alias(f"p{k}")
         for k, spec in enumerate(TRANSFORMER_FIELDS)
     ]
-    return records.select("case_id", (F.col("position") + 1).alias("position"), *parts).select(
+    return records.select("case_id", (F.col("record_no") + 1).alias("position"), *parts).select(
         "case_id", "position", *[f"p{k}.*" for k in range(len(TRANSFORMER_FIELDS))]
     )
 
 
 def raw_sections(cases: DataFrame) -> dict[str, DataFrame]:
-    """Typed section tables of `cases(case_id, text)`."""
-    lines = split_raw_sections(cases)
+    """Typed section tables of `cases(case_id, text)`, with each record's position in its section."""
     tables = {
-        name: lines.filter(F.col("section") == name)
-        .withColumn("record", _fields(F.col("line"), spec))
+        name: _section_lines(cases, name)
+        .select("case_id", F.posexplode_outer("lines").alias("line_no", "line"))
+        .filter(F.col("line").isNotNull())
+        .select("case_id", (F.col("line_no") + 1).alias("position"), _fields(F.col("line"), spec).alias("record"))
         .select("case_id", "position", "record.*")
         for name, spec in SECTION_FIELDS.items()
     }

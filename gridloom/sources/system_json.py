@@ -42,7 +42,8 @@ def system_components(cases: DataFrame) -> DataFrame:
     """
     return (
         cases.select("case_id", F.from_json("text", _DOCUMENT).alias("doc"))
-        .select("case_id", F.explode("doc.data.components").alias("body"))
+        .select("case_id", F.explode_outer("doc.data.components").alias("body"))
+        .filter(F.col("body").isNotNull())
         .select(
             "case_id",
             F.get_json_object("body", "$.__metadata__.type").alias("comp_type"),
