@@ -356,7 +356,7 @@ def _(t: Tables) -> DataFrame:
     from v_injection p join v_energy_price e on e.ts = p.ts left join c on c.ts = p.ts and c.bus_id = p.bus_id group by date_trunc('day', p.ts), p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
-    prices = nodal_prices(t.v_injection, t.v_energy_price, t.v_flow_dual, t.v_ptdf)
+    prices = nodal_prices(t.v_injection, doubles(t.v_energy_price, "price"), doubles(t.v_flow_dual, "mu"), doubles(t.v_ptdf, "factor"))
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
     return prices.groupBy(day, "bus_id").agg(F.count(F.lit(1)).alias("hours"), F.round(F.max("lmp"), 6).alias("highest"))
 

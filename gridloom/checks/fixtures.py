@@ -34,10 +34,16 @@ PORTABLE = {
           cast(case when p_partkey % 97 = 0 then 0 else p_size * 10 end as double) as pmax,
           cast(case when p_partkey % 7 = 0 then 0 else p_size * 2 end as double) as pmin, p_retailprice as ramp_30
         from v_plant0 p join v_bus b on b.bus_id = p.bus_key""",
+    "v_fuel": """
+        select p_partkey as plant_id,
+          case p_type when 'ECONOMY' then 'wind' when 'LARGE' then 'solar' when 'MEDIUM' then 'hydro'
+            when 'PROMO' then 'ng' when 'SMALL' then 'coal' else 'nuclear' end as fuel
+        from part""",
     "v_gencost": """
-        select plant_id, interconnect, ramp_30 as c0, pmax / cast(100 as double) as c1,
-          cast(plant_id % 10 as double) / cast(100 as double) as c2
-        from v_plant""",
+        select p_partkey as plant_id, p_brand as interconnect, p_retailprice as c0,
+          cast(case when p_partkey % 97 = 0 then 0 else p_size * 10 end as double) / cast(100 as double) as c1,
+          cast(p_partkey % 10 as double) / cast(100 as double) as c2
+        from part""",
     "v_branch0": """
         select o_orderkey as branch_id, o_custkey as from_bus_id, o_orderpriority as priority, o_totalprice,
           (o_custkey * 7 + o_orderkey % 11 + 1) % (select count(*) + 3 from customer) as to_bus_id
@@ -54,28 +60,28 @@ PORTABLE = {
         select branch_id as dcline_id, from_bus_id, to_bus_id, rate as pmax from v_branch where priority = '1-URGENT'""",
     "v_ptdf": """
         select l_suppkey % 200 as line, l_partkey % 50 as bus_id,
-          cast(sum(cast(l_discount as decimal(18,4)) - cast(0.05 as decimal(18,4))) as decimal(18,4)) as factor
+          cast(sum(cast(l_discount as decimal(6,4)) - cast(0.05 as decimal(6,4))) as decimal(18,4)) as factor
         from lineitem group by l_suppkey % 200, l_partkey % 50""",
     "v_flow_dual": """
         select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % 10 as line,
-          cast(sum(cast(value as decimal(18,4))) as decimal(18,4)) as mu
+          cast(sum(cast(value as decimal(8,4))) as decimal(18,4)) as mu
         from events group by cast(date_trunc('hour', ts) as {ts}), user_id % 10""",
     "v_injection": """
         select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % 50 as bus_id,
-          cast(sum(cast(case when event_type = 'error' then -value else value end as decimal(18,4))) as decimal(18,4)) as injection
+          cast(sum(cast(case when event_type = 'error' then -value else value end as decimal(8,4))) as decimal(18,4)) as injection
         from events group by cast(date_trunc('hour', ts) as {ts}), user_id % 50""",
     "v_energy_price": """
         select ts, cast(sum(mu) * cast(0.1 as decimal(5,4)) as decimal(18,4)) as price from v_flow_dual group by ts""",
     "v_result_gen": """
         select cast(date_trunc('day', l_shipdate) as {ts}) as ts, l_partkey as plant_id,
-          cast(sum(cast(l_quantity as decimal(18,4))) as decimal(18,4)) as value
+          sum(l_quantity) as value
         from lineitem group by cast(date_trunc('day', l_shipdate) as {ts}), l_partkey""",
     "v_offer": """
-        select r.ts, r.plant_id, cast(g.c1 * 10 + g.c2 as decimal(18,4)) as price, r.value as pmax
+        select r.ts, r.plant_id, g.c1 * 10 + g.c2 as price, r.value as pmax
         from v_result_gen r join v_gencost g on g.plant_id = r.plant_id""",
     "v_market_demand": """
         select cast(date_trunc('day', o_orderdate) as {ts}) as ts,
-          cast(sum(cast(o_totalprice as decimal(18,4))) * cast(0.0005 as decimal(5,4)) as decimal(18,4)) as demand
+          cast(cast(sum(cast(o_totalprice as decimal(18,4))) * cast(0.0005 as decimal(5,4)) as decimal(18,4)) as double) as demand
         from orders group by cast(date_trunc('day', o_orderdate) as {ts})""",
     "v_component": """
         select 'Bus' as comp_type, c_name as name from customer
@@ -83,7 +89,7 @@ PORTABLE = {
         union all select 'ThermalStandard', p_name from part""",
     "v_reserve": """
         select cast(date_trunc('day', l_shipdate) as {ts}) as ts, l_suppkey as component, l_returnflag as product,
-          cast(sum(cast(l_quantity as decimal(18,4)) * cast(l_tax as decimal(18,4))) as decimal(18,4)) as value
+          cast(sum(cast(l_quantity as decimal(6,2)) * cast(l_tax as decimal(4,2))) as decimal(18,4)) as value
         from lineitem group by cast(date_trunc('day', l_shipdate) as {ts}), l_suppkey, l_returnflag""",
     "v_trajectory": """
         select case when user_id % 2 = 0 then 'A' else 'B' end as run, user_id % 10 as entity, event_type as state,
@@ -98,7 +104,7 @@ SPARK_ONLY = {
               from (select event_type as component, cast(date_trunc('day', min(ts)) as timestamp_ntz) as lo,
                       cast(date_trunc('hour', max(ts)) as timestamp_ntz) as hi from events group by event_type)) g
         left join (select event_type as component, cast(date_trunc('hour', ts) as timestamp_ntz) as ts,
-                     cast(sum(cast(value as decimal(18,4))) as decimal(18,4)) as value
+                     cast(sum(cast(value as decimal(8,4))) as decimal(18,4)) as value
                    from events group by event_type, cast(date_trunc('hour', ts) as timestamp_ntz)) v
           on g.component = v.component and g.ts = v.ts""",
     "v_series5": """
@@ -112,7 +118,7 @@ DUCKDB_ONLY = {
               from (select event_type as component, cast(date_trunc('day', min(ts)) as timestamp) as lo,
                       date_trunc('hour', max(ts)) as hi from events group by event_type)) g
         left join (select event_type as component, date_trunc('hour', ts) as ts,
-                     cast(sum(cast(value as decimal(18,4))) as decimal(18,4)) as value
+                     cast(sum(cast(value as decimal(8,4))) as decimal(18,4)) as value
                    from events group by event_type, date_trunc('hour', ts)) v
           on g.component = v.component and g.ts = v.ts""",
     "v_series5": """

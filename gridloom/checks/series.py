@@ -375,9 +375,13 @@ _FLOW = """select ts, line, sum(factor * injection) as flow from v_injection i j
            where factor <> 0 and injection <> 0 group by ts, line"""
 
 
-@query("ptdf_flow", f"select ts, line, cast(flow as double) as flow from ({_FLOW}) q")
+def line_flow(t: Tables) -> DataFrame:
+    return rounded(N.ptdf_flow(doubles(t.v_ptdf, "factor"), doubles(t.v_injection, "injection")), 6, "flow")
+
+
+@query("ptdf_flow", f"select ts, line, round(cast(flow as double), 6) as flow from ({_FLOW}) q")
 def _(t: Tables) -> DataFrame:
-    return doubles(N.ptdf_flow(t.v_ptdf, t.v_injection), "flow")
+    return line_flow(t)
 
 
 @query(
@@ -396,22 +400,23 @@ def _(t: Tables) -> DataFrame:
     return N.lodf_from_ptdf(t.v_ptdf, branch)
 
 
-_CONGESTION = """select ts, bus_id, cast(sum(mu * factor) as double) as congestion from v_flow_dual d join v_ptdf p on p.line = d.line
+_CONGESTION = """select ts, bus_id, round(cast(sum(mu * factor) as double), 6) as congestion from v_flow_dual d join v_ptdf p on p.line = d.line
                  where mu <> 0 and factor <> 0 group by ts, bus_id"""
 
 
 @query("congestion_component", _CONGESTION)
 def _(t: Tables) -> DataFrame:
-    return doubles(N.congestion_component(t.v_flow_dual, t.v_ptdf), "congestion")
+    return rounded(N.congestion_component(doubles(t.v_flow_dual, "mu"), doubles(t.v_ptdf, "factor")), 6, "congestion")
 
 
 @query(
     "lmp",
-    f"""select p.ts, p.bus_id, cast(price as double) as price, coalesce(congestion, 0) as congestion, cast(price as double) + coalesce(congestion, 0) as lmp
+    f"""select p.ts, p.bus_id, cast(price as double) as price, coalesce(congestion, 0) as congestion, round(cast(price as double) + coalesce(congestion, 0), 6) as lmp
         from v_injection p join v_energy_price e on e.ts = p.ts left join ({_CONGESTION}) c on c.ts = p.ts and c.bus_id = p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
-    return doubles(N.lmp(t.v_injection, t.v_energy_price, t.v_flow_dual, t.v_ptdf), "price")
+    out = N.lmp(t.v_injection, doubles(t.v_energy_price, "price"), doubles(t.v_flow_dual, "mu"), doubles(t.v_ptdf, "factor"))
+    return rounded(out, 6, "congestion", "lmp")
 
 
 @query(
@@ -433,8 +438,7 @@ def _(t: Tables) -> DataFrame:
         F.col("s_suppkey").alias("line"), (F.col("s_acctbal") / 100).alias("rate"),
         F.when(F.col("s_nationkey") > 12, F.lit("MonitoredLine")).otherwise(F.lit("Line")).alias("line_class"),
     )
-    flow = doubles(N.ptdf_flow(t.v_ptdf, t.v_injection), "flow")
-    return N.selective_flow_limits(flow, lines).select("ts", "line", "flow", "loading", "violates")
+    return N.selective_flow_limits(line_flow(t), lines).select("ts", "line", "flow", "loading", "violates")
 
 
 # ---- checks and catalogue ----

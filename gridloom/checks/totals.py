@@ -19,7 +19,7 @@ FUELS = ["wind", "solar", "hydro", "ng", "coal", "nuclear"]
 
 
 def generator_table(t: Tables) -> DataFrame:
-    return t.v_plant.select("plant_id", F.col("type").alias("fuel"))
+    return t.v_fuel
 
 
 # ---- aggregations ----
@@ -108,7 +108,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "generation_by_fuel",
-    "select ts, type as fuel, cast(sum(value) as double) as total from v_result_gen r join v_plant p on p.plant_id = r.plant_id group by ts, type",
+    "select ts, fuel, cast(sum(value) as double) as total from v_result_gen r join v_fuel p on p.plant_id = r.plant_id group by ts, fuel",
 )
 def _(t: Tables) -> DataFrame:
     return doubles(A.generation_by_fuel(t.v_result_gen, generator_table(t)), "total")
@@ -117,8 +117,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "fuel_pivot",
     "select ts, "
-    + ", ".join(f"cast(sum(case when type = '{f}' then value end) as double) as {f}" for f in FUELS)
-    + " from v_result_gen r join v_plant p on p.plant_id = r.plant_id group by ts",
+    + ", ".join(f"cast(sum(case when fuel = '{f}' then value end) as double) as {f}" for f in FUELS)
+    + " from v_result_gen r join v_fuel p on p.plant_id = r.plant_id group by ts",
 )
 def _(t: Tables) -> DataFrame:
     return doubles(A.fuel_pivot(A.generation_by_fuel(t.v_result_gen, generator_table(t)), FUELS), *FUELS)
@@ -154,28 +154,28 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "net_injection_by_bus",
-    """with r as (select bus_id, value as v from v_result_gen r join v_plant p on p.plant_id = r.plant_id union all select bus_id, -pd from v_bus)
-       select bus_id, cast(sum(v) as double) as injection from r group by bus_id
-       union all select null, cast(sum(v) as double) from r""",
+    """with r as (select bus_id, value as v from v_result_gen r join v_plant p on p.plant_id = r.plant_id union all select bus_id, -cast(pd as double) from v_bus)
+       select bus_id, round(sum(v), 4) as injection from r group by bus_id
+       union all select null, round(sum(v), 4) from r""",
 )
 def _(t: Tables) -> DataFrame:
     gen = t.v_result_gen.join(t.v_plant.select("plant_id", "bus_id"), "plant_id").select("bus_id", "value")
-    load = t.v_bus.select("bus_id", F.col("pd").alias("value"))
-    return doubles(A.net_injection_by_bus(gen, load), "injection")
+    load = t.v_bus.select("bus_id", F.col("pd").cast("double").alias("value"))
+    return rounded(A.net_injection_by_bus(gen, load), 4, "injection")
 
 
 @query(
     "net_load",
-    """select ts, cast(sum(v) as double) as net_load from (
+    """select ts, round(sum(v), 6) as net_load from (
          select ts, demand as v from v_market_demand
-         union all select ts, -value from v_result_gen r join v_plant p on p.plant_id = r.plant_id where type in ('hydro', 'wind', 'solar')) q
+         union all select ts, -value from v_result_gen r join v_fuel p on p.plant_id = r.plant_id where fuel in ('hydro', 'wind', 'solar')) q
        group by ts""",
 )
 def _(t: Tables) -> DataFrame:
     renewable = generator_table(t).filter(F.col("fuel").isin("hydro", "wind", "solar"))
     fixed_output = t.v_result_gen.join(renewable.select("plant_id"), "plant_id").select("ts", "value")
     load = t.v_market_demand.select("ts", F.col("demand").alias("value"))
-    return doubles(A.net_load(load, fixed_output), "net_load")
+    return rounded(A.net_load(load, fixed_output), 6, "net_load")
 
 
 # ---- ordered operations ----
@@ -184,7 +184,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "stack_offsets",
     """select ts, fuel, cast(value as double) as value, cast(sum(value) over (partition by ts order by fuel) as double) as top
-       from (select ts, type as fuel, sum(value) as value from v_result_gen r join v_plant p on p.plant_id = r.plant_id group by ts, type) q""",
+       from (select ts, fuel, sum(value) as value from v_result_gen r join v_fuel p on p.plant_id = r.plant_id group by ts, fuel) q""",
 )
 def _(t: Tables) -> DataFrame:
     by_fuel = A.generation_by_fuel(t.v_result_gen, generator_table(t))
@@ -290,11 +290,11 @@ def _(t: Tables) -> DataFrame:
          from (select *, {_CUM} as cum from v_offer) o join v_market_demand d on d.ts = o.ts),
        u as (select greatest(0, demand - coalesce(total, 0)) as unserved
          from v_market_demand d left join (select ts, sum(pmax) as total from v_offer group by ts) o on o.ts = d.ts)
-       select round((select sum(price * cast(power as decimal(18,4))) from d) + 100000 * (select sum(unserved) from u), 0) as objective""",
+       select round((select sum(price * power) from d) + 100000 * (select sum(unserved) from u), 0) as objective""",
 )
 def _(t: Tables) -> DataFrame:
     dispatch = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band())
-    price = t.v_gencost.select("plant_id", F.expr("cast(c1 * 10 + c2 as decimal(18,4))").alias("price"))
+    price = t.v_gencost.select("plant_id", F.expr("c1 * 10 + c2").alias("price"))
     unserved = M.unserved_demand(t.v_offer, t.v_market_demand, ["ts"])
     return rounded(A.objective_value(dispatch, price, unserved, fixed.UNSERVED_PENALTY), 0, "objective")
 
