@@ -45,7 +45,7 @@ TRANSFORMER_FIELDS = [
 
 def read_case_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row (case_id, text) per file."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
 
 

@@ -75,7 +75,7 @@ def component_tables(components: DataFrame, fields: dict[str, str] | None = None
 
 def read_system_json(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Serialised cases (one document per file) to per-type component tables."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     cases = files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
     return component_tables(system_components(cases))
 
