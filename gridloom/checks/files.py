@@ -83,7 +83,8 @@ def _(t: Tables) -> DataFrame:
     factors = A.series_max_factor(t.v_series, ["component"]).withColumnRenamed("component", "series_id")
     rows = PT.build_ts_pointers(names, names, factors, "Generator", f"{folder}/wind.csv", "case_store", "case_model")
     PT.write_ts_pointers(rows, f"{folder}/pointers")
-    return PT.read_ts_pointers(t.spark, f"{folder}/pointers")
+    # Series end at different stamps, so the wide file has empty cells; they come back as nulls.
+    return PT.read_ts_pointers(t.spark, f"{folder}/pointers").filter(F.col("value").isNotNull())
 
 
 @query(

@@ -135,9 +135,13 @@ def objective_value(
 
 
 def net_injection_by_bus(gen: DataFrame, load: DataFrame, bus: str = "bus_id", value: str = "value") -> DataFrame:
-    """Generation minus load per bus, and a balance row with a null bus."""
+    """Generation minus load per bus, and a balance row with a null bus.
+
+    The balance is rolled up from the per-bus totals, so raw rows are not doubled.
+    """
     signed = gen.select(bus, F.col(value).alias("__v")).unionByName(load.select(bus, (-F.col(value)).alias("__v")))
-    return signed.rollup(bus).agg(F.sum("__v").alias("injection"))
+    per_bus = signed.groupBy(bus).agg(F.sum("__v").alias("__v"))
+    return per_bus.rollup(bus).agg(F.sum("__v").alias("injection"))
 
 
 def net_load(load: DataFrame, fixed: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:

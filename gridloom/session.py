@@ -44,3 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions, for a repartition ahead of an expanding join.
+
+    Adaptive execution merges small partitions by their bytes before the join, which would leave a
+    join that multiplies rows to few tasks; a repartition with a number is left as it is.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
