@@ -14,7 +14,7 @@ from gridloom.operators import aggregates as A
 from gridloom.operators import series as S
 from gridloom.plans.case_assembly import assemble_case, canonical_generators
 from gridloom.plans.results import nodal_prices, realized_by_fuel
-from gridloom.session import fresh_path
+from gridloom.session import fresh_path, shuffle_width
 from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
@@ -117,6 +117,11 @@ def _(t: Tables) -> DataFrame:
 # ---- serialised systems ----
 
 
+def spread_branches(t: Tables) -> DataFrame:
+    """Branch rows in as many partitions as a shuffle has: each row grows to a whole document."""
+    return t.v_branch.repartition(shuffle_width(t.spark), "branch_id")
+
+
 def system_documents(t: Tables) -> DataFrame:
     """One small serialised system per branch: two buses, an arc, a line and a load."""
 
@@ -144,7 +149,7 @@ def system_documents(t: Tables) -> DataFrame:
         F.lit('{"data":{"components":['), body,
         F.lit(']},"frequency":60.0,"units_settings":{"base_value":100.0,"unit_system":"SYSTEM_BASE"}}'),
     )
-    return t.v_branch.select(text("branch_id").alias("case_id"), document.alias("text"))
+    return spread_branches(t).select(text("branch_id").alias("case_id"), document.alias("text"))
 
 
 @query(
@@ -225,7 +230,7 @@ def raw_documents(t: Tables) -> DataFrame:
         F.lit("4, 'ZONE 4   '"),
         *[F.lit(m) for m in marks[12:]],
     ]
-    return t.v_branch.select(text("branch_id").alias("case_id"), F.concat_ws("\r\n", *parts).alias("text"))
+    return spread_branches(t).select(text("branch_id").alias("case_id"), F.concat_ws("\r\n", *parts).alias("text"))
 
 
 @query(
