@@ -24,6 +24,14 @@ def epoch_seconds(ts: str | Column) -> Column:
     return days * DAY + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a zone-less stamp."""
+    ts = col(ts)
+    fraction = F.extract(F.lit("SECOND"), ts) * 1_000_000
+    minutes = F.unix_date(ts.cast("date")).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60_000_000 + fraction.cast("long")
+
+
 def plus_seconds(ts: str | Column, seconds: int | Column) -> Column:
     seconds = F.lit(seconds) if isinstance(seconds, int) else seconds
     zero = F.lit(0)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.time import floor_time
+from gridloom.functions.time import epoch_micros, floor_time
 from gridloom.operators.ordered import carry_forward
 
 
@@ -92,8 +92,9 @@ def commitment_asof(
     extra = [c for c in grid.columns if c not in (*keys, ts)]
     fine = grid.withColumn("__kind", F.lit(1)).withColumn(status, F.lit(None).cast(on.schema[status].dataType))
     coarse = on.select(*keys, ts, status).withColumn("__kind", F.lit(0))
-    both = coarse.unionByName(fine, allowMissingColumns=True)
-    filled = carry_forward(both, keys, [ts, "__kind"], status, block, "__status").filter(F.col("__kind") == 1)
+    order = (epoch_micros(ts) * 2 + F.col("__kind")).alias("__order")
+    both = coarse.unionByName(fine, allowMissingColumns=True).select("*", order)
+    filled = carry_forward(both, keys, ["__order"], status, block, "__status").filter(F.col("__kind") == 1)
     flag = F.col("__status").cast("int")
     out = [F.col("__status").alias(status)]
     if limits:

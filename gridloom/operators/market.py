@@ -59,24 +59,57 @@ def commitment_runs(
 ) -> DataFrame:
     """Lengths of the up and down runs, and whether they keep the minimum times.
 
-    `limits(keys, min_up_time, min_down_time)` is in hours. The first and last run of a unit are
-    cut by the horizon, so only inner runs count as violations.
+    Rows become segments of equal status inside each (unit, block); one summary row per block then
+    says how the segments of neighbouring blocks join up. Only segments and summaries leave the
+    block. `limits(keys, min_up_time, min_down_time)` is in hours. The first and last run of a
+    unit are cut by the horizon, so only inner runs count as violations.
     """
-    both = previous_values(on, keys, [ts], {"__before": status}, block)
-    changed = F.when(F.col("__before").isNull() | (F.col("__before") == F.col(status)), 0).otherwise(1)
-    numbered = running_total(both.withColumn("__changed", changed), keys, [ts], "__changed", block, "run")
-    runs = numbered.groupBy(*keys, "run", status).agg(
-        F.min(ts).alias("run_start"), F.max(ts).alias("run_end"), F.count(F.lit(1)).alias("steps")
+    keys = list(keys)
+    inside = Window.partitionBy(*keys, "__block").orderBy(ts)
+    moved = F.coalesce((F.lag(status).over(inside) != F.col(status)).cast("long"), F.lit(0).cast("long"))
+    # Rows without a unit or stamp are in no run. Dropping them here also keeps both uses of
+    # `segments` alike down to the shuffle, which Spark then runs once.
+    segments = (
+        on.select(*keys, ts, status, block.alias("__block"))
+        .dropna(subset=[*keys, "__block"])
+        .withColumn("__moved", moved)
+        .withColumn("__part", F.sum("__moved").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "__block", "__part", status)
+        .agg(F.min(ts).alias("run_start"), F.max(ts).alias("run_end"), F.count(F.lit(1)).alias("steps"))
+    )
+    by_unit = Window.partitionBy(*keys)
+    over = by_unit.orderBy("__block")
+    so_far = over.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    joint = F.coalesce((F.lag("__last").over(over) != F.col("__first")).cast("long"), F.lit(0).cast("long"))
+    summary = (
+        segments.groupBy(*keys, "__block")
+        .agg(
+            F.max("__part").alias("__moves"),
+            F.min_by(status, "__part").alias("__first"),
+            F.max_by(status, "__part").alias("__last"),
+        )
+        .withColumn("__joint", joint)
+        .withColumn("__base", F.sum("__joint").over(so_far) + F.coalesce(F.sum("__moves").over(earlier), F.lit(0)))
+        .withColumn("__final", F.max(F.col("__base") + F.col("__moves")).over(by_unit))
+        .select(*keys, "__block", "__base", "__final")
+    )
+    runs = (
+        segments.join(summary, [*keys, "__block"])
+        .withColumn("run", F.col("__base") + F.col("__part"))
+        .groupBy(*keys, "run", status)
+        .agg(
+            F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"),
+            F.sum("steps").alias("steps"), F.max("__final").alias("__final"),
+        )
+        .withColumn("hours", F.col("steps") * F.lit(step_hours))
     )
-    runs = runs.withColumn("hours", F.col("steps") * F.lit(step_hours))
     if limits is None:
-        return runs
-    last = runs.groupBy(*keys).agg(F.max("run").alias("__last"))
+        return runs.drop("__final")
     needed = F.when(F.col(status).cast("boolean"), F.col("min_up_time")).otherwise(F.col("min_down_time"))
-    inner = (F.col("run") > 0) & (F.col("run") < F.col("__last"))
+    inner = (F.col("run") > 0) & (F.col("run") < F.col("__final"))
     return (
-        runs.join(last, list(keys))
-        .join(limits.select(*keys, "min_up_time", "min_down_time"), list(keys), "left")
+        runs.join(limits.select(*keys, "min_up_time", "min_down_time"), keys, "left")
         .withColumn("violates", F.coalesce(inner & (F.col("hours") < needed), F.lit(False)).cast("int"))
         .select(*keys, "run", status, "run_start", "run_end", "steps", "hours", "violates")
     )

@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BLOCK = "__block"
-_CARRY = "__carry"
+_CARRY = "__block_carry"
+
+
+def _order_key(order: Sequence[str]) -> Column:
+    """One comparable value per row. A single column stays as it is: with plain types the last
+    value of a block is then found by a hash aggregation, a struct would need a sort."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
 def previous_values(
@@ -25,19 +31,24 @@ def previous_values(
 ) -> DataFrame:
     """Add the previous row's `values` ({new column: source column}) within each key."""
     keys, order = list(keys), list(order)
-    row = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
     blocked = df.withColumn(_BLOCK, block)
+    blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
+    carried = {f"{_CARRY}{i}": source for i, source in enumerate(values.values())}
     carry = (
         blocked.groupBy(*keys, _BLOCK)
-        .agg(F.max_by(row, F.struct(*order)).alias(_CARRY))
-        .withColumn(_CARRY, F.lag(_CARRY).over(Window.partitionBy(*keys).orderBy(_BLOCK)))
+        .agg(*[F.max_by(source, _order_key(order)).alias(name) for name, source in carried.items()])
+        .withColumns({name: F.lag(name).over(blocks) for name in carried})
     )
     inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
+    before = {f"__block_prev{i}": F.lag(source).over(inside) for i, source in enumerate(values.values())}
+    chosen = [
+        F.when(F.col("__block_start"), F.col(f"{_CARRY}{i}")).otherwise(F.col(f"__block_prev{i}")).alias(new)
+        for i, new in enumerate(values)
+    ]
     return (
-        blocked.withColumn("__prev", F.lag(row).over(inside))
+        blocked.withColumns({**before, "__block_start": F.row_number().over(inside) == 1})
         .join(carry, [*keys, _BLOCK], "left")
-        .withColumn("__prev", F.coalesce("__prev", _CARRY))
-        .select(*df.columns, *[F.col(f"__prev.{new}").alias(new) for new in values])
+        .select(*df.columns, *chosen)
     )
 
 
@@ -69,10 +80,9 @@ def carry_forward(
     keys, order = list(keys), list(order)
     blocked = df.withColumn(_BLOCK, block)
     over_blocks = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    known = F.when(F.col(value).isNotNull(), F.struct(*order))
     carry = (
         blocked.groupBy(*keys, _BLOCK)
-        .agg(F.max_by(value, known).alias(_CARRY))
+        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), _order_key(order))).alias(_CARRY))
         .withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(over_blocks))
     )
     inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -84,7 +84,7 @@ def read_ts_pointers(spark: SparkSession, pointer_path: str, time_header: str =
     if not files:
         raise ValueError(f"no pointers in {pointer_path}")
     series = read_wide_series(spark, files, time_header)
-    same_file = F.col("file").contains(F.col("data_file"))
+    same_file = F.col("file").endswith(F.col("data_file")) | F.col("file").contains(F.concat("data_file", F.lit("/")))
     return (
         series.withColumnRenamed("column", "component_name")
         .join(pointers, "component_name")

@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.time import day_block
+
 PARTITIONS = ["problem", "kind", "entry"]
 
 
-def write_result(result: DataFrame, path: str, mode: str = "overwrite", sort_by: str = "initial_time") -> None:
-    """Write partitioned by entry. Rows stay where they are: nothing is gathered per entry, so
-    an entry with most rows is written by many tasks."""
+def write_result(
+    result: DataFrame, path: str, mode: str = "overwrite", sort_by: str = "initial_time", file_days: int | None = None
+) -> None:
+    """Write partitioned by entry.
+
+    By default rows stay where they are, so an entry with most rows is written by many tasks. With
+    `file_days` the rows are first brought together by entry and block of days of `sort_by`: few
+    files per folder on a large cluster, and a large entry is still spread over its blocks.
+    """
+    if file_days is not None:
+        result = result.repartition(*PARTITIONS, day_block(sort_by, file_days))
     result.sortWithinPartitions(*PARTITIONS, sort_by).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 

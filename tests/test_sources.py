@@ -203,6 +203,17 @@ def test_only_the_entry_asked_for_is_read(spark, tmp_path, plan):
     assert "PartitionFilters: [isnotnull(problem" in text and "DataFilters: []" in text
 
 
+def test_results_brought_together_by_entry_and_days(spark, tmp_path):
+    result = spark.range(4000).select(
+        F.lit("UC").alias("problem"), F.lit("variable").alias("kind"), F.lit("A").alias("entry"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(id % 40))").alias("initial_time"), "id",
+    )
+    write_result(result.repartition(16), str(tmp_path / "r"), file_days=10)
+    files = list((tmp_path / "r" / "problem=UC" / "kind=variable" / "entry=A").glob("*.parquet"))
+    assert 1 <= len(files) <= 4
+    assert read_result(spark, str(tmp_path / "r"), "UC", "variable", "A").count() == 4000
+
+
 def test_materialize_once_builds_once(spark, tmp_path):
     calls = []
 
