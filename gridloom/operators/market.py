@@ -140,9 +140,19 @@ def ramp_check(
 
 
 def price_band(price: str, width: float) -> Column:
+    """Blocks of equal price width; a width that leaves a band's offers fit for one task."""
     return F.floor(F.col(price) / F.lit(width)).cast("long")
 
 
+def tie_band(price: str, unit: str, unit_width: int) -> Column:
+    """Blocks by price and, inside one price, by runs of numeric unit ids.
+
+    For intervals in which very many units offer at the same price. Order by price and unit never
+    leaves a block and comes back, as running totals need.
+    """
+    return F.struct(F.col(price).alias("price"), F.floor(F.col(unit) / F.lit(unit_width)).cast("long").alias("units"))
+
+
 def offer_stack(
     offer: DataFrame, interval: Sequence[str], unit: str, band: Column, price: str = "price", pmax: str = "pmax"
 ) -> DataFrame:

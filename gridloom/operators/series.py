@@ -195,7 +195,7 @@ def infer_resolution(series: DataFrame, keys: Sequence[str], ts: str, block: Col
 
 def attach_series(store: DataFrame, new: DataFrame, components: DataFrame, key: str = "component") -> DataFrame:
     """Add series rows of components that exist."""
-    known = components.select(key).distinct()
+    known = components.select(key)
     return store.unionByName(new.join(known, key, "left_semi"), allowMissingColumns=True)
 
 

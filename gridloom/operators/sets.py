@@ -33,7 +33,7 @@ def remove_components(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Drop named devices, and the rows of `attached` that hang on them."""
     keys = list(keys)
-    gone = removed.select(*keys).distinct()
+    gone = removed.select(*keys)
     kept = components.join(gone, keys, "left_anti")
     return kept if attached is None else (kept, attached.join(gone, keys, "left_anti"))
 
@@ -42,7 +42,7 @@ def convert_to_dynamic_branch(
     line: DataFrame, dynamic: DataFrame, names: DataFrame, key: str = "name"
 ) -> tuple[DataFrame, DataFrame]:
     """Move named lines from the static to the dynamic table."""
-    moved = names.select(key).distinct()
+    moved = names.select(key)
     return (
         line.join(moved, key, "left_anti"),
         dynamic.unionByName(line.join(moved, key, "left_semi"), allowMissingColumns=True),

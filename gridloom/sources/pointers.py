@@ -73,13 +73,16 @@ def read_wide_series(spark: SparkSession, paths: str | Sequence[str], time_heade
     )
 
 
-def read_ts_pointers(spark: SparkSession, pointer_path: str, time_header: str = "DateTime") -> DataFrame:
+def read_ts_pointers(
+    spark: SparkSession, pointer_path: str, time_header: str = "DateTime", multi_line: bool = False
+) -> DataFrame:
     """Series rows named by a pointer file: the pointer says which file and column to attach.
 
     The distinct file names are metadata (a handful per case) and become the paths of one scan.
-    A `data_file` is one CSV or a folder of parts.
+    A `data_file` is one CSV or a folder of parts. Pointers are one object per line or an array on
+    one line; `multi_line` reads an array spread over lines.
     """
-    pointers = spark.read.schema(POINTER_SCHEMA).json(pointer_path)
+    pointers = spark.read.schema(POINTER_SCHEMA).json(pointer_path, multiLine=multi_line)
     files = [row.data_file for row in pointers.select("data_file").distinct().collect()]
     if not files:
         raise ValueError(f"no pointers in {pointer_path}")

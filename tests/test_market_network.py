@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +178,31 @@ def test_approx_equal_flags_missing_rows(spark):
 def test_stack_offsets_sum_duplicates_first(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", 4.0)], "ts int, category string, value double")
     assert [(r.category, r.top) for r in M.stack_offsets(df).orderBy("category").collect()] == [("a", 3.0), ("b", 7.0)]
+
+
+@pytest.mark.parametrize("band", ["price", "tie"])
+def test_hot_interval_against_brute_force(spark, band):
+    """One interval holds most offers, most of them at one price."""
+    rng = random.Random(5)
+    rows = []
+    for unit in range(900):
+        ts = 1 if rng.random() < 0.7 else rng.randrange(2, 9)
+        price = 20.0 if rng.random() < 0.8 else float(rng.randrange(1, 60))
+        rows.append((ts, unit, price, float(rng.randrange(0, 9))))
+    want_demand = {ts: float(rng.randrange(1, 4000)) for ts in range(1, 10)}
+    offers = spark.createDataFrame(rows, "ts int, unit int, price double, pmax double")
+    demand = spark.createDataFrame(list(want_demand.items()), "ts int, demand double")
+    block = M.price_band("price", 7.0) if band == "price" else M.tie_band("price", "unit", 50)
+    power = {(r.ts, r.unit): float(r.power) for r in M.merit_order_dispatch(offers, demand, ["ts"], "unit", block).collect()}
+    price = {r.ts: r.clearing_price for r in M.clearing_price(offers, demand, ["ts"], "unit", block, 100000.0).collect()}
+    short = {r.ts: float(r.unserved) for r in M.unserved_demand(offers, demand, ["ts"]).collect()}
+    assert len(power) == len(rows)
+    for ts, left in want_demand.items():
+        marginal = 100000.0
+        for _, unit, offered, pmax in sorted((r for r in rows if r[0] == ts), key=lambda r: (r[2], r[1])):
+            used = max(0.0, min(pmax, left))
+            assert power[ts, unit] == used
+            if marginal == 100000.0 and left <= pmax:
+                marginal = offered
+            left -= pmax
+        assert price[ts] == marginal and short[ts] == max(0.0, left)

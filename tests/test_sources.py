@@ -163,15 +163,19 @@ def test_write_system_json_refuses_to_overwrite(spark, tmp_path):
     assert back.count() == 2 and back.first().voltage_limits.max == 1.1
 
 
-def test_wide_files_with_different_columns(spark, tmp_path):
+@pytest.mark.parametrize("form", ["lines", "array", "pretty array"])
+def test_wide_files_with_different_columns(spark, tmp_path, form):
     (tmp_path / "wind.csv").write_text("DateTime,gen1,gen2\n2020-01-01T00:00:00,1.5,2.5\n2020-01-01T01:00:00,3.5,\n")
     (tmp_path / "solar.csv").write_text("DateTime,gen9,gen1\r\n2020-01-01T00:00:00,9.0,7.0\r\n")
     pointers = [
-        {"component_name": c, "name": "max_active_power", "category": "Generator", "resolution": 3600, "normalization_factor": "Max", "data_file": str(tmp_path / f)}
+        {"component_name": c, "name": "max_active_power", "category": "Generator", "resolution": 3600, "normalization_factor": 1.5 if c == "gen9" else "Max", "data_file": str(tmp_path / f)}
         for c, f in [("gen1", "wind.csv"), ("gen2", "wind.csv"), ("gen9", "solar.csv")]
     ]
-    (tmp_path / "pointers.json").write_text("\n".join(map(json.dumps, pointers)))
-    got = {(r.component_name, r.ts.hour): r.value for r in PT.read_ts_pointers(spark, str(tmp_path / "pointers.json")).collect()}
+    text = {"lines": "\n".join(map(json.dumps, pointers)), "array": json.dumps(pointers), "pretty array": json.dumps(pointers, indent=2)}
+    (tmp_path / "pointers.json").write_text(text[form])
+    rows = PT.read_ts_pointers(spark, str(tmp_path / "pointers.json"), multi_line=form == "pretty array").collect()
+    got = {(r.component_name, r.ts.hour): r.value for r in rows}
+    assert {r.normalization_factor for r in rows} == {"Max", "1.5"}
     assert got == {("gen1", 0): 1.5, ("gen1", 1): 3.5, ("gen2", 0): 2.5, ("gen2", 1): None, ("gen9", 0): 9.0}
 
 
