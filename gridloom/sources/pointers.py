@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from gridloom.operators.series import melt_series
+from gridloom.sources.tables import scan_csv
 
 # Fields of a pointer row, in file order.
 POINTER_SCHEMA = (
@@ -52,25 +57,23 @@ def write_ts_pointers(pointers: DataFrame, path: str, mode: str = "overwrite") -
     pointers.write.mode(mode).json(path)
 
 
-def read_wide_series(spark: SparkSession, paths: str | Sequence[str], time_header: str = "DateTime") -> DataFrame:
-    """Long rows (file, column, ts, value) of any number of wide CSV files, in one plan.
+def read_wide_series(spark: SparkSession, paths: Sequence[str], time_header: str = "DateTime") -> DataFrame:
+    """Long rows (data_file, component_name, ts, value) of wide CSV files or folders of parts.
 
-    Files may differ in their columns: every line is cut into fields, header lines name the
-    positions, and the two meet on (file, position). Nothing is read twice on the driver.
+    Only the header line of each file is looked at when the plan is made, it gives the typed
+    schema. The scan then unpivots in place: no shuffle, and files may differ in their columns.
     """
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("_metadata.file_path").alias("file"), F.split(F.regexp_replace("value", "\r$", ""), ",").alias("fields")
-    )
-    is_header = F.col("fields")[0] == F.lit(time_header)
-    header = lines.filter(is_header).select("file", F.posexplode("fields").alias("pos", "column")).filter("pos > 0")
-    values = (
-        lines.filter(~is_header)
-        .select("file", F.col("fields")[0].alias("ts"), F.posexplode("fields").alias("pos", "value"))
-        .filter("pos > 0")
-    )
-    return values.join(header, ["file", "pos"]).select(
-        "file", "column", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").try_cast("double").alias("value")
-    )
+
+    def one(path: str) -> DataFrame:
+        names = spark.read.option("header", True).csv(path).columns
+        schema = StructType([StructField(n, StringType() if n == time_header else DoubleType()) for n in names])
+        ids = [f"`{n}`" for n in names if n != time_header]
+        long = melt_series(scan_csv(spark, path, schema), time_header, ids, "component_name")
+        return long.select(
+            F.lit(path).alias("data_file"), "component_name", F.col(time_header).cast("timestamp_ntz").alias("ts"), "value"
+        )
+
+    return reduce(DataFrame.unionByName, [one(path) for path in paths])
 
 
 def read_ts_pointers(
@@ -78,7 +81,7 @@ def read_ts_pointers(
 ) -> DataFrame:
     """Series rows named by a pointer file: the pointer says which file and column to attach.
 
-    The distinct file names are metadata (a handful per case) and become the paths of one scan.
+    The distinct file names are metadata (a handful per case) and become the paths of the scans.
     A `data_file` is one CSV or a folder of parts. Pointers are one object per line or an array on
     one line; `multi_line` reads an array spread over lines.
     """
@@ -87,10 +90,6 @@ def read_ts_pointers(
     if not files:
         raise ValueError(f"no pointers in {pointer_path}")
     series = read_wide_series(spark, files, time_header)
-    same_file = F.col("file").endswith(F.col("data_file")) | F.col("file").contains(F.concat("data_file", F.lit("/")))
-    return (
-        series.withColumnRenamed("column", "component_name")
-        .join(pointers, "component_name")
-        .filter(same_file)
-        .select("category", "component_name", "name", "resolution", "normalization_factor", "ts", "value")
+    return series.join(pointers, ["data_file", "component_name"]).select(
+        "category", "component_name", "name", "resolution", "normalization_factor", "ts", "value"
     )

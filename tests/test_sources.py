@@ -179,6 +179,13 @@ def test_wide_files_with_different_columns(spark, tmp_path, form):
     assert got == {("gen1", 0): 1.5, ("gen1", 1): 3.5, ("gen2", 0): 2.5, ("gen2", 1): None, ("gen9", 0): 9.0}
 
 
+def test_wide_series_are_read_without_a_shuffle(spark, tmp_path, plan):
+    (tmp_path / "wind.csv").write_text("DateTime,gen.1,Far West\n2020-01-01T00:00:00,1.5,2.5\n")
+    series = PT.read_wide_series(spark, [str(tmp_path / "wind.csv")])
+    assert {(r.component_name, r.value) for r in series.collect()} == {("gen.1", 1.5), ("Far West", 2.5)}
+    assert "Exchange" not in plan(series)
+
+
 def test_pointer_factor_is_a_number_or_max(spark, tmp_path):
     ids = spark.createDataFrame([("1",), ("2",), ("7",)], "series_id string")
     names = spark.createDataFrame([("1", "gen1"), ("2", "gen2")], "series_id string, component_name string")
