@@ -269,12 +269,13 @@ def _(t: Tables) -> DataFrame:
 @query("filter_resolution", "select component, ts, cast(value as double) as value from v_series")
 def _(t: Tables) -> DataFrame:
     from gridloom.operators.series import infer_resolution
+    from gridloom.operators.skew import salted_join
 
     both = t.v_series.withColumn("kind", F.lit("hourly")).unionByName(
         t.v_series5.select("component", "ts", "value").withColumn("kind", F.lit("five minutes"))
     )
     steps = infer_resolution(both, ["kind", "component"], "ts", day_block("ts", 7))
-    tagged = both.join(steps.select("kind", "component", "resolution_s"), ["kind", "component"])
+    tagged = salted_join(both, steps.select("kind", "component", "resolution_s"), ["kind", "component"], "ts")
     return doubles(P.filter_resolution(tagged, 3600).select("component", "ts", "value"), "value")
 
 

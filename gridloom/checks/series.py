@@ -103,7 +103,7 @@ def _(t: Tables) -> DataFrame:
     factors = A.series_max_factor(t.v_series, ["component"]).withColumn(
         "factor", F.when(F.col("component") == "error", F.lit("250.0")).otherwise(F.col("factor"))
     )
-    return S.normalize_series(t.v_series, factors, ["component"]).select("component", "ts", "normalized")
+    return S.normalize_series(t.v_series, factors, ["component"], spread="ts").select("component", "ts", "normalized")
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.time import col, epoch_seconds, plus_seconds, stamp
 from gridloom.operators.ordered import previous_values
+from gridloom.operators.skew import salted_join
 
 
 def melt_series(wide: DataFrame, ts: str, ids: Sequence[str], name: str = "component", value: str = "value") -> DataFrame:
@@ -56,11 +57,13 @@ def constant_series(
 
 
 def normalize_series(
-    series: DataFrame, factors: DataFrame, keys: Sequence[str], value: str = "value", out: str = "normalized"
+    series: DataFrame, factors: DataFrame, keys: Sequence[str], value: str = "value", out: str = "normalized",
+    spread: str | None = None,
 ) -> DataFrame:
     """Divide by `factors(keys, factor)`: a number in text, or `Max` for the series' own maximum.
 
-    The maximum is one aggregated row per series, joined back with the factors in one go.
+    The maximum is one aggregated row per series, joined back with the factors in one go. The rows
+    of a series are spread by `spread`, a column that differs inside it (default: the value).
     """
     keys = list(keys)
     own_max = series.groupBy(*keys).agg(F.max(value).alias("__max"))
@@ -69,7 +72,7 @@ def normalize_series(
     )
     divisors = factors.join(own_max, keys).select(*keys, divisor.alias("__div"))
     return (
-        series.join(divisors, keys)
+        salted_join(series, divisors, keys, spread or value)
         .withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("__div")))
         .drop("__div")
     )
@@ -114,7 +117,7 @@ def forecast_windows(
     if isinstance(bounds, tuple):
         rows = series.withColumns({"first_ts": stamp(bounds[0]), "last_ts": stamp(bounds[1])})
     else:
-        rows = series.join(bounds if bounds is not None else series_bounds(series, keys, ts), keys)
+        rows = salted_join(series, bounds if bounds is not None else series_bounds(series, keys, ts), keys, ts)
     span = (horizon - 1) * resolution_s
     offset = epoch_seconds(ts) - epoch_seconds("first_ts")
     newest = epoch_seconds("last_ts") - epoch_seconds("first_ts") - F.lit(span)
