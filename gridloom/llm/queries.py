@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, simhash, url_rules
+from gridloom.llm import decontaminate, repetition, simhash, url_rules
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -17,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judged(table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -28,6 +32,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_repetition": op2_repetition,
     "op8_url_rules": op8_url_rules,
     "op9_decontaminate": op9_decontaminate,
 }
