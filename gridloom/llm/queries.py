@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, repetition, simhash, url_rules
+from gridloom.llm import decontaminate, packing, repetition, simhash, token_files, url_rules
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -21,6 +21,14 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -33,6 +41,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repetition": op2_repetition,
+    "op3_token_files": op3_token_files,
+    "op4_packing": op4_packing,
     "op8_url_rules": op8_url_rules,
     "op9_decontaminate": op9_decontaminate,
 }
