@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, repetition, simhash, token_files, url_rules
+from gridloom.llm import decontaminate, packing, repetition, simhash, token_files, url_rules, warc
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -38,6 +38,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repetition": op2_repetition,
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op8_url_rules": op8_url_rules,
     "op9_decontaminate": op9_decontaminate,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -66,4 +71,9 @@ ORACLES: dict[str, str] = {
         n as (select item_id, count(*) as n_shingles from si group by item_id),
         m as (select doc_id, item_id, count(distinct s) as n_shared from sd join si using (s) group by doc_id, item_id)
         select doc_id, item_id, n_shingles, n_shared from m join n using (item_id) where 10 * n_shared >= 8 * n_shingles""",
+    "op10_warc": """
+        with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+        m as (select *, max(page_id) over (partition by payload_digest) as first from p)
+        select page_id, payload_bytes, payload_digest, case when payload_bytes >= 1000 and page_id < first then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 1000 and page_id < first then first end as refers_to from m""",
 }
