@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, pii, repetition, simhash, token_files, transducer, url_rules, warc
+from gridloom.llm import decontaminate, language_model, packing, pii, repetition, simhash, token_files, transducer, url_rules, warc
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -33,6 +33,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_attention": op6_attention,
     "op7_personal_data": op7_personal_data,
     "op8_url_rules": op8_url_rules,
     "op9_decontaminate": op9_decontaminate,
