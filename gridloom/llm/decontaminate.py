@@ -90,6 +90,15 @@ def contained_items(
     return out.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_shingles", "n_shared")
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how: object) -> DataFrame:
+    """The rows of `docs` that hold none of the items, with all of their columns.
+
+    Rows without a key are judged together, as `contained_items` does.
+    """
+    found = written(contained_items(docs, items, key, text, **how).select(F.col(key).alias("__leaked")).distinct(), "leaked")
+    return docs.join(found, docs[key].eqNullSafe(F.col("__leaked")), "left_anti")
+
+
 def _sketches(hashes: DataFrame, threshold: float) -> DataFrame:
     """Per item the rows (item, hash, n, needed_hits) of its bottom-m sketch."""
     sized = hashes.join(hashes.groupBy("item").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("item", "sized"), F.col("item").eqNullSafe(F.col("sized"))).drop("sized")

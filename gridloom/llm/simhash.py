@@ -261,18 +261,24 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", node_l
 
 
 def keep_smallest(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    leaders = found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
-    known = docs.join(leaders, docs[key] == F.col("__key"), "inner")
-    alone, several = known.where("__rows = 1"), known.where("__rows > 1")
-    rank = F.struct(*(F.col(c) for c in [text, *(c for c in docs.columns if c != text)]))
-    chosen = several.groupBy("__key").agg(F.min(rank).alias("row")).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
-    kept = alone.select(*docs.columns).unionByName(chosen)
-    unnamed = found.where(F.col("component_id").isNull()).limit(1)
+    """The rows of `docs` that `near_duplicates` names as the smallest of their component.
+
+    Only keys move: those of rows to be left out, and those that several rows share, which are settled apart.
+    """
+    leads = F.coalesce(F.col(key) == F.col("component_id"), F.lit(False))
+    by_key = found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"), F.max(leads).alias("__leads"))
+    gone = written(by_key.where("__rows > 1 or not __leads").select("__key", "__leads"), "left-out")
+    kept = docs.where(F.col(key).isNotNull()).join(gone, docs[key] == F.col("__key"), "left_anti")
+    shared = docs.join(gone.where("__leads"), docs[key] == F.col("__key"), "left_semi")
+    rank = F.struct(*(F.col(f"`{c}`") for c in [text, *(c for c in docs.columns if c != text)]))
+    chosen = shared.groupBy(F.col(key).alias("__key")).agg(F.min(rank).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
+    kept = kept.unionByName(chosen)
+    unnamed = found.where(F.col("component_id").isNull())
     if unnamed.isEmpty():
         return kept
-    lost = written(fingerprints_of_unnamed(docs, key, text), "unnamed")
-    roots = found.where(F.col("component_id").isNull()).select("fingerprint", "root").distinct()
-    first = lost.join(roots, "fingerprint").groupBy("root").agg(F.min(rank).alias("row")).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    roots = unnamed.select("fingerprint", "root").distinct()
+    lost = fingerprints_of_unnamed(docs, key, text).join(roots, "fingerprint")
+    first = lost.groupBy("root").agg(F.min(rank).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
     return kept.unionByName(first)
 
 
