@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.llm.common import as_bytes, written
 from gridloom.llm.graph import components
@@ -276,9 +277,9 @@ def keep_smallest(docs: DataFrame, found: DataFrame, key: str, text: str) -> Dat
     unnamed = found.where(F.col("component_id").isNull())
     if unnamed.isEmpty():
         return kept
-    roots = unnamed.select("fingerprint", "root").distinct()
-    lost = fingerprints_of_unnamed(docs, key, text).join(roots, "fingerprint")
-    first = lost.groupBy("root").agg(F.min(rank).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
+    roots = unnamed.select(F.col("fingerprint").alias("__print"), F.col("root").alias("__root")).distinct()
+    lost = fingerprints_of_unnamed(docs, key, text).join(roots, "__print")
+    first = lost.groupBy("__root").agg(F.min(rank).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
     return kept.unionByName(first)
 
 
@@ -290,6 +291,6 @@ def fingerprints_of_unnamed(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             texts = [b"" if t is None else t.encode() for t in batch.column(at).to_pylist()]
-            yield batch.append_column("fingerprint", pa.array([f"{fingerprint(t):016x}" for t in texts]))
+            yield batch.append_column("__print", pa.array([f"{fingerprint(t):016x}" for t in texts]))
 
-    return unnamed.mapInArrow(run, unnamed.schema.add("fingerprint", "string"))
+    return unnamed.mapInArrow(run, StructType([*unnamed.schema.fields, StructField("__print", StringType())]))
