@@ -79,9 +79,10 @@ def contained_items(
     out = docs.sparkSession.createDataFrame([], f"doc {docs.schema[key].dataType.simpleString()}, item {items.schema[item_key].dataType.simpleString()}, n_shingles long, n_shared long")
     if widths:
         by_width = [(w, item_words.where(F.col("width") == w)) for w in sorted(widths)]
-        spelled = _union([_spelled(rows, w, ["item"]) for w, rows in by_width]).distinct()
+        # written, so that their size is known before documents are read: small ones need no shuffle of the documents
+        spelled = written(_union([_spelled(rows, w, ["item"]) for w, rows in by_width]).distinct(), "item-shingles")
         sizes = spelled.groupBy("item").agg(F.count(F.lit(1)).alias("n_shingles"))
-        sketches = _sketches(_union([_hashed(rows, w, ["item"]) for w, rows in by_width]).distinct(), threshold)
+        sketches = written(_sketches(_union([_hashed(rows, w, ["item"]) for w, rows in by_width]).distinct(), threshold), "sketches")
         candidates = written(_candidates(doc_words, sketches, sorted(widths), threshold), "leak-candidates")
         asked = doc_words.join(candidates.select("doc").distinct(), doc_words.doc.eqNullSafe(candidates.doc), "left_semi")
         held = _union([_spelled(asked, w, ["doc"]) for w in sorted(widths)])
