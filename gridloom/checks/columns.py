@@ -222,10 +222,10 @@ def _(t: Tables) -> DataFrame:
     return closure.join(counts, "descendant", "left").select("ancestor", "descendant", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query("components_of_type", "select comp_type, name from v_component where comp_type in ('ThermalStandard', 'Source')")
+@query("components_of_type", "select comp_type, name from v_typed where comp_type in ('ThermalStandard', 'Source')")
 def _(t: Tables) -> DataFrame:
     closure = P.type_closure(t.spark, t.hierarchy)
-    return P.components_of_type(t.v_component, closure, "Device").select("comp_type", "name")
+    return P.components_of_type(t.v_typed, closure, "Device").select("comp_type", "name")
 
 
 @query("component_by_name", "select comp_type, name from v_component where comp_type = 'Bus' and name = 'Customer#000000042'")
@@ -268,14 +268,15 @@ def _(t: Tables) -> DataFrame:
 
 @query("filter_resolution", "select component, ts, cast(value as double) as value from v_series")
 def _(t: Tables) -> DataFrame:
-    from gridloom.operators.series import infer_resolution
-    from gridloom.operators.skew import salted_join
+    from gridloom.operators.series import infer_resolution, series_bounds
+    from gridloom.operators.skew import blocked_join
 
     both = t.v_series.withColumn("kind", F.lit("hourly")).unionByName(
         t.v_series5.select("component", "ts", "value").withColumn("kind", F.lit("five minutes"))
     )
     steps = infer_resolution(both, ["kind", "component"], "ts", day_block("ts", 7))
-    tagged = salted_join(both, steps.select("kind", "component", "resolution_s"), ["kind", "component"], "ts")
+    per_series = steps.select("kind", "component", "resolution_s").join(series_bounds(both, ["kind", "component"]), ["kind", "component"])
+    tagged = blocked_join(both, per_series, ["kind", "component"], "ts")
     return doubles(P.filter_resolution(tagged, 3600).select("component", "ts", "value"), "value")
 
 
@@ -382,14 +383,15 @@ def _(t: Tables) -> DataFrame:
 @query(
     "flow_dual_outer",
     """select ts, cast(max(case when event_type = 'error' then value end) as double) as line_a,
-         cast(max(case when event_type = 'purchase' then value end) as double) as line_b
-       from events where event_type in ('error', 'purchase') group by ts""",
+         cast(max(case when event_type = 'purchase' then value end) as double) as line_b,
+         cast(max(case when event_type = 'click' then value end) as double) as line_c,
+         cast(max(case when event_type = 'signup' then value end) as double) as line_d,
+         cast(max(case when event_type = 'view' then value end) as double) as line_e
+       from events group by ts""",
 )
 def _(t: Tables) -> DataFrame:
-    duals = {
-        "line_a": t.events.filter("event_type = 'error'").select("ts", "value"),
-        "line_b": t.events.filter("event_type = 'purchase'").select("ts", "value"),
-    }
+    kinds = ["error", "purchase", "click", "signup", "view"]
+    duals = {f"line_{'abcde'[i]}": t.events.filter(F.col("event_type") == kind).select("ts", "value") for i, kind in enumerate(kinds)}
     return J.flow_dual_outer(duals)
 
 

@@ -309,7 +309,7 @@ _RULES = """case type when 'wind' then 'Wind' when 'solar' then 'PV' when 'hydro
 def _(t: Tables) -> DataFrame:
     day = t.v_result_gen.withColumn("initial_time", F.col("ts"))
     ahead = day.withColumn("ts", F.expr("ts + interval 1 day"))
-    return doubles(realized_by_fuel(day.unionByName(ahead), t.v_plant, t.v_gencost, DAY, "ASIA"), "total")
+    return doubles(realized_by_fuel(day.unionByName(ahead), t.v_plant, DAY, "ASIA"), "total")
 
 
 @query(
@@ -359,7 +359,7 @@ def _(t: Tables) -> DataFrame:
     "nodal_prices",
     """with c as (select ts, bus_id, cast(sum(mu * factor) as double) as congestion from v_flow_dual d join v_ptdf p on p.line = d.line where mu <> 0 and factor <> 0 group by ts, bus_id)
     select date_trunc('day', p.ts) as day, p.bus_id, count(*) as hours, round(max(cast(price as double) + coalesce(congestion, 0)), 6) as highest
-    from v_injection p join v_energy_price e on e.ts = p.ts left join c on c.ts = p.ts and c.bus_id = p.bus_id group by date_trunc('day', p.ts), p.bus_id""",
+    from v_injection p left join v_energy_price e on e.ts = p.ts left join c on c.ts = p.ts and c.bus_id = p.bus_id group by date_trunc('day', p.ts), p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
     prices = nodal_prices(t.v_injection, doubles(t.v_energy_price, "price"), doubles(t.v_flow_dual, "mu"), doubles(t.v_ptdf, "factor"))

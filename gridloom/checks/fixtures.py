@@ -59,17 +59,17 @@ PORTABLE = {
     "v_dcline": """
         select branch_id as dcline_id, from_bus_id, to_bus_id, rate as pmax from v_branch where priority = '1-URGENT'""",
     "v_ptdf": """
-        select l_suppkey % 200 as line, l_partkey % 50 as bus_id,
+        select l_suppkey as line, l_partkey as bus_id,
           cast(sum(cast(l_discount as decimal(6,4)) - cast(0.05 as decimal(6,4))) as decimal(18,4)) as factor
-        from lineitem group by l_suppkey % 200, l_partkey % 50""",
+        from lineitem group by l_suppkey, l_partkey""",
     "v_flow_dual": """
-        select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % 10 as line,
+        select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % (select max(s_suppkey) from supplier) + 1 as line,
           cast(sum(cast(value as decimal(8,4))) as decimal(18,4)) as mu
-        from events group by cast(date_trunc('hour', ts) as {ts}), user_id % 10""",
+        from events group by cast(date_trunc('hour', ts) as {ts}), user_id % (select max(s_suppkey) from supplier) + 1""",
     "v_injection": """
-        select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % 50 as bus_id,
+        select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % (select max(p_partkey) from part) + 1 as bus_id,
           cast(sum(cast(case when event_type = 'error' then -value else value end as decimal(8,4))) as decimal(18,4)) as injection
-        from events group by cast(date_trunc('hour', ts) as {ts}), user_id % 50""",
+        from events group by cast(date_trunc('hour', ts) as {ts}), user_id % (select max(p_partkey) from part) + 1""",
     "v_energy_price": """
         select ts, cast(sum(mu) * cast(0.1 as decimal(5,4)) as decimal(18,4)) as price from v_flow_dual group by ts""",
     "v_result_gen": """
@@ -83,10 +83,23 @@ PORTABLE = {
         select cast(date_trunc('day', o_orderdate) as {ts}) as ts,
           cast(cast(sum(cast(o_totalprice as decimal(18,4))) * cast(0.0005 as decimal(5,4)) as decimal(18,4)) as double) as demand
         from orders group by cast(date_trunc('day', o_orderdate) as {ts})""",
+    "v_bid": """
+        select ts, plant_id, cast(value as bigint) as p1, 2 * cast(value as bigint) + plant_id % 2 as p2,
+          cast(value as bigint) * (10 + (plant_id + day(ts)) % 7) as c1,
+          cast(value as bigint) * (10 + (plant_id + day(ts)) % 7) + (cast(value as bigint) + plant_id % 2) * (20 + plant_id % 5) as c2
+        from v_result_gen""",
+    "v_bid_step": """
+        select ts, plant_id, 0 as step, cast(10 + (plant_id + day(ts)) % 7 as decimal(10,0)) as price, cast(p1 as decimal(12,0)) as pmax from v_bid
+        union all select ts, plant_id, 1, cast(20 + plant_id % 5 as decimal(10,0)), cast(p2 - p1 as decimal(12,0)) from v_bid""",
+    "v_demand_units": """
+        select ts, cast(floor(demand) as decimal(18,0)) as demand from v_market_demand""",
     "v_component": """
         select 'Bus' as comp_type, c_name as name from customer
         union all select 'Source', s_name from supplier
         union all select 'ThermalStandard', p_name from part""",
+    "v_typed": """
+        select case p_type when 'ECONOMY' then 'Bus' when 'LARGE' then 'Source' when 'MEDIUM' then 'Area' else 'ThermalStandard' end as comp_type, p_name as name
+        from part""",
     "v_reserve": """
         select cast(date_trunc('day', l_shipdate) as {ts}) as ts, l_suppkey as component, l_returnflag as product,
           cast(sum(cast(l_quantity as decimal(6,2)) * cast(l_tax as decimal(4,2))) as decimal(18,4)) as value

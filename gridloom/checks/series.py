@@ -43,12 +43,14 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "regular_grid",
-    """select ts, count(event_id) as n from (select unnest(generate_series(timestamp '2024-01-01 00:00:00', timestamp '2024-01-30 23:00:00', interval 1 hour)) as ts) g
+    """select ts, count(event_id) as n from (select unnest(generate_series((select date_trunc('hour', min(ts)) from events), (select date_trunc('hour', max(ts)) from events), interval 1 hour)) as ts) g
        left join (select event_id, date_trunc('hour', ts) as h from events) e on e.h = g.ts group by ts""",
 )
 def _(t: Tables) -> DataFrame:
-    grid = S.regular_grid(t.spark, "2024-01-01 00:00:00", "2024-01-30 23:00:00", HOUR)
-    events = t.events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.count(F.lit(1)).alias("__n"))
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    first, last = t.events.agg(F.min(hour), F.max(hour)).first()
+    grid = S.regular_grid(t.spark, str(first), str(last), HOUR)
+    events = t.events.groupBy(hour.alias("ts")).agg(F.count(F.lit(1)).alias("__n"))
     return grid.join(events, "ts", "left").select("ts", F.coalesce("__n", F.lit(0).cast("long")).alias("n"))
 
 
@@ -103,7 +105,7 @@ def _(t: Tables) -> DataFrame:
     factors = A.series_max_factor(t.v_series, ["component"]).withColumn(
         "factor", F.when(F.col("component") == "error", F.lit("250.0")).otherwise(F.col("factor"))
     )
-    return S.normalize_series(t.v_series, factors, ["component"], spread="ts").select("component", "ts", "normalized")
+    return S.normalize_series(t.v_series, factors, ["component"]).select("component", "ts", "normalized")
 
 
 @query(
@@ -365,10 +367,10 @@ def _(t: Tables) -> DataFrame:
     return rounded(N.ybus_lookup(N.ybus(_two_sided(t.v_branch)), 42, 42), 6, "re", "im")
 
 
-@query("ptdf_lookup", "select line, p.bus_id, cast(factor as double) as factor from v_ptdf p join v_bus b on b.bus_id = p.bus_id where line = 7 and bus_name = 'Customer#000000003'")
+@query("ptdf_lookup", "select line, bus_id, cast(factor as double) as factor from v_ptdf where line = 7 and bus_id in (select max(p_partkey) from part group by p_size)")
 def _(t: Tables) -> DataFrame:
-    buses = t.v_bus.select("bus_name", F.col("bus_id").alias("number"))
-    return doubles(N.ptdf_lookup(t.v_ptdf, 7, "Customer#000000003", buses).select("line", "bus_id", "factor"), "factor")
+    buses = t.part.groupBy("p_size").agg(F.max("p_partkey").alias("number")).select(F.lit("largest").alias("bus_name"), "number")
+    return doubles(N.ptdf_lookup(t.v_ptdf, 7, "largest", buses).select("line", "bus_id", "factor"), "factor")
 
 
 _FLOW = """select ts, line, sum(factor * injection) as flow from v_injection i join v_ptdf p on p.bus_id = i.bus_id
@@ -386,18 +388,18 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "lodf_from_ptdf",
-    """with br as (select distinct l_suppkey % 200 as line, (l_suppkey % 200) % 50 as f, ((l_suppkey % 200) * 7 + 3) % 50 as t from lineitem),
+    """with br as (select s_suppkey as line, s_suppkey as f, s_suppkey * 7 % (select max(p_partkey) from part) + 1 as t from supplier where s_nationkey = 3),
     e as (select line as outage, f as bus_id, 1 as sign from br union all select line, t, -1 from br),
-    h as (select p.line, e.outage, cast(sum(e.sign * p.factor) as double) as h from e join v_ptdf p on p.bus_id = e.bus_id group by p.line, e.outage)
+    a as (select p.line, e.outage, cast(sum(e.sign * p.factor) as double) as h from e join v_ptdf p on p.bus_id = e.bus_id where factor <> 0 group by p.line, e.outage),
+    h as (select * from a where h <> 0 or line = outage)
     select h.line, h.outage, case when h.line = h.outage then -1 else h.h / nullif(1 - coalesce(o.h, 0), 0) end as lodf
     from h left join h o on o.line = h.outage and o.outage = h.outage""",
 )
 def _(t: Tables) -> DataFrame:
-    line = (F.col("l_suppkey") % 200).alias("line")
-    branch = t.lineitem.select(line).distinct().withColumns(
-        {"from_bus_id": F.col("line") % 50, "to_bus_id": (F.col("line") * 7 + 3) % 50}
-    )
-    return N.lodf_from_ptdf(t.v_ptdf, branch)
+    buses = t.part.agg(F.max("p_partkey").alias("n"))
+    named = t.supplier.filter("s_nationkey = 3").select(F.col("s_suppkey").alias("line"))
+    ends = named.join(buses, F.lit(True)).select("line", F.col("line").alias("from_bus_id"), (F.col("line") * 7 % F.col("n") + 1).alias("to_bus_id"))
+    return N.lodf_from_ptdf(t.v_ptdf, ends)
 
 
 _CONGESTION = """select ts, bus_id, round(cast(sum(mu * factor) as double), 6) as congestion from v_flow_dual d join v_ptdf p on p.line = d.line
@@ -412,7 +414,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "lmp",
     f"""select p.ts, p.bus_id, cast(price as double) as price, coalesce(congestion, 0) as congestion, round(cast(price as double) + coalesce(congestion, 0), 6) as lmp
-        from v_injection p join v_energy_price e on e.ts = p.ts left join ({_CONGESTION}) c on c.ts = p.ts and c.bus_id = p.bus_id""",
+        from v_injection p left join v_energy_price e on e.ts = p.ts left join ({_CONGESTION}) c on c.ts = p.ts and c.bus_id = p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
     out = N.lmp(t.v_injection, doubles(t.v_energy_price, "price"), doubles(t.v_flow_dual, "mu"), doubles(t.v_ptdf, "factor"))
@@ -482,7 +484,26 @@ def _(t: Tables) -> DataFrame:
     return Q.approx_equal(a, b, ["plant_id", "ts"], rtol=0.0015)
 
 
-@query("list_datasets", "select source as category, count(*) as n from documents group by source")
+@query(
+    "list_datasets",
+    "select distinct 'source' as category, source as name from documents union all select distinct 'language', lang from documents",
+)
+def _(t: Tables) -> DataFrame:
+    kinds = {"source": "source", "language": "lang"}
+    parts = [t.documents.select(F.lit(kind).alias("category"), F.col(column).alias("name")).distinct() for kind, column in kinds.items()]
+    return Q.list_datasets(parts[0].unionByName(parts[1]))
+
+
+@query("dataset_counts", "select source as category, count(*) as n from documents group by source")
+def _(t: Tables) -> DataFrame:
+    return Q.dataset_counts(t.documents.select(F.col("doc_id").alias("name"), F.col("source").alias("category")))
+
+
+@query("unknown_codes", "select type, count(*) as n from v_bus where type > 2 group by type")
+def _(t: Tables) -> DataFrame:
+    return Q.unknown_codes(t.v_bus, "type", [1, 2])
+
+
+@query("list_names", "select distinct kind, entry, comp_type, entry || '__' || comp_type as name from v_result")
 def _(t: Tables) -> DataFrame:
-    catalog = t.documents.select(F.col("doc_id").alias("name"), F.col("source").alias("category"))
-    return Q.list_datasets(catalog)
+    return N.list_names(t.v_result)

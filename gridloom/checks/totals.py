@@ -155,8 +155,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "net_injection_by_bus",
     """with r as (select bus_id, value as v from v_result_gen r join v_plant p on p.plant_id = r.plant_id union all select bus_id, -cast(pd as double) from v_bus)
-       select bus_id, round(sum(v), 4) as injection from r group by bus_id
-       union all select null, round(sum(v), 4) from r""",
+       select bus_id, round(sum(v), 4) as injection, 'bus' as level from r group by bus_id
+       union all select null, round(sum(v), 4), 'balance' from r""",
 )
 def _(t: Tables) -> DataFrame:
     gen = t.v_result_gen.join(t.v_plant.select("plant_id", "bus_id"), "plant_id").select("bus_id", "value")
@@ -247,10 +247,6 @@ def _(t: Tables) -> DataFrame:
 
 
 
-def _band() -> Column:
-    return M.price_band("price", 50.0)
-
-
 _CUM = "sum(pmax) over (partition by ts order by price, plant_id rows unbounded preceding)"
 
 
@@ -261,7 +257,7 @@ _CUM = "sum(pmax) over (partition by ts order by price, plant_id rows unbounded
         from (select *, {_CUM} as cum from v_offer) o join v_market_demand d on d.ts = o.ts""",
 )
 def _(t: Tables) -> DataFrame:
-    out = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band())
+    out = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id")
     return doubles(out, "price", "pmax", "power")
 
 
@@ -280,23 +276,36 @@ def _(t: Tables) -> DataFrame:
         from v_market_demand d left join (select *, {_CUM} as cum from v_offer) o on o.ts = d.ts and cum >= demand group by d.ts, demand""",
 )
 def _(t: Tables) -> DataFrame:
-    out = M.clearing_price(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band(), fixed.UNSERVED_PENALTY)
+    out = M.clearing_price(t.v_offer, t.v_market_demand, ["ts"], "plant_id", fixed.UNSERVED_PENALTY)
     return doubles(out, "demand")
 
 
 @query(
     "objective_value",
-    f"""with d as (select o.ts, plant_id, price, greatest(0, least(pmax, demand - (cum - pmax))) as power
-         from (select *, {_CUM} as cum from v_offer) o join v_market_demand d on d.ts = o.ts),
+    """with d as (select o.ts, price, greatest(0, least(pmax, demand - (cum - pmax))) as power
+         from (select *, sum(pmax) over (partition by ts order by price, plant_id, step rows unbounded preceding) as cum from v_bid_step) o
+         join v_demand_units d on d.ts = o.ts),
        u as (select greatest(0, demand - coalesce(total, 0)) as unserved
-         from v_market_demand d left join (select ts, sum(pmax) as total from v_offer group by ts) o on o.ts = d.ts)
-       select round((select sum(price * power) from d) + 100000 * (select sum(unserved) from u), 0) as objective""",
+         from v_demand_units d left join (select ts, sum(pmax) as total from v_bid_step group by ts) o on o.ts = d.ts)
+       select cast((select sum(price * power) from d) as double) + cast(100000 * (select sum(unserved) from u) as double) as objective""",
+)
+def _(t: Tables) -> DataFrame:
+    # whole numbers, as decimals: sums are exact in any order
+    offer = t.v_bid_step.withColumn("unit", F.struct("plant_id", "step"))
+    dispatch = M.merit_order_dispatch(offer, t.v_demand_units, ["ts"], "unit")
+    unserved = M.unserved_demand(offer, t.v_demand_units, ["ts"])
+    return A.objective_value(dispatch, unserved, int(fixed.UNSERVED_PENALTY))
+
+
+@query(
+    "bid_steps",
+    """select ts, plant_id, 0 as step, cast(c1 as double) / nullif(p1, 0) as price, cast(p1 as double) as pmax from v_bid where p1 > 0
+       union all select ts, plant_id, 1, cast(c2 - c1 as double) / nullif(p2 - p1, 0), cast(p2 - p1 as double) from v_bid where p2 > p1""",
 )
 def _(t: Tables) -> DataFrame:
-    dispatch = M.merit_order_dispatch(t.v_offer, t.v_market_demand, ["ts"], "plant_id", _band())
-    price = t.v_gencost.select("plant_id", F.expr("c1 * 10 + c2").alias("price"))
-    unserved = M.unserved_demand(t.v_offer, t.v_market_demand, ["ts"])
-    return rounded(A.objective_value(dispatch, price, unserved, fixed.UNSERVED_PENALTY), 0, "objective")
+    point = lambda cost, power: F.struct(F.col(cost).cast("double").alias("cost"), F.col(power).cast("double").alias("power"))
+    bids = t.v_bid.select("ts", "plant_id", F.array(point("c1", "p1"), point("c2", "p2")).alias("points"))
+    return M.bid_steps(bids, ["ts", "plant_id"])
 
 
 @query(

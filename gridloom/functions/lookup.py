@@ -1,25 +1,20 @@
-"""Look-ups in small literal tables, as map literals: no join and no shuffle.
+"""Look-ups in tables of codes, as map literals or as joins.
 
-The tables are Python values written out by the caller, so their size is bounded
-by the text of the program and does not grow with the data.
+A table that the program writes out is a map literal: no join and no shuffle. A table that is data is
+a DataFrame and is joined; how is Spark's choice by its size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from itertools import chain
+from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LITERAL_ENTRIES = 1000
-
 
 def literal_map(table: Mapping[Any, Any]) -> Column:
-    if len(table) > MAX_LITERAL_ENTRIES:
-        raise ValueError(f"{len(table)} entries: join a table instead of a literal map")
-    return F.create_map(*[F.lit(v) for v in chain.from_iterable(table.items())])
+    return F.map_from_arrays(F.array(*map(F.lit, table.keys())), F.array(*map(F.lit, table.values())))
 
 
 def look_up(key: Column, table: Mapping[Any, Any], default: Any = None) -> Column:
@@ -27,3 +22,15 @@ def look_up(key: Column, table: Mapping[Any, Any], default: Any = None) -> Colum
         return F.lit(default)
     found = F.try_element_at(literal_map(table), key)
     return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def join_look_up(df: DataFrame, keys: Sequence[Column], table: DataFrame, values: Mapping[str, Any]) -> DataFrame:
+    """Add the columns `values` ({column: default}) of `table`, whose first columns are the keys, one row per key."""
+    names = table.columns[: len(keys)]
+    renamed = table.select(*(F.col(n).alias(f"__key{i}") for i, n in enumerate(names)), *(F.col(v).alias(f"__value{i}") for i, v in enumerate(values)))
+    met = F.lit(True)
+    for i, key in enumerate(keys):
+        met = met & (key == F.col(f"__key{i}"))
+    found = df.join(renamed, met, "left").drop(*(f"__key{i}" for i in range(len(keys))))
+    filled = {name: F.col(f"__value{i}") if default is None else F.coalesce(F.col(f"__value{i}"), F.lit(default)) for i, (name, default) in enumerate(values.items())}
+    return found.withColumns(filled).drop(*(f"__value{i}" for i in range(len(values))))

@@ -113,35 +113,29 @@ def energy_limit_breach(
 
 
 def objective_value(
-    dispatch: DataFrame,
-    price: DataFrame,
-    unserved: DataFrame,
-    penalty: float,
-    key: str = "plant_id",
-    hours: float = 1.0,
+    dispatch: DataFrame, unserved: DataFrame, penalty: float, price: str = "price", power: str = "power", hours: float = 1.0
 ) -> DataFrame:
-    """Total cost: price x power x hours of all units plus the penalty on unserved demand.
+    """Total cost: price x power x hours of all dispatch rows plus the penalty on unserved demand.
 
-    Power is summed per unit before the price is joined, so the join sees one row per unit.
+    A dispatch row carries the price of its own interval, so prices may change from interval to interval and
+    no join is needed. Power without a price costs nothing.
     """
-    energy = dispatch.groupBy(key).agg(F.sum("power").alias("__power"))
-    cost = energy.join(price.select(key, "price"), key).select(
-        (F.col("price") * F.col("__power") * F.lit(hours)).cast("double").alias("__cost"), F.lit("energy").alias("part")
-    )
-    short = unserved.agg(F.sum("unserved").alias("__short")).select(
-        (F.col("__short") * F.lit(hours) * F.lit(penalty)).cast("double").alias("__cost"), F.lit("unserved").alias("part")
-    )
-    return cost.unionByName(short).agg(F.sum("__cost").alias("objective"))
+    cost = dispatch.select((F.col(price) * F.col(power)).alias("__cost")).agg(F.sum("__cost").alias("__part"))
+    short = unserved.agg((F.sum("unserved") * F.lit(penalty)).alias("__part"))
+    parts = cost.select(F.col("__part").cast("double")).unionByName(short.select(F.col("__part").cast("double")))
+    return parts.agg((F.sum("__part") * F.lit(hours)).alias("objective"))
 
 
 def net_injection_by_bus(gen: DataFrame, load: DataFrame, bus: str = "bus_id", value: str = "value") -> DataFrame:
-    """Generation minus load per bus, and a balance row with a null bus.
+    """Generation minus load per bus (level `bus`), and one row for the whole balance (level `balance`).
 
-    The balance is rolled up from the per-bus totals, so raw rows are not doubled.
+    The balance is rolled up from the per-bus totals, so raw rows are not doubled; the level tells it from a
+    bus that is null.
     """
     signed = gen.select(bus, F.col(value).alias("__v")).unionByName(load.select(bus, (-F.col(value)).alias("__v")))
     per_bus = signed.groupBy(bus).agg(F.sum("__v").alias("__v"))
-    return per_bus.rollup(bus).agg(F.sum("__v").alias("injection"))
+    level = F.when(F.grouping(bus) == 1, F.lit("balance")).otherwise(F.lit("bus"))
+    return per_bus.rollup(bus).agg(F.sum("__v").alias("injection"), level.alias("level"))
 
 
 def net_load(load: DataFrame, fixed: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:

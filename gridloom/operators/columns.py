@@ -1,5 +1,5 @@
-"""Projections and derived columns of the component tables. None of them shuffles
-except `reclassify_lines`, which joins line ends to buses."""
+"""Projections and derived columns of the component tables. None of them shuffles except
+`reclassify_lines`, which joins line ends to buses, and look-ups in tables that are given as data."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.electrical import device_to_system_base, sampled_cost, to_per_unit
-from gridloom.functions.lookup import look_up
+from gridloom.functions.lookup import join_look_up, look_up
 from gridloom.functions.time import iso_local, stamp, utc_text_to_local
 
 
@@ -40,12 +40,21 @@ def convert_units(
 
 def map_generator_class(
     df: DataFrame,
-    mapping: Sequence[tuple[str, str, str | None]],
+    mapping: Sequence[tuple[str, str, str | None]] | DataFrame,
     fuel: str = "fuel",
     unit_type: str = "unit_type",
     out: str = "generator_class",
 ) -> DataFrame:
-    """Class by (fuel, unit type); an exact pair wins over the fuel's row for any unit type."""
+    """Class by (fuel, unit type); an exact pair wins over the fuel's row for any unit type.
+
+    The mapping is a list of (class, fuel, unit type) or a table with the columns fuel, unit_type and class.
+    """
+    if isinstance(mapping, DataFrame):
+        pairs = mapping.where(F.col("unit_type").isNotNull()).select("fuel", "unit_type", F.col("class").alias("__exact"))
+        any_type = mapping.where(F.col("unit_type").isNull()).select("fuel", F.col("class").alias("__any"))
+        both = join_look_up(df, [F.upper(fuel), F.upper(unit_type)], pairs, {"__exact": None})
+        both = join_look_up(both, [F.upper(fuel)], any_type, {"__any": None})
+        return both.withColumn(out, F.coalesce("__exact", "__any")).drop("__exact", "__any")
     exact = {f"{f}|{t}": cls for cls, f, t in mapping if t is not None}
     by_fuel = {f: cls for cls, f, t in mapping if t is None}
     pair = F.upper(F.concat_ws("|", fuel, unit_type))
@@ -57,9 +66,14 @@ def const_columns(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 
 
 def case_by_category(
-    df: DataFrame, key: str, rules: Mapping[str, Mapping[str, Any]], defaults: Mapping[str, Any]
+    df: DataFrame, key: str, rules: Mapping[str, Mapping[str, Any]] | DataFrame, defaults: Mapping[str, Any]
 ) -> DataFrame:
-    """One column per default, its value by category, the default elsewhere."""
+    """One column per default, its value by category, the default elsewhere.
+
+    Rules are nested mappings or a table with the category first and a column per default.
+    """
+    if isinstance(rules, DataFrame):
+        return join_look_up(df, [F.col(key)], rules, defaults)
     added = {
         name: look_up(F.col(key), {cat: row[name] for cat, row in rules.items() if name in row}, default)
         for name, default in defaults.items()
@@ -102,7 +116,10 @@ def prefix_name(df: DataFrame, prefix: str, id_col: str, out: str = "name") -> D
     return df.withColumn(out, F.concat(F.lit(prefix), F.col(id_col).cast("string")))
 
 
-def code_to_label(df: DataFrame, code: str, mapping: Mapping[int, str], out: str) -> DataFrame:
+def code_to_label(df: DataFrame, code: str, mapping: Mapping[int, str] | DataFrame, out: str) -> DataFrame:
+    """Label of each code, null where it is unknown; a table has the code first and then the label."""
+    if isinstance(mapping, DataFrame):
+        return join_look_up(df, [F.col(code)], mapping.select(mapping.columns[0], F.col(mapping.columns[1]).alias(out)), {out: None})
     return df.withColumn(out, look_up(F.col(code), mapping))
 
 

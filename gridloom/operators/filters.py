@@ -17,7 +17,8 @@ def filter_interconnect(df: DataFrame, value: str | None = None, column: str = "
 
 
 def drop_isolated(bus: DataFrame, column: str = "bustype") -> DataFrame:
-    return bus.filter(F.col(column) != F.lit("ISOLATED"))
+    """All buses but the isolated ones; a bus of unknown type (null) stays, see `unknown_codes`."""
+    return bus.filter(~F.col(column).eqNullSafe("ISOLATED"))
 
 
 def type_closure(spark: SparkSession, hierarchy: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.time import epoch_seconds
 from gridloom.operators.ordered import previous_values, running_total
+from gridloom.session import fresh_path
 
 
 def stack_offsets(
@@ -139,24 +140,28 @@ def ramp_check(
     )
 
 
-def price_band(price: str, width: float) -> Column:
-    """Blocks of equal price width; a width that leaves a band's offers fit for one task."""
-    return F.floor(F.col(price) / F.lit(width)).cast("long")
+def offer_blocks(offer: DataFrame, interval: Sequence[str], unit: str, price: str = "price") -> DataFrame:
+    """The offers with `offer_block`, a number that rises with (interval, price, unit).
 
-
-def tie_band(price: str, unit: str, unit_width: int) -> Column:
-    """Blocks by price and, inside one price, by runs of numeric unit ids.
-
-    For intervals in which very many units offer at the same price. Order by price and unit never
-    leaves a block and comes back, as running totals need.
+    The cuts come from the data: offers are laid out in ranges of about equal row counts, so an interval or a
+    price with many offers takes many blocks and the number of blocks follows the number of shuffle
+    partitions. The rows are written, since ranges drawn a second time could differ.
     """
-    return F.struct(F.col(price).alias("price"), F.floor(F.col(unit) / F.lit(unit_width)).cast("long").alias("units"))
+    spark = offer.sparkSession
+    path = fresh_path(spark, "offers")
+    offer.repartitionByRange(*interval, price, unit).withColumn("offer_block", F.spark_partition_id().cast("long")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def offer_stack(
-    offer: DataFrame, interval: Sequence[str], unit: str, band: Column, price: str = "price", pmax: str = "pmax"
+    offer: DataFrame, interval: Sequence[str], unit: str, band: Column | None = None, price: str = "price", pmax: str = "pmax"
 ) -> DataFrame:
-    """Offers of each market interval with the running quantity `cum`, cheapest first."""
+    """Offers of each market interval with the running quantity `cum`, cheapest first.
+
+    `band` is a block expression that never falls along (price, unit); without one, `offer_blocks` cuts.
+    """
+    if band is None:
+        offer, band = offer_blocks(offer, interval, unit, price), F.col("offer_block")
     return running_total(offer, interval, [price, unit], pmax, band, "cum")
 
 
@@ -165,14 +170,14 @@ def merit_order_dispatch(
     demand: DataFrame,
     interval: Sequence[str],
     unit: str,
-    band: Column,
+    band: Column | None = None,
     price: str = "price",
     pmax: str = "pmax",
 ) -> DataFrame:
     """Clear `demand(interval, demand)` against the offers of the same interval, cheapest first.
 
-    Offers are a series: one row per interval and unit, as many rows out as in. Exact for one
-    node without minimum outputs, ramps or commitment.
+    Offers are a series: one row per interval and unit, or per interval, unit and step of a bid curve (see
+    `bid_steps`), as many rows out as in. Exact for one node without minimum outputs, ramps or commitment.
     """
     below = F.col("cum") - F.col(pmax)
     zero = F.lit(0).cast("decimal(1,0)")
@@ -184,6 +189,25 @@ def merit_order_dispatch(
     )
 
 
+def bid_steps(bids: DataFrame, keys: Sequence[str], points: str = "points", step: str = "step") -> DataFrame:
+    """Piecewise bids to offer steps: (keys, step, price, pmax).
+
+    `points` is an array of (cost, power) in rising power, per unit and interval, so that a curve may change from
+    interval to interval. A step goes from one point to the next; its price is the slope. The first step starts at
+    zero power with the first point's average cost; steps without width are left out. A bid of one
+    step per key has the key as its unit; for curves use (key, step) as the unit.
+    """
+    steps = F.transform(
+        F.col(points),
+        lambda p, i: F.struct(
+            i.cast("int").alias(step),
+            F.try_divide(p["cost"] - F.when(i == 0, F.lit(0)).otherwise(F.get(points, i - 1)["cost"]), p["power"] - F.when(i == 0, F.lit(0)).otherwise(F.get(points, i - 1)["power"])).alias("price"),
+            (p["power"] - F.when(i == 0, F.lit(0)).otherwise(F.get(points, i - 1)["power"])).alias("pmax"),
+        ),
+    )
+    return bids.select(*keys, F.inline(F.filter(steps, lambda s: s["pmax"] > 0)))
+
+
 def unserved_demand(offer: DataFrame, demand: DataFrame, interval: Sequence[str], pmax: str = "pmax") -> DataFrame:
     """Demand above the total of the interval's offers."""
     total = offer.groupBy(*interval).agg(F.sum(pmax).alias("__total"))
@@ -197,19 +221,26 @@ def clearing_price(
     demand: DataFrame,
     interval: Sequence[str],
     unit: str,
-    band: Column,
     penalty: float,
+    band: Column | None = None,
     price: str = "price",
     pmax: str = "pmax",
 ) -> DataFrame:
-    """Price of the first unit whose running quantity covers demand, the penalty if none does."""
-    marginal = (
-        offer_stack(offer, interval, unit, band, price, pmax)
-        .join(demand, list(interval))
-        .filter(F.col("cum") >= F.col("demand"))
-        .groupBy(*interval)
-        .agg(F.min(price).alias("__price"))
-    )
-    return demand.join(marginal, list(interval), "left").select(
+    """Price of the first unit whose running quantity covers demand, the penalty if none does.
+
+    Totals per block find the one block of an interval in which demand is met; only its rows are windowed.
+    """
+    interval = list(interval)
+    if band is None:
+        offer, band = offer_blocks(offer, interval, unit, price), F.col("offer_block")
+    blocked = offer.withColumn("__block", band)
+    up_to = Window.partitionBy(*interval).orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    totals = blocked.groupBy(*interval, "__block").agg(F.sum(pmax).alias("__own")).withColumn("__cum", F.sum("__own").over(up_to))
+    met = totals.join(demand, interval).where(F.col("__cum") >= F.col("demand"))
+    crossing = met.groupBy(*interval).agg(F.min("__block").alias("__block"), F.min_by(F.col("demand") - (F.col("__cum") - F.col("__own")), "__block").alias("__left"))
+    inside = Window.partitionBy(*interval).orderBy(price, unit).rowsBetween(Window.unboundedPreceding, 0)
+    rows = blocked.join(crossing, [*interval, "__block"]).withColumn("__sum", F.sum(pmax).over(inside))
+    marginal = rows.where(F.col("__sum") >= F.col("__left")).groupBy(*interval).agg(F.min(price).alias("__price"))
+    return demand.join(marginal, interval, "left").select(
         *interval, "demand", F.coalesce(F.col("__price").cast("double"), F.lit(float(penalty))).alias("clearing_price")
     )

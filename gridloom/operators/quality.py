@@ -12,6 +12,12 @@ def duplicate_names(components: DataFrame, keys: Sequence[str] = ("comp_type", "
     return components.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def unknown_codes(df: DataFrame, code: str, known: Sequence[object]) -> DataFrame:
+    """Codes that the table of labels lacks, with their number of rows; null is no code and counts too."""
+    strange = ~F.coalesce(F.col(code).isin(list(known)), F.lit(False))
+    return df.filter(strange).groupBy(code).agg(F.count(F.lit(1)).alias("n"))
+
+
 def range_violations(df: DataFrame, key: str, rules: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
     """Values outside `{field: (min, max)}`; None leaves a side open. One pass, no shuffle."""
     checks = F.array(
@@ -57,6 +63,11 @@ def approx_equal(
 
 
 def list_datasets(catalog: DataFrame, category: str | None = None) -> DataFrame:
-    """Number of datasets per category, all or one."""
+    """The datasets (category, name) of a catalogue, all or those of one category."""
     rows = catalog if category is None else catalog.filter(F.col("category") == F.lit(category))
-    return rows.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("category", "name")
+
+
+def dataset_counts(catalog: DataFrame) -> DataFrame:
+    """Number of datasets per category."""
+    return catalog.groupBy("category").agg(F.count(F.lit(1)).alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.time import col, epoch_seconds, plus_seconds, stamp
 from gridloom.operators.ordered import previous_values
-from gridloom.operators.skew import salted_join
+from gridloom.operators.skew import blocked_join
 
 
 def melt_series(wide: DataFrame, ts: str, ids: Sequence[str], name: str = "component", value: str = "value") -> DataFrame:
@@ -58,23 +58,23 @@ def constant_series(
 
 def normalize_series(
     series: DataFrame, factors: DataFrame, keys: Sequence[str], value: str = "value", out: str = "normalized",
-    spread: str | None = None,
+    ts: str = "ts",
 ) -> DataFrame:
     """Divide by `factors(keys, factor)`: a number in text, or `Max` for the series' own maximum.
 
     The maximum is one aggregated row per series, joined back with the factors in one go. The rows
-    of a series are spread by `spread`, a column that differs inside it (default: the value).
+    of a series are spread over its time.
     """
     keys = list(keys)
-    own_max = series.groupBy(*keys).agg(F.max(value).alias("__max"))
+    own_max = series.groupBy(*keys).agg(F.max(value).alias("__max"), F.min(ts).alias("__first"), F.max(ts).alias("__last"))
     divisor = F.when(F.col("factor") == "Max", F.col("__max").cast("double")).otherwise(
         F.col("factor").try_cast("double")
     )
-    divisors = factors.join(own_max, keys).select(*keys, divisor.alias("__div"))
+    divisors = factors.join(own_max, keys).select(*keys, divisor.alias("__div"), "__first", "__last")
     return (
-        salted_join(series, divisors, keys, spread or value)
+        blocked_join(series, divisors, keys, ts, "__first", "__last")
         .withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("__div")))
-        .drop("__div")
+        .drop("__div", "__first", "__last")
     )
 
 
@@ -117,7 +117,7 @@ def forecast_windows(
     if isinstance(bounds, tuple):
         rows = series.withColumns({"first_ts": stamp(bounds[0]), "last_ts": stamp(bounds[1])})
     else:
-        rows = salted_join(series, bounds if bounds is not None else series_bounds(series, keys, ts), keys, ts)
+        rows = blocked_join(series, bounds if bounds is not None else series_bounds(series, keys, ts), keys, ts)
     span = (horizon - 1) * resolution_s
     offset = epoch_seconds(ts) - epoch_seconds("first_ts")
     newest = epoch_seconds("last_ts") - epoch_seconds("first_ts") - F.lit(span)

@@ -7,18 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+from gridloom.functions.time import day_block
 
+BLOCK_DAYS = 7
 
-def salted_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: str, salts: int = SALTS) -> DataFrame:
-    """Inner join in which the rows of one key go to up to `salts` tasks.
 
-    For tables that are themselves grouped by the keys: Spark would join them where the grouping
-    left them, and its adaptive skew handling cannot split such a join. `spread` is a column of
-    `rows` that differs inside a key (its stamp); the table is repeated once per salt. Where the
-    repeated table is small enough, Spark broadcasts it and the salt plays no part.
+def blocked_join(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], ts: str, first: str = "first_ts", last: str = "last_ts", days: int = BLOCK_DAYS
+) -> DataFrame:
+    """Inner join of series rows with a row per series, spread over the time of the series.
+
+    For tables that are themselves grouped by the keys: Spark would join them where the grouping left
+    them, and its adaptive skew handling cannot split such a join. Rows join by series and block of
+    days; the table has a copy for each block between the series' own `first` and `last` stamp,
+    so the number of tasks that share a series grows with it. Rows without a stamp are a block of
+    their own. Where the table is small enough, Spark broadcasts it and the block plays no part.
     """
-    keys = list(keys)
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int").alias("__salt")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
-    return rows.select("*", salt).join(per_key.select("*", copies), [*keys, "__salt"]).drop("__salt")
+    keys, none = list(keys), F.lit(None).cast("long")
+    row_block = F.coalesce(day_block(ts, days), F.lit(-1))
+    whole = F.when(F.col(first).isNull() | F.col(last).isNull(), F.array(none)).otherwise(F.sequence(day_block(first, days), day_block(last, days)))
+    blocks = F.array_append(F.filter(whole, lambda b: b.isNotNull() & (b != -1)), F.lit(-1).cast("long"))
+    copies = per_key.select("*", F.explode(blocks).alias("__block"))
+    return rows.withColumn("__block", row_block.cast("long")).join(copies, [*keys, "__block"]).drop("__block")

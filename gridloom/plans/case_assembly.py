@@ -49,8 +49,9 @@ def assemble_branches(branch: DataFrame, buses: DataFrame, interconnect: str | N
     return C.ratio_columns(C.prefix_name(ends, "branch", "branch_id"), "from_base_kv", "to_base_kv", "tr_ratio")
 
 
-def assemble_dc_branches(dcline: DataFrame, buses: DataFrame) -> DataFrame:
-    kept = J.dcline_semi(dcline, buses)
+def assemble_dc_branches(dcline: DataFrame, buses: DataFrame, interconnect: str | None = None) -> DataFrame:
+    """DC links with both ends in the interconnect; all of them where none is asked for."""
+    kept = dcline if interconnect is None else J.dcline_semi(dcline, buses)
     return C.const_columns(C.prefix_name(kept, "dcbranch", "dcline_id"), {"control_mode": fixed.CONTROL_MODE})
 
 
@@ -63,7 +64,7 @@ def assemble_case(
         generator=assemble_generators(plant, gencost, interconnect),
         bus=buses,
         branch=assemble_branches(branch, buses, interconnect),
-        dc_branch=assemble_dc_branches(dcline, buses),
+        dc_branch=assemble_dc_branches(dcline, buses, interconnect),
     )
 
 

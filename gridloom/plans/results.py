@@ -9,7 +9,6 @@ from gridloom import fixed
 from gridloom.operators import aggregates as A
 from gridloom.operators import columns as C
 from gridloom.operators import filters as P
-from gridloom.operators import joins as J
 from gridloom.operators import network as N
 from gridloom.operators import series as S
 
@@ -17,12 +16,11 @@ from gridloom.operators import series as S
 def realized_by_fuel(
     result: DataFrame,
     plant: DataFrame,
-    gencost: DataFrame,
     interval_s: int,
     interconnect: str | None = None,
 ) -> DataFrame:
     """Realised output per stamp and fuel of one interconnect, with the unit rules of the fuel."""
-    gen = J.join_gencost(P.filter_interconnect(plant, interconnect), gencost)
+    gen = P.filter_interconnect(plant, interconnect)
     gen = C.case_by_category(gen, "type", fixed.UNIT_RULES, fixed.UNIT_DEFAULTS)
     units = gen.select("plant_id", F.concat_ws("/", "type", "unit_type").alias("fuel"))
     return A.generation_by_fuel(S.realized(result, interval_s), units)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,12 +33,19 @@ def build_session(app: str = "gridloom", master: str | None = None, **settings:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or one of our own where none is set (tests)."""
+    """The shared folder named by the cluster.
+
+    In a local session without one, a folder of our own that is removed at the end. On a cluster a folder
+    of one machine would lose what the others write, so there the setting is required.
+    """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="gridloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -15,11 +16,17 @@ def _root(spark: SparkSession, root: str | None) -> str:
     return (root or f"{shared_folder(spark)}/gridloom/datasets").rstrip("/")
 
 
-def _complete(spark: SparkSession, marker: str) -> bool:
+_MARKER = "name string, category string, folder string, at long"
+
+
+def _finished(spark: SparkSession, marker: str) -> str | None:
+    """The data folder that the newest marker of a dataset names."""
     try:
-        return spark.read.schema("name string, category string").parquet(marker).limit(1).count() == 1
+        rows = spark.read.schema(_MARKER).parquet(marker)
+        newest = rows.agg(F.max(F.struct("at", "folder")).alias("last")).first().last
     except AnalysisException:
-        return False
+        return None
+    return newest and newest.folder
 
 
 def materialize_once(
@@ -32,17 +39,22 @@ def materialize_once(
 ) -> DataFrame:
     """Read the stored dataset, or build and write it first.
 
-    A one-row marker is written after the data, so a build that died half-way is done again.
+    Every build writes to a folder of its own; a one-row marker that names it is added after the data. A
+    build that dies leaves no marker, so the data before it stay in use, and of two builders at the same
+    time the one that ends last counts, each with whole data.
     """
     base = _root(spark, root)
-    data, marker = f"{base}/data/{name}", f"{base}/done/dataset={name}"
-    if rebuild or not _complete(spark, marker):
-        builder().write.mode("overwrite").parquet(data)
-        row = spark.range(1).select(F.lit(name).alias("name"), F.lit(category).alias("category"))
-        row.write.mode("overwrite").parquet(marker)
-    return spark.read.parquet(data)
+    marker = f"{base}/done/dataset={name}"
+    folder = None if rebuild else _finished(spark, marker)
+    if folder is None:
+        folder = f"{base}/data/{name}/{uuid.uuid4().hex}"
+        builder().write.parquet(folder)
+        row = spark.range(1).select(F.lit(name).alias("name"), F.lit(category).alias("category"), F.lit(folder).alias("folder"), F.unix_micros(F.current_timestamp()).alias("at"))
+        row.write.mode("append").parquet(marker)
+    return spark.read.parquet(folder)
 
 
 def dataset_catalog(spark: SparkSession, root: str | None = None) -> DataFrame:
-    """(name, category) of the finished datasets."""
-    return spark.read.schema("name string, category string").parquet(f"{_root(spark, root)}/done/*")
+    """(name, category) of the finished datasets, as their last build has it."""
+    rows = spark.read.schema(_MARKER).parquet(f"{_root(spark, root)}/done/*")
+    return rows.groupBy("name").agg(F.max_by("category", "at").alias("category"))

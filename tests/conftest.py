@@ -6,7 +6,8 @@ from gridloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests",
         "local[8]",
@@ -14,7 +15,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
-            "spark.sql.warehouse.dir": "/tmp/gridloom-warehouse",
+            "spark.sql.warehouse.dir": f"file://{folder}/warehouse",
+            "spark.checkpoint.dir": f"file://{folder}/shared",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

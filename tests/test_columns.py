@@ -135,3 +135,45 @@ def test_projection_chain_is_one_stage(spark, plan):
     assert row.output_point_0 == 0.0 and row.pmin == pytest.approx(2.5) and row.ramp_30 == pytest.approx(1.0)
     assert row.name == "gen1" and row.fuel_price == 1000.0
     assert "Python" not in plan(out.select(F.col("name"), "pmin"))
+
+
+def test_unknown_bus_codes_stay_and_are_reported(spark):
+    from gridloom import fixed
+    from gridloom.operators.quality import unknown_codes
+
+    bus = spark.createDataFrame([(1, 1), (2, 4), (3, 9), (4, None)], "bus_id int, type int")
+    labelled = C.code_to_label(bus, "type", fixed.BUS_TYPES, "bustype")
+    assert sorted(r.bus_id for r in P.drop_isolated(labelled).collect()) == [1, 3, 4]
+    assert sorted((r.type or 0, r.n) for r in unknown_codes(bus, "type", list(fixed.BUS_TYPES)).collect()) == [(0, 1), (9, 1)]
+
+
+def test_large_tables_of_codes(spark):
+    """5,000 entries, as a literal and as a table."""
+    entries = {i: f"label {i}" for i in range(5000)}
+    rows = spark.range(0, 6000, 7).withColumnRenamed("id", "code")
+    table = spark.createDataFrame(list(entries.items()), "code long, label string")
+    want = [(i, entries.get(i)) for i in range(0, 6000, 7)]
+    for mapping in (entries, table):
+        got = C.code_to_label(rows, "code", mapping, "label").orderBy("code").collect()
+        assert [(r.code, r.label) for r in got] == want
+    rules = table.select(F.col("code").alias("kind"), F.col("label").alias("unit_type"))
+    got = C.case_by_category(rows, "code", rules, {"unit_type": "OT"}).orderBy("code").collect()
+    assert [r.unit_type for r in got] == [label or "OT" for _, label in want]
+
+
+def test_generator_classes_from_a_table(spark):
+    from gridloom import fixed
+
+    table = spark.createDataFrame([(f, u, c) for c, f, u in fixed.GENERATOR_CLASSES], "fuel string, unit_type string, class string")
+    rows = spark.createDataFrame([("hydro", "ror"), ("HYDRO", "INFLOW"), ("solar", "xx"), ("ng", None), ("storage", "z"), ("none", "z")], "fuel string, unit_type string")
+    by_literal = C.map_generator_class(rows, fixed.GENERATOR_CLASSES).collect()
+    assert sorted(map(str, C.map_generator_class(rows, table.dropDuplicates(["fuel", "unit_type"])).collect())) == sorted(map(str, by_literal))
+
+
+def test_dc_links_without_an_interconnect(spark):
+    from gridloom.plans.case_assembly import assemble_dc_branches
+
+    buses = spark.createDataFrame([(1,), (2,)], "bus_id int")
+    links = spark.createDataFrame([(1, 1, 2), (2, 1, 7)], "dcline_id int, from_bus_id int, to_bus_id int")
+    assert assemble_dc_branches(links, buses).count() == 2
+    assert assemble_dc_branches(links, buses, "X").count() == 1

@@ -70,6 +70,8 @@ def test_fault_delta_of_a_tripled_line(branch):
 def test_lodf_equals_a_new_solve(spark, branch):
     ptdf = spark.createDataFrame(factors(LINES), "line string, bus_id int, factor double")
     got = {(r.line, r.outage): r.lodf for r in N.lodf_from_ptdf(ptdf, branch).collect()}
+    one = {(r.line, r.outage): r.lodf for r in N.lodf_from_ptdf(ptdf, branch.filter("line = 'a'")).collect()}
+    assert one == {k: v for k, v in got.items() if k[1] == "a"}
     assert len(got) == 9 and all(got[k, k] == -1.0 for k in "abc")
     injection = {1: 1.7, 2: -0.4, 3: -1.3}
 
@@ -91,7 +93,8 @@ def test_lodf_of_a_bridge_is_null(spark):
     ptdf = spark.createDataFrame(factors(lines), "line string, bus_id int, factor double")
     ends = spark.createDataFrame([line[:3] for line in lines], "line string, from_bus_id int, to_bus_id int")
     got = {(r.line, r.outage): r.lodf for r in N.lodf_from_ptdf(ptdf, ends).collect()}
-    assert got["a", "b"] is None and got["a", "a"] == -1.0
+    # each line carries its own transfer alone, so nothing moves to the other one
+    assert got["a", "a"] == got["b", "b"] == -1.0 and not got.get(("a", "b"))
 
 
 def test_flow_is_the_matrix_product(spark):
@@ -111,6 +114,8 @@ def test_lmp_adds_duals_and_keeps_uncongested_points(spark):
     energy = spark.createDataFrame([(1, 30.0), (2, 40.0)], "ts int, price double")
     points = spark.createDataFrame([(t, b) for t in (1, 2) for b in (1, 2, 3)], "ts int, bus_id int")
     got = {(r.ts, r.bus_id): r.lmp for r in N.lmp(points, energy, dual, ptdf).collect()}
+    unpriced = points.union(points.selectExpr("7", "bus_id").limit(1))
+    assert [r.lmp for r in N.lmp(unpriced, energy, dual, ptdf).collect() if r.ts == 7] == [None]
     value = {b: v for n, b, v in factors(LINES) if n == "a"}
     assert got[1, 2] == pytest.approx(30.0 + 5.0 * value[2]) and got[1, 1] == 30.0
     assert got[2, 3] == 40.0 and len(got) == 6
@@ -130,15 +135,15 @@ def demand(spark):
     return spark.createDataFrame([(1, 85.0), (2, 200.0), (3, 10.0)], "ts int, demand double").cache()
 
 
-@pytest.mark.parametrize("width", [0.5, 10.0, 1000.0])
+@pytest.mark.parametrize("width", [0.5, 10.0, 1000.0, None])
 def test_dispatch_plus_unserved_is_demand(offers, demand, width):
-    band = M.price_band("price", width)
+    band = width and F.floor(F.col("price") / width)
     out = M.merit_order_dispatch(offers, demand, ["ts"], "unit", band)
     power = {(r.ts, r.unit): float(r.power) for r in out.collect()}
     assert power == {(1, "u1"): 50.0, (1, "u2"): 30.0, (1, "u3"): 5.0, (2, "u1"): 50.0, (2, "u3"): 20.0}
     short = {r.ts: float(r.unserved) for r in M.unserved_demand(offers, demand, ["ts"]).collect()}
     assert short == {1: 0.0, 2: 130.0, 3: 10.0}
-    price = {r.ts: r.clearing_price for r in M.clearing_price(offers, demand, ["ts"], "unit", band, 100000.0).collect()}
+    price = {r.ts: r.clearing_price for r in M.clearing_price(offers, demand, ["ts"], "unit", 100000.0, band).collect()}
     assert price == {1: 40.0, 2: 100000.0, 3: 100000.0}
 
 
@@ -165,7 +170,8 @@ def test_energy_limit_periods(spark):
 def test_balance_row(spark):
     gen = spark.createDataFrame([(1, 5.0), (2, 1.0)], "bus_id int, value double")
     load = spark.createDataFrame([(2, 4.0)], "bus_id int, value double")
-    assert {r.bus_id: r.injection for r in A.net_injection_by_bus(gen, load).collect()} == {1: 5.0, 2: -3.0, None: 2.0}
+    got = {(r.bus_id, r.level): r.injection for r in A.net_injection_by_bus(gen.union(gen.selectExpr("null", "7.0").limit(1)), load).collect()}
+    assert got == {(1, "bus"): 5.0, (2, "bus"): -3.0, (None, "bus"): 7.0, (None, "balance"): 9.0}
 
 
 def test_approx_equal_flags_missing_rows(spark):
@@ -180,7 +186,7 @@ def test_stack_offsets_sum_duplicates_first(spark):
     assert [(r.category, r.top) for r in M.stack_offsets(df).orderBy("category").collect()] == [("a", 3.0), ("b", 7.0)]
 
 
-@pytest.mark.parametrize("band", ["price", "tie"])
+@pytest.mark.parametrize("band", ["price", "data"])
 def test_hot_interval_against_brute_force(spark, band):
     """One interval holds most offers, most of them at one price."""
     rng = random.Random(5)
@@ -192,9 +198,9 @@ def test_hot_interval_against_brute_force(spark, band):
     want_demand = {ts: float(rng.randrange(1, 4000)) for ts in range(1, 10)}
     offers = spark.createDataFrame(rows, "ts int, unit int, price double, pmax double")
     demand = spark.createDataFrame(list(want_demand.items()), "ts int, demand double")
-    block = M.price_band("price", 7.0) if band == "price" else M.tie_band("price", "unit", 50)
+    block = F.floor(F.col("price") / 7) if band == "price" else None
     power = {(r.ts, r.unit): float(r.power) for r in M.merit_order_dispatch(offers, demand, ["ts"], "unit", block).collect()}
-    price = {r.ts: r.clearing_price for r in M.clearing_price(offers, demand, ["ts"], "unit", block, 100000.0).collect()}
+    price = {r.ts: r.clearing_price for r in M.clearing_price(offers, demand, ["ts"], "unit", 100000.0, block).collect()}
     short = {r.ts: float(r.unserved) for r in M.unserved_demand(offers, demand, ["ts"]).collect()}
     assert len(power) == len(rows)
     for ts, left in want_demand.items():
@@ -206,3 +212,44 @@ def test_hot_interval_against_brute_force(spark, band):
                 marginal = offered
             left -= pmax
         assert price[ts] == marginal and short[ts] == max(0.0, left)
+
+
+def test_blocks_split_a_hot_interval_and_a_hot_price(spark):
+    """Most offers are of one interval and one price; blocks still hold about equal row counts."""
+    offers = spark.range(0, 20_000, 1, 6).select(
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 5 + 2).cast("int").alias("ts"), F.col("id").alias("unit"),
+        F.when(F.col("id") % 7 < 6, 20.0).otherwise(F.col("id") % 40 + 0.5).alias("price"), F.lit(1.0).alias("pmax"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        blocks = M.offer_blocks(offers, ["ts"], "unit")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [r["count"] for r in blocks.groupBy("ts", "offer_block").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 3 * 20_000 / 16
+    assert blocks.filter("ts = 1").select("offer_block").distinct().count() >= 10
+    spans = blocks.groupBy("ts", "offer_block").agg(F.min(F.struct("price", "unit")).alias("lo"), F.max(F.struct("price", "unit")).alias("hi")).orderBy("ts", "offer_block").collect()
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]) if a.ts == b.ts)
+
+
+def test_bids_that_change_by_interval(spark):
+    bids = spark.createDataFrame(
+        [(1, "g", [(100.0, 10.0), (400.0, 20.0)]), (2, "g", [(50.0, 10.0), (50.0, 10.0), (70.0, 12.0)])],
+        "ts int, plant string, points array<struct<cost: double, power: double>>",
+    )
+    steps = M.bid_steps(bids, ["ts", "plant"])
+    assert sorted(map(tuple, steps.collect())) == [(1, "g", 0, 10.0, 10.0), (1, "g", 1, 30.0, 10.0), (2, "g", 0, 5.0, 10.0), (2, "g", 2, 10.0, 2.0)]
+    demand = spark.createDataFrame([(1, 15.0), (2, 11.0)], "ts int, demand double")
+    offer = steps.withColumn("unit", F.struct("plant", "step"))
+    dispatch = M.merit_order_dispatch(offer, demand, ["ts"], "unit")
+    unserved = M.unserved_demand(offer, demand, ["ts"])
+    assert A.objective_value(dispatch, unserved, 1000.0).first().objective == 10 * 10 + 5 * 30 + 10 * 5 + 1 * 10
+
+
+def test_objective_uses_the_price_of_each_interval(spark):
+    dispatch = spark.createDataFrame([(1, "g", 10.0, 5.0), (2, "g", 100.0, 5.0), (1, "free", None, 3.0)], "ts int, unit string, price double, power double")
+    unserved = spark.createDataFrame([(1, 0.0), (2, 2.0)], "ts int, unserved double")
+    assert A.objective_value(dispatch, unserved, 1000.0).first().objective == 550.0 + 2000.0

@@ -52,7 +52,8 @@ def test_wide_and_back(two_days):
 
 
 def test_normalize_and_scale(spark):
-    series = spark.createDataFrame([("a", 2.0), ("a", 4.0), ("z", 0.0), ("n", 5.0), ("q", 1.0)], "component string, value double")
+    rows = [("a", 2.0), ("a", 4.0), ("z", 0.0), ("n", 5.0), ("q", 1.0)]
+    series = spark.createDataFrame(rows, "component string, value double").withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
     factors = spark.createDataFrame([("a", "Max"), ("z", "1.0"), ("n", "10"), ("q", "0")], "component string, factor string")
     out = S.normalize_series(series, factors, ["component"])
     got = sorted((r.component, r.value, r.normalized) for r in out.collect() if r.component != "q")

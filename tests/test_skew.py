@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.functions.time import plus_seconds, stamp
+from gridloom.functions.time import day_block, plus_seconds, stamp
 from gridloom.operators import aggregates as A
 from gridloom.operators import series as S
+from gridloom.operators.skew import BLOCK_DAYS
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -45,17 +46,24 @@ def test_scaling_joins_split_the_hot_component(shuffled, hot_series, plan):
     assert "skew=true" in plan(out)
 
 
-def test_joins_with_grouped_tables_are_salted(shuffled, hot_series, plan):
+def test_joins_with_grouped_tables_are_spread_over_time(shuffled, hot_series, plan):
     factors = hot_series.select("component").distinct().withColumn("factor", F.lit("Max"))
-    out = S.normalize_series(hot_series, factors, ["component"], spread="ts")
+    out = S.normalize_series(hot_series, factors, ["component"])
     assert out.count() == 60_000 and out.agg(F.max("normalized")).first()[0] == 1.0
     windows = S.forecast_windows(hot_series, ["component"], "ts", 20, 3600, 180)
     for df in (out, windows):
         text = plan(df)
-        joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "__salt" in line]
+        joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "__block" in line]
         assert joins and "hashpartitioning(component" in text
-    tasks = hot_series.filter("component = 'hot'").select(F.pmod(F.xxhash64("ts"), F.lit(16)).alias("s")).groupBy("s").count()
-    assert tasks.count() == 16 and tasks.agg(F.max("count")).first()[0] < 20_000 / 8
+    blocks = hot_series.filter("component = 'hot'").groupBy(day_block("ts", BLOCK_DAYS).alias("block")).count()
+    assert blocks.count() == 7 and blocks.agg(F.max("count")).first()[0] < 20_000 / 5
+
+
+def test_rows_without_a_stamp_are_kept(spark):
+    rows = spark.sql("select 'a' as component, timestamp_ntz'2024-01-01 00:00:00' as ts, 2.0D as value union all select 'a', null, 4.0D union all select 'b', null, 8.0D")
+    factors = spark.createDataFrame([("a", "Max"), ("b", "2")], "component string, factor string")
+    got = sorted((r.component, r.normalized) for r in S.normalize_series(rows, factors, ["component"]).collect())
+    assert got == [("a", 0.5), ("a", 1.0), ("b", 4.0)]
 
 
 def test_totals_by_area_with_a_hot_component(shuffled, hot_series):

@@ -244,5 +244,15 @@ def test_materialize_once_builds_once(spark, tmp_path):
 
 def test_unfinished_dataset_is_built_again(spark, tmp_path):
     root = str(tmp_path / "store")
-    spark.range(2).write.parquet(f"{root}/data/half")
+    spark.range(2).write.parquet(f"{root}/data/half/one")
     assert materialize_once(spark, "half", lambda: spark.range(7), root).count() == 7
+
+
+def test_failed_rebuild_leaves_the_old_data(spark, tmp_path):
+    root = str(tmp_path / "store")
+    materialize_once(spark, "d", lambda: spark.range(3), root)
+    broken = spark.range(4).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        materialize_once(spark, "d", lambda: broken, root, rebuild=True)
+    assert materialize_once(spark, "d", lambda: spark.range(9), root).count() == 3
+    assert materialize_once(spark, "d", lambda: spark.range(9), root, rebuild=True).count() == 9
