@@ -196,67 +196,79 @@ def _(t: Tables) -> DataFrame:
 
 # ---- raw grid files ----
 
-
-def raw_documents(t: Tables) -> DataFrame:
-    """One small raw case per branch, with every section the reader types."""
-    marks = [
-        "0 / END OF BUS DATA", "0 / END OF LOAD DATA", "0 / END OF FIXED SHUNT DATA", "0 / END OF GENERATOR DATA",
-        "0 / END OF BRANCH DATA", "0 / END OF TRANSFORMER DATA", "0 / END OF AREA DATA", "0 /", "0 /", "0 /", "0 /", "0 /",
-        "0 / END OF ZONE DATA", "0 /", "0 /", "0 /", "0 /", "0 /", "0 /", "Q",
-    ]
-    f, o, rate = text("from_bus_id"), text("to_bus_id"), text("rate")
-    line = F.concat_ws
-    comma = ", "
+_MARKS = ["BUS", "LOAD", "FIXED SHUNT", "GENERATOR", "BRANCH", "TRANSFORMER", "AREA", *["OTHER"] * 5, "ZONE", *["OTHER"] * 6]
+
+
+def raw_case_files(t: Tables) -> str:
+    """A raw file per zone, written and named by zone: its buses, loads, shunts, plants, lines and transformers.
+
+    Branches of urgent orders are two-winding transformers, those of high ones three-winding; ends may lie
+    in another zone. The base power is 50 plus the zone's number.
+    """
+    zone = lambda df: df.join(t.v_bus.select(F.col("bus_id").alias("at"), "zone_id"), F.col("from_bus_id") == F.col("at")).drop("at")
+    line = lambda *parts: F.concat_ws(", ", *(F.lit(p) if isinstance(p, str) else p for p in parts))
+    number = lambda c: F.col(c).cast("string")
+    bus = t.v_bus.withColumn("code", F.when(F.col("type") == 1, "2").when(F.col("type") == 2, "1").otherwise(number("type")))
+    branch = zone(t.v_branch)
+    kind = F.col("priority")
+    two = F.concat_ws("\n", line(number("from_bus_id"), number("to_bus_id"), "0", F.concat(F.lit("'"), number("branch_id"), F.lit("'")), "1, 1, 1, 0, 0, 2, 'BANK  ', 1"), line(number("r"), number("x"), "100"), line("1.05, 0, 0", number("rate")), F.lit("1.0, 0"))
+    three = F.concat_ws(
+        "\n", line(number("from_bus_id"), number("to_bus_id"), "999999999", F.concat(F.lit("'"), number("branch_id"), F.lit("'")), "1, 1, 1, 0, 0, 2, 'STAR', 1"),
+        line(number("r"), number("x"), "100", number("r"), number("x"), "100", number("r"), number("x"), "100, 1, 0"), F.lit("1.0, 0"), F.lit("1.0, 0"), F.lit("1.0, 0"),
+    )
     parts = [
-        F.lit("0, 100.00, 33, 0, 1, 60.00 / case"), F.lit("title"), F.lit(""),
-        line(comma, f, F.concat(F.lit("'BUS "), f, F.lit("  '")), F.lit("230.0, 3, 1, 4, 1, 1.05, 90.0, 1.1, 0.9, 1.1, 0.9")),
-        line(comma, o, F.concat(F.lit("'BUS "), o, F.lit("  '")), F.lit("138.0, 1, 1, 4, 1, 1.01, 0.0, 1.1, 0.9, 1.1, 0.9")),
-        F.lit(marks[0]),
-        line(comma, f, F.lit("'1 ', 1, 1, 4"), rate, F.lit("10.0, 0, 0, 0, 0, 1, 1, 0")),
-        F.lit(marks[1]), F.lit(marks[2]),
-        line(comma, o, F.lit("'1 ', 50.0, 0.0, 100.0, -100.0, 1.0, 0, 100.0, 0, 1, 0, 0, 1, 1, 100.0"), rate, F.lit("0.0,")),
-        F.lit(marks[3]),
-        line(comma, f, o, F.lit("'1 '"), text("r"), text("x"), text("b"), rate, F.lit("0, 0, 0, 0, 0, 0, 1, 1, 0, 1, 1")),
-        line(comma, o, f, F.lit("2"), text("r"), text("x"), text("b"), rate, F.lit("0, 0")),
-        F.lit(marks[4]),
-        line(comma, f, o, F.lit("0"), F.lit("'1 ', 1, 1, 1, 0, 0, 2, 'T1  ', 1, 1, 1.0")),
-        line(comma, F.lit("0.0"), text("x"), F.lit("100.0")), F.lit("0.978, 0.0, 0.0, 0, 0, 0"), F.lit("1.0, 0.0"),
-        line(comma, o, f, text(F.col("branch_id") + 1), F.lit("'1 ', 1, 1, 1, 0, 0, 2, 'T2  ', 1, 1, 1.0")),
-        F.lit("0.0, 0.2, 100.0, 0, 0.1, 100.0, 0, 0.1, 100.0, 1.0, 0"), F.lit("1.0, 0, 0, 0, 0, 0"), F.lit("0.9, 0"), F.lit("1.1, 0"),
-        line(comma, o, f, F.lit("0"), F.lit("'2 ', 1, 1, 1, 0, 0, 2, 'T3  ', 1, 1, 1.0")),
-        line(comma, F.lit("0.0"), text("r"), F.lit("100.0")), F.lit("0.932, 0.0, 0.0, 0, 0, 0"), F.lit("1.0, 0.0"),
-        *[F.lit(m) for m in marks[5:7]],
-        *[F.lit(m) for m in marks[7:12]],
-        F.lit("4, 'ZONE 4   '"),
-        *[F.lit(m) for m in marks[12:]],
+        (0, bus.select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), F.col("bus_name"), F.lit("  '")), number("base_kv"), F.col("code"), "1", number("zone_id"), "1, 1.01", number("va"), "1.1, 0.9").alias("line"))),
+        (1, bus.select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), "'L1', 1, 1", number("zone_id"), number("pd"), number("qd"), "0, 0, 0, 0, 1").alias("line"))),
+        (2, bus.where("type = 2").select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), "'S', 1, 0.5", number("pd")).alias("line"))),
+        (3, t.v_plant.join(t.v_bus.select("bus_id", "zone_id"), "bus_id").select("zone_id", F.col("plant_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), number("plant_id"), F.lit("'")), "0, 0, 9, -9, 1, 0, 100, 0, 1, 0, 0, 1, 1, 100", number("pmax"), number("pmin")).alias("line"))),
+        (4, branch.where(~kind.isin("1-URGENT", "2-HIGH")).select("zone_id", F.col("branch_id").alias("id"), line(number("from_bus_id"), number("to_bus_id"), F.concat(F.lit("'"), number("branch_id"), F.lit("'")), number("r"), number("x"), number("b"), number("rate"), "0, 0, 0, 0, 0, 0, 1").alias("line"))),
+        (5, branch.where(kind == "1-URGENT").select("zone_id", F.col("branch_id").alias("id"), two.alias("line"))),
+        (5, branch.where(kind == "2-HIGH").select("zone_id", F.col("branch_id").alias("id"), three.alias("line"))),
+        (6, t.v_zone.select("zone_id", F.col("zone_id").alias("id"), line("1, 0, 0, 10, 'AREA'").alias("line"))),
+        (12, t.v_zone.select("zone_id", F.col("zone_id").alias("id"), line(number("zone_id"), F.concat(F.lit("'"), F.col("zone_name"), F.lit("'"))).alias("line"))),
     ]
-    return spread_branches(t).select(text("branch_id").alias("case_id"), F.concat_ws("\r\n", *parts).alias("text"))
+    rows = [df.select("zone_id", F.lit(n).alias("section"), "id", "line") for n, df in parts]
+    ends = t.v_zone.select("zone_id", F.posexplode(F.array(*(F.lit(f"0 / END OF {m} DATA") for m in _MARKS))).alias("section", "line"))
+    rows.append(ends.select("zone_id", "section", F.lit(2**62).alias("id"), "line"))
+    head = F.concat(F.lit("0, "), (F.col("zone_id") + 50).cast("string"), F.lit(", 33, 0, 1, 60.0 / case\ntitle\n"))
+    rows.append(t.v_zone.select("zone_id", F.lit(-1).alias("section"), F.lit(0).cast("long").alias("id"), head.alias("line")))
+    out = rows[0]
+    for part in rows[1:]:
+        out = out.unionByName(part)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "id", "line"))), lambda r: r["line"]), "\n")
+    folder = fresh_path(t.spark, "raw-cases")
+    out.groupBy("zone_id").agg(text.alias("value")).select("value", F.col("zone_id").alias("zone")).write.partitionBy("zone").text(folder)
+    return folder
+
+
+def _case() -> Column:
+    return F.regexp_extract("case_id", "zone=([0-9]+)", 1).cast("long").alias("zone_id")
 
 
 @query(
     "ingest_raw_cases",
-    """with c as (select * from v_branch)
-    select cast(branch_id as varchar) as case_id, 'bus' as section, 1 as position, from_bus_id as bus, 'BUS ' || cast(from_bus_id as varchar) as label, cast(230 as double) as value from c
-    union all select cast(branch_id as varchar), 'bus', 2, to_bus_id, 'BUS ' || cast(to_bus_id as varchar), 138 from c
-    union all select cast(branch_id as varchar), 'load', 1, from_bus_id, '1', rate from c
-    union all select cast(branch_id as varchar), 'generator', 1, to_bus_id, '1', rate from c
-    union all select cast(branch_id as varchar), 'branch', 1, from_bus_id, '1', x from c
-    union all select cast(branch_id as varchar), 'branch', 2, to_bus_id, '2', x from c
-    union all select cast(branch_id as varchar), 'transformer', 1, from_bus_id, 'T1', x from c
-    union all select cast(branch_id as varchar), 'transformer', 2, to_bus_id, 'T2', 0.2 from c
-    union all select cast(branch_id as varchar), 'transformer', 3, to_bus_id, 'T3', r from c""",
+    """with br as (select b.*, z.zone_id from v_branch b join v_bus z on z.bus_id = b.from_bus_id)
+    select zone_id, 'bus' as section, bus_id as id, bus_name as label, base_kv as value, cast(va as double) as other from v_bus
+    union all select zone_id, 'load', bus_id, 'L1', cast(pd as double), cast(qd as double) from v_bus
+    union all select zone_id, 'fixed_shunt', bus_id, 'S', 0.5, cast(pd as double) from v_bus where type = 2
+    union all select b.zone_id, 'generator', p.bus_id, cast(plant_id as varchar), pmax, pmin from v_plant p join v_bus b on b.bus_id = p.bus_id
+    union all select zone_id, 'branch', from_bus_id, cast(branch_id as varchar), x, rate from br where priority not in ('1-URGENT', '2-HIGH')
+    union all select zone_id, 'transformer', from_bus_id, cast(branch_id as varchar), x, case priority when '1-URGENT' then 1.05 else 1.0 end from br where priority in ('1-URGENT', '2-HIGH')
+    union all select zone_id, 'area', 1, 'AREA', 0, 10 from v_zone
+    union all select zone_id, 'zone', zone_id, zone_name, null, null from v_zone
+    union all select zone_id, 'header', 33, '', zone_id + 50, 60 from v_zone""",
 )
 def _(t: Tables) -> DataFrame:
-    s = R.raw_sections(raw_documents(t))
-
-    def rows(section: str, bus: str, label: str, value: str, position: str = "position") -> DataFrame:
-        extra = ["x"] if section == "transformer" else []
-        return s[section].select("case_id", F.lit(section).alias("section"), F.col(position).alias("position"), F.col(bus).alias("bus"), F.col(label).alias("label"), F.col(value).alias("value"), *extra)
-
+    s = R.ingest_raw_cases(t.spark, raw_case_files(t))
+    columns = {
+        "bus": ("bus_number", "bus_name", "base_kv", "va"), "load": ("bus_number", "load_id", "pl", "ql"), "fixed_shunt": ("bus_number", "shunt_id", "gl", "bl"),
+        "generator": ("bus_number", "machine_id", "pt", "pb"), "branch": ("from_bus", "circuit", "x", "rate_a"), "transformer": ("from_bus", "circuit", "x12", "winding1"),
+        "area": ("area", "area_name", "net_interchange", "tolerance"), "zone": ("zone", "zone_name", None, None), "header": ("revision", "", "base_mva", "frequency"),
+    }
+    pick = lambda c, kind: F.lit(None).cast(kind) if c is None else F.lit("") if c == "" else F.col(c).cast(kind)
     parts = [
-        rows("bus", "bus_number", "bus_name", "base_kv"), rows("load", "bus_number", "load_id", "pl"),
-        rows("generator", "bus_number", "machine_id", "pt"), rows("branch", "from_bus", "circuit", "x"),
-        rows("transformer", "from_bus", "transformer_name", "x").drop("x"),
+        s[name].select(_case(), F.lit(name).alias("section"), pick(i, "long").alias("id"), pick(label, "string").alias("label"), pick(v, "double").alias("value"), pick(o, "double").alias("other"))
+        for name, (i, label, v, o) in columns.items()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -266,33 +278,40 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "raw_to_components",
-    """with c as (select * from v_branch)
-    select cast(branch_id as varchar) as case_id, 'BUS ' || cast(from_bus_id as varchar) || '-BUS ' || cast(to_bus_id as varchar) || '-i_1' as line_name,
-      b / 2 as b_from, rate / 100 as line_rate, 'generator-' || cast(to_bus_id as varchar) || '-1' as generator_name,
-      round(sqrt((rate / 100) * (rate / 100) + cast(1 as double)), 9) as rating, 'load' || cast(from_bus_id as varchar) || '1' as load_name,
-      rate / 100 as peak_active_power from c""",
+    """with br as (select b.*, f.zone_id, f.bus_name as fn, coalesce(o.bus_name, cast(b.to_bus_id as varchar)) as tn, f.zone_id + 50 as base
+      from v_branch b join v_bus f on f.bus_id = b.from_bus_id left join v_bus o on o.bus_id = b.to_bus_id and o.zone_id = f.zone_id),
+    ln as (select *, row_number() over (partition by zone_id order by branch_id) as k from br where priority not in ('1-URGENT', '2-HIGH'))
+    select zone_id, 'Line' as kind, fn || '-' || tn || '-i_' || k as name, rate / base as value from ln
+    union all select zone_id, 'TapTransformer', fn || '-' || tn || '-i_' || branch_id, 1.05 from br where priority = '1-URGENT'
+    union all select zone_id, 'Transformer3W', fn || '-' || tn || '-999999999-i_' || branch_id, x / 2 from br where priority = '2-HIGH'
+    union all select zone_id, 'FixedAdmittance', 'shunt-' || bus_id || '-S', cast(pd as double) / (zone_id + 50) from v_bus where type = 2
+    union all select zone_id, 'PowerLoad', 'load' || bus_id || 'L1', cast(pd as double) / (zone_id + 50) from v_bus
+    union all select b.zone_id, 'ThermalStandard', 'generator-' || p.bus_id || '-' || plant_id, sqrt((pmax / (zone_id + 50)) * (pmax / (zone_id + 50)) + (9 / cast(zone_id + 50 as double)) * (9 / cast(zone_id + 50 as double))) from v_plant p join v_bus b on b.bus_id = p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
-    tables = R.raw_to_components(R.raw_sections(raw_documents(t)))
-    line = tables["Line"].filter(F.col("name").endswith("-i_1")).select("case_id", F.col("name").alias("line_name"), F.col("b.from").alias("b_from"), F.col("rate").alias("line_rate"))
-    gen = tables["ThermalStandard"].select("case_id", F.col("name").alias("generator_name"), "rating")
-    load = tables["PowerLoad"].select("case_id", F.col("name").alias("load_name"))
-    zone = tables["LoadZone"].select("case_id", "peak_active_power")
-    return rounded(line.join(gen, "case_id").join(load, "case_id").join(zone, "case_id"), 9, "rating")
+    tables = R.raw_to_components(R.ingest_raw_cases(t.spark, raw_case_files(t)))
+    value = {"Line": "rate", "TapTransformer": "tap", "Transformer3W": "primary.x", "FixedAdmittance": "b", "PowerLoad": "active_power", "ThermalStandard": "rating"}
+    parts = [tables[kind].select(_case(), F.lit(kind).alias("kind"), "name", F.col(c).alias("value")) for kind, c in value.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query(
     "ingest_dyr_cases",
-    """select s_name as case_id, s_suppkey as bus, 'GENROU' as model, '1' as machine_id, 3 as n_params, s_acctbal as first_param from supplier
-       union all select s_name, s_suppkey, 'ESAC1A', '2', 2, 400 from supplier""",
+    """select s_suppkey as bus, 'MACH A' as model, '1' as machine_id, 3 as n_params, s_acctbal as first_param from supplier
+       union all select s_suppkey, 'EX', '2', 2, 400 from supplier""",
 )
 def _(t: Tables) -> DataFrame:
     record = F.concat(
-        F.lit("      "), text("s_suppkey"), F.lit(" 'GENROU' 1     "), text("s_acctbal"), F.lit("      0.30000E-01\r\n     1.5      /\r\n      "),
-        text("s_suppkey"), F.lit(" 'ESAC1A' 2   400.00\r\n         0.20000E-01    /\r\n"),
+        F.lit("      "), text("s_suppkey"), F.lit(" 'MACH A' '1 ', "), text("s_acctbal"), F.lit("      0.30000E-01\r\n     1.5      / remark 7\r\n"),
+        text("s_suppkey"), F.lit(",'EX',2,400.00\r\n         0.20000E-01    /"),
     )
-    out = R.dyr_records(t.supplier.select(F.col("s_name").alias("case_id"), record.alias("text")))
-    return out.select("case_id", "bus", "model", "machine_id", F.size("params").alias("n_params"), F.col("params")[0].alias("first_param"))
+    folder = fresh_path(t.spark, "dyr-cases")
+    t.supplier.select(record.alias("value")).repartition(4, "value").write.text(folder)
+    out = R.ingest_dyr_cases(t.spark, folder)
+    return out.select("bus", "model", "machine_id", F.size("params").alias("n_params"), F.col("params")[0].alias("first_param"))
 
 
 # ---- end-to-end plans ----

@@ -1,7 +1,7 @@
 """Folders of raw grid files (version 33) and dynamic-model files.
 
-A file is a short text: it is cut into records inside the row that holds it, so reading a
-folder needs no shuffle and scales with the number of files.
+A file is cut into the lines of its sections once, inside the row that holds it: no shuffle, work in
+proportion to the text. The lines are stored by section, so a section's table reads only its own.
 """
 
 from __future__ import annotations
@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 
 from gridloom.fixed import RAW_BUS_TYPES, RAW_SECTIONS
 from gridloom.functions.lookup import look_up
+from gridloom.session import fresh_path
 
 # Three header lines, and the line that ends a section.
 _HEADER = r"^(?:[^\n]*\n){3}"
-_END = r"(?m)^[ \t]*0[ \t]*(?:/.*)?$"
+_END = r"(?m)^[ \t]*0[ \t]*(?:/.*)?\r?$"
+_COMMENT = r"^((?:[^'/]|'[^']*')*)/.*$"
+
+_OWNERS = ", ".join(f"owner{i} int, share{i} double" for i in range(1, 5))
 
 # Field order of the records; writers may leave the tail out.
+HEADER_FIELDS = "change_code int, base_mva double, revision int, transformer_units int, bypass_units int, frequency double"
 SECTION_FIELDS = {
     "bus": "bus_number long, bus_name string, base_kv double, bus_type int, area int, zone int, owner int, "
     "vm double, va double, normal_vmax double, normal_vmin double, emergency_vmax double, emergency_vmin double",
@@ -25,124 +30,159 @@ SECTION_FIELDS = {
     "fixed_shunt": "bus_number long, shunt_id string, status int, gl double, bl double",
     "generator": "bus_number long, machine_id string, pg double, qg double, qt double, qb double, vs double, "
     "ireg long, mbase double, zr double, zx double, rt double, xt double, gtap double, status int, rmpct double, "
-    "pt double, pb double",
+    f"pt double, pb double, {_OWNERS}, wind_mode int, wind_power_factor double",
     "branch": "from_bus long, to_bus long, circuit string, r double, x double, b double, rate_a double, "
     "rate_b double, rate_c double, gi double, bi double, gj double, bj double, status int, metered int, "
-    "length double, owner int, share double",
+    f"length double, {_OWNERS}",
     "area": "area int, swing_bus long, net_interchange double, tolerance double, area_name string",
     "zone": "zone int, zone_name string",
 }
 
-# The four records of a two-winding transformer (five with a third winding).
+
+def _winding(n: int) -> str:
+    names = f"winding{n} double, nominal{n} double, angle{n} double, rate_a{n} double, rate_b{n} double, rate_c{n} double, control{n} int, controlled_bus{n} long"
+    return names + f", upper{n} double, lower{n} double, vmax{n} double, vmin{n} double, positions{n} int, table{n} int, compensation_r{n} double, compensation_x{n} double"
+
+
+# The lines of a transformer; the fifth only where there is a third bus.
 TRANSFORMER_FIELDS = [
     "from_bus long, to_bus long, third_bus long, circuit string, cw int, cz int, cm int, mag1 double, mag2 double, "
-    "nmetr int, transformer_name string, status int",
-    "r double, x double, sbase double",
-    "winding1 double, nominal1 double, angle1 double, rate_a double, rate_b double, rate_c double",
-    "winding2 double, nominal2 double",
+    f"nmetr int, transformer_name string, status int, {_OWNERS}, vector_group string",
+    "r12 double, x12 double, sbase12 double, r23 double, x23 double, sbase23 double, r31 double, x31 double, sbase31 double, "
+    "star_vm double, star_va double",
+    *(_winding(n) for n in (1, 2, 3)),
 ]
 
 
 def read_case_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row (case_id, text) per file."""
-    files = spark.read.text(path, wholetext=True)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
 
 
-def _fields(line: str | Column, spec: str) -> Column:
-    """Comma-separated fields with `'` quotes; missing tails are null, padding is trimmed.
+def _fields(line: Column, spec: str) -> Column:
+    """Comma-separated fields with `'` quotes; missing tails and blanks are null, padding is trimmed.
 
-    Names are read as text first so that one odd field does not spoil the record.
+    What cannot be read as the field's type is null, and stands as `name=text` in `bad_fields`.
     """
     pairs = [p.split() for p in spec.split(",")]
     as_text = ", ".join(f"{name} string" for name, _ in pairs)
-    raw = F.from_csv(
-        line, as_text,
-        {"quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"},
-    )
-    return F.transform(F.array(raw), lambda r: F.struct(*[F.trim(r[name]).try_cast(t).alias(name) for name, t in pairs]))[0]
+    options = {"quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
 
+    def typed(raw: Column) -> Column:
+        values = [part for name, kind in pairs for part in (F.lit(name), F.trim(raw[name]).try_cast(kind))]
+        bad = F.array(*(F.when((F.trim(raw[n]) != "") & F.trim(raw[n]).try_cast(k).isNull(), F.concat(F.lit(f"{n}="), raw[n])) for n, k in pairs))
+        return F.named_struct(*values, F.lit("bad_fields"), F.filter(bad, lambda b: b.isNotNull()))
 
-def _section_lines(cases: DataFrame, section: str) -> DataFrame:
-    """(case_id, lines): the non-empty data lines of one section, as an array.
+    return F.transform(F.array(F.from_csv(line, as_text, options)), typed)[0]
 
-    The text after the three header lines is cut at the end markers, so the n-th piece is the
-    n-th section; only that piece is cut into lines.
-    """
-    body = F.regexp_replace("text", _HEADER, "")
-    piece = F.try_element_at(F.split(body, _END), F.lit(RAW_SECTIONS.index(section) + 1))
-    lines = F.filter(F.split(piece, "\r?\n"), lambda line: ~F.trim(line).isin("", "Q"))
-    return cases.select("case_id", lines.alias("lines"))
+
+def raw_headers(cases: DataFrame) -> DataFrame:
+    """(case_id, base_mva, revision, frequency ..) from the first line of each case."""
+    return cases.select("case_id", _header().alias("header")).select("case_id", "header.*")
+
+
+def _header() -> Column:
+    first = F.regexp_replace(F.substring_index("text", "\n", 1), "\r", "")
+    return _fields(F.trim(F.regexp_replace(first, _COMMENT, "$1")), HEADER_FIELDS)
+
+
+def _pieces(cases: DataFrame) -> DataFrame:
+    """(case_id, base_mva, section, lines): the non-empty data lines of each section of each case."""
+    body = F.split(F.regexp_replace("text", _HEADER, ""), _END)
+    split = cases.select("case_id", _header().alias("header"), F.posexplode(body).alias("number", "piece"))
+    split = split.select("case_id", F.coalesce("header.base_mva", F.lit(100.0)).alias("base_mva"), "number", "piece")
+    names = F.array(*map(F.lit, RAW_SECTIONS))
+    lines = F.transform(F.split("piece", "\r?\n"), lambda line: F.trim(F.regexp_replace(line, _COMMENT, "$1")))
+    kept = F.filter(lines, lambda line: ~line.isin("", "Q"))
+    return split.select("case_id", "base_mva", F.try_element_at(names, F.col("number") + 1).alias("section"), kept.alias("lines")).where(F.col("section").isNotNull())
 
 
-def _transformers(cases: DataFrame) -> DataFrame:
-    """Transformer records: 4 lines each, 5 where a third bus is given.
+def _records(pieces: DataFrame) -> DataFrame:
+    """(section, case_id, base_mva, position, lines): a line per record, of transformers four or five.
 
-    The record length depends on the first line, so starts are found by walking the section's
-    lines in order, inside the row of the case.
+    The length of a transformer follows from its first line, so the starts are found by one walk over the
+    section's lines. They are gathered in short runs: what a step copies does not grow with the section.
     """
-    seed = F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts"))
+    plain = F.transform("lines", lambda line: F.array(line))
+    state = F.struct(F.lit(0).alias("next"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("run"), F.array().cast("array<array<int>>").alias("runs"))
 
-    def step(state: Column, line: Column) -> Column:
-        at_start = line["i"] == state["next"]
-        third = F.trim(F.try_element_at(F.split(line["text"], ","), F.lit(3)))
-        length = F.when(third == "0", 4).otherwise(5)
+    def step(s: Column, line: Column) -> Column:
+        third = F.trim(F.try_element_at(F.split(line, ","), F.lit(3)))
+        length = F.when(F.coalesce(third, F.lit("")).isin("0", ""), 4).otherwise(5)
+        starts, full = s["at"] == s["next"], F.size(s["run"]) >= 128
         return F.struct(
-            F.when(at_start, state["next"] + length).otherwise(state["next"]).alias("next"),
-            F.when(at_start, F.array_append(state["starts"], line["i"])).otherwise(state["starts"]).alias("starts"),
+            F.when(starts, s["next"] + length).otherwise(s["next"]).alias("next"),
+            (s["at"] + 1).alias("at"),
+            F.when(starts & full, F.array(s["at"])).when(starts, F.array_append(s["run"], s["at"])).otherwise(s["run"]).alias("run"),
+            F.when(starts & full, F.array_append(s["runs"], s["run"])).otherwise(s["runs"]).alias("runs"),
         )
 
-    indexed = F.transform(F.col("lines"), lambda line, i: F.struct(i.alias("i"), line.alias("text")))
-    records = (
-        _section_lines(cases, "transformer")
-        .select("case_id", "lines", F.aggregate(indexed, seed, step)["starts"].alias("starts"))
-        .select("case_id", F.col("lines"), F.posexplode_outer("starts").alias("record_no", "start"))
-        .filter(F.col("start").isNotNull())
-    )
-    parts = [
-        _fields(F.try_element_at("lines", F.col("start") + 1 + k), spec).alias(f"p{k}")
-        for k, spec in enumerate(TRANSFORMER_FIELDS)
-    ]
-    return records.select("case_id", (F.col("record_no") + 1).alias("position"), *parts).select(
-        "case_id", "position", *[f"p{k}.*" for k in range(len(TRANSFORMER_FIELDS))]
-    )
+    walked = F.aggregate("lines", state, step, lambda s: F.concat(F.flatten(s["runs"]), s["run"]))
+    ends = F.concat(F.slice("starts", F.lit(2), F.greatest(F.size("starts"), F.lit(1))), F.array(F.size("lines")))
+    spans = F.arrays_zip(F.col("starts"), ends.alias("ends"))
+    together = F.transform(spans, lambda s: F.slice("lines", s["starts"] + 1, s["ends"] - s["starts"]))
+    one = pieces.where("section <> 'transformer'").select("section", "case_id", "base_mva", F.posexplode(plain).alias("at", "lines"))
+    several = pieces.where("section = 'transformer'").withColumn("starts", walked)
+    several = several.select("section", "case_id", "base_mva", F.posexplode(F.when(F.size("lines") > 0, together)).alias("at", "lines"))
+    return one.unionByName(several).select("section", "case_id", "base_mva", (F.col("at") + 1).alias("position"), "lines")
 
 
-def raw_sections(cases: DataFrame) -> dict[str, DataFrame]:
-    """Typed section tables of `cases(case_id, text)`, with each record's position in its section."""
+def _typed(records: DataFrame) -> dict[str, DataFrame]:
+    """A typed table per section, with case_id, base_mva and the record's position in its section."""
+    head = ["case_id", "base_mva", "position"]
     tables = {
-        name: _section_lines(cases, name)
-        .select("case_id", F.posexplode_outer("lines").alias("line_no", "line"))
-        .filter(F.col("line").isNotNull())
-        .select("case_id", (F.col("line_no") + 1).alias("position"), _fields(F.col("line"), spec).alias("record"))
-        .select("case_id", "position", "record.*")
+        name: records.where(F.col("section") == name).select(*head, _fields(F.col("lines")[0], spec).alias("record")).select(*head, "record.*")
         for name, spec in SECTION_FIELDS.items()
     }
-    tables["transformer"] = _transformers(cases)
+    parts = [_fields(F.coalesce(F.get("lines", F.lit(k)), F.lit("")), spec).alias(f"p{k}") for k, spec in enumerate(TRANSFORMER_FIELDS)]
+    rows = records.where("section = 'transformer'").select(*head, *parts)
+    own = [F.col(f"p{k}.{p.split()[0]}") for k, spec in enumerate(TRANSFORMER_FIELDS) for p in spec.split(",")]
+    bad = F.concat(*(F.col(f"p{k}.bad_fields") for k in range(len(TRANSFORMER_FIELDS))))
+    tables["transformer"] = rows.select(*head, *own, bad.alias("bad_fields"))
     return tables
 
 
+def raw_sections(cases: DataFrame) -> dict[str, DataFrame]:
+    """Typed section tables of `cases(case_id, text)`."""
+    return _typed(_records(_pieces(cases)))
+
+
 def ingest_raw_cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return raw_sections(read_case_texts(spark, path))
+    """Typed section tables of a folder of files, and their headers as `header`.
+
+    The records are stored in the shared folder by section, so each file is read and cut once.
+    """
+    cases = read_case_texts(spark, path)
+    folder = fresh_path(spark, "raw-records")
+    records = _records(_pieces(cases))
+    records.write.partitionBy("section").parquet(folder)
+    stored = spark.read.schema(records.schema).parquet(folder)
+    return {"header": raw_headers(cases)} | _typed(stored)
+
+
+# A record ends at `/`; what follows on that line is a remark.
+_DYR_RECORD = r"((?:[^'/]|'[^']*')*)/[^\n]*"
+_DYR_PART = r"'[^']*'|[^\s,']+"
 
 
 def dyr_records(cases: DataFrame) -> DataFrame:
     """(case_id, bus, model, machine_id, params) of `cases(case_id, text)`.
 
-    Records are free-form and end at `/`.
+    Records are free-form over lines and end at `/`; fields are set apart by blanks or commas outside
+    quotes. Quoted values are trimmed.
     """
-    clean = F.trim(F.regexp_replace("record", r"\s+", " "))
-    parts = F.split(F.col("record"), " ")
+    records = F.regexp_extract_all("text", F.lit(_DYR_RECORD), F.lit(1))
+    parts = F.transform(F.regexp_extract_all("record", F.lit(_DYR_PART), F.lit(0)), lambda p: F.trim(F.replace(p, F.lit("'"), F.lit(""))))
     return (
-        cases.select("case_id", F.explode(F.split("text", "/")).alias("record"))
-        .withColumn("record", clean)
-        .filter(F.col("record") != "")
-        .withColumn("parts", parts)
+        cases.select("case_id", F.explode(records).alias("record"))
+        .select("case_id", parts.alias("parts"))
+        .filter(F.size("parts") > 0)
         .select(
             "case_id",
             F.col("parts")[0].try_cast("long").alias("bus"),
-            F.regexp_replace(F.try_element_at("parts", F.lit(2)), "'", "").alias("model"),
-            F.regexp_replace(F.try_element_at("parts", F.lit(3)), "'", "").alias("machine_id"),
+            F.try_element_at("parts", F.lit(2)).alias("model"),
+            F.try_element_at("parts", F.lit(3)).alias("machine_id"),
             F.transform(F.slice("parts", 4, F.greatest(F.size("parts") - 3, F.lit(0))), lambda p: p.try_cast("double")).alias("params"),
         )
     )
@@ -152,14 +192,64 @@ def ingest_dyr_cases(spark: SparkSession, path: str) -> DataFrame:
     return dyr_records(read_case_texts(spark, path))
 
 
-def raw_to_components(sections: dict[str, DataFrame], base_mva: float = 100.0) -> dict[str, DataFrame]:
-    """Section tables to named components in per-unit of `base_mva`.
+def _ends(bus: DataFrame, rows: DataFrame, roles: tuple[str, ...] = ("from", "to")) -> DataFrame:
+    """Names and base voltages of a branch's ends; an end that the case lacks is named by its number."""
+    for role in roles:
+        end = bus.select("case_id", F.col("number").alias(f"{role}_bus"), F.col("name").alias(f"{role}_name"), F.col("base_voltage").alias(f"{role}_kv"))
+        rows = rows.join(end, ["case_id", f"{role}_bus"], "left").withColumn(f"{role}_name", F.coalesce(f"{role}_name", F.col(f"{role}_bus").cast("string")))
+    return rows
 
-    Names: `generator-<bus>-<id>`, `load<bus><id>`, `<from>-<to>-i_<k>` with k the position in the
-    branch section. Line charging is split in halves, ratings are sqrt(Pmax^2 + Qmax^2).
+
+def _transformers(bus: DataFrame, rows: DataFrame) -> dict[str, DataFrame]:
+    """Two- and three-winding transformers in per-unit of the case's base.
+
+    Impedances by `cz`: 1 on the case's base, 2 on the windings' base, 3 as load loss in W and impedance on that base.
+    Turns by `cw`: 1 in per-unit of the bus voltage, 2 in kV, 3 in per-unit of the nominal voltage.
     """
-    base = F.lit(float(base_mva))
-    keys = ["case_id"]
+    base, three = F.col("base_mva"), F.coalesce("third_bus", F.lit(0)) != 0
+    cz, cw = F.coalesce("cz", F.lit(1)), F.coalesce("cw", F.lit(1))
+
+    def impedance(pair: str) -> tuple[Column, Column]:
+        r, x, s = F.col(f"r{pair}"), F.col(f"x{pair}"), F.coalesce(f"sbase{pair}", base)
+        loss = r / 1e6 / s
+        reactance = F.sqrt(F.greatest(x * x - loss * loss, F.lit(0.0)))
+        scale = base / s
+        return F.when(cz == 1, r).when(cz == 2, r * scale).otherwise(loss * scale), F.when(cz == 1, x).when(cz == 2, x * scale).otherwise(reactance * scale)
+
+    def turns(n: int, kv: str) -> Column:
+        w, nominal = F.coalesce(f"winding{n}", F.lit(1.0)), F.coalesce(F.nullif(F.col(f"nominal{n}"), F.lit(0.0)), F.col(kv))
+        return F.when(cw == 1, w).when(cw == 2, F.try_divide(w, F.col(kv))).otherwise(w * F.try_divide(nominal, F.col(kv)))
+
+    named = _ends(bus, rows)
+    name = F.concat(F.concat_ws("-", "from_name", "to_name"), F.lit("-i_"), F.coalesce("circuit", F.lit("1")))
+    common = ["case_id", "from_bus", "to_bus", (F.col("status") == 1).alias("available")]
+    r, x = impedance("12")
+    two = named.where(~three).select(
+        *common, name.alias("name"), r.alias("r"), x.alias("x"), F.coalesce("mag2", F.lit(0.0)).alias("primary_shunt"),
+        F.try_divide(turns(1, "from_kv"), turns(2, "to_kv")).alias("tap"), F.radians(F.coalesce("angle1", F.lit(0.0))).alias("angle"), (F.col("rate_a1") / base).alias("rate"),
+    )
+    (ra, xa), (rb, xb), (rc, xc) = (impedance(p) for p in ("12", "23", "31"))
+    half = lambda p, q, s: (p + q - s) / 2
+    leg = lambda re, im: F.struct(re.alias("r"), im.alias("x"))
+    third = _ends(bus, named.where(three).withColumn("tertiary_bus", F.col("third_bus")), ("tertiary",))
+    three_windings = third.select(
+        *common, "third_bus", (-F.col("position")).cast("long").alias("star_bus"),
+        F.concat(F.concat_ws("-", "from_name", "to_name", "tertiary_name"), F.lit("-i_"), F.coalesce("circuit", F.lit("1"))).alias("name"),
+        leg(half(ra, rc, rb), half(xa, xc, xb)).alias("primary"), leg(half(ra, rb, rc), half(xa, xb, xc)).alias("secondary"), leg(half(rb, rc, ra), half(xb, xc, xa)).alias("tertiary"),
+        turns(1, "from_kv").alias("tap1"), turns(2, "to_kv").alias("tap2"), turns(3, "tertiary_kv").alias("tap3"),
+    )
+    plain = (F.abs(F.col("tap") - 1) < 1e-12) & (F.col("angle") == 0)
+    return {"Transformer2W": two.where(plain).drop("tap", "angle"), "TapTransformer": two.where(~F.coalesce(plain, F.lit(False))), "Transformer3W": three_windings}
+
+
+def raw_to_components(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Section tables to named components in per-unit of each case's own base power.
+
+    Names: `generator-<bus>-<id>`, `load<bus><id>`, `shunt-<bus>-<id>`, `<from>-<to>-i_<k>` with k the position
+    in the branch section, or the circuit of a transformer. Line charging is split in halves, ratings are
+    sqrt(Pmax^2 + Qmax^2). A branch whose end is not among the buses stays; `dangling_ends` finds it.
+    """
+    base, keys = F.col("base_mva"), ["case_id"]
     bus = sections["bus"].select(
         *keys,
         F.col("bus_number").alias("number"),
@@ -172,13 +262,6 @@ def raw_to_components(sections: dict[str, DataFrame], base_mva: float = 100.0) -
         F.col("area").cast("string").alias("area"),
         F.col("zone").cast("string").alias("load_zone"),
     )
-    names = bus.select("case_id", "number", "name")
-
-    def bus_end(role: str) -> DataFrame:
-        return names.select(
-            "case_id", F.col("number").alias(f"{role}_bus"), F.col("name").alias(f"{role}_name")
-        )
-
     load = sections["load"].select(
         *keys,
         F.concat(F.lit("load"), F.col("bus_number").cast("string"), F.col("load_id")).alias("name"),
@@ -189,6 +272,14 @@ def raw_to_components(sections: dict[str, DataFrame], base_mva: float = 100.0) -
         (F.col("pl") / base).alias("max_active_power"),
         (F.col("ql") / base).alias("max_reactive_power"),
     )
+    shunt = sections["fixed_shunt"].select(
+        *keys,
+        F.concat_ws("-", F.lit("shunt"), F.col("bus_number").cast("string"), F.col("shunt_id")).alias("name"),
+        F.col("bus_number").alias("bus"),
+        (F.col("status") == 1).alias("available"),
+        (F.col("gl") / base).alias("g"),
+        (F.col("bl") / base).alias("b"),
+    )
     pmax, qmax = F.col("pt") / base, F.col("qt") / base
     generator = sections["generator"].select(
         *keys,
@@ -204,27 +295,23 @@ def raw_to_components(sections: dict[str, DataFrame], base_mva: float = 100.0) -
         F.struct(pmax.alias("up"), pmax.alias("down")).alias("ramp_limits"),
         F.col("mbase").alias("base_power"),
     )
-    line = (
-        sections["branch"]
-        .join(bus_end("from"), ["case_id", "from_bus"])
-        .join(bus_end("to"), ["case_id", "to_bus"])
-        .select(
-            *keys,
-            F.concat(
-                F.concat_ws("-", "from_name", "to_name"),
-                F.lit("-i_"),
-                F.col("position").cast("string"),
-            ).alias("name"),
-            "from_bus",
-            "to_bus",
-            (F.col("status") == 1).alias("available"),
-            "r",
-            "x",
-            F.struct((F.col("b") / 2).alias("from"), (F.col("b") / 2).alias("to")).alias("b"),
-            (F.col("rate_a") / base).alias("rate"),
-        )
+    line = _ends(bus, sections["branch"]).select(
+        *keys,
+        F.concat(F.concat_ws("-", "from_name", "to_name"), F.lit("-i_"), F.col("position").cast("string")).alias("name"),
+        "from_bus",
+        "to_bus",
+        (F.col("status") == 1).alias("available"),
+        "r",
+        "x",
+        F.struct((F.col("b") / 2).alias("from"), (F.col("b") / 2).alias("to")).alias("b"),
+        (F.col("rate_a") / base).alias("rate"),
     )
-    arc = line.select("case_id", F.col("from_bus").alias("from"), F.col("to_bus").alias("to")).distinct()
+    transformers = _transformers(bus, sections["transformer"])
+    arcs = [line, transformers["Transformer2W"], transformers["TapTransformer"]]
+    legs = transformers["Transformer3W"].select("case_id", F.explode(F.array("from_bus", "to_bus", "third_bus")).alias("from"), F.col("star_bus").alias("to"))
+    arc = legs
+    for rows in arcs:
+        arc = arc.unionByName(rows.select("case_id", F.col("from_bus").alias("from"), F.col("to_bus").alias("to")))
     area = bus.select("case_id", F.col("area").alias("name")).distinct()
     zone = (
         bus.select("case_id", F.col("number").alias("bus"), F.col("load_zone").alias("name"))
@@ -236,6 +323,20 @@ def raw_to_components(sections: dict[str, DataFrame], base_mva: float = 100.0) -
         )
     )
     return {
-        "Bus": bus, "PowerLoad": load, "ThermalStandard": generator, "Line": line,
-        "Arc": arc, "Area": area, "LoadZone": zone,
+        "Bus": bus, "PowerLoad": load, "FixedAdmittance": shunt, "ThermalStandard": generator, "Line": line,
+        **transformers, "Arc": arc.distinct(), "Area": area, "LoadZone": zone,
     }
+
+
+def network_rows(components: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(branches, shunts) of the available components for `ybus`, per case: lines, transformers with their taps, and
+    three-winding transformers as three legs to a star bus with a negative number."""
+    zero, one = F.lit(0.0), F.lit(1.0)
+    names = ["case_id", F.col("from_bus").alias("from_bus_id"), F.col("to_bus").alias("to_bus_id")]
+    line = components["Line"].where("available").select(*names, "r", "x", F.col("b.from").alias("b_from"), F.col("b.to").alias("b_to"), one.alias("tap"))
+    plain = components["Transformer2W"].where("available").select(*names, "r", "x", F.col("primary_shunt").alias("b_from"), zero.alias("b_to"), one.alias("tap"))
+    tapped = components["TapTransformer"].where("available").select(*names, "r", "x", F.col("primary_shunt").alias("b_from"), zero.alias("b_to"), "tap")
+    leg = lambda bus, z, tap: F.struct(F.col(bus).alias("from_bus_id"), F.col("star_bus").alias("to_bus_id"), F.col(f"{z}.r").alias("r"), F.col(f"{z}.x").alias("x"), zero.alias("b_from"), zero.alias("b_to"), F.col(tap).alias("tap"))
+    star = components["Transformer3W"].where("available").select("case_id", F.inline(F.array(leg("from_bus", "primary", "tap1"), leg("to_bus", "secondary", "tap2"), leg("third_bus", "tertiary", "tap3"))))
+    shunt = components["FixedAdmittance"].where("available").select("case_id", F.col("bus").alias("bus_id"), "g", "b")
+    return line.unionByName(plain).unionByName(tapped).unionByName(star), shunt
