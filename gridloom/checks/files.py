@@ -18,8 +18,9 @@ from gridloom.session import fresh_path, shuffle_width
 from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
-from gridloom.sources.results import read_result, write_result
-from gridloom.sources.store import materialize_once
+from gridloom.operators.quality import list_datasets
+from gridloom.sources.results import read_realized, read_result, write_result
+from gridloom.sources.store import dataset_catalog, materialize_once
 from gridloom.sources.tables import scan_csv, sink_csv
 
 DAY = 86400
@@ -73,18 +74,38 @@ def _(t: Tables) -> DataFrame:
     "read_ts_pointers",
     """with f as (select component, case when max(value) = 0 then '1.0' else 'Max' end as factor from v_series group by component)
     select 'Generator' as category, s.component as component_name, 'max_active_power' as name, 3600 as resolution,
-      factor as normalization_factor, ts, cast(value as double) as value from v_series s join f on f.component = s.component""",
+      factor as normalization_factor, 'DA' as simulation, 'SingleTimeSeries' as type, 'get_max_active_power' as scaling_factor_multiplier,
+      ts, cast(value as double) as value from v_series s join f on f.component = s.component""",
 )
 def _(t: Tables) -> DataFrame:
+    folder = pointer_files(t)
+    # Series end at different stamps, so the wide file has empty cells; they come back as nulls.
+    return PT.read_ts_pointers(t.spark, f"{folder}/pointers", f"{folder}/data").filter(F.col("value").isNotNull())
+
+
+def pointer_files(t: Tables) -> str:
     folder = fresh_path(t.spark, "series")
     wide = S.pivot_series(t.v_series, KINDS).withColumnRenamed("ts", "DateTime")
-    sink_csv(wide, f"{folder}/wind.csv")
+    sink_csv(wide, f"{folder}/data/wind.csv")
     names = t.v_series.select(F.col("component").alias("series_id"), F.col("component").alias("component_name")).distinct()
     factors = A.series_max_factor(t.v_series, ["component"]).withColumnRenamed("component", "series_id")
-    rows = PT.build_ts_pointers(names, names, factors, "Generator", f"{folder}/wind.csv", "case_store", "case_model")
+    rows = PT.build_ts_pointers(names, names, factors, "Generator", f"{folder}/data/wind.csv", "case_store", "case_model")
     PT.write_ts_pointers(rows, f"{folder}/pointers")
-    # Series end at different stamps, so the wide file has empty cells; they come back as nulls.
-    return PT.read_ts_pointers(t.spark, f"{folder}/pointers").filter(F.col("value").isNotNull())
+    return folder
+
+
+@query(
+    "attach_pointer_series",
+    """with f as (select component, cast(max(value) as double) as top from v_series group by component)
+    select s.component as component_name, ts, cast(value as double) / nullif(case when top = 0 then 1.0 else top end, 0) * (20 + length(s.component)) as scaled
+    from v_series s join f on f.component = s.component""",
+)
+def _(t: Tables) -> DataFrame:
+    folder = pointer_files(t)
+    series = PT.read_ts_pointers(t.spark, f"{folder}/pointers", f"{folder}/data").filter(F.col("value").isNotNull())
+    fields = t.v_series.select(F.col("component").alias("component_name")).distinct()
+    fields = fields.select("component_name", F.lit("max_active_power").alias("field"), (F.lit(20.0) + F.length("component_name")).alias("amount"))
+    return PT.attach_pointer_series(series, fields).select("component_name", "ts", "scaled")
 
 
 @query(
@@ -99,6 +120,31 @@ def _(t: Tables) -> DataFrame:
     return doubles(rows.select("comp_type", "component", "initial_time", "step", "ts", "value"), "value")
 
 
+@query(
+    "read_realized",
+    """select component, ts, cast(value as double) as value from v_result
+       where problem = 'UC' and kind = 'variable' and entry = 'ActivePowerVariable' and step < 24
+         and initial_time >= timestamp '2024-01-05 00:00:00' and initial_time < timestamp '2024-01-12 00:00:00'""",
+)
+def _(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "result")
+    write_result(t.v_result, path)
+    rows = read_realized(t.spark, path, "UC", "variable", "ActivePowerVariable", DAY, "2024-01-05 00:00:00", 7)
+    return doubles(rows.select("component", "ts", "value"), "value")
+
+
+@query(
+    "dataset_catalog",
+    "select 'zones' as name, 'grid' as category union all select 'plants', 'grid' union all select 'events', 'series'",
+)
+def _(t: Tables) -> DataFrame:
+    root = fresh_path(t.spark, "datasets")
+    for name, category, df in (("zones", "grid", t.v_zone), ("plants", "grid", t.v_plant), ("events", "series", t.events.select("event_id"))):
+        materialize_once(t.spark, name, lambda df=df: df, root, category=category)
+    catalog = dataset_catalog(t.spark, root)
+    return list_datasets(catalog, "grid").unionByName(list_datasets(catalog, "series")).select("name", "category")
+
+
 @query(
     "materialize_once",
     """select 'demand' as dataset, zone_id, cast(sum(pd) as double) as total_pd from v_bus group by zone_id""",
@@ -158,7 +204,10 @@ def system_documents(t: Tables) -> DataFrame:
          'bus' || cast(from_bus_id as varchar) as from_name, to_bus_id as to_number from v_branch""",
 )
 def _(t: Tables) -> DataFrame:
-    tables = SJ.component_tables(SJ.system_components(system_documents(t)))
+    path = fresh_path(t.spark, "systems")
+    documents = system_documents(t)
+    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path)
+    tables = SJ.read_system_json(t.spark, path, one_per_line=True)
     bus = tables["Bus"].select("case_id", F.col("internal.uuid.value").alias("bus_uuid"), "name", "number")
     arc = tables["Arc"].select("case_id", F.col("internal.uuid.value").alias("arc_uuid"), F.col("from.value").alias("f"), F.col("to.value").alias("t"))
     line = tables["Line"].select("case_id", "name", "r", "x", F.col("b.from").alias("b_from"), "rate", F.col("arc.value").alias("arc_uuid"))
@@ -179,6 +228,18 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "write_system_json",
+    """select cast(branch_id as varchar) as case_id, 100.0::double as base_power, 'SYSTEM_BASE' as unit_system, 60.0::double as frequency, 5 as n from v_branch""",
+)
+def _(t: Tables) -> DataFrame:
+    documents = system_documents(t)
+    path = fresh_path(t.spark, "systems")
+    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path)
+    back = SJ.read_system_json(t.spark, path, one_per_line=True)
+    return back["settings"].join(back["components"].groupBy("case_id").agg(F.count(F.lit(1)).alias("n")), "case_id")
+
+
+@query(
+    "write_component_folder",
     """select 'Bus' as comp_type, bus_id as id, bus_name as name, base_kv as value from v_bus
        union all select 'Source', s_suppkey, s_name, s_acctbal from supplier""",
 )
@@ -186,7 +247,7 @@ def _(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "system")
     bus = t.v_bus.select("bus_id", F.struct("bus_name", "base_kv").alias("fields"))
     source = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
-    SJ.write_system_json({"Bus": bus, "Source": source}, path, force=True)
+    SJ.write_component_folder({"Bus": bus, "Source": source}, path, force=True)
     a = SJ.read_component_folder(t.spark, path, "Bus", "bus_id long, fields struct<bus_name: string, base_kv: double>")
     b = SJ.read_component_folder(t.spark, path, "Source", "s_suppkey long, s_name string, s_acctbal double")
     return a.select(F.lit("Bus").alias("comp_type"), F.col("bus_id").alias("id"), F.col("fields.bus_name").alias("name"), F.col("fields.base_kv").alias("value")).unionByName(

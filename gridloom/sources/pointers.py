@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from gridloom.operators.series import melt_series
-from gridloom.sources.tables import scan_csv
+from gridloom.operators.series import normalize_series
+
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 # Fields of a pointer row, in file order.
 POINTER_SCHEMA = (
@@ -57,39 +56,79 @@ def write_ts_pointers(pointers: DataFrame, path: str, mode: str = "overwrite") -
     pointers.write.mode(mode).json(path)
 
 
-def read_wide_series(spark: SparkSession, paths: Sequence[str], time_header: str = "DateTime") -> DataFrame:
-    """Long rows (data_file, component_name, ts, value) of wide CSV files or folders of parts.
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line, quotes taken off."""
+    cells = F.split(F.regexp_replace(line, "\r$", ""), _COMMA)
+    return F.transform(cells, lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
 
-    Only the header line of each file is looked at when the plan is made, it gives the typed
-    schema. The scan then unpivots in place: no shuffle, and files may differ in their columns.
-    """
 
-    def one(path: str) -> DataFrame:
-        names = spark.read.option("header", True).csv(path).columns
-        schema = StructType([StructField(n, StringType() if n == time_header else DoubleType()) for n in names])
-        ids = [f"`{n}`" for n in names if n != time_header]
-        long = melt_series(scan_csv(spark, path, schema), time_header, ids, "component_name")
-        return long.select(
-            F.lit(path).alias("data_file"), "component_name", F.col(time_header).cast("timestamp_ntz").alias("ts"), "value"
-        )
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    text = spark.read.text(paths if isinstance(paths, str) else list(paths), recursiveFileLookup=True)
+    return text.select(F.regexp_replace("_metadata.file_path", "^file:/*", "/").alias("file"), "value")
+
+
+def _headers(lines: DataFrame, time_header: str) -> DataFrame:
+    """(file, names): the header line of each file, known by its time column."""
+    names = _cells(F.col("value"))
+    return lines.select("file", names.alias("names")).where(F.array_contains("names", time_header)).dropDuplicates(["file"])
+
 
-    return reduce(DataFrame.unionByName, [one(path) for path in paths])
+def read_wide_series(spark: SparkSession, paths: str | Sequence[str], time_header: str = "DateTime") -> DataFrame:
+    """Long rows (data_file, component_name, ts, value) of wide CSV files or folders of parts.
+
+    All files are one scan, whatever their columns are: a file's header is one of its lines, and rows meet it by
+    the file's name. Files without the time column in a header give no rows.
+    """
+    lines = _lines(spark, paths)
+    return _long(lines, _headers(lines, time_header).select("file", "names", F.lit(None).alias("wanted")), time_header).select("data_file", "component_name", "ts", "value")
+
+
+def _long(lines: DataFrame, headers: DataFrame, time_header: str) -> DataFrame:
+    """Rows of `lines` unpivoted by `headers` (file, names, wanted); with `wanted`, a map from column to what is
+    known about it, only its columns."""
+    met = lines.join(headers, "file").select("file", "names", "wanted", _cells(F.col("value")).alias("cells"))
+    at = F.array_position("names", F.lit(time_header)).cast("int")
+    rows = met.where(F.get("cells", at - 1) != time_header).withColumn("ts", F.get("cells", at - 1).try_cast("timestamp_ntz"))
+    zipped = F.arrays_zip(F.col("names"), F.col("cells"))
+    cells = rows.select("file", "ts", "wanted", F.explode(F.filter(zipped, lambda c: c["names"] != time_header)).alias("cell"))
+    return cells.select(
+        F.col("file").alias("data_file"), F.col("cell.names").alias("component_name"), "ts", F.col("cell.cells").try_cast("double").alias("value"), "wanted"
+    )
 
 
 def read_ts_pointers(
-    spark: SparkSession, pointer_path: str, time_header: str = "DateTime", multi_line: bool = False
+    spark: SparkSession, pointer_path: str, data_root: str, time_header: str = "DateTime", multi_line: bool = False
 ) -> DataFrame:
-    """Series rows named by a pointer file: the pointer says which file and column to attach.
+    """Series rows named by pointers: which file and column to attach, to what and how.
 
-    The distinct file names are metadata (a handful per case) and become the paths of the scans.
-    A `data_file` is one CSV or a folder of parts. Pointers are one object per line or an array on
-    one line; `multi_line` reads an array spread over lines.
+    Everything below `data_root` is one scan. A `data_file` is one CSV or a folder of parts. Pointers meet the
+    headers of the files first; of a file that no pointer names, and of columns without a pointer, nothing goes on.
+    Pointers are one object per line or an array on one line; `multi_line` reads an array spread over lines.
     """
     pointers = spark.read.schema(POINTER_SCHEMA).json(pointer_path, multiLine=multi_line)
-    files = [row.data_file for row in pointers.select("data_file").distinct().collect()]
-    if not files:
-        raise ValueError(f"no pointers in {pointer_path}")
-    series = read_wide_series(spark, files, time_header)
-    return series.join(pointers, ["data_file", "component_name"]).select(
-        "category", "component_name", "name", "resolution", "normalization_factor", "ts", "value"
-    )
+    place = F.regexp_replace(F.regexp_replace("data_file", "^file:/*", "/"), "/$", "")
+    pointers = pointers.withColumn("data_file", place)
+    lines = _lines(spark, data_root)
+    headers = _headers(lines, time_header)
+    parent = F.regexp_replace("file", "/[^/]*$", "")
+    columns = headers.select("file", "names", F.explode(F.array("file", parent)).alias("data_file"))
+    columns = columns.select("file", "names", "data_file", F.explode("names").alias("component_name"))
+    kept = [c for c in ("simulation", "category", "type", "name", "resolution", "scaling_factor_multiplier", "normalization_factor")]
+    known = columns.join(pointers, ["data_file", "component_name"]).groupBy("file", "names").agg(F.collect_list(F.struct("component_name", *kept)).alias("wanted"))
+    long = _long(lines, known, time_header)
+    mine = F.filter("wanted", lambda w: w["component_name"] == F.col("component_name"))
+    rows = long.select("component_name", "ts", "value", F.explode(mine).alias("pointer"))
+    return rows.select("component_name", *(F.col(f"pointer.{c}").alias(c) for c in kept), "ts", "value")
+
+
+def attach_pointer_series(series: DataFrame, fields: DataFrame) -> DataFrame:
+    """Pointer series with the stored rule carried out: `normalized` by the factor and `scaled` by the component's field.
+
+    `fields(component_name, field, amount)` holds the components' values; the multiplier `get_<field>` names the one to
+    multiply with. Without a multiplier, or without that field, `scaled` is the normalized value.
+    """
+    keys = ["component_name", "name", "simulation"]
+    factors = series.select(*keys, F.col("normalization_factor").alias("factor")).distinct()
+    normal = normalize_series(series.withColumns({k: F.coalesce(k, F.lit("")) for k in keys}), factors.withColumns({k: F.coalesce(k, F.lit("")) for k in keys}), keys).drop("factor")
+    amounts = fields.select(F.col("component_name"), F.concat(F.lit("get_"), "field").alias("scaling_factor_multiplier"), "amount")
+    return normal.join(amounts, ["component_name", "scaling_factor_multiplier"], "left").withColumn("scaled", F.col("normalized") * F.coalesce("amount", F.lit(1.0))).drop("amount")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.time import day_block
+from gridloom.functions.time import day_block, plus_seconds, stamp
+from gridloom.operators.series import realized
 
 PARTITIONS = ["problem", "kind", "entry"]
 
@@ -30,3 +31,18 @@ def read_result(spark: SparkSession, path: str, problem: str, kind: str, entry:
         spark.read.parquet(path)
         .filter((F.col("problem") == problem) & (F.col("kind") == kind) & (F.col("entry") == entry))
     )
+
+
+def read_realized(
+    spark: SparkSession, path: str, problem: str, kind: str, entry: str, interval_s: int, initial_time: str | None = None, count: int | None = None
+) -> DataFrame:
+    """Realised rows of one entry: of each execution its first interval, from `initial_time` on and of `count` executions.
+
+    The window is a plain range of initial times, so it reaches the scan like the entry's folders do.
+    """
+    rows = read_result(spark, path, problem, kind, entry)
+    if initial_time is not None:
+        rows = rows.filter(F.col("initial_time") >= stamp(initial_time))
+        if count is not None:
+            rows = rows.filter(F.col("initial_time") < plus_seconds(stamp(initial_time), count * interval_s))
+    return realized(rows, interval_s)

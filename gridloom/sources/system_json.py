@@ -7,11 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.session import fresh_path
+
 _REF = "struct<value: string>"
 _LIMITS = "struct<min: double, max: double>"
 _INTERNAL = "internal struct<uuid: struct<value: string>>"
 
-# Fields read per component type.
+_GENERATOR = (
+    f"name string, available boolean, bus {_REF}, active_power double, reactive_power double, rating double, "
+    f"prime_mover string, base_power double, {_INTERNAL}"
+)
+
+# Fields read per component type; nested models of dynamic devices stay JSON text.
 COMPONENT_FIELDS = {
     "Bus": f"name string, number long, bustype string, angle double, magnitude double, voltage_limits {_LIMITS}, "
     f"base_voltage double, area {_REF}, load_zone {_REF}, {_INTERNAL}",
@@ -26,8 +33,21 @@ COMPONENT_FIELDS = {
     f"dynamic_injector {_REF}, {_INTERNAL}",
     "Source": f"name string, available boolean, bus {_REF}, active_power double, reactive_power double, R_th double, "
     f"X_th double, internal_voltage double, internal_angle double, {_INTERNAL}",
-    "DynamicGenerator": "name string, n_states int, states array<string>, base_power double",
-    "DynamicInverter": "name string, n_states int, states array<string>, base_power double",
+    "DynamicGenerator": "name string, n_states int, states array<string>, base_power double, V_ref double, P_ref double, w_ref double, "
+    f"machine string, shaft string, avr string, prime_mover string, pss string, {_INTERNAL}",
+    "DynamicInverter": "name string, n_states int, states array<string>, base_power double, w_ref double, converter string, "
+    f"outer_control string, inner_control string, dc_source string, freq_estimator string, filter string, {_INTERNAL}",
+    "HydroDispatch": f"{_GENERATOR}",
+    "HydroEnergyReservoir": f"{_GENERATOR}, storage_capacity double, inflow double, initial_storage double",
+    "RenewableDispatch": f"{_GENERATOR}, power_factor double",
+    "RenewableFix": f"{_GENERATOR}, power_factor double",
+    "GenericBattery": f"{_GENERATOR}, initial_energy double, state_of_charge_limits {_LIMITS}",
+    "VariableReserve": f"name string, available boolean, time_frame double, requirement double, {_INTERNAL}",
+    "StaticReserve": f"name string, available boolean, time_frame double, requirement double, {_INTERNAL}",
+    "MonitoredLine": f"name string, available boolean, arc {_REF}, r double, x double, b struct<`from`: double, to: double>, rate double, {_INTERNAL}",
+    "Transformer2W": f"name string, available boolean, arc {_REF}, r double, x double, primary_shunt double, rate double, {_INTERNAL}",
+    "TapTransformer": f"name string, available boolean, arc {_REF}, r double, x double, primary_shunt double, tap double, rate double, {_INTERNAL}",
+    "FixedAdmittance": f"name string, available boolean, bus {_REF}, {_INTERNAL}",
     "Area": f"name string, peak_active_power double, peak_reactive_power double, load_response double, {_INTERNAL}",
     "LoadZone": f"name string, peak_active_power double, peak_reactive_power double, {_INTERNAL}",
 }
@@ -64,24 +84,63 @@ def system_settings(cases: DataFrame) -> DataFrame:
 
 
 def component_tables(components: DataFrame, fields: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """One typed table per component type."""
-    return {
+    """One typed table per component type, and under `*` the components (case_id, comp_type, name, body) of all other types.
+
+    `fields` are schemas by type; types may be added to the known ones by passing `COMPONENT_FIELDS | own`.
+    """
+    wanted = fields or COMPONENT_FIELDS
+    typed = {
         name: components.filter(F.col("comp_type") == name)
         .select("case_id", F.from_json("body", spec).alias("c"))
         .select("case_id", "c.*")
-        for name, spec in (fields or COMPONENT_FIELDS).items()
+        for name, spec in wanted.items()
     }
+    return typed | {"*": components.filter(~F.coalesce(F.col("comp_type").isin(list(wanted)), F.lit(False)))}
+
+
+def nested_model(table: DataFrame, column: str) -> DataFrame:
+    """(case_id, name, model, body) of a nested model of dynamic devices: its own type and its JSON text."""
+    kind = F.get_json_object(column, "$.__metadata__.type")
+    return table.where(F.col(column).isNotNull()).select("case_id", "name", kind.alias("model"), F.col(column).alias("body"))
+
 
+def read_documents(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """(case_id, text) of serialised systems: a document per file, or per line as `write_system_json` writes them."""
+    files = spark.read.text(path, wholetext=not one_per_line)
+    own = F.get_json_object("value", "$.case_id") if one_per_line else F.lit(None)
+    return files.select(F.coalesce(own, F.col("_metadata.file_path")).alias("case_id"), F.col("value").alias("text"))
 
-def read_system_json(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Serialised cases (one document per file) to per-type component tables."""
-    files = spark.read.text(path, wholetext=True)
-    cases = files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
-    return component_tables(system_components(cases))
+
+def read_system_json(spark: SparkSession, path: str, one_per_line: bool = False, fields: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Serialised cases to component tables; all components under one roof as `components`, settings as `settings`.
+
+    The documents are parsed once: the components are stored in the shared folder by type, so that a type's table
+    reads only its own.
+    """
+    cases = read_documents(spark, path, one_per_line)
+    folder = fresh_path(spark, "system-components")
+    components = system_components(cases).withColumn("comp_type", F.coalesce("comp_type", F.lit("")))
+    components.write.partitionBy("comp_type").parquet(folder)
+    stored = spark.read.schema("case_id string, name string, body string, comp_type string").parquet(folder)
+    return component_tables(stored, fields) | {"components": stored, "settings": system_settings(cases)}
+
+
+def write_system_json(components: DataFrame, settings: DataFrame, path: str, force: bool = False) -> None:
+    """Systems as documents that `read_system_json` reads again, one per line; `force` overwrites.
+
+    `components(case_id, body)` are JSON objects, each with its type in `__metadata__.type`;
+    `settings(case_id, base_power, unit_system, frequency)`. A case without components is written too. A
+    document holds one case, whose size is that of a power system, not of the table.
+    """
+    bodies = components.groupBy("case_id").agg(F.array_join(F.array_sort(F.collect_list("body")), ",").alias("bodies"))
+    rows = settings.join(bodies, "case_id", "left")
+    head = F.to_json(F.struct(F.col("case_id"), "frequency", F.struct(F.col("base_power").alias("base_value"), "unit_system").alias("units_settings")))
+    document = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"data":{"components":['), F.coalesce("bodies", F.lit("")), F.lit("]}}"))
+    rows.select(document.alias("value")).write.mode("overwrite" if force else "errorifexists").text(path)
 
 
-def write_system_json(components: dict[str, DataFrame], path: str, force: bool = False) -> None:
-    """Component tables to JSON, one folder per type; `force` overwrites."""
+def write_component_folder(components: dict[str, DataFrame], path: str, force: bool = False) -> None:
+    """Component tables to JSON, one folder per type, for reading single types; `force` overwrites."""
     rows = [
         df.select(F.lit(name).alias("comp_type"), F.to_json(F.struct(*df.columns)).alias("body"))
         for name, df in components.items()
@@ -91,6 +150,6 @@ def write_system_json(components: dict[str, DataFrame], path: str, force: bool =
 
 
 def read_component_folder(spark: SparkSession, path: str, comp_type: str, schema: str) -> DataFrame:
-    """One type of a folder written by `write_system_json`; only its partition is read."""
+    """One type of a folder written by `write_component_folder`; only its partition is read."""
     rows = spark.read.schema("body string, comp_type string").json(path)
     return rows.filter(F.col("comp_type") == comp_type).select(F.from_json("body", schema).alias("c")).select("c.*")

@@ -207,38 +207,66 @@ def test_system_json(spark, tmp_path):
     assert SJ.system_settings(cases).first().base_power == 100.0
 
 
-def test_write_system_json_refuses_to_overwrite(spark, tmp_path):
+def test_systems_come_back_as_they_were_written(spark, tmp_path):
+    bodies = [
+        ("one", {"__metadata__": {"type": "Bus"}, "name": "N", "number": 1}),
+        ("one", {"__metadata__": {"type": "DynamicGenerator"}, "name": "g", "machine": {"__metadata__": {"type": "SlowMachine"}, "R": 0.25}}),
+        ("two", {"__metadata__": {"type": "SomethingNew"}, "name": "q,]}"}),
+    ]
+    components = spark.createDataFrame([(c, json.dumps(b)) for c, b in bodies], "case_id string, body string")
+    settings = spark.createDataFrame([("one", 50.0, "NATURAL", 60.0), ("two", 100.0, "SYSTEM_BASE", 50.0), ("empty", 1.0, "x", 2.0)], "case_id string, base_power double, unit_system string, frequency double")
+    path = str(tmp_path / "systems")
+    for _ in range(2):
+        SJ.write_system_json(components, settings, path, force=True)
+    with pytest.raises(AnalysisException):
+        SJ.write_system_json(components, settings, path)
+    back = SJ.read_system_json(spark, path, one_per_line=True)
+    assert sorted(map(tuple, back["settings"].collect())) == sorted(map(tuple, settings.collect()))
+    assert [(r.case_id, r.name, r.number) for r in back["Bus"].collect()] == [("one", "N", 1)]
+    assert [(r.model, json.loads(r.body)["R"]) for r in SJ.nested_model(back["DynamicGenerator"], "machine").collect()] == [("SlowMachine", 0.25)]
+    assert [(r.case_id, r.comp_type, r.name) for r in back["*"].collect()] == [("two", "SomethingNew", "q,]}")]
+    assert sorted((r.case_id, json.loads(r.body)["name"]) for r in back["components"].collect()) == [("one", "N"), ("one", "g"), ("two", "q,]}")]
+
+
+def test_component_folder_refuses_to_overwrite(spark, tmp_path):
     path = str(tmp_path / "sys")
     bus = spark.sql("select 1 as number, named_struct('min', 0.9D, 'max', 1.1D) as voltage_limits")
-    SJ.write_system_json({"Bus": bus}, path)
+    SJ.write_component_folder({"Bus": bus}, path)
     with pytest.raises(AnalysisException):
-        SJ.write_system_json({"Bus": bus}, path)
-    SJ.write_system_json({"Bus": bus.union(bus)}, path, force=True)
+        SJ.write_component_folder({"Bus": bus}, path)
+    SJ.write_component_folder({"Bus": bus.union(bus)}, path, force=True)
     back = SJ.read_component_folder(spark, path, "Bus", "number int, voltage_limits struct<min: double, max: double>")
     assert back.count() == 2 and back.first().voltage_limits.max == 1.1
 
 
 @pytest.mark.parametrize("form", ["lines", "array", "pretty array"])
 def test_wide_files_with_different_columns(spark, tmp_path, form):
-    (tmp_path / "wind.csv").write_text("DateTime,gen1,gen2\n2020-01-01T00:00:00,1.5,2.5\n2020-01-01T01:00:00,3.5,\n")
-    (tmp_path / "solar.csv").write_text("DateTime,gen9,gen1\r\n2020-01-01T00:00:00,9.0,7.0\r\n")
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "wind.csv").write_text("DateTime,gen1,gen2\n2020-01-01T00:00:00,1.5,2.5\n2020-01-01T01:00:00,3.5,\n")
+    (tmp_path / "data" / "solar.csv").write_text("DateTime,gen9,gen1\r\n2020-01-01T00:00:00,9.0,7.0\r\n")
     pointers = [
-        {"component_name": c, "name": "max_active_power", "category": "Generator", "resolution": 3600, "normalization_factor": 1.5 if c == "gen9" else "Max", "data_file": str(tmp_path / f)}
+        {"component_name": c, "name": "max_active_power", "category": "Generator", "resolution": 3600, "normalization_factor": 1.5 if c == "gen9" else "Max", "data_file": str(tmp_path / "data" / f), "simulation": "DA", "scaling_factor_multiplier": None if c == "gen2" else "get_max_active_power"}
         for c, f in [("gen1", "wind.csv"), ("gen2", "wind.csv"), ("gen9", "solar.csv")]
     ]
     text = {"lines": "\n".join(map(json.dumps, pointers)), "array": json.dumps(pointers), "pretty array": json.dumps(pointers, indent=2)}
     (tmp_path / "pointers.json").write_text(text[form])
-    rows = PT.read_ts_pointers(spark, str(tmp_path / "pointers.json"), multi_line=form == "pretty array").collect()
+    read = PT.read_ts_pointers(spark, str(tmp_path / "pointers.json"), str(tmp_path / "data"), multi_line=form == "pretty array")
+    rows = read.collect()
+    assert {(r.component_name, r.simulation, r.scaling_factor_multiplier) for r in rows} == {("gen1", "DA", "get_max_active_power"), ("gen2", "DA", None), ("gen9", "DA", "get_max_active_power")}
+    fields = spark.createDataFrame([("gen1", "max_active_power", 10.0), ("gen9", "rating", 3.0)], "component_name string, field string, amount double")
+    scaled = {(r.component_name, r.ts.hour): r.scaled for r in PT.attach_pointer_series(read, fields).collect()}
+    assert scaled == {("gen1", 0): pytest.approx(1.5 / 3.5 * 10), ("gen1", 1): 10.0, ("gen2", 0): 1.0, ("gen2", 1): None, ("gen9", 0): 6.0}
     got = {(r.component_name, r.ts.hour): r.value for r in rows}
     assert {r.normalization_factor for r in rows} == {"Max", "1.5"}
     assert got == {("gen1", 0): 1.5, ("gen1", 1): 3.5, ("gen2", 0): 2.5, ("gen2", 1): None, ("gen9", 0): 9.0}
 
 
-def test_wide_series_are_read_without_a_shuffle(spark, tmp_path, plan):
-    (tmp_path / "wind.csv").write_text("DateTime,gen.1,Far West\n2020-01-01T00:00:00,1.5,2.5\n")
-    series = PT.read_wide_series(spark, [str(tmp_path / "wind.csv")])
-    assert {(r.component_name, r.value) for r in series.collect()} == {("gen.1", 1.5), ("Far West", 2.5)}
-    assert "Exchange" not in plan(series)
+def test_rows_of_wide_series_stay_where_they_are_read(spark, tmp_path, plan):
+    (tmp_path / "wind.csv").write_text('DateTime,gen.1,"Far, West"\n2020-01-01T00:00:00,1.5,2.5\n')
+    (tmp_path / "note.csv").write_text("no series here\n")
+    series = PT.read_wide_series(spark, [str(tmp_path / "wind.csv"), str(tmp_path / "note.csv")])
+    assert {(r.component_name, r.value) for r in series.collect()} == {("gen.1", 1.5), ("Far, West", 2.5)}
+    assert "BroadcastHashJoin" in plan(series) and "SortMergeJoin" not in plan(series)  # only the headers move
 
 
 def test_pointer_factor_is_a_number_or_max(spark, tmp_path):
