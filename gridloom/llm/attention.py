@@ -22,16 +22,21 @@ class Shape:
     """Sizes of the model; none depends on the corpus."""
 
     width: int = 16
-    context: int = 16
+    context: int = 8
     stride: int = 16
     own_rows: int = 4096
     shared_rows: int = 512
     choices: int = 512
-    levels: int = 10
+    upper: int = 64
+    upper_levels: int = 7
+    lower_levels: int = 4
 
 
 #: Odds of the choice that fills up short paths.
 CERTAIN = 1e4
+#: Scores are held below this, whose exponential a 32-bit sum still holds.
+LARGEST = np.float32(60)
+TINY = np.float32(1e-30)
 
 
 class Huffman:
@@ -53,8 +58,9 @@ class Huffman:
         inner = np.argsort(-total[n:], kind="stable") + n
         rank = np.full(2 * n - 1, -1)
         rank[inner] = np.arange(n - 1)
-        levels = shape.levels
-        self.node = np.full((n, levels), shape.choices, np.int32)  # short paths end in a choice without alternative
+        # the upper choices come first, then the lower ones; free places hold a choice without alternative, number `upper`
+        levels = shape.upper_levels + shape.lower_levels
+        self.node = np.full((n, levels), shape.upper, np.int32)
         self.sign = np.ones((n, levels), np.float32)
         self.rest = np.zeros(n)
         odds = np.zeros(n - 1)
@@ -64,7 +70,8 @@ class Huffman:
         first[parent[child[ones]]] = total[child[ones]]
         share = first[inner] / total[inner]
         odds[:] = np.log(share / (1 - share))
-        used = np.zeros(n, np.int64)
+        used = np.stack([np.zeros(n, np.int64), np.full(n, shape.upper_levels)])
+        room = np.array([shape.upper_levels, levels])
         at = np.arange(n)
         while True:
             up = parent[at]
@@ -73,18 +80,21 @@ class Huffman:
                 break
             ids = np.flatnonzero(alive)
             r, s = rank[up[ids]], side[at[ids]]
-            upper = (r < shape.choices) & (used[ids] < levels)
-            where = ids[upper]
-            self.node[where, used[where]] = r[upper]
-            self.sign[where, used[where]] = 2.0 * s[upper] - 1
-            used[where] += 1
-            low = ids[~upper]
-            signed = (2.0 * s[~upper] - 1) * odds[r[~upper]]
+            half = (r >= shape.upper).astype(np.int64)
+            learned = (r < shape.choices) & (used[half, ids] < room[half])
+            where, h = ids[learned], half[learned]
+            self.node[where, used[h, where]] = r[learned] + h
+            self.sign[where, used[h, where]] = 2.0 * s[learned] - 1
+            used[h, where] += 1
+            low = ids[~learned]
+            signed = (2.0 * s[~learned] - 1) * odds[r[~learned]]
             self.rest[low] -= np.log1p(np.exp(-signed))
             at = np.where(alive, np.where(alive, up, 0), at)
             at[~alive] = at[~alive]
         self.odds = np.full(shape.choices + 1, CERTAIN, np.float32)
-        self.odds[: min(n - 1, shape.choices)] = odds[: shape.choices]
+        kept = odds[: shape.choices]
+        self.odds[: min(len(kept), shape.upper)] = kept[: shape.upper]
+        self.odds[shape.upper + 1 : 1 + len(kept)] = kept[shape.upper :]
         self.rest = self.rest.astype(np.float32)
 
 
@@ -128,7 +138,7 @@ class Model:
         at = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
         return begin[text] + at * self.shape.stride, text
 
-    def _attend(self, rows: np.ndarray, start: np.ndarray, begin: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
+    def _attend(self, rows: np.ndarray, start: np.ndarray, begin: np.ndarray, end: np.ndarray, attention: bool = False) -> dict[str, np.ndarray]:
         s, p = self.shape, self.p
         keys_at = start[:, None] + np.arange(-s.context, s.stride)
         usable = (keys_at >= begin[:, None]) & (keys_at < end[:, None])
@@ -138,16 +148,22 @@ class Model:
         apart = np.arange(s.stride)[:, None] + s.context - np.arange(s.context + s.stride)[None, :]
         bias = np.where(apart >= 0, p["near"][np.maximum(apart, 0)], np.float32(-1e9)).astype(np.float32)
         score = q @ k.transpose(0, 2, 1)
-        score += bias
-        score += np.where(usable, np.float32(0), np.float32(-1e9))[:, None, :]
-        score -= score.max(2, keepdims=True)
+        score += bias  # the causal mask and the distances
+        edge = np.flatnonzero(~usable.all(1))  # only the first and last windows of a text
+        score[edge] += np.where(usable[edge], np.float32(0), np.float32(-1e9))[:, None, :]
+        np.minimum(score, LARGEST, out=score)
         np.exp(score, out=score)
-        score /= score.sum(2, keepdims=True)
-        seen = score @ v
-        h = np.tanh(p["last"][own] + seen)
+        score[edge, :, s.context] += TINY  # a place behind the end of its text sees something, too
+        total = score.sum(2, keepdims=True)
+        h = score @ v
+        h /= total
+        h += p["last"][own]
+        h /= 1 + np.abs(h)
+        if attention:
+            score /= total
         return {"row": row, "own": own, "q": q, "k": k, "v": v, "attention": score, "h": h, "apart": apart, "usable": usable}
 
-    def log_probabilities(self, ids: np.ndarray, ends: np.ndarray, at_once: int = 256) -> np.ndarray:
+    def log_probabilities(self, ids: np.ndarray, ends: np.ndarray, at_once: int = 128) -> np.ndarray:
         """Natural log probability of the id after each place of `ids`; the end mark follows a text's last place."""
         begin = np.r_[0, ends[:-1]]
         start, text = self.windows(ids, ends)
@@ -158,15 +174,19 @@ class Model:
         steps = np.arange(self.shape.stride)
         node, sign, rest = self.tree.node, self.tree.sign, self.tree.rest
         choice, odds = self.p["choice"], self.p["odds"]
+        u, k = self.shape.upper, self.shape.upper_levels
         for lo in range(0, len(start), at_once):
             first, of = start[lo : lo + at_once], text[lo : lo + at_once]
             h = self._attend(rows, first, begin[of], ends[of])["h"]
             place = first[:, None] + steps
             scored = place < ends[of][:, None]
-            place, h = place[scored], h[scored]
+            place, h = (place.reshape(-1), h.reshape(-1, h.shape[2])) if scored.all() else (place[scored], h[scored])
             target = follow[place]
             path, turn = node[target], sign[target]
-            z = np.einsum("tld,td->tl", choice[path], h)
+            z = np.empty(path.shape, np.float32)
+            every = h @ choice[: u + 1].T  # the upper choices of all places at once
+            z[:, :k] = every.reshape(-1)[path[:, :k] + np.arange(len(h), dtype=np.int32)[:, None] * (u + 1)]
+            np.einsum("tld,td->tl", choice[path[:, k:]], h, out=z[:, k:])
             z += odds[path]
             z *= -turn
             np.minimum(z, np.float32(50), out=z)
@@ -188,7 +208,7 @@ class Model:
 
     def _step(self, rows, follow, first, begin, end, memory, rate) -> None:  # noqa: ANN001
         s, p = self.shape, self.p
-        f = self._attend(rows, first, begin, end)
+        f = self._attend(rows, first, begin, end, attention=True)
         place = first[:, None] + np.arange(s.stride)
         scored = place < end[:, None]
         target = follow[np.where(scored, place, 0)]
@@ -196,7 +216,7 @@ class Model:
         vectors = p["choice"][path]
         z = np.einsum("bsld,bsd->bsl", vectors, f["h"]) + p["odds"][path]
         dz = turn / (1 + np.exp(np.clip(turn * z, -30, 30)))
-        dh = np.einsum("bsl,bsld->bsd", dz, vectors) * (1 - f["h"] ** 2)
+        dh = np.einsum("bsl,bsld->bsd", dz, vectors) * (1 - np.abs(f["h"])) ** 2
         da = dh @ f["v"].transpose(0, 2, 1)
         a = f["attention"]
         ds = a * (da - (da * a).sum(2, keepdims=True))

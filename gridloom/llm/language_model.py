@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,19 @@ from gridloom.llm.tokens import default_path, encoded, encoder
 from gridloom.session import fresh_path
 
 #: Bound of the word table that every task gets.
-FREQUENT_WORDS = 300_000
+FREQUENT_WORDS = 200_000
 #: Of the windows of every training text, one in so many is a training step of a round.
-WINDOWS_PER_STEP = 24
+WINDOWS_PER_STEP = 32
 ROUNDS = 2
 #: Distinct words that a counting task holds before it passes them on.
-HELD_WORDS = 400_000
+HELD_WORDS = 250_000
 BLOCK = 512
+#: Texts that are encoded together.
+ROWS_AT_ONCE = 1500
+#: Words that are looked up together.
+WORDS_AT_ONCE = 1 << 18
 #: Ids that are scored together.
-IDS_AT_ONCE = 1 << 19
+IDS_AT_ONCE = 1 << 18
 END_WORD = b""
 
 
@@ -76,8 +81,8 @@ def _counted(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
 
-def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """Words of the highest counts, down to a count at which they are at most `most`."""
+def frequent_words(counts: DataFrame, most: int) -> tuple[dict[bytes, int], np.ndarray]:
+    """Places of the words of the highest counts, down to a count at which they are at most `most`, and their counts."""
     band = F.floor(F.log2("n") * 8)
     bands = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
     least, total = None, 0
@@ -87,9 +92,9 @@ def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
             break
         least = row.least
     if least is None:
-        return {}
+        return {}, np.zeros(0, np.int64)
     found = counts.where(F.col("n") >= least).toArrow()
-    return dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist()))
+    return {word: i for i, word in enumerate(found.column(0).to_pylist())}, found.column(1).to_numpy()
 
 
 def base_scores(rows: DataFrame, counts: DataFrame, most_frequent: int = FREQUENT_WORDS) -> tuple[DataFrame, int]:
@@ -100,34 +105,45 @@ def base_scores(rows: DataFrame, counts: DataFrame, most_frequent: int = FREQUEN
     key_type = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {word: (n, math.log10((n + 0.5) / scale)) for word, n in table.value.items()}
+        places, n = table.value
+        value = np.r_[np.log10((n + 0.5) / scale), 0.0]
         for batch in batches:
-            out: list[tuple] = []
-            for one, held, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = raw.as_py()
-                mark, sum_, seen, size = _text_sum(text), 0.0, 0, 0
-                for word, n in Counter(words_of(text)).items():
-                    size += n
-                    found = known.get(word)
-                    if found is None:
-                        out.append((one, mark, None, None, None, None, word, n))
-                    else:
-                        sum_ += n * found[1]
-                        seen += n
-                out.append((one, mark, held, size, seen, sum_, None, None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names)
-
-    names = ["key", "sum", "held", "n_tokens", "n_known", "base_score", "word", "times"]
-    schema = f"key {key_type}, sum long, held boolean, n_tokens long, n_known long, base_score double, word binary, times long"
+            keys, texts = batch.column(0), batch.column(2)
+            at = 0
+            while at < batch.num_rows:
+                words, ends = [], []
+                sums = []
+                start = at
+                while at < batch.num_rows and (at == start or len(words) < WORDS_AT_ONCE):
+                    text = texts[at].as_py()
+                    words += words_of(text)
+                    ends.append(len(words))
+                    sums.append(_text_sum(text))
+                    at += 1
+                begin = np.r_[0, ends[:-1]]
+                place = np.fromiter(map(places.get, words, repeat(-1)), np.int64, len(words))
+                seen = np.add.reduceat((place >= 0).astype(np.int64), begin)
+                score = np.add.reduceat(value[place], begin)
+                mine, sums = keys.slice(start, at - start), pa.array(sums, pa.int64())
+                held = batch.column(1).slice(start, at - start)
+                yield pa.RecordBatch.from_arrays([mine, sums, held, pa.array(np.diff(np.r_[0, ends])), pa.array(seen), pa.array(score), pa.nulls(len(mine), pa.binary())], names)
+                other = np.flatnonzero(place < 0)
+                if len(other):
+                    of = pa.array(np.searchsorted(ends, other, "right"))
+                    none = [pa.nulls(len(other), kind) for kind in kinds[2:6]]
+                    yield pa.RecordBatch.from_arrays([mine.take(of), sums.take(of), *none, pa.array([words[i] for i in other.tolist()], pa.binary())], names)
+
+    names = ["key", "sum", "held", "n_tokens", "n_known", "base_score", "word"]
+    schema = f"key {key_type}, sum long, held boolean, n_tokens long, n_known long, base_score double, word binary"
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     kinds = [field.type for field in to_arrow_schema(StructType.fromDDL(schema))]
     parts = written(rows.mapInArrow(run, schema), "word-scores")
     rare = parts.where(F.col("word").isNotNull()).join(counts.withColumnRenamed("word", "counted"), F.col("word") == F.col("counted"), "left")
-    score = F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(scale))
+    score = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(scale))
     looked_up = rare.select(
-        "key", "sum", "held", "n_tokens", F.when(F.col("n").isNotNull(), F.col("times")).alias("n_known"), score.alias("base_score"), F.lit(0).alias("rows")
+        "key", "sum", "held", "n_tokens", F.when(F.col("n").isNotNull(), F.lit(1)).alias("n_known"), score.alias("base_score"), F.lit(0).alias("rows")
     )
     done = parts.where(F.col("word").isNull()).select("key", "sum", "held", "n_tokens", "n_known", "base_score", F.lit(1).alias("rows"))
     sums = done.unionByName(looked_up).groupBy("key", "sum").agg(
@@ -141,7 +157,7 @@ def stored_ids(rows: DataFrame, path: str) -> DataFrame:
     """(key, sum, held, ids): the ids of every row, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             raw = batch.column(2).to_pylist()
             ids = [x[:-1].tobytes() for x in encoded([t.decode("utf-8", "replace") for t in raw], path)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_text_sum(t) for t in raw], pa.int64()), batch.column(1), pa.array(ids, pa.binary())], ["key", "sum", "held", "ids"])

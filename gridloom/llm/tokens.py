@@ -36,7 +36,7 @@ BEYOND_LATIN_1 = re.compile("[^\x00-\xff]")
 
 END_ID = 1
 #: Words that a worker keeps; later ones are encoded each time that they come up.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 450_000
 
 
 def default_path() -> str:
@@ -71,12 +71,12 @@ class Encoder:
         known = self.cache
         new = list({word for row in words if row for word in row if word not in known})
         if new:
-            fresh = dict(zip(new, self._encode_words(new)))
-            if len(known) + len(fresh) <= CACHED_WORDS:
-                known.update(fresh)
-            else:
-                known = known | fresh
-        return [b"".join([known[word] for word in row]) if row is not None else np.array(next(whole).ids, self.dtype).tobytes() for row in words]
+            known.update(zip(new, self._encode_words(new)))
+        take = known.__getitem__
+        out = [b"".join(map(take, row)) if row is not None else np.array(next(whole).ids, self.dtype).tobytes() for row in words]
+        for word in new[max(0, len(new) - max(0, len(known) - CACHED_WORDS)) :]:  # what is beyond the bound leaves again
+            del known[word]
+        return out
 
     def _encode_words(self, words: list[str]) -> Iterable[bytes]:
         ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)

@@ -126,7 +126,7 @@ def test_conversations_respect_loss(spark, sf_dir):
 
 def tiny_model(n=40):
     counts = np.arange(n, dtype=float) ** 1.5
-    return attention.Model(counts, attention.Shape(width=8, context=4, stride=4, own_rows=n, shared_rows=2, choices=20, levels=6))
+    return attention.Model(counts, attention.Shape(width=8, context=4, stride=4, own_rows=n, shared_rows=2, choices=20, upper=6, upper_levels=3, lower_levels=4))
 
 
 def test_probabilities_sum_to_one_after_every_context():
@@ -134,7 +134,7 @@ def test_probabilities_sum_to_one_after_every_context():
     draw = np.random.default_rng(0)
     for name in model.TABLES[:6]:
         model.p[name] = model.p[name] + draw.standard_normal(model.p[name].shape).astype(np.float32) * 0.3
-    model.p["choice"][-1] = 0
+    model.p["choice"][6] = 0
     n = 40
     context = [39, 3, 5, 8, 2, 7, 7]
     rows = np.array([[*context, t] for t in range(n - 1)]).reshape(-1)
@@ -156,7 +156,8 @@ def test_attention_is_causal_and_windows_score_each_id_once():
     draw = np.random.default_rng(1)
     for name in model.TABLES[:4]:
         model.p[name] = model.p[name] + draw.standard_normal(model.p[name].shape).astype(np.float32)
-    model.p["choice"][:-1] = draw.standard_normal(model.p["choice"][:-1].shape)
+    model.p["choice"] = draw.standard_normal(model.p["choice"].shape).astype(np.float32)
+    model.p["choice"][6] = 0
     ids = np.r_[39, draw.integers(0, 39, 30)]
     whole = model.log_probabilities(ids, np.array([31]))
     changed = ids.copy()
