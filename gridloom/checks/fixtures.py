@@ -166,7 +166,7 @@ PORTABLE["v_result"] = """
         select case when component in ('click', 'view') then 'UC' else 'ED' end as problem,
           case when component = 'error' then 'dual' else 'variable' end as kind,
           case component when 'error' then 'CopperPlateBalanceConstraint' when 'click' then 'ActivePowerVariable'
-            when 'view' then 'StopVariable' else 'SystemBalanceSlackUp' end as entry,
+            when 'view' then 'StopVariable' when 'signup' then 'SystemBalanceSlackDown' else 'SystemBalanceSlackUp' end as entry,
           case component when 'click' then 'ThermalStandard' when 'view' then 'HydroDispatch'
             when 'error' then 'System' else 'Bus' end as comp_type,
           component, initial_time, step, ts, value

@@ -104,12 +104,11 @@ def pwl_cost(
     def cost(i: int) -> Column:
         return sampled_cost(F.col(f"output_point_{i}"), F.col(pmax), F.col(c0), F.col(c1), F.col(c2))
 
-    element = cost(0)
-    rates = {"heat_rate_avg_0": element}
-    for i in range(1, n + 1):
-        element = cost(i) - element
-        rates[f"heat_rate_incr_{i}"] = element
-    return out.withColumns(rates)
+    out, before = out.withColumn("heat_rate_avg_0", cost(0)), "heat_rate_avg_0"
+    for i in range(1, n + 1):  # each element from the column before it, so expressions stay short
+        out = out.withColumn(f"heat_rate_incr_{i}", cost(i) - F.col(before))
+        before = f"heat_rate_incr_{i}"
+    return out
 
 
 def prefix_name(df: DataFrame, prefix: str, id_col: str, out: str = "name") -> DataFrame:

@@ -13,13 +13,16 @@ from gridloom.session import fresh_path
 
 
 def stack_offsets(
-    df: DataFrame, ts: str = "ts", category: str = "category", value: str = "value", out: str = "top"
+    df: DataFrame, ts: str = "ts", category: str = "category", value: str = "value", out: str = "top", block: Column | None = None
 ) -> DataFrame:
     """Running sum across categories at each stamp.
 
-    Rows are summed per (stamp, category) first, so a window holds one row per category.
+    Rows are summed per (stamp, category) first, so a window holds one row per category. Where categories are
+    components, `block`, an expression that never falls along the category, cuts the window.
     """
     total = df.groupBy(ts, category).agg(F.sum(value).alias(value))
+    if block is not None:
+        return running_total(total, [ts], [category], value, block, out)
     up_to = Window.partitionBy(ts).orderBy(category).rowsBetween(Window.unboundedPreceding, 0)
     return total.withColumn(out, F.sum(value).over(up_to))
 

@@ -184,6 +184,8 @@ def test_approx_equal_flags_missing_rows(spark):
 def test_stack_offsets_sum_duplicates_first(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", 4.0)], "ts int, category string, value double")
     assert [(r.category, r.top) for r in M.stack_offsets(df).orderBy("category").collect()] == [("a", 3.0), ("b", 7.0)]
+    blocked = M.stack_offsets(df, block=F.ascii("category"))
+    assert [(r.category, r.top) for r in blocked.orderBy("category").collect()] == [("a", 3.0), ("b", 7.0)]
 
 
 @pytest.mark.parametrize("band", ["price", "data"])
