@@ -13,7 +13,7 @@ whole group is left out as soon as they exceed the distance.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -243,6 +243,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", no
     sorted_nodes = placed.withColumn("rank", rank).repartition(width, "node", "pattern").sortWithinPartitions("node", "pattern", "rank").select("node", "pattern", "print")
     edges = sorted_nodes.mapInArrow(_node_edges, "a long, b long")
     roots = components(edges)
+    return named_rows(rows, distinct, roots, key)
+
+
+def named_rows(rows: DataFrame, distinct: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """(key, fingerprint, component_id, root) of `rows` (key, print), given the smallest key of each print and the roots of linked ones."""
     rooted = distinct.join(roots, distinct.print == roots.node, "left").select("print", "smallest", F.coalesce("root", "print").alias("root"))
     rooted = written(rooted, "rooted")
     reach = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
@@ -261,8 +266,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", node_l
     return keep_smallest(docs, found, key, text)
 
 
-def keep_smallest(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` names as the smallest of their component.
+def keep_smallest(docs: DataFrame, found: DataFrame, key: str, text: str, print_of: Callable[[bytes], int] = fingerprint) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` names as the smallest of their component; its fingerprints are made by `print_of`.
 
     Only keys move: those of rows to be left out, and those that several rows share, which are settled apart.
     """
@@ -278,12 +283,12 @@ def keep_smallest(docs: DataFrame, found: DataFrame, key: str, text: str) -> Dat
     if unnamed.isEmpty():
         return kept
     roots = unnamed.select(F.col("fingerprint").alias("__print"), F.col("root").alias("__root")).distinct()
-    lost = fingerprints_of_unnamed(docs, key, text).join(roots, "__print")
+    lost = fingerprints_of_unnamed(docs, key, text, print_of).join(roots, "__print")
     first = lost.groupBy("__root").agg(F.min(rank).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))
     return kept.unionByName(first)
 
 
-def fingerprints_of_unnamed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def fingerprints_of_unnamed(docs: DataFrame, key: str, text: str, print_of: Callable[[bytes], int] = fingerprint) -> DataFrame:
     """The rows with a null key and their fingerprints."""
     unnamed = docs.where(F.col(key).isNull())
 
@@ -291,6 +296,6 @@ def fingerprints_of_unnamed(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             texts = [b"" if t is None else t.encode() for t in batch.column(at).to_pylist()]
-            yield batch.append_column("__print", pa.array([f"{fingerprint(t):016x}" for t in texts]))
+            yield batch.append_column("__print", pa.array([f"{print_of(t):016x}" for t in texts]))
 
     return unnamed.mapInArrow(run, StructType([*unnamed.schema.fields, StructField("__print", StringType())]))
