@@ -5,8 +5,8 @@ Word counts: each task counts its texts, Spark adds the counts up. Words that ar
 is joined with the whole table of counts, so no word is left out and none goes to the driver.
 
 Attention model: ids are made once and stored. Their counts over all training texts shape the model's tree and its
-odds. In each round every task starts from the same parameters and takes steps on a fixed share of the windows of every one of its
-training texts; the moves are averaged, each parameter weighted by the gradients it has seen. Blocks of parameters
+odds. Every window of every training text is a step of one of the rounds, drawn by hash. In each round every task starts from
+the same parameters and takes steps on the round's windows of its texts; the moves are averaged, each parameter weighted by the gradients it has seen. Blocks of parameters
 are added up by Spark, so that what a task or the driver holds is the size of one model.
 """
 
@@ -30,8 +30,7 @@ from gridloom.session import fresh_path
 
 #: Bound of the word table that every task gets.
 FREQUENT_WORDS = 200_000
-#: Of the windows of every training text, one in so many is a training step of a round.
-WINDOWS_PER_STEP = 32
+#: Rounds that share the windows of all training texts among them.
 ROUNDS = 2
 #: Distinct words that a counting task holds before it passes them on.
 HELD_WORDS = 250_000
@@ -186,8 +185,15 @@ def id_counts(ids: DataFrame, path: str) -> np.ndarray:
     return out
 
 
-def trained(ids: DataFrame, path: str, shape: Shape = Shape(), rounds: int = ROUNDS, windows_per_step: int = WINDOWS_PER_STEP) -> Model:
-    """The model after `rounds` of averaged steps over all training texts."""
+def rounds_of_windows(sums: np.ndarray, first: np.ndarray, text: np.ndarray, rounds: int) -> np.ndarray:
+    """The round in which each window is a training step, given the sums of the texts and `Model.windows`."""
+    draw = sums.view(np.uint64)[text] + first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    draw = (draw ^ draw >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((draw >> np.uint64(33)) % np.uint64(rounds)).astype(np.int64)
+
+
+def trained(ids: DataFrame, path: str, shape: Shape = Shape(), rounds: int = ROUNDS) -> Model:
+    """The model after `rounds` of averaged steps, which take every window of all training texts once."""
     context = ids.sparkSession.sparkContext
     model = Model(id_counts(ids, path), shape)
     dtype, mark = encoder(path).dtype, encoder(path).size
@@ -203,9 +209,7 @@ def trained(ids: DataFrame, path: str, shape: Shape = Shape(), rounds: int = ROU
                 texts = [np.frombuffer(x.as_py(), dtype) for x in batch.column(1)]
                 row, ends = rows_of_texts(iter(texts), mark)
                 first, text = own.windows(row, ends)
-                draw = np.array(batch.column(0).to_pylist(), np.int64).view(np.uint64)[text] + first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(round_)
-                draw = (draw ^ draw >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
-                own.train(row, ends, np.flatnonzero((draw >> np.uint64(33)) % np.uint64(windows_per_step) == 0), memory)
+                own.train(row, ends, np.flatnonzero(rounds_of_windows(np.array(batch.column(0).to_pylist(), np.int64), first, text, rounds) == round_), memory)
             seen = np.concatenate([memory[name].reshape(-1) for name in own.TABLES]) - np.float32(0.1)
             moved = (own.flat() - before) * seen
             own.p = own.unflattened(before)  # the worker keeps the broadcast model for its next task

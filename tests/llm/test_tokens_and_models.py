@@ -218,6 +218,20 @@ def test_no_documents_to_score(no_docs):
     assert language_model.scored_documents(no_docs).count() == 0
 
 
+def test_every_window_of_every_text_is_trained_once(spark):
+    model = tiny_model()
+    rows, ends = attention.rows_of_texts((np.full(n, 3) for n in (0, 1, 5, 400)), 39)
+    first, text = model.windows(rows, ends)
+    sums = np.array([-5, 0, 7, 1 << 62])
+    for rounds in (1, 2, 5):
+        assert set(language_model.rounds_of_windows(sums, first, text, rounds)) <= set(range(rounds))
+    path = language_model.default_path()
+    tool = language_model.encoder(path)
+    for ids in tool.encode(["one", "other words", "third text"]):  # texts of one window each
+        table = spark.createDataFrame([(len(ids) * 12345, False, bytearray(ids))], "sum long, held boolean, ids binary")
+        assert np.abs(language_model.trained(table, path).p["choice"]).sum() > 0
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 
