@@ -28,6 +28,7 @@ class Shape:
     shared_rows: int = 512
     choices: int = 512
     upper: int = 64
+    #: Places for learned choices on a path, at least; a tree takes as many as its longest path needs.
     upper_levels: int = 7
     lower_levels: int = 4
 
@@ -36,6 +37,8 @@ class Shape:
 CERTAIN = 1e4
 #: Scores are held below this, whose exponential a 32-bit sum still holds.
 LARGEST = np.float32(60)
+#: Choices whose odds are multiplied at once, each below e^50 + 1.
+LEVELS_AT_ONCE = 14
 TINY = np.float32(1e-30)
 
 
@@ -58,8 +61,15 @@ class Huffman:
         inner = np.argsort(-total[n:], kind="stable") + n
         rank = np.full(2 * n - 1, -1)
         rank[inner] = np.arange(n - 1)
+        # learned choices on the path to each inner node; parents are heavier than their children, so they come first
+        depth = np.zeros((2, 2 * n - 1), np.int64)
+        for r, node in enumerate(inner[: shape.choices].tolist()):
+            if parent[node] >= 0:
+                depth[:, node] = depth[:, parent[node]]
+            depth[int(r >= shape.upper), node] += 1
+        self.upper_levels, lower_levels = (max(int(d.max()), least) for d, least in zip(depth, (shape.upper_levels, shape.lower_levels)))
         # the upper choices come first, then the lower ones; free places hold a choice without alternative, number `upper`
-        levels = shape.upper_levels + shape.lower_levels
+        levels = self.upper_levels + lower_levels
         self.node = np.full((n, levels), shape.upper, np.int32)
         self.sign = np.ones((n, levels), np.float32)
         self.rest = np.zeros(n)
@@ -70,8 +80,7 @@ class Huffman:
         first[parent[child[ones]]] = total[child[ones]]
         share = first[inner] / total[inner]
         odds[:] = np.log(share / (1 - share))
-        used = np.stack([np.zeros(n, np.int64), np.full(n, shape.upper_levels)])
-        room = np.array([shape.upper_levels, levels])
+        used = np.stack([np.zeros(n, np.int64), np.full(n, self.upper_levels)])
         at = np.arange(n)
         while True:
             up = parent[at]
@@ -81,7 +90,7 @@ class Huffman:
             ids = np.flatnonzero(alive)
             r, s = rank[up[ids]], side[at[ids]]
             half = (r >= shape.upper).astype(np.int64)
-            learned = (r < shape.choices) & (used[half, ids] < room[half])
+            learned = r < shape.choices
             where, h = ids[learned], half[learned]
             self.node[where, used[h, where]] = r[learned] + h
             self.sign[where, used[h, where]] = 2.0 * s[learned] - 1
@@ -174,7 +183,7 @@ class Model:
         steps = np.arange(self.shape.stride)
         node, sign, rest = self.tree.node, self.tree.sign, self.tree.rest
         choice, odds = self.p["choice"], self.p["odds"]
-        u, k = self.shape.upper, self.shape.upper_levels
+        u, k = self.shape.upper, self.tree.upper_levels
         for lo in range(0, len(start), at_once):
             first, of = start[lo : lo + at_once], text[lo : lo + at_once]
             h = self._attend(rows, first, begin[of], ends[of])["h"]
@@ -192,7 +201,7 @@ class Model:
             np.minimum(z, np.float32(50), out=z)
             np.exp(z, out=z)
             z += 1
-            out[place] = rest[target] - np.log(z.prod(1, dtype=np.float64))
+            out[place] = rest[target] - sum(np.log(z[:, at : at + LEVELS_AT_ONCE].prod(1, dtype=np.float64)) for at in range(0, z.shape[1], LEVELS_AT_ONCE))
         return out
 
     def train(self, ids: np.ndarray, ends: np.ndarray, chosen: np.ndarray, memory: dict[str, np.ndarray], rate: float = 0.08, at_once: int = 64) -> None:

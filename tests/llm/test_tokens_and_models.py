@@ -144,6 +144,19 @@ def test_probabilities_sum_to_one_after_every_context():
     assert np.exp(some).sum() + np.exp(only) == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("power", [1.0, 1.5, 3.0])
+def test_probabilities_of_the_production_shape_sum_to_one_on_skewed_counts(power):
+    n = 3000
+    model = attention.Model(1e8 / np.arange(1.0, n + 1) ** power)
+    draw = np.random.default_rng(4)
+    model.p["choice"] = draw.standard_normal(model.p["choice"].shape).astype(np.float32)
+    model.p["choice"][model.shape.upper] = 0
+    rows = np.array([[n - 1, 2, 5, t] for t in range(n - 1)]).reshape(-1)
+    some = model.log_probabilities(rows, np.arange(1, n) * 4)[2::4]
+    only = model.log_probabilities(np.array([n - 1, 2, 5]), np.array([3]))[-1]
+    assert np.exp(some.astype(float)).sum() + np.exp(float(only)) == pytest.approx(1, abs=1e-3)
+
+
 def test_untrained_model_is_the_unigram_model():
     model = tiny_model()
     counts = np.arange(40.0) ** 1.5 + 0.5
