@@ -22,8 +22,8 @@ class Shape:
     """Sizes of the model; none depends on the corpus."""
 
     width: int = 16
-    context: int = 8
-    stride: int = 16
+    context: int = 64
+    stride: int = 32
     own_rows: int = 4096
     shared_rows: int = 512
     choices: int = 512

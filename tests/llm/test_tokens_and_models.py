@@ -182,6 +182,17 @@ def test_attention_is_causal_and_windows_score_each_id_once():
     assert first.tolist() == [*range(0, 31, 4), *range(31, 62, 4)] and text.tolist() == [0] * 8 + [1] * 8
 
 
+def test_each_id_sees_at_least_sixty_four_before_it():
+    model = attention.Model(np.arange(100.0))
+    draw = np.random.default_rng(6)
+    model.p["choice"] = draw.standard_normal(model.p["choice"].shape).astype(np.float32)
+    ids = np.r_[99, draw.integers(0, 99, 200)]
+    whole, changed = model.log_probabilities(ids, np.array([201])), ids.copy()
+    changed[60] = (ids[60] + 1) % 99
+    moved = np.abs(model.log_probabilities(changed, np.array([201])) - whole) > 0
+    assert moved[61:125].mean() > 0.9 and not moved[:59].any()
+
+
 def test_gradients_raise_the_likelihood_of_held_out_text():
     draw = np.random.default_rng(2)
 
