@@ -3,8 +3,9 @@
 The field scores whole candidate segments: number of digits, checksum, parts, separators, shape and
 the characters and the word around it. A dynamic program over the cuts of a region picks
 boundaries and kinds together; a segment has a bounded number of pieces, so the work is linear in the
-text. Only stretches around a digit or an at sign can hold a segment; elsewhere every piece is
-outside whatever the weights are, so leaving those out changes no result.
+text. Only regions around a digit or an at sign are looked at: `BEFORE` characters before the first one and `AFTER` behind
+the last. Base spans do not depend on regions. An added span is bounded by them: of a segment that reaches further
+from its digit or at sign, such as a long host name behind a spaced at sign, the field sees and marks a part at most.
 """
 
 from __future__ import annotations
