@@ -4,8 +4,8 @@ Items are put into classes by the power of two of their number of distinct shing
 represented by the smallest hashes of its shingles, a bottom-m MinHash sketch; m is fixed by the
 class so that an item of which at least the threshold is contained in a document shares at
 least one sketch hash with it. A document that holds `n - f` of `n` shingles misses `f` at most, so
-it holds `m - f` or more of the sketch: the search loses nothing. Documents have size classes too;
-one that is too small to hold the item is no candidate.
+it holds `m - f` or more of the sketch: the search loses nothing. Only items have size classes;
+a document that is too small to hold an item may be a candidate and falls to the verification.
 """
 
 from __future__ import annotations
