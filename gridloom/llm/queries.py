@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, language_model, packing, pii, repetition, simhash, token_files, transducer, url_rules, warc
+from gridloom.llm import decontaminate, language_model, line_dedup, packing, pii, repetition, simhash, token_files, transducer, url_rules, warc
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -54,6 +54,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repetition": op2_repetition,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": op8_url_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -91,4 +96,13 @@ ORACLES: dict[str, str] = {
         m as (select *, max(page_id) over (partition by payload_digest) as first from p)
         select page_id, payload_bytes, payload_digest, case when payload_bytes >= 1000 and page_id < first then 'revisit' else 'response' end as record_type,
             case when payload_bytes >= 1000 and page_id < first then first end as refers_to from m""",
+    "op11_line_dedup": """
+        with rows as (select doc_id, string_split(coalesce(text, ''), chr(10)) as own from documents),
+        lines as (select doc_id, unnest(own) as line, unnest(range(1, len(own) + 1)) as place from rows),
+        keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+        held as (select key, max(doc_id) as holder from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+        judged as (select k.*, h.holder is not null and h.holder <> k.doc_id as gone from keyed k left join held h on k.key = h.key)
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+        from judged group by doc_id""",
 }
