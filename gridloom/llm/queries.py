@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, language_model, line_dedup, packing, pii, repetition, simhash, token_files, transducer, url_rules, warc
+from gridloom.llm import decontaminate, language_model, line_dedup, packing, pii, prefix_trie, repetition, simhash, token_files, transducer, url_rules, warc
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -58,6 +58,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repetition": op2_repetition,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
     "op11_line_dedup": op11_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -105,4 +110,24 @@ ORACLES: dict[str, str] = {
         select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
             sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
         from judged group by doc_id""",
+    "op12_prefix_trie": """
+        with own as (select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} order by turn nulls first) as turns from conversations group by conv_id),
+        steps as (select *, flatten(list_transform(string_split(conv_id::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])) as steps from own),
+        cut as (select *, xor(list_reduce(list_prepend(4294967295, steps), lambda crc, x: case when x >= 0 then xor(crc, x) else xor(crc >> 1, 3988292384 * (crc & 1)) end), 4294967295) % 6 as h from steps),
+        rebuilt as (
+            select c.conv_id, list_concat(coalesce(o.turns[1:c.h], []), c.turns[c.h + 1:]) as turns
+            from cut c left join own o on o.conv_id = c.conv_id - c.conv_id % 100),
+        members as (select conv_id, d, turns[1:d] as path, len(turns) = d as ends from (select *, unnest(range(0, len(turns) + 1)) as d from rebuilt)),
+        nodes as (
+            select d, path, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+            from members group by d, path),
+        children as (select path[1:d - 1] as path, d - 1 as d, count(*) as n from nodes where d > 0 group by all),
+        counted as (
+            select n.*, coalesce(c.n, 0) as n_children, case when n.d = 0 then 0 else (n.n_convs - 1) * length(n.path[n.d].text) end as saved
+            from nodes n left join children c on n.d = c.d and n.path = c.path),
+        under as (
+            select k as d, path[1:k] as path, count(*) filter (where n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+            from (select *, unnest(range(0, d + 1)) as k from counted) group by all)
+        select c.conv_id, c.d as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, u.n_leaves, u.saved_tokens, c.ends_sha256
+        from counted c join under u on c.d = u.d and c.path = u.path left join nodes p on p.d = c.d - 1 and p.path = c.path[1:c.d - 1]""",
 }
