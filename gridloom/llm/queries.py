@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, language_model, line_dedup, packing, pii, prefix_trie, repetition, simhash, token_files, transducer, url_rules, warc
+from gridloom.llm import alignment, decontaminate, language_model, line_dedup, packing, pii, prefix_trie, repetition, simhash, token_files, transducer, url_rules, warc
 from gridloom.llm.common import table
 
 #: The rules of the URL query: host, path, action.
@@ -62,6 +62,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_links(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repetition": op2_repetition,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_line_dedup": op11_line_dedup,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
