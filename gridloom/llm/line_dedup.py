@@ -295,7 +295,8 @@ def without_shared_lines(docs: DataFrame, limits: Limits = Limits(), key: str =
     indexes = indexes.withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
     answers = written(_answers(_probes(lines, shards, copies), indexes, limits.documents), "line-answers")
     dropped = _dropped(lines, answers).groupBy("doc").agg(F.collect_set("drops").alias("drops"))
-    met = rows.join(written(dropped, "line-drops"), "doc", "left")
+    # By shuffle at every size: what documents lose grows with them, so it is never sent to all tasks.
+    met = rows.join(written(dropped, "line-drops").hint("merge"), "doc", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
