@@ -260,64 +260,72 @@ def _(t: Tables) -> DataFrame:
 _MARKS = ["BUS", "LOAD", "FIXED SHUNT", "GENERATOR", "BRANCH", "TRANSFORMER", "AREA", *["OTHER"] * 5, "ZONE", *["OTHER"] * 6]
 
 
+def _block(bus: str) -> Column:
+    return F.floor(F.col(bus) / 1000).alias("block")
+
+
 def raw_case_files(t: Tables) -> str:
-    """A raw file per zone, written and named by zone: its buses, loads, shunts, plants, lines and transformers.
+    """A raw file per zone and block of bus numbers, named by both: its buses, loads, shunts, plants, lines and transformers.
 
-    Branches of urgent orders are two-winding transformers, those of high ones three-winding; ends may lie
-    in another zone. The base power is 50 plus the zone's number.
+    So the number of files grows with the table, and a file holds some dozens of buses. Branches of urgent orders are
+    two-winding transformers, those of high ones three-winding; ends may lie in another case. The base power is
+    50 plus the zone's number.
     """
-    zone = lambda df: df.join(t.v_bus.select(F.col("bus_id").alias("at"), "zone_id"), F.col("from_bus_id") == F.col("at")).drop("at")
+    case = ["zone", "block"]
+    place = t.v_bus.select(F.col("bus_id").alias("at"), F.col("zone_id").alias("zone"), _block("bus_id"))
+    placed = lambda df, bus: df.join(place, F.col(bus) == F.col("at")).drop("at")
     line = lambda *parts: F.concat_ws(", ", *(F.lit(p) if isinstance(p, str) else p for p in parts))
     number = lambda c: F.col(c).cast("string")
-    bus = t.v_bus.withColumn("code", F.when(F.col("type") == 1, "2").when(F.col("type") == 2, "1").otherwise(number("type")))
-    branch = zone(t.v_branch)
+    bus = t.v_bus.select("*", F.col("zone_id").alias("zone"), _block("bus_id")).withColumn("code", F.when(F.col("type") == 1, "2").when(F.col("type") == 2, "1").otherwise(number("type")))
+    branch = placed(t.v_branch, "from_bus_id")
     kind = F.col("priority")
     two = F.concat_ws("\n", line(number("from_bus_id"), number("to_bus_id"), "0", F.concat(F.lit("'"), number("branch_id"), F.lit("'")), "1, 1, 1, 0, 0, 2, 'BANK  ', 1"), line(number("r"), number("x"), "100"), line("1.05, 0, 0", number("rate")), F.lit("1.0, 0"))
     three = F.concat_ws(
         "\n", line(number("from_bus_id"), number("to_bus_id"), "999999999", F.concat(F.lit("'"), number("branch_id"), F.lit("'")), "1, 1, 1, 0, 0, 2, 'STAR', 1"),
         line(number("r"), number("x"), "100", number("r"), number("x"), "100", number("r"), number("x"), "100, 1, 0"), F.lit("1.0, 0"), F.lit("1.0, 0"), F.lit("1.0, 0"),
     )
+    zones = bus.select(*case).distinct().join(t.v_zone.select(F.col("zone_id").alias("zone"), "zone_name"), "zone")
     parts = [
-        (0, bus.select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), F.col("bus_name"), F.lit("  '")), number("base_kv"), F.col("code"), "1", number("zone_id"), "1, 1.01", number("va"), "1.1, 0.9").alias("line"))),
-        (1, bus.select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), "'L1', 1, 1", number("zone_id"), number("pd"), number("qd"), "0, 0, 0, 0, 1").alias("line"))),
-        (2, bus.where("type = 2").select("zone_id", F.col("bus_id").alias("id"), line(number("bus_id"), "'S', 1, 0.5", number("pd")).alias("line"))),
-        (3, t.v_plant.join(t.v_bus.select("bus_id", "zone_id"), "bus_id").select("zone_id", F.col("plant_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), number("plant_id"), F.lit("'")), "0, 0, 9, -9, 1, 0, 100, 0, 1, 0, 0, 1, 1, 100", number("pmax"), number("pmin")).alias("line"))),
-        (4, branch.where(~kind.isin("1-URGENT", "2-HIGH")).select("zone_id", F.col("branch_id").alias("id"), line(number("from_bus_id"), number("to_bus_id"), F.concat(F.lit("'"), number("branch_id"), F.lit("'")), number("r"), number("x"), number("b"), number("rate"), "0, 0, 0, 0, 0, 0, 1").alias("line"))),
-        (5, branch.where(kind == "1-URGENT").select("zone_id", F.col("branch_id").alias("id"), two.alias("line"))),
-        (5, branch.where(kind == "2-HIGH").select("zone_id", F.col("branch_id").alias("id"), three.alias("line"))),
-        (6, t.v_zone.select("zone_id", F.col("zone_id").alias("id"), line("1, 0, 0, 10, 'AREA'").alias("line"))),
-        (12, t.v_zone.select("zone_id", F.col("zone_id").alias("id"), line(number("zone_id"), F.concat(F.lit("'"), F.col("zone_name"), F.lit("'"))).alias("line"))),
+        (0, bus.select(*case, F.col("bus_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), F.col("bus_name"), F.lit("  '")), number("base_kv"), F.col("code"), "1", number("zone_id"), "1, 1.01", number("va"), "1.1, 0.9").alias("value"))),
+        (1, bus.select(*case, F.col("bus_id").alias("id"), line(number("bus_id"), "'L1', 1, 1", number("zone_id"), number("pd"), number("qd"), "0, 0, 0, 0, 1").alias("value"))),
+        (2, bus.where("type = 2").select(*case, F.col("bus_id").alias("id"), line(number("bus_id"), "'S', 1, 0.5", number("pd")).alias("value"))),
+        (3, placed(t.v_plant, "bus_id").select(*case, F.col("plant_id").alias("id"), line(number("bus_id"), F.concat(F.lit("'"), number("plant_id"), F.lit("'")), "0, 0, 9, -9, 1, 0, 100, 0, 1, 0, 0, 1, 1, 100", number("pmax"), number("pmin")).alias("value"))),
+        (4, branch.where(~kind.isin("1-URGENT", "2-HIGH")).select(*case, F.col("branch_id").alias("id"), line(number("from_bus_id"), number("to_bus_id"), F.concat(F.lit("'"), number("branch_id"), F.lit("'")), number("r"), number("x"), number("b"), number("rate"), "0, 0, 0, 0, 0, 0, 1").alias("value"))),
+        (5, branch.where(kind == "1-URGENT").select(*case, F.col("branch_id").alias("id"), two.alias("value"))),
+        (5, branch.where(kind == "2-HIGH").select(*case, F.col("branch_id").alias("id"), three.alias("value"))),
+        (6, zones.select(*case, F.col("zone").alias("id"), F.lit("1, 0, 0, 10, 'AREA'").alias("value"))),
+        (12, zones.select(*case, F.col("zone").alias("id"), line(number("zone"), F.concat(F.lit("'"), F.col("zone_name"), F.lit("'"))).alias("value"))),
     ]
-    rows = [df.select("zone_id", F.lit(n).alias("section"), "id", "line") for n, df in parts]
-    ends = t.v_zone.select("zone_id", F.posexplode(F.array(*(F.lit(f"0 / END OF {m} DATA") for m in _MARKS))).alias("section", "line"))
-    rows.append(ends.select("zone_id", "section", F.lit(2**62).alias("id"), "line"))
-    head = F.concat(F.lit("0, "), (F.col("zone_id") + 50).cast("string"), F.lit(", 33, 0, 1, 60.0 / case\ntitle\n"))
-    rows.append(t.v_zone.select("zone_id", F.lit(-1).alias("section"), F.lit(0).cast("long").alias("id"), head.alias("line")))
+    rows = [df.select(*case, F.lit(n).alias("section"), "id", "value") for n, df in parts]
+    ends = zones.select(*case, F.posexplode(F.array(*(F.lit(f"0 / END OF {m} DATA") for m in _MARKS))).alias("section", "value"))
+    rows.append(ends.select(*case, "section", F.lit(2**62).alias("id"), "value"))
+    head = F.concat(F.lit("0, "), (F.col("zone") + 50).cast("string"), F.lit(", 33, 0, 1, 60.0 / case\ntitle\n"))
+    rows.append(zones.select(*case, F.lit(-1).alias("section"), F.lit(0).cast("long").alias("id"), head.alias("value")))
     out = rows[0]
     for part in rows[1:]:
         out = out.unionByName(part)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "id", "line"))), lambda r: r["line"]), "\n")
     folder = fresh_path(t.spark, "raw-cases")
-    out.groupBy("zone_id").agg(text.alias("value")).select("value", F.col("zone_id").alias("zone")).write.partitionBy("zone").text(folder)
+    out.repartition(*case).sortWithinPartitions(*case, "section", "id").select("value", *case).write.partitionBy(*case).text(folder)
     return folder
 
 
-def _case() -> Column:
-    return F.regexp_extract("case_id", "zone=([0-9]+)", 1).cast("long").alias("zone_id")
+def _case() -> list[Column]:
+    return [F.regexp_extract("case_id", f"{name}=([0-9]+)", 1).cast("long").alias(out) for name, out in (("zone", "zone_id"), ("block", "block"))]
 
 
 @query(
     "ingest_raw_cases",
-    """with br as (select b.*, z.zone_id from v_branch b join v_bus z on z.bus_id = b.from_bus_id)
-    select zone_id, 'bus' as section, bus_id as id, bus_name as label, base_kv as value, cast(va as double) as other from v_bus
-    union all select zone_id, 'load', bus_id, 'L1', cast(pd as double), cast(qd as double) from v_bus
-    union all select zone_id, 'fixed_shunt', bus_id, 'S', 0.5, cast(pd as double) from v_bus where type = 2
-    union all select b.zone_id, 'generator', p.bus_id, cast(plant_id as varchar), pmax, pmin from v_plant p join v_bus b on b.bus_id = p.bus_id
-    union all select zone_id, 'branch', from_bus_id, cast(branch_id as varchar), x, rate from br where priority not in ('1-URGENT', '2-HIGH')
-    union all select zone_id, 'transformer', from_bus_id, cast(branch_id as varchar), x, case priority when '1-URGENT' then 1.05 else 1.0 end from br where priority in ('1-URGENT', '2-HIGH')
-    union all select zone_id, 'area', 1, 'AREA', 0, 10 from v_zone
-    union all select zone_id, 'zone', zone_id, zone_name, null, null from v_zone
-    union all select zone_id, 'header', 33, '', zone_id + 50, 60 from v_zone""",
+    """with bus as (select *, bus_id // 1000 as block from v_bus), br as (select b.*, z.zone_id, z.block from v_branch b join bus z on z.bus_id = b.from_bus_id),
+    zones as (select distinct b.zone_id, block, zone_name from bus b join v_zone z on z.zone_id = b.zone_id)
+    select zone_id, block, 'bus' as section, bus_id as id, bus_name as label, base_kv as value, cast(va as double) as other from bus
+    union all select zone_id, block, 'load', bus_id, 'L1', cast(pd as double), cast(qd as double) from bus
+    union all select zone_id, block, 'fixed_shunt', bus_id, 'S', 0.5, cast(pd as double) from bus where type = 2
+    union all select b.zone_id, block, 'generator', p.bus_id, cast(plant_id as varchar), pmax, pmin from v_plant p join bus b on b.bus_id = p.bus_id
+    union all select zone_id, block, 'branch', from_bus_id, cast(branch_id as varchar), x, rate from br where priority not in ('1-URGENT', '2-HIGH')
+    union all select zone_id, block, 'transformer', from_bus_id, cast(branch_id as varchar), x, case priority when '1-URGENT' then 1.05 else 1.0 end from br where priority in ('1-URGENT', '2-HIGH')
+    union all select zone_id, block, 'area', 1, 'AREA', 0, 10 from zones
+    union all select zone_id, block, 'zone', zone_id, zone_name, null, null from zones
+    union all select zone_id, block, 'header', 33, '', zone_id + 50, 60 from zones""",
 )
 def _(t: Tables) -> DataFrame:
     s = R.ingest_raw_cases(t.spark, raw_case_files(t))
@@ -328,7 +336,7 @@ def _(t: Tables) -> DataFrame:
     }
     pick = lambda c, kind: F.lit(None).cast(kind) if c is None else F.lit("") if c == "" else F.col(c).cast(kind)
     parts = [
-        s[name].select(_case(), F.lit(name).alias("section"), pick(i, "long").alias("id"), pick(label, "string").alias("label"), pick(v, "double").alias("value"), pick(o, "double").alias("other"))
+        s[name].select(*_case(), F.lit(name).alias("section"), pick(i, "long").alias("id"), pick(label, "string").alias("label"), pick(v, "double").alias("value"), pick(o, "double").alias("other"))
         for name, (i, label, v, o) in columns.items()
     ]
     out = parts[0]
@@ -339,20 +347,21 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "raw_to_components",
-    """with br as (select b.*, f.zone_id, f.bus_name as fn, coalesce(o.bus_name, cast(b.to_bus_id as varchar)) as tn, f.zone_id + 50 as base
-      from v_branch b join v_bus f on f.bus_id = b.from_bus_id left join v_bus o on o.bus_id = b.to_bus_id and o.zone_id = f.zone_id),
-    ln as (select *, row_number() over (partition by zone_id order by branch_id) as k from br where priority not in ('1-URGENT', '2-HIGH'))
-    select zone_id, 'Line' as kind, fn || '-' || tn || '-i_' || k as name, rate / base as value from ln
-    union all select zone_id, 'TapTransformer', fn || '-' || tn || '-i_' || branch_id, 1.05 from br where priority = '1-URGENT'
-    union all select zone_id, 'Transformer3W', fn || '-' || tn || '-999999999-i_' || branch_id, x / 2 from br where priority = '2-HIGH'
-    union all select zone_id, 'FixedAdmittance', 'shunt-' || bus_id || '-S', cast(pd as double) / (zone_id + 50) from v_bus where type = 2
-    union all select zone_id, 'PowerLoad', 'load' || bus_id || 'L1', cast(pd as double) / (zone_id + 50) from v_bus
-    union all select b.zone_id, 'ThermalStandard', 'generator-' || p.bus_id || '-' || plant_id, sqrt((pmax / (zone_id + 50)) * (pmax / (zone_id + 50)) + (9 / cast(zone_id + 50 as double)) * (9 / cast(zone_id + 50 as double))) from v_plant p join v_bus b on b.bus_id = p.bus_id""",
+    """with bus as (select *, bus_id // 1000 as block from v_bus),
+    br as (select b.*, f.zone_id, f.block, f.bus_name as fn, coalesce(o.bus_name, cast(b.to_bus_id as varchar)) as tn, f.zone_id + 50 as base
+      from v_branch b join bus f on f.bus_id = b.from_bus_id left join bus o on o.bus_id = b.to_bus_id and o.zone_id = f.zone_id and o.block = f.block),
+    ln as (select *, row_number() over (partition by zone_id, block order by branch_id) as k from br where priority not in ('1-URGENT', '2-HIGH'))
+    select zone_id, block, 'Line' as kind, fn || '-' || tn || '-i_' || k as name, rate / base as value from ln
+    union all select zone_id, block, 'TapTransformer', fn || '-' || tn || '-i_' || branch_id, 1.05 from br where priority = '1-URGENT'
+    union all select zone_id, block, 'Transformer3W', fn || '-' || tn || '-999999999-i_' || branch_id, x / 2 from br where priority = '2-HIGH'
+    union all select zone_id, block, 'FixedAdmittance', 'shunt-' || bus_id || '-S', cast(pd as double) / (zone_id + 50) from bus where type = 2
+    union all select zone_id, block, 'PowerLoad', 'load' || bus_id || 'L1', cast(pd as double) / (zone_id + 50) from bus
+    union all select b.zone_id, block, 'ThermalStandard', 'generator-' || p.bus_id || '-' || plant_id, sqrt((pmax / (zone_id + 50)) * (pmax / (zone_id + 50)) + (9 / cast(zone_id + 50 as double)) * (9 / cast(zone_id + 50 as double))) from v_plant p join bus b on b.bus_id = p.bus_id""",
 )
 def _(t: Tables) -> DataFrame:
     tables = R.raw_to_components(R.ingest_raw_cases(t.spark, raw_case_files(t)))
     value = {"Line": "rate", "TapTransformer": "tap", "Transformer3W": "primary.x", "FixedAdmittance": "b", "PowerLoad": "active_power", "ThermalStandard": "rating"}
-    parts = [tables[kind].select(_case(), F.lit(kind).alias("kind"), "name", F.col(c).alias("value")) for kind, c in value.items()]
+    parts = [tables[kind].select(*_case(), F.lit(kind).alias("kind"), "name", F.col(c).alias("value")) for kind, c in value.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -370,7 +379,7 @@ def _(t: Tables) -> DataFrame:
         text("s_suppkey"), F.lit(",'EX',2,400.00\r\n         0.20000E-01    /"),
     )
     folder = fresh_path(t.spark, "dyr-cases")
-    t.supplier.select(record.alias("value")).repartition(4, "value").write.text(folder)
+    t.supplier.select(record.alias("value")).write.option("maxRecordsPerFile", 500).text(folder)
     out = R.ingest_dyr_cases(t.spark, folder)
     return out.select("bus", "model", "machine_id", F.size("params").alias("n_params"), F.col("params")[0].alias("first_param"))
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.series import normalize_series
 
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A cell and the comma before it: runs outside quotes, and quotes, which may hold commas. Possessive, so that a line is read once.
+_CELL = r',([^",]*+(?:"[^"]*+"?[^",]*+)*+)'
 
 # Fields of a pointer row, in file order.
 POINTER_SCHEMA = (
@@ -57,9 +58,10 @@ def write_ts_pointers(pointers: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def _cells(line: Column) -> Column:
-    """Cells of a CSV line, quotes taken off."""
-    cells = F.split(F.regexp_replace(line, "\r$", ""), _COMMA)
-    return F.transform(cells, lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
+    """Cells of a CSV line, quotes taken off; a quote that is not closed reaches to the end of the line."""
+    line = F.regexp_replace(line, "\r$", "")
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1)), lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.transform(F.split(line, ","), lambda c: F.trim(c)))
 
 
 def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -73,6 +75,11 @@ def _headers(lines: DataFrame, time_header: str) -> DataFrame:
     return lines.select("file", names.alias("names")).where(F.array_contains("names", time_header)).dropDuplicates(["file"])
 
 
+def _stamp(time_header: str) -> Column:
+    """The number of the time column in `names`, counted from zero."""
+    return F.array_position("names", F.lit(time_header)).cast("int") - 1
+
+
 def read_wide_series(spark: SparkSession, paths: str | Sequence[str], time_header: str = "DateTime") -> DataFrame:
     """Long rows (data_file, component_name, ts, value) of wide CSV files or folders of parts.
 
@@ -80,20 +87,33 @@ def read_wide_series(spark: SparkSession, paths: str | Sequence[str], time_heade
     the file's name. Files without the time column in a header give no rows.
     """
     lines = _lines(spark, paths)
-    return _long(lines, _headers(lines, time_header).select("file", "names", F.lit(None).alias("wanted")), time_header).select("data_file", "component_name", "ts", "value")
+    headers = _headers(lines, time_header).select("file", "names", _stamp(time_header).alias("stamp"))
+    rows = lines.join(headers, "file").select("file", "names", "stamp", _cells(F.col("value")).alias("cells")).where(F.get("cells", "stamp") != time_header)
+    zipped = F.arrays_zip(F.col("names"), F.col("cells"))
+    ts = F.get("cells", "stamp").try_cast("timestamp_ntz").alias("ts")
+    cells = rows.select("file", ts, F.explode(F.filter(zipped, lambda c: c["names"] != time_header)).alias("cell"))
+    return cells.select(F.col("file").alias("data_file"), F.col("cell.names").alias("component_name"), "ts", F.col("cell.cells").try_cast("double").alias("value"))
 
 
-def _long(lines: DataFrame, headers: DataFrame, time_header: str) -> DataFrame:
-    """Rows of `lines` unpivoted by `headers` (file, names, wanted); with `wanted`, a map from column to what is
-    known about it, only its columns."""
-    met = lines.join(headers, "file").select("file", "names", "wanted", _cells(F.col("value")).alias("cells"))
-    at = F.array_position("names", F.lit(time_header)).cast("int")
-    rows = met.where(F.get("cells", at - 1) != time_header).withColumn("ts", F.get("cells", at - 1).try_cast("timestamp_ntz"))
-    zipped = F.arrays_zip(F.col("names"), F.col("cells"))
-    cells = rows.select("file", "ts", "wanted", F.explode(F.filter(zipped, lambda c: c["names"] != time_header)).alias("cell"))
-    return cells.select(
-        F.col("file").alias("data_file"), F.col("cell.names").alias("component_name"), "ts", F.col("cell.cells").try_cast("double").alias("value"), "wanted"
-    )
+_KEPT = ("simulation", "category", "type", "name", "resolution", "scaling_factor_multiplier", "normalization_factor")
+
+
+def _pointed_lines(spark: SparkSession, data_root: str, pointers: DataFrame, time_header: str) -> DataFrame:
+    """(ts, cells, wanted): the lines of files that pointers name; `wanted` has the place in `cells` of each pointer of the file.
+
+    The places are found once per file, from its header. A pointer of a column that the file lacks is left out.
+    """
+    place = F.regexp_replace(F.regexp_replace("data_file", "^file:/*", "/"), "/$", "")
+    pointers = pointers.withColumn("data_file", place)
+    lines = _lines(spark, data_root)
+    headers = _headers(lines, time_header)
+    parent = F.regexp_replace("file", "/[^/]*$", "")
+    columns = headers.select("file", _stamp(time_header).alias("stamp"), F.explode(F.array("file", parent)).alias("data_file"), "names")
+    columns = columns.select("file", "stamp", "data_file", F.posexplode("names").alias("place", "component_name")).where(F.col("place") != F.col("stamp"))
+    # A file with the same name in several columns has the pointer for each of them.
+    known = columns.join(pointers, ["data_file", "component_name"]).groupBy("file", "stamp").agg(F.collect_list(F.struct("place", "component_name", *_KEPT)).alias("wanted"))
+    rows = lines.join(known, "file").select("stamp", "wanted", _cells(F.col("value")).alias("cells")).where(F.get("cells", "stamp") != time_header)
+    return rows.select(F.get("cells", "stamp").try_cast("timestamp_ntz").alias("ts"), "cells", "wanted")
 
 
 def read_ts_pointers(
@@ -102,23 +122,13 @@ def read_ts_pointers(
     """Series rows named by pointers: which file and column to attach, to what and how.
 
     Everything below `data_root` is one scan. A `data_file` is one CSV or a folder of parts. Pointers meet the
-    headers of the files first; of a file that no pointer names, and of columns without a pointer, nothing goes on.
+    headers of the files first, which gives each its place in a line; a line then takes out those places and no others.
     Pointers are one object per line or an array on one line; `multi_line` reads an array spread over lines.
     """
     pointers = spark.read.schema(POINTER_SCHEMA).json(pointer_path, multiLine=multi_line)
-    place = F.regexp_replace(F.regexp_replace("data_file", "^file:/*", "/"), "/$", "")
-    pointers = pointers.withColumn("data_file", place)
-    lines = _lines(spark, data_root)
-    headers = _headers(lines, time_header)
-    parent = F.regexp_replace("file", "/[^/]*$", "")
-    columns = headers.select("file", "names", F.explode(F.array("file", parent)).alias("data_file"))
-    columns = columns.select("file", "names", "data_file", F.explode("names").alias("component_name"))
-    kept = [c for c in ("simulation", "category", "type", "name", "resolution", "scaling_factor_multiplier", "normalization_factor")]
-    known = columns.join(pointers, ["data_file", "component_name"]).groupBy("file", "names").agg(F.collect_list(F.struct("component_name", *kept)).alias("wanted"))
-    long = _long(lines, known, time_header)
-    mine = F.filter("wanted", lambda w: w["component_name"] == F.col("component_name"))
-    rows = long.select("component_name", "ts", "value", F.explode(mine).alias("pointer"))
-    return rows.select("component_name", *(F.col(f"pointer.{c}").alias(c) for c in kept), "ts", "value")
+    lines = _pointed_lines(spark, data_root, pointers, time_header)
+    taken = F.transform("wanted", lambda w: F.struct(w["component_name"].alias("component_name"), *(w[c].alias(c) for c in _KEPT), F.get("cells", w["place"]).alias("cell")))
+    return lines.select("ts", F.inline(taken)).select("component_name", *_KEPT, "ts", F.col("cell").try_cast("double").alias("value"))
 
 
 def attach_pointer_series(series: DataFrame, fields: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
-"""Folders of raw grid files (version 33) and dynamic-model files.
+"""Folders of raw grid files (version 33) and dynamic-model files, of any number and size.
 
-A file is cut into the lines of its sections once, inside the row that holds it: no shuffle, work in
-proportion to the text. The lines are stored by section, so a section's table reads only its own.
+Files are read as lines in splits. A line's section is the number of end marks before it, its position the number of
+data lines before it in its section: sums inside a split, then over the splits of a file. The records are stored by
+section, so a section's table reads only its own.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 
 from gridloom.fixed import RAW_BUS_TYPES, RAW_SECTIONS
 from gridloom.functions.lookup import look_up
-from gridloom.session import fresh_path
+from gridloom.sources.split_lines import read_lines, running, stored, with_states
 
 # Three header lines, and the line that ends a section.
-_HEADER = r"^(?:[^\n]*\n){3}"
-_END = r"(?m)^[ \t]*0[ \t]*(?:/.*)?\r?$"
-_COMMENT = r"^((?:[^'/]|'[^']*')*)/.*$"
+_HEADER_LINES = 3
+_END = r"^[ \t]*0[ \t]*(?:/.*)?$"
+# A `/` outside quotes begins a remark. The runs are possessive: no step back, so no limit on a line's length.
+_COMMENT = r"^((?:[^'/]++|'[^']*+')*+)/.*$"
 
 _OWNERS = ", ".join(f"owner{i} int, share{i} double" for i in range(1, 5))
 
@@ -54,12 +56,6 @@ TRANSFORMER_FIELDS = [
 ]
 
 
-def read_case_texts(spark: SparkSession, path: str) -> DataFrame:
-    """One row (case_id, text) per file."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
-
-
 def _fields(line: Column, spec: str) -> Column:
     """Comma-separated fields with `'` quotes; missing tails and blanks are null, padding is trimmed.
 
@@ -77,55 +73,37 @@ def _fields(line: Column, spec: str) -> Column:
     return F.transform(F.array(F.from_csv(line, as_text, options)), typed)[0]
 
 
-def raw_headers(cases: DataFrame) -> DataFrame:
-    """(case_id, base_mva, revision, frequency ..) from the first line of each case."""
-    return cases.select("case_id", _header().alias("header")).select("case_id", "header.*")
+def raw_headers(lines: DataFrame) -> DataFrame:
+    """(case_id, base_mva, revision, frequency ..) from the first line of each file."""
+    first = lines.where("line = 1").select(F.col("file").alias("case_id"), _fields(F.col("value"), HEADER_FIELDS).alias("header"))
+    return first.select("case_id", "header.*")
 
 
-def _header() -> Column:
-    first = F.regexp_replace(F.substring_index("text", "\n", 1), "\r", "")
-    return _fields(F.trim(F.regexp_replace(first, _COMMENT, "$1")), HEADER_FIELDS)
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their number in the file, without remarks; `ends` says whether a line ends a section."""
+    plain = F.trim(F.regexp_replace("value", _COMMENT, "$1"))
+    lines = stored(lines.select("file", "split", "at", F.col("value").rlike(_END).alias("ends"), plain.alias("value")), "raw-lines")
+    return running(lines, F.lit(1), "line").withColumn("ends", F.col("ends") & (F.col("line") > _HEADER_LINES))
 
 
-def _pieces(cases: DataFrame) -> DataFrame:
-    """(case_id, base_mva, section, lines): the non-empty data lines of each section of each case."""
-    body = F.split(F.regexp_replace("text", _HEADER, ""), _END)
-    split = cases.select("case_id", _header().alias("header"), F.posexplode(body).alias("number", "piece"))
-    split = split.select("case_id", F.coalesce("header.base_mva", F.lit(100.0)).alias("base_mva"), "number", "piece")
-    names = F.array(*map(F.lit, RAW_SECTIONS))
-    lines = F.transform(F.split("piece", "\r?\n"), lambda line: F.trim(F.regexp_replace(line, _COMMENT, "$1")))
-    kept = F.filter(lines, lambda line: ~line.isin("", "Q"))
-    return split.select("case_id", "base_mva", F.try_element_at(names, F.col("number") + 1).alias("section"), kept.alias("lines")).where(F.col("section").isNotNull())
-
+def _records(lines: DataFrame) -> DataFrame:
+    """(section, case_id, position, lines): a line per record, of transformers four or five.
 
-def _records(pieces: DataFrame) -> DataFrame:
-    """(section, case_id, base_mva, position, lines): a line per record, of transformers four or five.
-
-    The length of a transformer follows from its first line, so the starts are found by one walk over the
-    section's lines. They are gathered in short runs: what a step copies does not grow with the section.
+    The length of a transformer follows from its first line, so a line begins one or not depending on all lines
+    before it: an automaton that counts the lines left of the present one.
     """
-    plain = F.transform("lines", lambda line: F.array(line))
-    state = F.struct(F.lit(0).alias("next"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("run"), F.array().cast("array<array<int>>").alias("runs"))
-
-    def step(s: Column, line: Column) -> Column:
-        third = F.trim(F.try_element_at(F.split(line, ","), F.lit(3)))
-        length = F.when(F.coalesce(third, F.lit("")).isin("0", ""), 4).otherwise(5)
-        starts, full = s["at"] == s["next"], F.size(s["run"]) >= 128
-        return F.struct(
-            F.when(starts, s["next"] + length).otherwise(s["next"]).alias("next"),
-            (s["at"] + 1).alias("at"),
-            F.when(starts & full, F.array(s["at"])).when(starts, F.array_append(s["run"], s["at"])).otherwise(s["run"]).alias("run"),
-            F.when(starts & full, F.array_append(s["runs"], s["run"])).otherwise(s["runs"]).alias("runs"),
-        )
-
-    walked = F.aggregate("lines", state, step, lambda s: F.concat(F.flatten(s["runs"]), s["run"]))
-    ends = F.concat(F.slice("starts", F.lit(2), F.greatest(F.size("starts"), F.lit(1))), F.array(F.size("lines")))
-    spans = F.arrays_zip(F.col("starts"), ends.alias("ends"))
-    together = F.transform(spans, lambda s: F.slice("lines", s["starts"] + 1, s["ends"] - s["starts"]))
-    one = pieces.where("section <> 'transformer'").select("section", "case_id", "base_mva", F.posexplode(plain).alias("at", "lines"))
-    several = pieces.where("section = 'transformer'").withColumn("starts", walked)
-    several = several.select("section", "case_id", "base_mva", F.posexplode(F.when(F.size("lines") > 0, together)).alias("at", "lines"))
-    return one.unionByName(several).select("section", "case_id", "base_mva", (F.col("at") + 1).alias("position"), "lines")
+    names = F.array(*map(F.lit, RAW_SECTIONS))
+    data = running(lines, F.col("ends"), "number").where((F.col("line") > _HEADER_LINES) & ~F.col("ends") & ~F.col("value").isin("", "Q"))
+    data = data.select("file", "split", "at", "value", F.try_element_at(names, (F.col("number") + 1).cast("int")).alias("section")).where(F.col("section").isNotNull())
+    data = stored(running(data, F.lit(1), "position", ["file", "section"]), "raw-data", "section")
+    one = data.where("section <> 'transformer'").select("section", F.col("file").alias("case_id"), "position", F.array("value").alias("lines"))
+    third = F.trim(F.try_element_at(F.split("value", ","), F.lit(3)))
+    more = F.when(F.coalesce(third, F.lit("")).isin("0", ""), 3).otherwise(4)
+    step = F.array(*(F.struct((more if s == 0 else F.lit(s - 1)).alias("to"), F.lit(int(s == 0)).cast("bigint").alias("mark")) for s in range(5)))
+    walked = with_states(data.where("section = 'transformer'").select("file", "position", "value"), ["file"], "position", step, 5)
+    record = F.col("marks") + (F.col("state") == 0).cast("long")
+    several = walked.groupBy(F.col("file").alias("case_id"), record.alias("position")).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col("position").alias("p"), "value"))), lambda r: r["value"]).alias("lines"))
+    return one.unionByName(several.withColumn("section", F.lit("transformer")))
 
 
 def _typed(records: DataFrame) -> dict[str, DataFrame]:
@@ -143,53 +121,54 @@ def _typed(records: DataFrame) -> dict[str, DataFrame]:
     return tables
 
 
-def raw_sections(cases: DataFrame) -> dict[str, DataFrame]:
-    """Typed section tables of `cases(case_id, text)`."""
-    return _typed(_records(_pieces(cases)))
+def raw_sections(lines: DataFrame) -> dict[str, DataFrame]:
+    """Typed section tables of the `read_lines` of raw files, and their headers as `header`; a file is a case.
 
+    A case of any size is read by as many tasks as it has splits. The base power goes to every record of its case;
+    a missing one is 100. A transformer cut off at the end of its section has nulls for what is missing. A file
+    without lines has no rows.
+    """
+    lines = stored(_numbered(lines), "raw-numbered")
+    header = raw_headers(lines)
+    base = header.select("case_id", F.coalesce("base_mva", F.lit(100.0)).alias("base_mva"))
+    records = stored(_records(lines).join(base, "case_id"), "raw-records", "section")
+    return {"header": header} | _typed(records)
 
-def ingest_raw_cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Typed section tables of a folder of files, and their headers as `header`.
 
-    The records are stored in the shared folder by section, so each file is read and cut once.
-    """
-    cases = read_case_texts(spark, path)
-    folder = fresh_path(spark, "raw-records")
-    records = _records(_pieces(cases))
-    records.write.partitionBy("section").parquet(folder)
-    stored = spark.read.schema(records.schema).parquet(folder)
-    return {"header": raw_headers(cases)} | _typed(stored)
+def ingest_raw_cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """`raw_sections` of all files below `path`; a case has its file's path as its id."""
+    return raw_sections(read_lines(spark, path))
 
 
-# A record ends at `/`; what follows on that line is a remark.
-_DYR_RECORD = r"((?:[^'/]|'[^']*')*)/[^\n]*"
-_DYR_PART = r"'[^']*'|[^\s,']+"
+# A record ends at a `/` outside quotes; what follows on that line is a remark. A quote ends with its line at the latest.
+_DYR_END = r"^((?:[^'/]++|'[^']*+')*+)/.*$"
+_DYR_PART = r"'[^']*+'?|[^\s,']++"
 
 
-def dyr_records(cases: DataFrame) -> DataFrame:
-    """(case_id, bus, model, machine_id, params) of `cases(case_id, text)`.
+def dyr_records(lines: DataFrame) -> DataFrame:
+    """(case_id, bus, model, machine_id, params) of the `read_lines` of dynamic-model files.
 
-    Records are free-form over lines and end at `/`; fields are set apart by blanks or commas outside
-    quotes. Quoted values are trimmed.
+    Records are free-form over lines and end at `/`; fields are set apart by blanks or commas outside quotes. Quoted values
+    are trimmed. A quote that is not closed reaches to the end of its line. What follows the last `/` of a
+    file is no record; a file without one has none. A record is one row, a file need not be.
     """
-    records = F.regexp_extract_all("text", F.lit(_DYR_RECORD), F.lit(1))
-    parts = F.transform(F.regexp_extract_all("record", F.lit(_DYR_PART), F.lit(0)), lambda p: F.trim(F.replace(p, F.lit("'"), F.lit(""))))
-    return (
-        cases.select("case_id", F.explode(records).alias("record"))
-        .select("case_id", parts.alias("parts"))
-        .filter(F.size("parts") > 0)
-        .select(
-            "case_id",
-            F.col("parts")[0].try_cast("long").alias("bus"),
-            F.try_element_at("parts", F.lit(2)).alias("model"),
-            F.try_element_at("parts", F.lit(3)).alias("machine_id"),
-            F.transform(F.slice("parts", 4, F.greatest(F.size("parts") - 3, F.lit(0))), lambda p: p.try_cast("double")).alias("params"),
-        )
+    parts = F.transform(F.regexp_extract_all(F.regexp_replace("value", _DYR_END, "$1"), F.lit(_DYR_PART), F.lit(0)), lambda p: F.trim(F.replace(p, F.lit("'"), F.lit(""))))
+    cut = stored(lines.select("file", "split", "at", F.col("value").rlike(_DYR_END).alias("ends"), parts.alias("parts")), "dyr-lines")
+    total = cut.groupBy("file").agg(F.sum(F.col("ends").cast("long")).alias("records"))
+    numbered = running(cut, F.col("ends"), "record", before=True).join(total, "file").where(F.col("record") < F.col("records"))
+    gathered = numbered.where(F.size("parts") > 0).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("split", "at", "parts"))).alias("lines"))
+    whole = gathered.select(F.col("file").alias("case_id"), F.flatten("lines.parts").alias("parts"))
+    return whole.select(
+        "case_id",
+        F.col("parts")[0].try_cast("long").alias("bus"),
+        F.try_element_at("parts", F.lit(2)).alias("model"),
+        F.try_element_at("parts", F.lit(3)).alias("machine_id"),
+        F.transform(F.slice("parts", 4, F.greatest(F.size("parts") - 3, F.lit(0))), lambda p: p.try_cast("double")).alias("params"),
     )
 
 
 def ingest_dyr_cases(spark: SparkSession, path: str) -> DataFrame:
-    return dyr_records(read_case_texts(spark, path))
+    return dyr_records(read_lines(spark, path))
 
 
 def _ends(bus: DataFrame, rows: DataFrame, roles: tuple[str, ...] = ("from", "to")) -> DataFrame:

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import fresh_path
+from gridloom.session import shuffle_width
+from gridloom.sources.split_lines import carried, read_lines, stored
 
 _REF = "struct<value: string>"
 _LIMITS = "struct<min: double, max: double>"
@@ -60,17 +61,12 @@ def system_components(cases: DataFrame) -> DataFrame:
 
     The document's type is given, so no inference pass runs and component types cannot clash.
     """
-    return (
-        cases.select("case_id", F.from_json("text", _DOCUMENT).alias("doc"))
-        .select("case_id", F.explode_outer("doc.data.components").alias("body"))
-        .filter(F.col("body").isNotNull())
-        .select(
-            "case_id",
-            F.get_json_object("body", "$.__metadata__.type").alias("comp_type"),
-            F.get_json_object("body", "$.name").alias("name"),
-            "body",
-        )
-    )
+    bodies = cases.select("case_id", F.from_json("text", _DOCUMENT).alias("doc")).select("case_id", F.explode_outer("doc.data.components").alias("body"))
+    return _labelled(bodies.where(F.col("body").isNotNull()))
+
+
+def _labelled(bodies: DataFrame) -> DataFrame:
+    return bodies.select("case_id", F.get_json_object("body", "$.__metadata__.type").alias("comp_type"), F.get_json_object("body", "$.name").alias("name"), "body")
 
 
 def system_settings(cases: DataFrame) -> DataFrame:
@@ -104,39 +100,70 @@ def nested_model(table: DataFrame, column: str) -> DataFrame:
     return table.where(F.col(column).isNotNull()).select("case_id", "name", kind.alias("model"), F.col(column).alias("body"))
 
 
-def read_documents(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """(case_id, text) of serialised systems: a document per file, or per line as `write_system_json` writes them."""
-    files = spark.read.text(path, wholetext=not one_per_line)
-    own = F.get_json_object("value", "$.case_id") if one_per_line else F.lit(None)
-    return files.select(F.coalesce(own, F.col("_metadata.file_path")).alias("case_id"), F.col("value").alias("text"))
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(case_id, text) of serialised systems, a document per file, which one row holds."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("case_id"), F.col("value").alias("text"))
+
+
+# The lines of a written document: its opening, which no component can look like, and its end.
+_OPENING = '"data":{"components":['
+_END = "]}}"
+
+
+def _document_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(case_id, opening, body) of the lines of documents that `write_system_json` wrote: a document's opening, or a component.
+
+    A file is read in splits; the case of a component is that of the last opening before it.
+    """
+    lines = stored(read_lines(spark, path), "document-lines")
+    opens = F.col("value").endswith(_OPENING)
+    opened = F.when(opens, F.struct(F.get_json_object(F.concat("value", F.lit(_END)), "$.case_id").alias("case_id")))
+    rows = carried(lines.withColumn("opened", opened), F.col("opened"), "case").where(F.col("value") != _END)
+    body = F.when(~opens, F.regexp_replace("value", ",$", ""))
+    return rows.select("case.case_id", F.when(opens, F.concat("value", F.lit(_END))).alias("opening"), body.alias("body"))
 
 
 def read_system_json(spark: SparkSession, path: str, one_per_line: bool = False, fields: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Serialised cases to component tables; all components under one roof as `components`, settings as `settings`.
 
-    The documents are parsed once: the components are stored in the shared folder by type, so that a type's table
-    reads only its own.
+    A document per file, or with `one_per_line` a component per line, as `write_system_json` writes documents; these
+    are read in splits, so that a case of any size is read by many tasks. Documents are parsed once: the components are
+    stored in the shared folder by type, so that a type's table reads only its own.
     """
-    cases = read_documents(spark, path, one_per_line)
-    folder = fresh_path(spark, "system-components")
-    components = system_components(cases).withColumn("comp_type", F.coalesce("comp_type", F.lit("")))
-    components.write.partitionBy("comp_type").parquet(folder)
-    stored = spark.read.schema("case_id string, name string, body string, comp_type string").parquet(folder)
-    return component_tables(stored, fields) | {"components": stored, "settings": system_settings(cases)}
+    if one_per_line:
+        lines = stored(_document_lines(spark, path), "system-lines")
+        components = _labelled(lines.where(F.col("body").isNotNull()).select("case_id", "body"))
+        settings = system_settings(lines.where(F.col("opening").isNotNull()).select("case_id", F.col("opening").alias("text")))
+    else:
+        cases = read_documents(spark, path)
+        components, settings = system_components(cases), system_settings(cases)
+    components = components.withColumn("comp_type", F.coalesce("comp_type", F.lit(""))).select("case_id", "name", "body", "comp_type")
+    kept = stored(components, "system-components", "comp_type")
+    return component_tables(kept, fields) | {"components": kept, "settings": settings}
 
 
 def write_system_json(components: DataFrame, settings: DataFrame, path: str, force: bool = False) -> None:
-    """Systems as documents that `read_system_json` reads again, one per line; `force` overwrites.
+    """Systems as documents that `read_system_json` reads again with `one_per_line`; `force` overwrites.
 
     `components(case_id, body)` are JSON objects, each with its type in `__metadata__.type`;
-    `settings(case_id, base_power, unit_system, frequency)`. A case without components is written too. A
-    document holds one case, whose size is that of a power system, not of the table.
+    `settings(case_id, base_power, unit_system, frequency)`, a row per case. A document is an opening line, a line for
+    each component, and a closing line; the files of the folder, read one after the other, are the documents of all
+    cases. The lines are laid out by ranges of (case, place), so that a case of any size is written by many tasks and no
+    row holds it. A case without components is written too; components of a case without settings are left out. A line
+    feed between the tokens of a component becomes a blank.
     """
-    bodies = components.groupBy("case_id").agg(F.array_join(F.array_sort(F.collect_list("body")), ",").alias("bodies"))
-    rows = settings.join(bodies, "case_id", "left")
+    one_line = F.regexp_replace("body", r"\r?\n", " ")
+    numbered = components.select("case_id", one_line.alias("body"), F.monotonically_increasing_id().alias("place"))
+    numbered = stored(numbered.join(settings.select("case_id"), "case_id", "left_semi"), "components")
+    last = numbered.groupBy("case_id").agg(F.max("place").alias("place")).select("place", F.lit("").alias("comma"))
+    body = numbered.join(last, "place", "left").select("case_id", F.lit(1).alias("part"), "place", F.concat("body", F.coalesce("comma", F.lit(","))).alias("value"))
     head = F.to_json(F.struct(F.col("case_id"), "frequency", F.struct(F.col("base_power").alias("base_value"), "unit_system").alias("units_settings")))
-    document = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"data":{"components":['), F.coalesce("bodies", F.lit("")), F.lit("]}}"))
-    rows.select(document.alias("value")).write.mode("overwrite" if force else "errorifexists").text(path)
+    opening = settings.select("case_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("place"), F.concat(F.regexp_replace(head, r"\}$", ","), F.lit(_OPENING)).alias("value"))
+    closing = settings.select("case_id", F.lit(2).alias("part"), F.lit(0).cast("long").alias("place"), F.lit(_END).alias("value"))
+    order = ["case_id", "part", "place"]
+    lines = opening.unionByName(body).unionByName(closing).repartitionByRange(shuffle_width(settings.sparkSession), *order).sortWithinPartitions(*order)
+    lines.select("value").write.mode("overwrite" if force else "errorifexists").text(path)
 
 
 def write_component_folder(components: dict[str, DataFrame], path: str, force: bool = False) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
+from gridloom.sources.split_lines import carried, read_lines, running, text_lines, with_states
 from gridloom.sources.results import read_result, write_result
 from gridloom.sources.store import dataset_catalog, materialize_once
 from gridloom.sources.tables import scan_csv, sink_csv
@@ -157,10 +158,100 @@ def test_many_transformers_in_one_case(spark):
         want.append((i + 1, f"T{i}", i % 7 / 10))
         lines += [f"1, 2, {9 if third else 0}, '{i % 90}', 1, 1, 1, 0, 0, 2, 'T{i}', 1", f"0, 0.{i % 7}, 100", "1, 0", "1, 0", *(["1, 0"] if third else [])]
     cases = spark.createDataFrame([("c", raw_text(100, {"TRANSFORMER": lines}))], "case_id string, text string")
-    rows = R.raw_sections(cases)["transformer"].orderBy("position").collect()
+    rows = R.raw_sections(text_lines(cases))["transformer"].orderBy("position").collect()
     assert [(r.position, r.transformer_name, r.x12) for r in rows] == want
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut anywhere, into splits of some lines."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def cut(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield cut
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_lines_and_sums_over_splits(spark, tmp_path, small_splits):
+    texts = {"a.txt": [f"line {i} {'x' * (i % 37)}" for i in range(300)], "b.txt": ["one"], "c.txt": ["", "two", ""]}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    for size in (64, 1000, 10**6):
+        small_splits(size)
+        lines = read_lines(spark, str(tmp_path))
+        numbered = running(running(lines, F.lit(1), "n"), F.length("value"), "before", before=True)
+        numbered = carried(numbered, F.when(F.col("value").endswith("x") | (F.col("value") == "one"), F.col("value")), "last").collect()
+        assert (len({r.split for r in numbered}) > 20) == (size == 64)
+        last = None
+        for name, want in texts.items():
+            mine = sorted((r for r in numbered if r.file.endswith(name)), key=lambda r: r.n)
+            assert [r.value for r in mine] == want and [r.n for r in mine] == list(range(1, len(want) + 1))
+            assert [r.before for r in mine] == [sum(map(len, want[:i])) for i in range(len(want))]
+            for r in mine:
+                last = r.value if r.value.endswith("x") or r.value == "one" else last
+                assert r.last == last
+
+
+def test_states_go_through_blocks_and_stretches(spark, monkeypatch):
+    import random
+
+    from gridloom.sources import split_lines
+
+    draw = random.Random(3)
+    rows = [(f"f{k}", i + 1, draw.randint(0, 2)) for k, n in enumerate((1, 2, 700, 64)) for i in range(n)]
+    lines = spark.createDataFrame(rows, "file string, place long, kind int").repartition(5)
+    # State s and line of kind k go to (2 s + k) mod 3, with a mark of s * k.
+    step = F.array(*(F.struct(F.pmod(F.lit(2 * s) + F.col("kind"), F.lit(3)).cast("int").alias("to"), (F.lit(s) * F.col("kind")).cast("bigint").alias("mark")) for s in range(3)))
+    for block, stretch in ((128, 1024), (5, 3), (1, 1)):
+        monkeypatch.setattr(split_lines, "LINES_PER_BLOCK", block)
+        monkeypatch.setattr(split_lines, "BLOCKS_PER_STRETCH", stretch)
+        got = {(r.file, r.place): (r.state, r.marks) for r in with_states(lines, ["file"], "place", step, 3).collect()}
+        state, marks = 0, 0
+        for file, place, kind in rows:
+            state, marks = (0, 0) if place == 1 else (state, marks)
+            assert got[file, place] == (state, marks)
+            state, marks = (2 * state + kind) % 3, marks + state * kind
+
+
+def test_raw_file_cut_anywhere_gives_the_same_tables(spark, tmp_path, raw, small_splits):
+    records = ring(40, 40)
+    (tmp_path / "ring.raw").write_text(raw_text(40, records, "\r\n", " ", " / remark"))
+    want = {k: v.drop("case_id").collect() for k, v in R.ingest_raw_cases(spark, str(tmp_path)).items()}
+    for size in (50, 700):
+        small_splits(size)
+        assert read_lines(spark, str(tmp_path)).select("split").distinct().count() > 5
+        got = {k: v.drop("case_id").collect() for k, v in R.ingest_raw_cases(spark, str(tmp_path)).items()}
+        assert {k: sorted(map(str, v)) for k, v in got.items()} == {k: sorted(map(str, v)) for k, v in want.items()}
+    assert len(want["transformer"]) == 3 and len(want["bus"]) == 40
+
+
+def test_long_raw_lines(spark, tmp_path):
+    long = "y" * 1_000_000
+    records = {"BUS": [f"5, 'A', 10, 3, 1, 1, 1, 1.0, 0.0, 1.1, 0.9 / {long}", f"6, 'B{long}', 10", "7, 'open / quote"], "LOAD": [", ".join(["1"] * 20_000)]}
+    (tmp_path / "long.raw").write_text(raw_text(1, records))
+    (tmp_path / "open.raw").write_text("0, 5, 33\n")  # ends in its header
+    (tmp_path / "none.raw").write_text("")
+    tables = R.ingest_raw_cases(spark, str(tmp_path))
+    assert [(r.bus_number, len(r.bus_name)) for r in of(tables["bus"], "long")] == [(5, 1), (6, 1_000_001), (7, 12)]
+    assert tables["load"].count() == 1 and of(tables["header"], "open")[0].base_mva == 5.0 and tables["header"].count() == 2
+
+
+def test_long_and_broken_dynamic_files(spark, tmp_path, small_splits):
+    (tmp_path / "long.dyr").write_text("1 'M' 'a' " + " ".join(["0.5"] * 300_000) + " / " + "remark " * 200_000 + "\n2 'N' 'b'\n" + "1.5 ,\n" * 5000 + "/\n")
+    (tmp_path / "endless.dyr").write_text("3 'M' 'c' 1\n" * 2000)
+    (tmp_path / "open.dyr").write_text("4 'M' 'open / 2\n7.5 /\n5 'M' 'e' 3 /\n6 'M' 'late' 4")
+    (tmp_path / "none.dyr").write_text("")
+    for size in (10_000, 10**7):
+        small_splits(size)
+        rows = R.ingest_dyr_cases(spark, str(tmp_path)).collect()
+        got = sorted((r.bus, r.case_id.split("/")[-1], r.model, r.machine_id, len(r.params), r.params[-1]) for r in rows)
+        assert got == [(1, "long.dyr", "M", "a", 300_000, 0.5), (2, "long.dyr", "N", "b", 5000, 1.5), (4, "open.dyr", "M", "open / 2", 1, 7.5), (5, "open.dyr", "M", "e", 1, 3.0)]
+
+
 def test_reading_raw_files_needs_no_shuffle(raw, plan):
     for name in ("bus", "branch", "transformer", "header"):
         assert "Exchange" not in plan(raw[name]) and "Python" not in plan(raw[name])
@@ -173,8 +264,8 @@ def test_dyr_records(spark, tmp_path):
     )
     (tmp_path / "case.dyr").write_bytes(text.replace('"Q"', "'Q'").encode())
     rows = R.ingest_dyr_cases(spark, str(tmp_path)).collect()
-    assert [(r.bus, r.model, r.machine_id, r.params) for r in rows] == [
-        (41, "MACHA", "x", [3.25, 0.5, 7.125, 8.0]), (41, "GOV ONE", "2", [0.15, -2.0]), (42, "EX/C", "Q", [9.0, None, 1.0]),
+    assert sorted(((r.bus, r.model, r.machine_id, r.params) for r in rows), key=lambda r: r[1]) == [
+        (42, "EX/C", "Q", [9.0, None, 1.0]), (41, "GOV ONE", "2", [0.15, -2.0]), (41, "MACHA", "x", [3.25, 0.5, 7.125, 8.0]),
     ]
 
 
@@ -207,6 +298,36 @@ def test_system_json(spark, tmp_path):
     assert SJ.system_settings(cases).first().base_power == 100.0
 
 
+def _documents(path):
+    """The texts of the documents of a written folder, its files read one after the other."""
+    import glob
+
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{path}/part-*")))
+    return [x + "]}}" for x in text.split("\n]}}\n")[:-1]]
+
+
+def test_one_case_is_written_and_read_by_many_tasks(spark, tmp_path, small_splits, plan):
+    body = lambda i: json.dumps({"__metadata__": {"type": "Bus"}, "name": f"b{i}", "number": i})
+    rows = [("big", body(i)) for i in range(3000)] + [("big", body(7))] * 3 + [(f"small{i % 50}", body(i)) for i in range(200)]
+    rows += [("lines", '{"__metadata__": {"type": "Odd"},\n "name": "a\\nb"}'), ("lines", '["not", "an object"')]
+    components = spark.createDataFrame(rows, "case_id string, body string").repartition(7)
+    cases = sorted({c for c, _ in rows}) + ["nothing in it"]
+    settings = spark.createDataFrame([(c, 100.0, "SYSTEM_BASE", 60.0) for c in cases], "case_id string, base_power double, unit_system string, frequency double")
+    path = str(tmp_path / "systems")
+    SJ.write_system_json(components, settings, path)
+    files = spark.read.text(path).select(F.col("_metadata.file_name").alias("f"), "value")
+    sizes = {r.f: r.n for r in files.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(sizes) > 2 and max(sizes.values()) < 2500  # no file, and so no task, had the whole of the big case
+    parsed = [json.loads(x) for x in _documents(path) if '"case_id":"lines"' not in x]
+    assert sorted((d["case_id"], c["name"]) for d in parsed for c in d["data"]["components"]) == sorted((c, json.loads(b)["name"]) for c, b in rows if c != "lines")
+    for size in (3000, 10**8):
+        small_splits(size)
+        back = SJ.read_system_json(spark, path, one_per_line=True)
+        assert sorted(r.case_id for r in back["settings"].collect()) == sorted(cases)
+        got = sorted((r.case_id, r.body) for r in back["components"].collect())
+        assert got == sorted((c, b.replace("\n", " ")) for c, b in rows)
+
+
 def test_systems_come_back_as_they_were_written(spark, tmp_path):
     bodies = [
         ("one", {"__metadata__": {"type": "Bus"}, "name": "N", "number": 1}),
@@ -220,6 +341,7 @@ def test_systems_come_back_as_they_were_written(spark, tmp_path):
         SJ.write_system_json(components, settings, path, force=True)
     with pytest.raises(AnalysisException):
         SJ.write_system_json(components, settings, path)
+    assert [json.loads(x) for x in _documents(path)]  # each case is a document that any reader understands
     back = SJ.read_system_json(spark, path, one_per_line=True)
     assert sorted(map(tuple, back["settings"].collect())) == sorted(map(tuple, settings.collect()))
     assert [(r.case_id, r.name, r.number) for r in back["Bus"].collect()] == [("one", "N", 1)]
@@ -269,6 +391,31 @@ def test_rows_of_wide_series_stay_where_they_are_read(spark, tmp_path, plan):
     assert "BroadcastHashJoin" in plan(series) and "SortMergeJoin" not in plan(series)  # only the headers move
 
 
+@pytest.mark.parametrize("columns", [200, 1600])
+def test_wide_lines_carry_each_pointer_once(spark, tmp_path, columns):
+    """Work on a line is in proportion to its cells: a cell is met by the pointers of its column only."""
+    (tmp_path / "data").mkdir()
+    names = [f"g{i}" if i % 3 else f'"g, {i}"' for i in range(columns)]
+    lines = [",".join([f"2020-01-01T{h:02d}:00:00", *(f'"{h}"' if i % 50 == 0 else str(h * i) for i in range(columns))]) for h in range(24)]
+    (tmp_path / "data" / "wide.csv").write_text("\n".join([",".join(["DateTime", *names]), *lines]) + "\n")
+    wanted = [i for i in range(columns) if i % 2]
+    rows = [{"component_name": names[i].strip('"'), "name": kind, "normalization_factor": "Max", "data_file": str(tmp_path / "data" / "wide.csv")} for i in wanted for kind in (["p", "q"] if i % 5 == 0 else ["p"])]
+    (tmp_path / "pointers.json").write_text("\n".join(map(json.dumps, rows)))
+    read = PT.read_ts_pointers(spark, str(tmp_path / "pointers.json"), str(tmp_path / "data"))
+    got = {(r.component_name, r.name, r.ts.hour): r.value for r in read.collect()}
+    assert got == {(r["component_name"], r["name"], h): float(h if i % 50 == 0 else h * i) for r in rows for i in [int(r["component_name"].strip("g, "))] for h in range(24)}
+    explode = read._jdf.queryExecution().executedPlan().toString()
+    assert "array_position" not in explode.split("Generate")[0]
+    lines_met = PT._pointed_lines(spark, str(tmp_path / "data"), spark.read.schema(PT.POINTER_SCHEMA).json(str(tmp_path / "pointers.json")), "DateTime")
+    assert lines_met.count() == 24 and {len(r.wanted) for r in lines_met.collect()} == {len(rows)}
+
+
+def test_odd_cells(spark):
+    lines = ['a,"b,c", "d"" e" ,,f', "", ",", '"open, quote', 'x"y,z"w,v', '"a""b"', "1,2\r"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in lines], "value string").select(PT._cells(F.col("value"))).collect()]
+    assert got == [["a", "b,c", 'd"" e', "", "f"], [""], ["", ""], ['"open, quote'], ['x"y,z"w', "v"], ['a""b'], ["1", "2"]]
+
+
 def test_pointer_factor_is_a_number_or_max(spark, tmp_path):
     ids = spark.createDataFrame([("1",), ("2",), ("7",)], "series_id string")
     names = spark.createDataFrame([("1", "gen1"), ("2", "gen2")], "series_id string, component_name string")
