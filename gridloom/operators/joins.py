@@ -80,7 +80,7 @@ def commitment_asof(
     grid: DataFrame,
     keys: Sequence[str],
     ts: str,
-    block: Column,
+    block: Column | None = None,
     status: str = "on",
     limits: tuple[str, str] | None = ("pmin", "pmax"),
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.time import epoch_seconds
-from gridloom.operators.ordered import previous_values, running_total
+from gridloom.operators.ordered import draw_blocks, previous_values, running_total
 from gridloom.session import fresh_path
 
 
@@ -28,18 +28,18 @@ def stack_offsets(
 
 
 def initial_conditions(
-    result: DataFrame, keys: Sequence[str], block: Column, ts: str = "ts", value: str = "value"
+    result: DataFrame, keys: Sequence[str], block: Column | None = None, ts: str = "ts", value: str = "value"
 ) -> DataFrame:
     """Value each execution starts from: the last realised value of the one before.
 
-    `result` holds realised rows with `initial_time`; `block` is an expression on it.
+    `result` holds realised rows with `initial_time`; `block` is an expression on it, drawn from the data if not given.
     """
     last = result.groupBy(*keys, "initial_time").agg(F.max_by(value, ts).alias("last_value"))
     return previous_values(last, keys, ["initial_time"], {"initial_value": "last_value"}, block)
 
 
 def commitment_transitions(
-    on: DataFrame, keys: Sequence[str], ts: str, block: Column, status: str = "on"
+    on: DataFrame, keys: Sequence[str], ts: str, block: Column | None = None, status: str = "on"
 ) -> DataFrame:
     """Start and stop flags (0 or 1) of each row; the first row of a unit has neither."""
     both = previous_values(on, keys, [ts], {"__before": status}, block)
@@ -56,7 +56,7 @@ def commitment_runs(
     on: DataFrame,
     keys: Sequence[str],
     ts: str,
-    block: Column,
+    block: Column | None,
     step_hours: float,
     limits: DataFrame | None = None,
     status: str = "on",
@@ -66,13 +66,16 @@ def commitment_runs(
     Rows become segments of equal status inside each (unit, block); one summary row per block then
     says how the segments of neighbouring blocks join up. Only segments and summaries leave the
     block. `limits(keys, min_up_time, min_down_time)` is in hours. The first and last run of a
-    unit are cut by the horizon, so only inner runs count as violations.
+    unit are cut by the horizon, so only inner runs count as violations. Rows without a unit, or whose stamp gives no
+    block, are in no run. `block` None draws blocks from the data.
     """
     keys = list(keys)
+    if block is None:
+        on, block = draw_blocks(on.dropna(subset=[*keys, ts]), keys, ts)
     inside = Window.partitionBy(*keys, "__block").orderBy(ts)
     moved = F.coalesce((F.lag(status).over(inside) != F.col(status)).cast("long"), F.lit(0).cast("long"))
-    # Rows without a unit or stamp are in no run. Dropping them here also keeps both uses of
-    # `segments` alike down to the shuffle, which Spark then runs once.
+    # Dropping rows without a unit or block here keeps both uses of `segments` alike down to the shuffle, which
+    # Spark then runs once.
     segments = (
         on.select(*keys, ts, status, block.alias("__block"))
         .dropna(subset=[*keys, "__block"])
@@ -124,7 +127,7 @@ def ramp_check(
     limits: DataFrame,
     keys: Sequence[str],
     ts: str,
-    block: Column,
+    block: Column | None = None,
     value: str = "value",
 ) -> DataFrame:
     """Step change of the realised series against `limits(keys, ramp_limit)` per minute.

@@ -3,10 +3,11 @@
 A key (a component, a market interval) may hold a large part of all rows, so a plain
 `Window.partitionBy(key)` would send that part to one task. Here every key is cut into
 blocks by `block`, a column expression that never falls as the order rises (a day number,
-a price band). Rows are windowed inside `(key, block)`; one pre-aggregated row per block
+a price band); without one, the cuts are drawn from the data, so that a dense day takes many blocks.
+Rows are windowed inside `(key, block)`; one pre-aggregated row per block
 carries the state across, and only those few rows are windowed per key. Results are the
-same as those of the plain window. Ordering columns should be unique within a key, as for
-any window.
+same as those of the plain window, where null keys are one key and null orders come first. Ordering
+columns should be unique within a key, as for any window.
 """
 
 from __future__ import annotations
@@ -15,31 +16,105 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+
+from gridloom.session import fresh_path
 
-_BLOCK = "__block"
 _CARRY = "__block_carry"
+#: Rows of a block that is drawn, and the most blocks of a key.
+ROWS_PER_BLOCK = 1 << 18
+MOST_BLOCKS = 4096
 
 
 def _order_key(order: Sequence[str]) -> Column:
-    """One comparable value per row. A single column stays as it is: with plain types the last
-    value of a block is then found by a hash aggregation, a struct would need a sort."""
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def _last(source: str, order: Sequence[str], where: Column | None = None) -> Column:
+    """The `source` of the row that is last in order, of the rows that are `where`.
+
+    With a single plain column that is found by a hash aggregation, a struct would need a sort. A null is lowest: it
+    counts where there is nothing else.
+    """
+    key = _order_key(order)
+    known, any_ = (key, F.lit(1)) if where is None else (F.when(where, key), F.when(where, F.lit(1)))
+    return F.max_by(source, known) if len(order) > 1 else F.when(F.count(known) > 0, F.max_by(source, known)).otherwise(F.max_by(source, any_))
+
+
+def draw_blocks(df: DataFrame, keys: Sequence[str], order: str, rows: int | None = None) -> tuple[DataFrame, Column]:
+    """`df` with the cuts of its keys, and the block expression over them, for blocks of about `rows` rows.
+
+    The cuts are quantiles of the order, of keys with more rows than one block only; they are written, as a table of a
+    row per such key. `order` is a number, a date or a stamp; of several ordering columns the first. `df` is read three times.
+    """
+    kind = df.schema[order].dataType
+    if not isinstance(kind, NumericType | DateType | TimestampType | TimestampNTZType):
+        raise TypeError(f"{order} has no quantiles: give a block expression")
+    rows = rows or ROWS_PER_BLOCK
+    solid, names = _solid(df.select(*keys, order), {f"__key{i}": F.col(k) for i, k in enumerate(keys)}, "__key_nulls")
+    large = solid.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows)
+    held = solid.join(large, names)
+    every = F.percentile_approx(order, [i / MOST_BLOCKS for i in range(1, MOST_BLOCKS)], 10 * MOST_BLOCKS)
+    pieces = F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("__rows") / rows)).cast("int")
+    cuts = held.groupBy(*names, "__rows").agg(every.alias("__every"))
+    chosen = F.transform(F.sequence(F.lit(1), pieces - 1), lambda i: F.get("__every", F.floor(i * MOST_BLOCKS / pieces).cast("int") - 1))
+    path = fresh_path(df.sparkSession, "cuts")
+    cuts.select(*names, chosen.alias("__cuts")).write.parquet(path)
+    met, _ = _solid(df, {f"__key{i}": F.col(k) for i, k in enumerate(keys)}, "__key_nulls")
+    met = met.join(df.sparkSession.read.parquet(path), names, "left").select(*df.columns, "__cuts")
+    steps = F.array(*(F.lit(MOST_BLOCKS >> i) for i in range(1, MOST_BLOCKS.bit_length())))
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("__cuts", at + step - 1) <= F.col(order), at + step).otherwise(at))
+    return met, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below)
+
+
+def _stand_in(kind: DataType) -> Column | None:
+    """A value of a type, to stand for a null that is marked elsewhere."""
+    if isinstance(kind, StringType):
+        return F.lit("")
+    if isinstance(kind, NumericType):
+        return F.lit(0).cast(kind)
+    return F.lit("2000-01-01").cast(kind) if isinstance(kind, DateType | TimestampType | TimestampNTZType) else None
+
+
+def _solid(df: DataFrame, parts: dict[str, Column], nulls: str) -> tuple[DataFrame, list[str]]:
+    """`df` with columns that are equal where `parts` are, nulls included, and never null: a plain join on them meets nulls, too.
+
+    They take the place of the parts in windows and groups, so the join finds its rows where the window left them.
+    """
+    kinds = df.select(*(c.alias(n) for n, c in parts.items())).schema
+    added, mark = {}, F.lit(0)
+    for i, (name, column) in enumerate(parts.items()):
+        stand_in = _stand_in(kinds[name].dataType)
+        added[name] = F.struct(column.alias("of")) if stand_in is None else F.coalesce(column, stand_in)
+        mark = mark if stand_in is None else mark + F.when(column.isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    return df.withColumns(added | {nulls: mark}), [*parts, nulls]
+
+
+def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None) -> tuple[DataFrame, list[str], list[str]]:
+    """(rows with solid keys and blocks, names of the keys, names of the block)."""
+    rows = df
+    if block is None:
+        rows, block = draw_blocks(df, keys, order[0])
+    rows, key = _solid(rows, {f"__key{i}": F.col(k) for i, k in enumerate(keys)}, "__key_nulls")
+    rows, at = _solid(rows, {"__block": block}, "__block_null")
+    return rows, key, at
+
+
+def _over_blocks(key: list[str]):
+    """The blocks of a key in order, the one of null first."""
+    return Window.partitionBy(*key).orderBy(F.desc("__block_null"), "__block")
+
+
 def previous_values(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], block: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], block: Column | None = None
 ) -> DataFrame:
     """Add the previous row's `values` ({new column: source column}) within each key."""
-    keys, order = list(keys), list(order)
-    blocked = df.withColumn(_BLOCK, block)
-    blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
+    order = list(order)
+    blocked, key, at = _blocked(df, keys, order, block)
     carried = {f"{_CARRY}{i}": source for i, source in enumerate(values.values())}
-    carry = (
-        blocked.groupBy(*keys, _BLOCK)
-        .agg(*[F.max_by(source, _order_key(order)).alias(name) for name, source in carried.items()])
-        .withColumns({name: F.lag(name).over(blocks) for name in carried})
-    )
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
+    carry = blocked.groupBy(*key, *at).agg(*[_last(source, order).alias(name) for name, source in carried.items()])
+    carry = carry.withColumns({name: F.lag(name).over(_over_blocks(key)) for name in carried})
+    inside = Window.partitionBy(*key, *at).orderBy(*order)
     before = {f"__block_prev{i}": F.lag(source).over(inside) for i, source in enumerate(values.values())}
     chosen = [
         F.when(F.col("__block_start"), F.col(f"{_CARRY}{i}")).otherwise(F.col(f"__block_prev{i}")).alias(new)
@@ -47,47 +122,41 @@ def previous_values(
     ]
     return (
         blocked.withColumns({**before, "__block_start": F.row_number().over(inside) == 1})
-        .join(carry, [*keys, _BLOCK], "left")
+        .join(carry, [*key, *at], "left")
         .select(*df.columns, *chosen)
     )
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, block: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, block: Column | None, out: str
 ) -> DataFrame:
     """Add the running sum of `value` within each key, current row included."""
-    keys, order = list(keys), list(order)
-    blocked = df.withColumn(_BLOCK, block).withColumn("__value", F.col(value) if isinstance(value, str) else value)
-    over_blocks = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        blocked.groupBy(*keys, _BLOCK)
-        .agg(F.sum("__value").alias(_CARRY))
-        .withColumn(_CARRY, F.sum(_CARRY).over(over_blocks))
-    )
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.col("__sum") + F.when(F.col(_CARRY).isNull(), F.lit(0)).otherwise(F.col(_CARRY))
+    order = list(order)
+    blocked, key, at = _blocked(df, keys, order, block)
+    blocked = blocked.withColumn("__value", F.col(value) if isinstance(value, str) else value)
+    carry = blocked.groupBy(*key, *at).agg(F.sum("__value").alias(_CARRY))
+    carry = carry.withColumn(_CARRY, F.sum(_CARRY).over(_over_blocks(key).rowsBetween(Window.unboundedPreceding, -1)))
+    inside = Window.partitionBy(*key, *at).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner, before = F.col("__sum"), F.col(_CARRY)
+    total = F.when(before.isNull(), inner).when(inner.isNull(), before).otherwise(inner + before)
     return (
         blocked.withColumn("__sum", F.sum("__value").over(inside))
-        .join(carry, [*keys, _BLOCK], "left")
+        .join(carry, [*key, *at], "left")
         .select(*df.columns, total.alias(out))
     )
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column | None, out: str
 ) -> DataFrame:
     """Add the last non-null `value` at or before each row within each key."""
-    keys, order = list(keys), list(order)
-    blocked = df.withColumn(_BLOCK, block)
-    over_blocks = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        blocked.groupBy(*keys, _BLOCK)
-        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), _order_key(order))).alias(_CARRY))
-        .withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(over_blocks))
-    )
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    order = list(order)
+    blocked, key, at = _blocked(df, keys, order, block)
+    carry = blocked.groupBy(*key, *at).agg(_last(value, order, F.col(value).isNotNull()).alias(_CARRY))
+    carry = carry.withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(_over_blocks(key).rowsBetween(Window.unboundedPreceding, -1)))
+    inside = Window.partitionBy(*key, *at).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         blocked.withColumn("__last", F.last(value, ignorenulls=True).over(inside))
-        .join(carry, [*keys, _BLOCK], "left")
+        .join(carry, [*key, *at], "left")
         .select(*df.columns, F.coalesce("__last", _CARRY).alias(out))
     )

@@ -158,7 +158,7 @@ def series_array(
     return rows.select("step", ts, value)
 
 
-def forecast_params(windows: DataFrame, keys: Sequence[str], block: Column, ts: str = "ts") -> DataFrame:
+def forecast_params(windows: DataFrame, keys: Sequence[str], block: Column | None = None, ts: str = "ts") -> DataFrame:
     """Horizon, interval, count and resolution per series.
 
     Windows are reduced to one row each before starts are compared; `block` is an expression on
@@ -179,7 +179,7 @@ def forecast_params(windows: DataFrame, keys: Sequence[str], block: Column, ts:
     )
 
 
-def infer_resolution(series: DataFrame, keys: Sequence[str], ts: str, block: Column) -> DataFrame:
+def infer_resolution(series: DataFrame, keys: Sequence[str], ts: str, block: Column | None = None) -> DataFrame:
     """Smallest step per series and the number of different steps (1 = regular).
 
     Differences are counted per (series, step) before the final reduction.
@@ -203,7 +203,8 @@ def attach_series(store: DataFrame, new: DataFrame, components: DataFrame, key:
 
 
 def remove_series(store: DataFrame, kind: str, column: str = "kind") -> DataFrame:
-    return store.filter(F.col(column) != F.lit(kind))
+    """All rows but those of a kind; rows without a kind stay."""
+    return store.filter(~F.col(column).eqNullSafe(F.lit(kind)))
 
 
 def realized(windows: DataFrame, interval_s: int, ts: str = "ts") -> DataFrame:
