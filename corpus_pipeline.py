@@ -1,7 +1,7 @@
 """A corpus pipeline: quality rules, near-duplicate removal, benchmark decontamination, masking, packing.
 
 Each stage takes the documents that the stage before it kept and returns documents with the same columns;
-the last one returns the pieces of the packed sequences.
+the last one returns the pieces of the packed sequences. Null keys, empty texts and empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -10,34 +10,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, pii, repetition, similar
+from gridloom.llm import decontaminate, packing, pii, repetition, simhash
 from gridloom.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep."""
+    """Documents that the repetition rules keep; each row is judged by its own text, a null one is rejected."""
     return repetition.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates by five-word shingles, the one with the smallest id."""
-    return similar.one_of_each(docs)
+    """One document of each group of SimHash near duplicates, the one with the smallest id; repeated rows are one."""
+    return simhash.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null texts hold none."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked."""
+    """All documents, with personal data masked; null texts stay null."""
     return pii.masked_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
+    """Pieces of packed sequences; no documents, no pieces."""
     return packing.packed_documents(docs)
 
 

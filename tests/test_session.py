@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+
 from gridloom.session import fresh_path, shared_folder
 
 
@@ -26,3 +31,15 @@ def test_a_folder_of_our_own_is_set_once(spark):
     first = shared_folder(spark)
     assert shared_folder(spark) == first
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def test_entry_without_the_corpus_folders(tmp_path):
+    """The corpus operators may be deleted with their tests: all other queries and their oracles are still there."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    script = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); print(len(q), len(o), sorted(n for n in q if n.startswith('op') and n[2].isdigit() or n == 'pipeline'))"
+    for gone in ([], ["corpus_pipeline.py"]):
+        for name in gone:
+            os.rename(copy / name, tmp_path / name)
+        out = subprocess.run([sys.executable, "-c", script], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""}, check=True).stdout.split(maxsplit=2)
+        assert int(out[0]) > 130 and int(out[1]) > 130 and out[2].strip() == "[]"
