@@ -38,6 +38,13 @@ def as_bytes(text: str | Column) -> Column:
     return F.coalesce(column.cast("string").cast("binary"), F.lit(b""))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int | str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches in `slices`."""
+    for batch in batches:
+        at = batch.schema.get_field_index(column) if isinstance(column, str) else column
+        yield from slices(batch, at, most or TEXT_AT_ONCE)
+
+
 #: Bytes of text that a worker holds as Python objects at a time.
 TEXT_AT_ONCE = 1 << 20
 

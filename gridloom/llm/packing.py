@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import slices
 from gridloom.llm.tokens import crc32, default_path, encoded
 
 
@@ -179,8 +180,9 @@ def packed_documents(docs: DataFrame, path: str | None = None, limits: Limits =
     path = path or default_path()
 
     def pieces(batch: pa.RecordBatch) -> Iterator[Piece]:
-        for one, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1).to_pylist(), path)):
-            yield Piece(one, 0, ids, len(ids))
+        for part in slices(batch, 1):
+            for one, ids in zip(part.column(0).to_pylist(), encoded(part.column(1).to_pylist(), path)):
+                yield Piece(one, 0, ids, len(ids))
 
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("__text"))
     return packed(rows, pieces, key, docs.schema[key].dataType.simpleString(), limits)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import sliced
+
 KINDS = ("email", "ip", "card", "phone")
 
 TRIGGER = re.compile(r"[0-9@]")
@@ -309,7 +311,7 @@ def sampled_regions(docs: DataFrame, key: str, text: str, n: int) -> list[str]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple[str, str]] = []
-        for batch in batches:
+        for batch in sliced(batches, 0):
             for value in batch.column(0).to_pylist():
                 if value and TRIGGER.search(value):
                     m = TRIGGER.search(value)  # one region of each document
@@ -385,7 +387,7 @@ def personal_data(docs: DataFrame, model: SemiMarkov | None = None, key: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = SemiMarkov(shared.value)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             counts, sums, lists = [[] for _ in KINDS], [], []
             for value in batch.column(1).to_pylist():
                 base, full = all_spans(value or "", field, margin)
@@ -415,7 +417,7 @@ def masked_documents(docs: DataFrame, model: SemiMarkov | None = None, key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = SemiMarkov(shared.value)
-        for batch in batches:
+        for batch in sliced(batches, text):
             at = batch.schema.get_field_index(text)
             old = batch.column(at).to_pylist()
             new = [None if t is None else masked(t, all_spans(t, field, margin)[1]) if TRIGGER.search(t) else t for t in old]

@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import as_bytes
+from gridloom.llm.common import as_bytes, sliced
 
 SPACE = b" \t\n\v\f\r"
 FOLLOWING = bytes(range(0x80, 0xC0))
 SYMBOLS = b"#*$%&|<>"
 #: Words that are sorted together; a longer text is sorted alone.
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -214,7 +214,7 @@ def judged(docs: DataFrame, rules: Rules = Rules(), key: str = "doc_id", text: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             m = measures(batch.column(1).to_pylist(), rules)
             base_failed, kept = verdicts(m, rules)
             columns = [batch.column(0), *(pa.array(m[name]) for name in MEASURES), pa.array(base_failed), pa.array(kept)]
@@ -229,7 +229,7 @@ def kept_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text")
     """The rows of `docs` that pass the rules, with all of their columns, row by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, text):
             raw = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).fill_null(b"")
             yield batch.filter(pa.array(verdicts(measures(raw.to_pylist(), rules), rules)[1]))
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import written
+from gridloom.llm.common import sliced, written
 from gridloom.llm.tokens import crc32, default_path, encoded, encoder
 from gridloom.session import fresh_path
 
@@ -88,7 +88,7 @@ def token_table(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     """(key, ids, n_ids): the ids of every row with the end id, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             ids = list(encoded(batch.column(1).to_pylist(), path))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["key", "ids", "n_ids"])
 

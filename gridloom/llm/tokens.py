@@ -35,8 +35,10 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{L
 BEYOND_LATIN_1 = re.compile("[^\x00-\xff]")
 
 END_ID = 1
-#: Words that a worker keeps; later ones are encoded each time that they come up.
-CACHED_WORDS = 450_000
+#: Bytes of words and their ids that a worker keeps; later words are encoded each time that they come up.
+CACHED_BYTES = 24 << 20
+#: What a kept word takes besides its letters and ids.
+ENTRY_BYTES = 160
 
 
 def default_path() -> str:
@@ -60,6 +62,7 @@ class Encoder:
         self.by_word = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER and rules["model"].get("end_of_word_suffix") == WORD_END and not rules["model"].get("dropout")
         self.special = [token["content"] for token in rules["added_tokens"]]
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
         if self.by_word:
             self.ends_word = np.zeros(self.size, bool)
             self.ends_word[[number for token, number in rules["model"]["vocab"].items() if token.endswith(WORD_END)]] = True
@@ -74,8 +77,12 @@ class Encoder:
             known.update(zip(new, self._encode_words(new)))
         take = known.__getitem__
         out = [b"".join(map(take, row)) if row is not None else np.array(next(whole).ids, self.dtype).tobytes() for row in words]
-        for word in new[max(0, len(new) - max(0, len(known) - CACHED_WORDS)) :]:  # what is beyond the bound leaves again
-            del known[word]
+        for word in new:
+            size = ENTRY_BYTES + len(word) + len(known[word])
+            if self.cached + size > CACHED_BYTES:  # what is beyond the bound leaves again
+                del known[word]
+            else:
+                self.cached += size
         return out
 
     def _encode_words(self, words: list[str]) -> Iterable[bytes]:
@@ -101,7 +108,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Characters of text that are encoded in one call.
-CHARACTERS_AT_ONCE = 1 << 22
+CHARACTERS_AT_ONCE = 1 << 18
 
 
 def encoded(texts: list[str | None], path: str) -> Iterable[np.ndarray]:

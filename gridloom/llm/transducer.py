@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import sliced
 from gridloom.llm.tokens import NORMALIZER, SPLITTER, WORD_END, default_path
 
 UNKNOWN, START = 0, 1
@@ -350,7 +351,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, ke
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = np.fromiter(count_tokens(texts, path), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(n > limit)], [key, "n_bytes", "n_tokens", "over_limit"])

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import similar, simhash
+from gridloom.llm import simhash
 from gridloom.llm.graph import components
 from gridloom.llm.queries import QUERIES
 from tests.llm.conftest import CLASHING, EDGES
@@ -118,35 +118,10 @@ def test_clashing_names_are_there(edge_docs):
     assert set(CLASHING) - {"url"} <= set(edge_docs.columns)
 
 
-def plain_sets(texts):
-    for text in texts:
-        words = (text or "").lower().split()
-        yield {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
-
-
-def test_pipeline_keeps_one_of_each_group_of_similar_documents(spark, sf_dir):
-    draw = np.random.default_rng(7)
-    texts = []
-    for group in range(40):  # copies with one to five of 150 words replaced, similar to each other or not
-        words = [f"g{group}w{i}" for i in draw.integers(0, 10**6, 150)]
-        for changed in range(6):
-            copy = list(words)
-            for at in draw.integers(0, 150, changed):
-                copy[at] = f"other{draw.integers(0, 10**6)}"
-            texts.append(" ".join(copy))
-    sets = list(plain_sets(texts))
-    near = [[j for j, b in enumerate(sets) if len(a & b) * 5 >= len(a | b) * 4] for a in sets]
-    label = list(range(len(texts)))
-    while (new := [min(label[j] for j in n) for n in near]) != label:
-        label = new
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()}
-    assert kept == set(label) and 40 <= len(kept) < len(texts)
-
-
-def test_unconnected_members_of_a_bucket_are_all_paired():
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 1, 2, 2]), pa.array([5, 5, 6, 7, 5, 6]), pa.array([5, 8, 6, 7, 8, 6])], ["bucket", "label", "print"])
-    got = [pair for out in similar._unconnected_pairs(iter([batch])) for pair in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
-    assert sorted(got) == [(5, 6), (5, 7), (6, 7), (6, 8), (6, 8), (7, 8)]
+def test_pipeline_keeps_the_first_of_each_component(spark, sf_dir, documents):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = documents.doc_id.tolist()
+    want = set(plain_components(ids, [plain_fingerprint(t) for t in documents.text]))
+    kept = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(want)
+    assert len(want) < len(ids)

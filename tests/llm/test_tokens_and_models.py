@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridloom.llm import attention, language_model, packing, token_files, tokens
+from gridloom.llm import attention, language_model, packing, pii, repetition, token_files, tokens
 from gridloom.llm.queries import QUERIES
 from tests.llm.conftest import EDGES
+from tests.llm.test_near_dedup import plain_components, plain_fingerprint
+from tests.llm.test_text_stages import plain_measures
 
 
 def library_ids(texts):
@@ -259,26 +263,62 @@ def test_every_window_of_every_text_is_trained_once(spark):
 # --- pipeline -----------------------------------------------------------------------------------
 
 
-def test_pipeline_stages(spark, sf_dir, documents):
+def plain_kept(text):
+    n, _, _, _, window, covered, longest = plain_measures(text)
+    rules = repetition.Rules()
+    if n < rules.fewest_words or 100 * window > rules.window_percent * n or 100 * covered > rules.covered_percent * n:
+        return False
+    return longest <= max(rules.longest_words, n * rules.longest_percent // 100)
+
+
+def plain_leaks(texts, items):
+    """Which texts hold four fifths of the five-word shingles of an item."""
+    words = lambda text: re.findall(r"[^\W_]+", (text or "").lower())
+    sets = [{tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in map(words, items) if w for k in [min(5, len(w))]]
+    for text in texts:
+        w = words(text)
+        own = {k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for k in range(1, 6)}
+        yield any(10 * len(s & own[len(next(iter(s)))]) >= 8 * len(s) for s in sets)
+
+
+def test_pipeline_equals_plain_stages(spark, sf_dir, documents):
+    """Every stage on all that the one before it kept, against loops over rows."""
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == len(set(names)) == 5
+    stage = dict(corpus_pipeline.STAGES)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, ids = docs.columns, set(documents.doc_id)
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "stage-test")
+    items = pq.read_table(f"{sf_dir}/benchmark.parquet").column("text").to_pylist()
+    columns = docs.columns
+    rows = dict(zip(documents.doc_id, documents.text))
+
+    def after(name):
+        nonlocal docs
+        docs = corpus_pipeline.written(stage[name](spark, docs, sf_dir), "stage-test")
         assert docs.columns == columns
-        now = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert now <= ids and docs.count() == len(now)
-        ids = now
-    kept = docs.toPandas()
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).toPandas()
-    check_pieces(pieces, dict(zip(kept.doc_id, library_ids(kept.text))), packing.Limits())
+        return {r.doc_id: r.text for r in docs.collect()}
+
+    rows = {i: t for i, t in rows.items() if plain_kept(t)}
+    assert after("quality") == rows
+    first = plain_components(list(rows), [plain_fingerprint(t) for t in rows.values()])
+    rows = {i: rows[i] for i in set(first)}
+    assert after("near_dedup") == rows
+    rows = {i: t for (i, t), leaks in zip(rows.items(), plain_leaks(rows.values(), items)) if not leaks}
+    assert after("benchmark_decontamination") == rows
+    model = pii.trained(docs, "doc_id", "text")
+    rows = {i: pii.masked(t, pii.all_spans(t, model, pii.MARGIN)[1]) for i, t in rows.items()}
+    assert after("personal_data") == rows
+    assert all(r.n_chars == len(rows[r.doc_id]) for r in docs.collect() if rows[r.doc_id] != r.text) and not any(pii.base_spans(t) for t in rows.values())
+    pieces = stage["packing"](spark, docs, sf_dir).toPandas()
+    check_pieces(pieces, dict(zip(rows, library_ids(rows.values()))), packing.Limits())
     whole = corpus_pipeline.run(spark, sf_dir).toPandas()
-    assert set(whole.doc_id) == set(pieces.doc_id) and whole.length.sum() == pieces.length.sum()
+    assert set(whole.doc_id) == set(rows) and whole.length.sum() == pieces.length.sum()
 
 
 def test_pipeline_on_edges_and_nothing(spark, edge_docs, no_docs, sf_dir):
-    for docs in (edge_docs, no_docs):
+    for docs, kept in ((edge_docs, [10]), (no_docs, [])):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "stage-test")
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count() or docs.count() > 0
+        assert [r.doc_id for r in docs.collect()] == kept
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+        assert {r.doc_id for r in pieces} == set(kept)
+        assert sum(r.length for r in pieces) == sum(len(x) for x in library_ids([t for i, t in EDGES if i in kept]))
