@@ -7,9 +7,9 @@ An identity map names for each A-id the B-id with the same bytes. Groups of one
 the great majority, are counted by A-id in vectors as long as the vocabulary, one per task. Only the links of the
 other, irregular groups are counted as pairs by a shuffle, after each task has summed its own.
 
-In texts whose white space is spaces and line feeds, neither tokenizer has a token that goes from other characters on to white space, so
-both cut there, and a run of white space with what follows it is aligned once and kept by the worker. Every other text is
-encoded as a whole.
+In texts whose white space is spaces and line feeds, neither tokenizer has a token that goes from other characters on to white space, nor
+from a word to a mark that ends it. So both cut there; a run of white space with the word behind it, or the mark and what
+follows it, is aligned once and kept by the worker. Every other text is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import slices, written
 
 BLANK = "▁"
-CHUNK = re.compile(r"\s+\S*")
+LETTER, MARK = "[A-Za-zÀ-ÖØ-öø-ɏ]", "[.,;:!?]"
+CHUNK = re.compile(f"\\s+(?:{LETTER}+(?={MARK})|\\S*)|\\S+")
 ODD_BLANKS = re.compile(f"[^\\S \n]|{BLANK}")
 #: Bytes of aligned chunks that a worker keeps; later ones are aligned each time that they come up.
-CACHED_BYTES = 32 << 20
+CACHED_BYTES = 40 << 20
 #: Pairs that every task knows the count of, the most frequent ones. Another pair holds less than this part of all irregular links.
 KNOWN_PAIRS = 1 << 17
 
@@ -82,8 +84,9 @@ class Vocabularies:
                 plain.setdefault(self.b_bytes[number], number)
         self.same = np.array([plain.get(x, -1) for x in self.a_bytes], np.int64)
         a_text, b_text = ([str(i).encode() for i in range(len(x))] for x in (self.a_bytes, self.b_bytes))
-        #: Whether no token goes on from other characters to white space, or from a line feed to anything.
-        self.cuts_at_blanks = not any(re.search(f"[^{BLANK}]{BLANK}|\n.|.\n", self.b.id_to_piece(i)) for i in range(len(self.b_bytes)))
+        #: Whether no token goes on from other characters to white space, from a line feed to anything, or from a word to a mark.
+        across = re.compile(f"[^{BLANK}]{BLANK}|\n.|.\n|{LETTER}{MARK}")
+        self.cuts = not any(across.search(self.b.id_to_piece(i)) for i in range(len(self.b_bytes)))
         self.written = [*(x + b"," for x in a_text), *(x + b"|" for x in a_text), *(x + b"," for x in b_text), *(x + b";" for x in b_text)]
 
     def _piece(self, number: int) -> bytes:
@@ -100,8 +103,7 @@ class Vocabularies:
         return b"".join(map(self.a_bytes.__getitem__, a.tolist())), b"".join(map(self.b_bytes.__getitem__, b.tolist()))
 
 
-@dataclass(frozen=True)
-class Aligned:
+class Aligned(NamedTuple):
     """A text or a part of one: tokens, groups, their written form, A-ids of exact groups, pairs (A << 32 | B) of the others."""
 
     n_a: int
@@ -112,7 +114,7 @@ class Aligned:
     pairs: bytes
 
     def size(self) -> int:
-        return 400 + len(self.groups) + len(self.exact) + len(self.pairs)
+        return 330 + len(self.groups) + len(self.exact) + len(self.pairs)
 
 
 
@@ -154,12 +156,12 @@ class Aligner:
 
     def align(self, texts: list[str]) -> Iterator[list[Aligned]]:
         """The parts of each text; none where the tokens do not spell it."""
-        chunks = [None if not t or not self.v.cuts_at_blanks or ODD_BLANKS.search(t) else CHUNK.findall(" " + t) for t in texts]
+        chunks = [None if not t or not self.v.cuts or ODD_BLANKS.search(t) else CHUNK.findall(" " + t) for t in texts]
         new = dict.fromkeys(c for row in chunks if row for c in row if c not in self.known)
         fresh = dict(zip(new, self._chunks(list(new))))
         for text, row in zip(texts, chunks):
             parts = [self.known.get(c) or fresh.get(c) for c in row] if row else [None]
-            yield self._whole(text) if None in parts else parts
+            yield self._whole(text) if any(p is None for p in parts) else parts
         for chunk, made in fresh.items():
             if made is not None and self.held < CACHED_BYTES:
                 self.held += made.size() + 4 * len(chunk)
@@ -175,12 +177,14 @@ class Aligner:
     def _chunks(self, chunks: list[str]) -> list[Aligned | None]:
         """Many chunks in one call: set one after the other they are a text again. None where a chunk is not spelled."""
         row = [c for c in chunks if not c[-1].isspace()]  # white space at the end would go on into the next one
-        joined = "a" + "".join(row)
+        spaced = [part for c in row for part in ((c,) if c[0].isspace() else (" a", c))]  # a mark stands behind a word
+        joined = "a" + "".join(spaced)
         made: dict[str, Aligned | None] = {}
         raw = b" " + joined.encode()
         ((a, b),) = self.v.encode([joined])
         if self.v.spell(a, b) == (raw, raw):
-            made = dict(zip(row, align(self.v, a, b, np.cumsum([2, *(len(c.encode()) for c in row)]))[1:]))
+            parts = align(self.v, a, b, np.cumsum([2, *(len(c.encode()) for c in spaced)]))[1:]
+            made = {c: p for c, p in zip(spaced, parts)}
         for chunk in chunks:
             if chunk not in made:
                 made[chunk] = self._alone(chunk)
