@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.time import epoch_seconds
 from gridloom.operators.ordered import draw_blocks, previous_values, running_total
-from gridloom.session import fresh_path
 
 
 def stack_offsets(
@@ -71,7 +70,8 @@ def commitment_runs(
     """
     keys = list(keys)
     if block is None:
-        on, block = draw_blocks(on.dropna(subset=[*keys, ts]), keys, ts)
+        on, block = draw_blocks(on.dropna(subset=[*keys, ts]), keys, [ts])
+        block = F.lit(0) if block is None else block
     inside = Window.partitionBy(*keys, "__block").orderBy(ts)
     moved = F.coalesce((F.lag(status).over(inside) != F.col(status)).cast("long"), F.lit(0).cast("long"))
     # Dropping rows without a unit or block here keeps both uses of `segments` alike down to the shuffle, which
@@ -146,28 +146,14 @@ def ramp_check(
     )
 
 
-def offer_blocks(offer: DataFrame, interval: Sequence[str], unit: str, price: str = "price") -> DataFrame:
-    """The offers with `offer_block`, a number that rises with (interval, price, unit).
-
-    The cuts come from the data: offers are laid out in ranges of about equal row counts, so an interval or a
-    price with many offers takes many blocks and the number of blocks follows the number of shuffle
-    partitions. The rows are written, since ranges drawn a second time could differ.
-    """
-    spark = offer.sparkSession
-    path = fresh_path(spark, "offers")
-    offer.repartitionByRange(*interval, price, unit).withColumn("offer_block", F.spark_partition_id().cast("long")).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def offer_stack(
     offer: DataFrame, interval: Sequence[str], unit: str, band: Column | None = None, price: str = "price", pmax: str = "pmax"
 ) -> DataFrame:
     """Offers of each market interval with the running quantity `cum`, cheapest first.
 
-    `band` is a block expression that never falls along (price, unit); without one, `offer_blocks` cuts.
+    `band` is a block expression that never falls along (price, unit); without one, intervals with many offers are
+    cut at (price, unit) pairs drawn from the offers.
     """
-    if band is None:
-        offer, band = offer_blocks(offer, interval, unit, price), F.col("offer_block")
     return running_total(offer, interval, [price, unit], pmax, band, "cum")
 
 
@@ -234,19 +220,28 @@ def clearing_price(
 ) -> DataFrame:
     """Price of the first unit whose running quantity covers demand, the penalty if none does.
 
-    Totals per block find the one block of an interval in which demand is met; only its rows are windowed.
+    Totals per block find the one block of an interval in which demand is met; only its rows are windowed. Without
+    `band`, intervals with many offers are cut as in `offer_stack`; if there are none, an interval is one window.
     """
     interval = list(interval)
     if band is None:
-        offer, band = offer_blocks(offer, interval, unit, price), F.col("offer_block")
-    blocked = offer.withColumn("__block", band)
-    up_to = Window.partitionBy(*interval).orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
-    totals = blocked.groupBy(*interval, "__block").agg(F.sum(pmax).alias("__own")).withColumn("__cum", F.sum("__own").over(up_to))
-    met = totals.join(demand, interval).where(F.col("__cum") >= F.col("demand"))
-    crossing = met.groupBy(*interval).agg(F.min("__block").alias("__block"), F.min_by(F.col("demand") - (F.col("__cum") - F.col("__own")), "__block").alias("__left"))
+        offer, band = draw_blocks(offer, interval, [price, unit])
     inside = Window.partitionBy(*interval).orderBy(price, unit).rowsBetween(Window.unboundedPreceding, 0)
-    rows = blocked.join(crossing, [*interval, "__block"]).withColumn("__sum", F.sum(pmax).over(inside))
+    if band is None:
+        rows = offer.select(*interval, price, F.sum(pmax).over(inside).alias("__sum")).join(demand.select(*interval, F.col("demand").alias("__left")), interval)
+    else:
+        rows = _crossing_rows(offer, demand, interval, band, pmax).withColumn("__sum", F.sum(pmax).over(inside))
     marginal = rows.where(F.col("__sum") >= F.col("__left")).groupBy(*interval).agg(F.min(price).alias("__price"))
     return demand.join(marginal, interval, "left").select(
         *interval, "demand", F.coalesce(F.col("__price").cast("double"), F.lit(float(penalty))).alias("clearing_price")
     )
+
+
+def _crossing_rows(offer: DataFrame, demand: DataFrame, interval: list[str], band: Column, pmax: str) -> DataFrame:
+    """The offers of the block of each interval in which demand is met, with what is `__left` to meet there."""
+    blocked = offer.withColumn("__block", band)
+    up_to = Window.partitionBy(*interval).orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    totals = blocked.groupBy(*interval, "__block").agg(F.sum(pmax).alias("__own")).withColumn("__cum", F.sum("__own").over(up_to))
+    met = totals.join(demand, interval).where(F.col("__cum") >= F.col("demand"))
+    crossing = met.groupBy(*interval).agg(F.min("__block").alias("__block"), F.min_by(F.col("demand") - (F.col("__cum") - F.col("__own")), "__block").alias("__left"))
+    return blocked.join(crossing, [*interval, "__block"])

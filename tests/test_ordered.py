@@ -87,15 +87,18 @@ def test_null_keys_stamps_and_values(spark, monkeypatch, cut, seed):
 
 
 def test_dense_keys_take_many_drawn_blocks(spark):
-    hot = spark.range(20_000).select(F.lit("hot").alias("key"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"))
-    cold = spark.range(300).select(F.concat(F.lit("k"), (F.col("id") % 10).cast("string")).alias("key"), F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("ts"))
-    met, block = draw_blocks(hot.unionByName(cold), ["key"], "ts", rows=500)
-    sizes = met.withColumn("block", block).groupBy("key", "block").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).orderBy("key", "block").collect()
-    mine = [r for r in sizes if r.key == "hot"]
-    assert len(mine) == 40 and max(r.n for r in mine) < 700 and len(sizes) == 50
-    assert all(x.b < y.a for x, y in zip(mine, mine[1:]))
-    with pytest.raises(TypeError):
-        draw_blocks(cold, ["ts"], "key")
+    hot = spark.range(20_000).select(F.lit("hot").alias("key"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"), F.lit("same").alias("price"))
+    cold = spark.range(300).select(F.concat(F.lit("k"), (F.col("id") % 10).cast("string")).alias("key"), F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("ts"), F.lit("same").alias("price"))
+    both = hot.unionByName(cold)
+    for order in (["ts"], ["price", "ts"]):  # one price for all: the cuts are between stamps
+        met, block = draw_blocks(both, ["key"], order, rows=500)
+        sizes = met.withColumn("block", block).groupBy("key", "block").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).orderBy("key", "block").collect()
+        mine = [r for r in sizes if r.key == "hot"]
+        assert 30 <= len(mine) <= 50 and max(r.n for r in mine) < 1500 and len(sizes) == len(mine) + 10
+        assert all(x.b < y.a for x, y in zip(mine, mine[1:]))
+    assert draw_blocks(cold, ["key"], ["ts"], rows=500)[1] is None
+    met, block = draw_blocks(both, ["key"], ["price"], rows=500)  # nothing to cut at
+    assert met.select(block.alias("b")).distinct().count() <= 2
 
 
 def test_operators_with_drawn_blocks_and_null_units(spark, monkeypatch):
