@@ -222,10 +222,10 @@ def _(t: Tables) -> DataFrame:
     return closure.join(counts, "descendant", "left").select("ancestor", "descendant", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query("components_of_type", "select comp_type, name from v_typed where comp_type in ('ThermalStandard', 'Source')")
+@query("components_of_type", "select comp_type, name from v_component where comp_type in ('ThermalStandard', 'Source')")
 def _(t: Tables) -> DataFrame:
     closure = P.type_closure(t.spark, t.hierarchy)
-    return P.components_of_type(t.v_typed, closure, "Device").select("comp_type", "name")
+    return P.components_of_type(t.v_component, closure, "Device").select("comp_type", "name")
 
 
 @query("component_by_name", "select comp_type, name from v_component where comp_type = 'Bus' and name = 'Customer#000000042'")
@@ -365,10 +365,9 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     from gridloom.operators.ordered import previous_values
 
-    block = day_block("ts", 7)
-    moves = previous_values(t.v_commit, ["component"], ["ts"], {"before": "on"}, block)
+    moves = previous_values(t.v_commit, ["component"], ["ts"], {"before": "on"})
     changes = moves.filter(F.col("before").isNull() | (F.col("before") != F.col("on")))
-    out = J.commitment_asof(changes, t.v_series5.drop("value"), ["component"], "ts", block)
+    out = J.commitment_asof(changes, t.v_series5.drop("value"), ["component"], "ts")
     return doubles(out.select("component", "ts", "on", "lower", "upper"), "lower", "upper")
 
 

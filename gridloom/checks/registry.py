@@ -27,6 +27,11 @@ def query(name: str, oracle: str | None = None) -> Callable:
     return add
 
 
+def without_name(df: DataFrame, column: str = "component", name: str = "view") -> DataFrame:
+    """One series has lost its name: its key is null."""
+    return df.withColumn(column, F.nullif(column, F.lit(name)))
+
+
 def doubles(df: DataFrame, *columns: str) -> DataFrame:
     """Exact decimal totals as doubles, the type the oracle returns."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})

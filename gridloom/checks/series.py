@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.checks.fixtures import Tables
-from gridloom.checks.registry import doubles, query, rounded
+from gridloom.checks.registry import doubles, query, rounded, without_name
 from gridloom.functions.time import day_block
 from gridloom.operators import aggregates as A
 from gridloom.operators import network as N
@@ -170,25 +170,25 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "forecast_params",
-    """with w as (select component, initial_time, max(step) + 1 as points, min(ts) as a, max(ts) as b from v_window_two_day group by component, initial_time),
+    """with w as (select nullif(component, 'view') as component, initial_time, max(step) + 1 as points, min(ts) as a, max(ts) as b from v_window_two_day group by component, initial_time),
     g as (select *, date_diff('second', lag(initial_time) over (partition by component order by initial_time), initial_time) as gap from w)
     select component, min(initial_time) as initial_timestamp, cast(max(points) as bigint) as horizon, min(gap) as interval_s, count(*) as window_count,
       cast(min(date_diff('second', a, b) / (points - 1)) as bigint) as resolution_s from g group by component""",
 )
 def _(t: Tables) -> DataFrame:
-    return S.forecast_params(windows(t, 48, DAY), ["component"], day_block("initial_time", WEEK))
+    return S.forecast_params(without_name(windows(t, 48, DAY)), ["component"])
 
 
 @query(
     "infer_resolution",
-    """with s as (select 'hourly' as kind, component, ts from v_series union all select 'five minutes', component, ts from v_series5
+    """with s as (select 'hourly' as kind, nullif(component, 'view') as component, ts from v_series union all select 'five minutes', component, ts from v_series5
          union all select 'events', event_type, date_trunc('second', ts) from events),
     g as (select kind, component, date_diff('second', lag(ts) over (partition by kind, component order by ts), ts) as gap from s)
     select kind, component, min(gap) as resolution_s, count(distinct gap) as different_steps from g where gap is not null group by kind, component""",
 )
 def _(t: Tables) -> DataFrame:
     parts = {
-        "hourly": t.v_series.select("component", "ts"),
+        "hourly": without_name(t.v_series).select("component", "ts"),
         "five minutes": t.v_series5.select("component", "ts"),
         "events": t.events.select(F.col("event_type").alias("component"), F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts")),
     }
@@ -206,9 +206,14 @@ def _(t: Tables) -> DataFrame:
     return doubles(both, "value").withColumn("kind", F.lit("static"))
 
 
-@query("remove_series", "select kind, entry, component, ts, initial_time, cast(value as double) as value from v_result where kind <> 'dual'")
+@query(
+    "remove_series",
+    """select kind, entry, component, ts, initial_time, value from (
+         select case when component <> 'view' then kind end as kind, entry, component, ts, initial_time, cast(value as double) as value from v_result) r
+       where kind is null or kind <> 'dual'""",
+)
 def _(t: Tables) -> DataFrame:
-    rows = S.remove_series(t.v_result, "dual")
+    rows = S.remove_series(t.v_result.withColumn("kind", F.when(F.col("component") != "view", F.col("kind"))), "dual")
     return doubles(rows.select("kind", "entry", "component", "ts", "initial_time", "value"), "value")
 
 

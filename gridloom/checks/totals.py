@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridloom import fixed
 from gridloom.checks.columns import with_unit_rules
 from gridloom.checks.fixtures import Tables
-from gridloom.checks.registry import doubles, query, rounded
+from gridloom.checks.registry import doubles, query, rounded, without_name
 from gridloom.functions.time import day_block
 from gridloom.operators import aggregates as A
 from gridloom.operators import market as M
@@ -195,12 +195,12 @@ def _(t: Tables) -> DataFrame:
     "initial_conditions",
     """select component, initial_time, cast(last_value as double) as last_value,
          cast(lag(last_value) over (partition by component order by initial_time) as double) as initial_value
-       from (select component, initial_time, arg_max(value, ts) as last_value from v_window_two_day
+       from (select nullif(component, 'view') as component, initial_time, arg_max(value, ts) as last_value from v_window_two_day
              where ts < initial_time + interval 24 hours group by component, initial_time) q""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = S.realized(t.v_window_two_day, 24 * 3600)
-    out = M.initial_conditions(rows, ["component"], day_block("initial_time", WEEK))
+    rows = S.realized(without_name(t.v_window_two_day), 24 * 3600)
+    out = M.initial_conditions(rows, ["component"])
     return doubles(out, "last_value", "initial_value")
 
 
@@ -208,11 +208,11 @@ def _(t: Tables) -> DataFrame:
     "commitment_transitions",
     """select component, ts, "on", case when "on" = 1 and before = 0 then 1 else 0 end as start,
          case when "on" = 0 and before = 1 then 1 else 0 end as stop
-       from (select *, lag("on") over (partition by component order by ts) as before from v_commit) q""",
+       from (select nullif(component, 'view') as component, ts, "on", lag("on") over (partition by component order by ts) as before from v_commit) q""",
 )
 def _(t: Tables) -> DataFrame:
-    on = t.v_commit.select("component", "ts", "on")
-    return M.commitment_transitions(on, ["component"], "ts", day_block("ts", WEEK))
+    on = without_name(t.v_commit).select("component", "ts", "on")
+    return M.commitment_transitions(on, ["component"], "ts")
 
 
 @query(
@@ -233,15 +233,17 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "ramp_check",
-    """with s as (select component, ts, value, lag(value) over (partition by component order by ts) as v0, lag(ts) over (partition by component order by ts) as t0 from v_series),
-    l as (select component, cast(max(value) as double) / 300 as ramp_limit from v_series group by component)
+    """with v as (select nullif(component, 'view') as component, ts, value from v_series),
+    s as (select component, ts, value, lag(value) over (partition by component order by ts) as v0, lag(ts) over (partition by component order by ts) as t0 from v),
+    l as (select component, cast(max(value) as double) / 300 as ramp_limit from v group by component)
     select s.component, ts, cast(abs(value - v0) as double) as step, date_diff('second', t0, ts) / cast(60 as double) as minutes, ramp_limit,
       case when cast(abs(value - v0) as double) > ramp_limit * (date_diff('second', t0, ts) / cast(60 as double)) then 1 else 0 end as violates
     from s join l on l.component = s.component where t0 is not null""",
 )
 def _(t: Tables) -> DataFrame:
-    limits = t.v_series.groupBy("component").agg((F.max("value").cast("double") / 300).alias("ramp_limit"))
-    values = doubles(t.v_series, "value")
+    series = without_name(t.v_series)
+    limits = series.groupBy("component").agg((F.max("value").cast("double") / 300).alias("ramp_limit"))
+    values = doubles(series, "value")
     return rounded(M.ramp_check(doubles(values, "value"), limits, ["component"], "ts", day_block("ts", WEEK)), 4, "step")
 
 

@@ -10,7 +10,9 @@ from gridloom.functions.time import day_block
 from gridloom.operators import aggregates as A
 from gridloom.operators import market as M
 from gridloom.operators import network as N
+from gridloom.operators import ordered
 from gridloom.operators import quality as Q
+from gridloom.operators.ordered import draw_blocks
 
 # A triangle of buses: (line, from, to, r, x, b).
 LINES = [("a", 1, 2, 0.01, 0.12, 0.2), ("b", 1, 3, 0.02, 0.15, 0.1), ("c", 2, 3, 0.03, 0.5, 0.4)]
@@ -216,25 +218,24 @@ def test_hot_interval_against_brute_force(spark, band):
         assert price[ts] == marginal and short[ts] == max(0.0, left)
 
 
-def test_blocks_split_a_hot_interval_and_a_hot_price(spark):
+def test_cuts_split_a_hot_interval_and_a_hot_price(spark, monkeypatch):
     """Most offers are of one interval and one price; blocks still hold about equal row counts."""
     offers = spark.range(0, 20_000, 1, 6).select(
         F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 5 + 2).cast("int").alias("ts"), F.col("id").alias("unit"),
         F.when(F.col("id") % 7 < 6, 20.0).otherwise(F.col("id") % 40 + 0.5).alias("price"), F.lit(1.0).alias("pmax"),
     )
-    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "16")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        blocks = M.offer_blocks(offers, ["ts"], "unit")
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    sizes = [r["count"] for r in blocks.groupBy("ts", "offer_block").count().collect()]
-    assert sum(sizes) == 20_000 and max(sizes) < 3 * 20_000 / 16
-    assert blocks.filter("ts = 1").select("offer_block").distinct().count() >= 10
-    spans = blocks.groupBy("ts", "offer_block").agg(F.min(F.struct("price", "unit")).alias("lo"), F.max(F.struct("price", "unit")).alias("hi")).orderBy("ts", "offer_block").collect()
+    met, band = draw_blocks(offers, ["ts"], ["price", "unit"], rows=1000)
+    blocks = met.withColumn("block", band)
+    sizes = [r["count"] for r in blocks.groupBy("ts", "block").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 3000
+    assert 10 <= blocks.filter("ts = 1").select("block").distinct().count() <= 25
+    spans = blocks.groupBy("ts", "block").agg(F.min(F.struct("price", "unit")).alias("lo"), F.max(F.struct("price", "unit")).alias("hi")).orderBy("ts", "block").collect()
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]) if a.ts == b.ts)
+    demand = spark.createDataFrame([(1, 9000.0), (2, 1.0), (3, 10_000.0)], "ts int, demand double")
+    plain = sorted(map(str, M.merit_order_dispatch(offers, demand, ["ts"], "unit").collect())), sorted(map(str, M.clearing_price(offers, demand, ["ts"], "unit", 1e5).collect()))
+    monkeypatch.setattr(ordered, "ROWS_PER_BLOCK", 1000)
+    cut = sorted(map(str, M.merit_order_dispatch(offers, demand, ["ts"], "unit").collect())), sorted(map(str, M.clearing_price(offers, demand, ["ts"], "unit", 1e5).collect()))
+    assert cut == plain and len(plain[0]) > 16_000
 
 
 def test_bids_that_change_by_interval(spark):
