@@ -401,9 +401,9 @@ def _(t: Tables) -> DataFrame:
     from h left join h o on o.line = h.outage and o.outage = h.outage""",
 )
 def _(t: Tables) -> DataFrame:
-    buses = t.part.agg(F.max("p_partkey")).first()[0]
+    buses = t.part.agg(F.max("p_partkey")).scalar()
     named = t.supplier.filter("s_nationkey = 3").select(F.col("s_suppkey").alias("line"))
-    ends = named.select("line", F.col("line").alias("from_bus_id"), (F.col("line") * 7 % F.lit(buses) + 1).alias("to_bus_id"))
+    ends = named.select("line", F.col("line").alias("from_bus_id"), (F.col("line") * 7 % buses + 1).alias("to_bus_id"))
     return N.lodf_from_ptdf(t.v_ptdf, ends)
 
 

@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -50,9 +53,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The folder of the innermost open scope of this thread of work.
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, or in the open `scratch` scope, that no other run uses."""
+    return f"{_SCOPE.get() or f'{shared_folder(spark)}/gridloom'}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours on whatever file system it is; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope for the intermediate tables of a run: they lie in one folder, which is removed at the end, also after an error.
+
+    A DataFrame made inside may read such tables, so what it gives must be written or collected before the scope closes:
+
+        with scratch(spark):
+            dispatch(...).write.parquet(result)
+
+    Scopes may stand inside each other; each removes its own folder only. What is to stay, such as datasets
+    that are built once, does not lie in a scope.
+    """
+    folder = f"{_SCOPE.get() or f'{shared_folder(spark)}/gridloom'}/scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        remove_folder(spark, folder)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import shared_folder
+from gridloom.session import remove_folder, shared_folder
 
 
 def _root(spark: SparkSession, root: str | None) -> str:
@@ -54,6 +54,23 @@ def materialize_once(
     return spark.read.parquet(folder)
 
 
+def remove_superseded(spark: SparkSession, name: str, root: str | None = None) -> int:
+    """Remove the data of all builds of a dataset but the newest, unfinished ones too; how many there were.
+
+    To be called when no reader of an older build and no builder is at work.
+    """
+    base = _root(spark, root)
+    newest = _finished(spark, f"{base}/done/dataset={name}")
+    if newest is None:
+        return 0
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/data/{name}")
+    builds = [status.getPath().getName() for status in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    old = [b for b in builds if b != newest.rsplit("/", 1)[1]]
+    for build in old:
+        remove_folder(spark, f"{base}/data/{name}/{build}")
+    return len(old)
+
+
 def dataset_catalog(spark: SparkSession, root: str | None = None) -> DataFrame:
     """(name, category) of the finished datasets, as their last build has it."""
     rows = spark.read.schema(_MARKER).parquet(f"{_root(spark, root)}/done/*")

@@ -5,7 +5,12 @@ import shutil
 import subprocess
 import sys
 
-from gridloom.session import fresh_path, shared_folder
+import pytest
+from pyspark.sql import functions as F
+
+from gridloom.operators.ordered import running_total
+from gridloom.session import fresh_path, scratch, shared_folder
+from gridloom.sources.store import materialize_once, remove_superseded
 
 
 class Conf:
@@ -43,3 +48,47 @@ def test_entry_without_the_corpus_folders(tmp_path):
             os.rename(copy / name, tmp_path / name)
         out = subprocess.run([sys.executable, "-c", script], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""}, check=True).stdout.split(maxsplit=2)
         assert int(out[0]) > 130 and int(out[1]) > 130 and out[2].strip() == "[]"
+
+
+def _left(spark):
+    """Folders of runs under the shared folder."""
+    root = shared_folder(spark).removeprefix("file://") + "/gridloom"
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_a_scope_leaves_nothing_behind(spark, monkeypatch):
+    from gridloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_BLOCK", 20)
+    rows = spark.range(300).select((F.col("id") % 2).alias("k"), "id", F.lit(1).alias("one"))
+    before = _left(spark)
+    with scratch(spark) as outer:
+        with scratch(spark) as inner:
+            assert inner.startswith(outer)
+            got = running_total(rows, ["k"], ["id"], "one", None, "n").agg(F.max("n").alias("n")).first().n
+            folder = inner.removeprefix("file://")
+            assert os.listdir(folder)
+        assert not os.path.exists(folder) and got == 150
+        spark.range(3).write.parquet(fresh_path(spark, "still-open"))
+        assert os.listdir(outer.removeprefix("file://"))
+    assert _left(spark) == before
+    with pytest.raises(ZeroDivisionError):
+        with scratch(spark):
+            spark.range(3).write.parquet(fresh_path(spark, "x"))
+            raise ZeroDivisionError
+    with scratch(spark):
+        pass
+    assert _left(spark) == before
+    assert not fresh_path(spark, "x").startswith(outer)
+
+
+def test_superseded_builds_are_removed(spark, tmp_path):
+    root = f"file://{tmp_path}/datasets"
+    for n in (1, 2, 3):
+        materialize_once(spark, "numbers", lambda n=n: spark.range(n), root=root, rebuild=True)
+    with pytest.raises(ZeroDivisionError):
+        materialize_once(spark, "numbers", lambda: 1 / 0, root=root, rebuild=True)
+    assert remove_superseded(spark, "numbers", root) == 2 and remove_superseded(spark, "numbers", root) == 0
+    assert remove_superseded(spark, "never built", root) == 0
+    assert materialize_once(spark, "numbers", lambda: spark.range(9), root=root).count() == 3
+    assert len(os.listdir(tmp_path / "datasets" / "data" / "numbers")) == 1
