@@ -19,11 +19,11 @@ import numpy as np
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes of the model; none depends on the corpus."""
+    """Sizes of the model; none depends on the corpus. Rows and choices are numbered in 16 bits."""
 
     width: int = 16
     context: int = 64
-    stride: int = 32
+    stride: int = 64
     own_rows: int = 4096
     shared_rows: int = 512
     choices: int = 512
@@ -219,34 +219,50 @@ class Model:
         s, p = self.shape, self.p
         f = self._attend(rows, first, begin, end, attention=True)
         place = first[:, None] + np.arange(s.stride)
-        scored = place < end[:, None]
-        target = follow[np.where(scored, place, 0)]
-        path, turn = self.tree.node[target], self.tree.sign[target] * scored[:, :, None]
-        vectors = p["choice"][path]
-        z = np.einsum("bsld,bsd->bsl", vectors, f["h"]) + p["odds"][path]
+        scored = (place < end[:, None]).reshape(-1)
+        target = follow[np.where(scored, place.reshape(-1), 0)]
+        path, turn = self.tree.node[target], self.tree.sign[target] * scored[:, None]
+        h, u, k = f["h"].reshape(-1, s.width), s.upper, self.tree.upper_levels
+        # The upper choices of all places are one product, and so is what they add to each choice; free places add nothing.
+        upper, at = p["choice"][: u + 1], path[:, :k] + np.arange(len(h), dtype=np.int32)[:, None] * (u + 1)
+        every = h @ upper.T
+        lower = p["choice"][path[:, k:]]
+        z = np.concatenate([every.reshape(-1)[at], np.einsum("tld,td->tl", lower, h)], 1) + p["odds"][path]
         dz = turn / (1 + np.exp(np.clip(turn * z, -30, 30)))
-        dh = np.einsum("bsl,bsld->bsd", dz, vectors) * (1 - np.abs(f["h"])) ** 2
-        da = dh @ f["v"].transpose(0, 2, 1)
+        moved = np.zeros_like(every)
+        moved.reshape(-1)[at] = dz[:, :k]
+        dh = (moved @ upper + np.einsum("tl,tld->td", dz[:, k:], lower)) * (1 - np.abs(h)) ** 2
+        dodds = np.bincount(path[:, k:].reshape(-1), dz[:, k:].reshape(-1), len(p["odds"])).astype(np.float32)
+        dodds[: u + 1] += moved.sum(0)
+        dh = dh.reshape(f["h"].shape)
         a = f["attention"]
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        dnear = np.zeros_like(p["near"])
+        ds = dh @ f["v"].transpose(0, 2, 1)
+        ds -= np.einsum("bsk,bsk->bs", ds, a)[:, :, None]
+        ds *= a
         keep = f["apart"] >= 0
-        np.add.at(dnear, f["apart"][keep], ds.sum(0)[keep])
+        dnear = np.bincount(f["apart"][keep], ds.sum(0)[keep], len(p["near"])).astype(np.float32)
         grown = [
-            ("choice", path.reshape(-1), (dz[..., None] * f["h"][:, :, None, :]).reshape(-1, s.width)),
-            ("last", f["own"].reshape(-1), dh.reshape(-1, s.width)),
-            ("query", f["own"].reshape(-1), (ds @ f["k"]).reshape(-1, s.width)),
-            ("key", f["row"].reshape(-1), (ds.transpose(0, 2, 1) @ f["q"]).reshape(-1, s.width)),
-            ("value", f["row"].reshape(-1), (a.transpose(0, 2, 1) @ dh).reshape(-1, s.width)),
+            (("choice",), path[:, k:].reshape(-1), [(dz[:, k:, None] * h[:, None, :]).reshape(-1, s.width)]),
+            (("last", "query"), f["own"].reshape(-1), [dh.reshape(-1, s.width), (ds @ f["k"]).reshape(-1, s.width)]),
+            (("key", "value"), f["row"].reshape(-1), [(ds.transpose(0, 2, 1) @ f["q"]).reshape(-1, s.width), (a.transpose(0, 2, 1) @ dh).reshape(-1, s.width)]),
         ]
-        for name, at, change in grown:
-            order = np.argsort(at, kind="stable")
+        sums = {"choice": moved.T @ h}
+        for names, at, changes in grown:
+            order = np.argsort(at.astype(np.uint16), kind="stable")  # 16 bits are sorted by counting
             at = at[order]
             lead = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            total, one = np.add.reduceat(change[order], lead, 0), at[lead]
-            memory[name][one] += total**2
-            p[name][one] += rate * total / np.sqrt(memory[name][one] + 1e-6)
-        dodds = np.bincount(path.reshape(-1), dz.reshape(-1), len(p["odds"])).astype(np.float32)
+            one = at[lead]
+            for name, change in zip(names, changes):
+                total = np.add.reduceat(change[order], lead, 0)
+                if name in sums:
+                    sums[name], whole = np.zeros_like(p[name]), sums[name]
+                    sums[name][: len(whole)] = whole
+                    sums[name][one] += total
+                    memory[name] += sums[name] ** 2
+                    p[name] += rate * sums[name] / np.sqrt(memory[name] + 1e-6)
+                else:
+                    memory[name][one] += total**2
+                    p[name][one] += rate * total / np.sqrt(memory[name][one] + 1e-6)
         for name, total in (("odds", dodds), ("near", dnear)):
             memory[name] += total**2
             p[name] += 0.3 * rate * total / np.sqrt(memory[name] + 1e-6)

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -234,6 +235,39 @@ def test_scores_query(spark, sf_dir, documents):
     assert held.score.sum() / held.n_tokens.sum() > -7
 
 
+def plain_score(model, ids, mark):
+    """log10 probability of the ids and the end: each place attends to the places of its window one by one."""
+    p, shape, tree = model.p, model.shape, model.tree
+    text, total = [mark, *ids.tolist()], 0.0
+    row = [int(model.row[i]) for i in text]
+    for place in range(len(text)):
+        first = max(0, place // shape.stride * shape.stride - shape.context)
+        seen = range(first, place + 1)
+        query = p["query"][row[place]].astype(float)
+        weight = [math.exp(min(60.0, float(query @ p["key"][row[j]]) + float(p["near"][place - j]))) for j in seen]
+        h = sum(w * p["value"][row[j]].astype(float) for w, j in zip(weight, seen)) / sum(weight) + p["last"][row[place]]
+        h = h / (1 + abs(h))
+        after = text[place + 1] if place + 1 < len(text) else mark
+        total += float(tree.rest[after])
+        for node, sign in zip(tree.node[after].tolist(), tree.sign[after].tolist()):
+            total -= math.log1p(math.exp(-sign * (float(p["choice"][node] @ h) + float(p["odds"][node]))))
+    return total / math.log(10)
+
+
+def test_scores_equal_a_loop_over_places(spark, sf_dir, documents):
+    path = language_model.default_path()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select(F.col("doc_id").alias("key"), language_model.is_held_out(F.col("doc_id")).alias("held"), language_model.as_bytes("text").alias("text"))
+    stored = language_model.stored_ids(rows, path)
+    model = language_model.trained(stored, path)
+    dtype, mark = language_model.encoder(path).dtype, language_model.encoder(path).size
+    want = {r.key: plain_score(model, np.frombuffer(r.ids, dtype), mark) for r in stored.collect() if len(r.ids) < 1500}
+    got = {r.doc_id: r.score for r in QUERIES["op6_attention"](spark, sf_dir).collect()}
+    assert len(want) > 0.4 * len(got) and np.abs(model.p["choice"]).max() > 0.1
+    for key, score in want.items():
+        assert got[key] == pytest.approx(score, rel=1e-4, abs=1e-3)
+
+
 @pytest.mark.parametrize("most_frequent", [0, 3, 10**6])
 def test_rare_words_are_looked_up(edge_docs, most_frequent):
     got = language_model.scored_documents(edge_docs, most_frequent=most_frequent).collect()
@@ -246,13 +280,21 @@ def test_no_documents_to_score(no_docs):
     assert language_model.scored_documents(no_docs).count() == 0
 
 
-def test_every_window_of_every_text_is_trained_once(spark):
+def test_every_window_of_every_text_is_trained_once(spark, monkeypatch):
+    """The rounds of a window are one and the same each time it is asked, and the steps taken are all windows."""
     model = tiny_model()
     rows, ends = attention.rows_of_texts((np.full(n, 3) for n in (0, 1, 5, 400)), 39)
     first, text = model.windows(rows, ends)
     sums = np.array([-5, 0, 7, 1 << 62])
     for rounds in (1, 2, 5):
-        assert set(language_model.rounds_of_windows(sums, first, text, rounds)) <= set(range(rounds))
+        drawn = language_model.rounds_of_windows(sums, first, text, rounds)
+        assert len(drawn) == len(first) == 1 + 1 + 2 + 101 and set(drawn) == set(range(rounds))
+        taken = []
+        monkeypatch.setattr(attention.Model, "_step", lambda self, rows, follow, first, begin, end, memory, rate: taken.extend(first.tolist()))
+        for round_ in range(rounds):
+            model.train(rows, ends, np.flatnonzero(drawn == round_), {})
+        assert sorted(taken) == first.tolist()
+        monkeypatch.undo()
     path = language_model.default_path()
     tool = language_model.encoder(path)
     for ids in tool.encode(["one", "other words", "third text"]):  # texts of one window each
