@@ -80,17 +80,33 @@ def contained_items(
     if widths:
         by_width = [(w, item_words.where(F.col("width") == w)) for w in sorted(widths)]
         # written, so that their size is known before documents are read: small ones need no shuffle of the documents
-        spelled = written(_union([_spelled(rows, w, ["item"]) for w, rows in by_width]).distinct(), "item-shingles")
-        sizes = spelled.groupBy("item").agg(F.count(F.lit(1)).alias("n_shingles"))
+        spelled = written(_union([_spelled(rows, w, ["item", "width"]) for w, rows in by_width]).distinct(), "item-shingles")
         sketches = written(_sketches(_union([_hashed(rows, w, ["item"]) for w, rows in by_width]).distinct(), threshold), "sketches")
         candidates = written(_candidates(doc_words, sketches, sorted(widths), threshold), "leak-candidates")
-        asked = doc_words.join(candidates.select("doc").distinct(), doc_words.doc.eqNullSafe(candidates.doc), "left_semi")
-        held = _union([_spelled(asked, w, ["doc"]) for w in sorted(widths)])
-        shared = held.join(spelled, "shingle").select("doc", "item", "shingle").distinct().groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n_shared"))
-        out = shared.join(sizes, shared.item.eqNullSafe(sizes.item)).where(F.col("n_shared") >= _needed(F.col("n_shingles"), threshold)).select("doc", shared.item, "n_shingles", "n_shared")
+        sizes = spelled.groupBy(F.col("item").alias("sized")).agg(F.count(F.lit(1)).alias("n_shingles"))
+        lists = spelled.groupBy("item", "width").agg(F.collect_list("shingle").alias("shingles"))
+        lists = written(lists.join(sizes, F.col("item").eqNullSafe(F.col("sized"))).drop("sized"), "item-lists")
+        out = _verified(doc_words, candidates, lists, sorted(widths), threshold)
     return out.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_shingles", "n_shared")
 
 
+def _verified(doc_words: DataFrame, candidates: DataFrame, lists: DataFrame, widths: list[int], threshold: float) -> DataFrame:
+    """(doc, item, n_shingles, n_shared) of the candidates that hold enough of the item's shingles.
+
+    A document's row meets the lists of its candidates and is compared inside the row, so no shingle, however common, brings
+    rows together. What several rows with one key hold is one set.
+    """
+    pairs = candidates.join(lists.withColumnRenamed("item", "named"), F.col("item").eqNullSafe(F.col("named"))).drop("named").withColumnRenamed("doc", "asked")
+    found = []
+    for width in widths:
+        own = F.transform(F.sequence(F.lit(1), F.size("words") - width + 1), lambda at: F.array_join(F.slice("words", at, width), " "))
+        rows = doc_words.where(F.size("words") >= width).join(candidates.select(F.col("doc").alias("asked")).distinct(), F.col("doc").eqNullSafe(F.col("asked")), "left_semi")
+        rows = rows.select("doc", own.alias("own")).join(pairs.where(F.col("width") == width), F.col("doc").eqNullSafe(F.col("asked")))
+        found.append(rows.select("doc", "item", "n_shingles", F.explode(F.array_intersect("shingles", "own")).alias("shingle")))
+    shared = _union(found).distinct().groupBy("doc", "item", "n_shingles").agg(F.count(F.lit(1)).alias("n_shared"))
+    return shared.where(F.col("n_shared") >= _needed(F.col("n_shingles"), threshold))
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how: object) -> DataFrame:
     """The rows of `docs` that hold none of the items, with all of their columns.
 
