@@ -2,10 +2,11 @@
 
 The field scores whole candidate segments: number of digits, checksum, parts, separators, shape and
 the characters and the word around it. A dynamic program over the cuts of a region picks
-boundaries and kinds together; a segment has a bounded number of pieces, so the work is linear in the
-text. Only regions around a digit or an at sign are looked at: `BEFORE` characters before the first one and `AFTER` behind
-the last. Base spans do not depend on regions. An added span is bounded by them: of a segment that reaches further
-from its digit or at sign, such as a long host name behind a spaced at sign, the field sees and marks a part at most.
+boundaries and kinds together; a segment has `MOST_PIECES` pieces at most (a run of letters, a run of digits or another
+character), so the work is linear in the text and a region passes through it piece by piece: the features of the
+segments that end at a cut are dropped when they are scored. Regions reach as far from a digit or an at sign as a
+segment can, so no segment is seen in part. A run of more than `LONGEST_RUN` letters or digits is in no segment: mail
+addresses and host names have none.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import hashlib
 import math
 import random
 import re
+from array import array
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,7 +32,6 @@ KINDS = ("email", "ip", "card", "phone")
 
 TRIGGER = re.compile(r"[0-9@]")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 NUMBER_CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
@@ -88,17 +90,36 @@ def _octet(digits: str) -> bool:
 
 # --- candidate segments -------------------------------------------------------------------------
 
-#: A region reaches this far around its triggers, and a segment has this many pieces at most.
-BEFORE, AFTER, MOST_PIECES = 24, 24, 16
+#: Pieces of a segment, and letters or digits in a row: no part of an address is longer.
+MOST_PIECES, LONGEST_RUN = 16, 64
 PIECE = re.compile(r"[0-9]+|[A-Za-z]+|[^0-9A-Za-z]")
 INSIDE = set(" .-()+@_%")
-REGION = re.compile(r"[0-9@](?:[^\n]{0,24}?[0-9@])*")
+
+
+def _breaks(piece: str) -> bool:
+    """Whether no segment holds this piece."""
+    return len(piece) > LONGEST_RUN or not (piece[0].isascii() and piece[0].isalnum()) and piece not in INSIDE
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches that hold every possible segment: the triggers that lie close together, with their surroundings."""
-    for m in REGION.finditer(text):
-        yield max(0, m.start() - BEFORE), min(len(text), m.end() + AFTER)
+    """Stretches that hold every possible segment: up to `MOST_PIECES` around the triggers, without pieces that no segment holds."""
+    done = 0
+    while trigger := TRIGGER.search(text, done):
+        start = trigger.start()
+        for piece in PIECE.findall(text[max(done, start - MOST_PIECES * (LONGEST_RUN + 1)) : start])[: -MOST_PIECES : -1]:
+            if _breaks(piece):
+                break
+            start -= len(piece)
+        end, since = start, 0
+        for m in PIECE.finditer(text, start):
+            piece = m.group()
+            since = 0 if piece == "@" or piece[0] in "0123456789" else since + 1
+            if _breaks(piece) or since >= MOST_PIECES and end > trigger.start():
+                end = max(end, trigger.end()) if end > trigger.start() else m.end()
+                break
+            end = m.end()
+        yield start, end
+        done = max(end, trigger.end())
 
 
 @dataclass
@@ -110,21 +131,30 @@ class Lattice:
     segments: list[tuple[int, int, list[str]]]
 
 
-def lattice(text: str, start: int, end: int) -> Lattice:
-    region = text[start:end]
-    cuts = [m.start() for m in PIECE.finditer(region)] + [len(region)]
-    pieces = [region[a:b] for a, b in zip(cuts, cuts[1:])]
-    segments = []
-    for i, piece in enumerate(pieces):
-        if not (piece[0].isalnum() and piece.isascii() or piece in "+("):
+def segments_by_end(region: str) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    """For each piece its end and the candidate segments that end there: (first piece, start, end)."""
+    starts: deque[tuple[int, int, bool]] = deque(maxlen=MOST_PIECES)  # of the last pieces: number, place, whether one may begin there
+    for number, m in enumerate(PIECE.finditer(region)):
+        piece = m.group()
+        if _breaks(piece):
+            starts.clear()
+            yield m.end(), []
             continue
-        for j in range(i, min(len(pieces), i + MOST_PIECES)):
-            last = pieces[j]
-            if not (last[0].isascii() and last[0].isalnum()) and last not in INSIDE:
-                break
-            body = region[cuts[i] : cuts[j + 1]]
-            if last[0].isalnum() and TRIGGER.search(body) and sum(c.isdigit() for c in body) <= 24:
-                segments.append((i, j + 1, features(region, cuts[i], cuts[j + 1])))
+        starts.append((number, m.start(), piece.isalnum() or piece in "+("))
+        found = []
+        if piece.isalnum():
+            for first, place, begins in starts:
+                body = region[place : m.end()] if begins else ""
+                if begins and TRIGGER.search(body) and sum(c.isdigit() for c in body) <= 24:
+                    found.append((first, place, m.end()))
+        yield m.end(), found
+
+
+def lattice(text: str, start: int, end: int) -> Lattice:
+    region, cuts, segments = text[start:end], [0], []
+    for j, (cut, found) in enumerate(segments_by_end(region)):
+        cuts.append(cut)
+        segments += [(i, j + 1, features(region, a, b)) for i, a, b in found]
     return Lattice(region, cuts, segments)
 
 
@@ -150,8 +180,8 @@ def features(text: str, start: int, end: int) -> list[str]:
         f"word={word[-1].lower() if word else ''}",
     ]
     if names[1]:
-        out.append(f"domain={bool(re.fullmatch(r'[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}', names[2]))}")
-        out.append(f"local={bool(re.fullmatch(r'[A-Za-z0-9._%+-]+', names[0]))}")
+        out.append(f"domain={bool(re.fullmatch(r'[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}', names[2].removeprefix(' ')))}")
+        out.append(f"local={bool(re.fullmatch(r'[A-Za-z0-9._%+-]+', names[0].removesuffix(' ')))}")
     if not names[1] and 13 <= len(digits) <= 19:
         out.append(f"luhn={luhn(digits)}")
     if len(parts) == 4 and all(p.isdigit() for p in parts):
@@ -181,27 +211,27 @@ class SemiMarkov:
         known, none = self.weights, self.none
         return [sum((known.get(f, none) for f in names), none) for _, _, names in of.segments]
 
-    def best(self, of: Lattice, margin: float) -> list[Span]:
+    def best(self, region: str, margin: float) -> list[Span]:
         """The best segmentation, by dynamic programming over the cuts; `margin` is asked of every segment."""
-        n = len(of.cuts) - 1
-        total, came = [0.0] * (n + 1), [None] * (n + 1)
-        ending: dict[int, list[tuple[int, float, int]]] = {}
-        for (i, j, _), score in zip(of.segments, self.scores(of)):
-            kind = int(np.argmax(score))
-            if score[kind] > margin:
-                ending.setdefault(j, []).append((i, float(score[kind]) - margin, kind))
-        for j in range(1, n + 1):
-            total[j], came[j] = total[j - 1], None
-            for i, score, kind in ending.get(j, ()):
-                if total[i] + score > total[j]:
-                    total[j], came[j] = total[i] + score, (i, kind)
-        out, j = [], n
+        known, none = self.weights, self.none
+        total, came, cuts = array("d", [0.0]), array("q", [-1]), array("q", [0])  # `came`: first piece and kind, -1 outside
+        for cut, found in segments_by_end(region):
+            top, by = total[-1], -1
+            for i, a, b in found:
+                score = sum((known.get(f, none) for f in features(region, a, b)), none)
+                kind = int(np.argmax(score))
+                if score[kind] > margin and total[i] + score[kind] - margin > top:
+                    top, by = total[i] + float(score[kind]) - margin, i * len(KINDS) + kind
+            total.append(top)
+            came.append(by)
+            cuts.append(cut)
+        out, j = [], len(came) - 1
         while j:
-            if came[j] is None:
+            if came[j] < 0:
                 j -= 1
             else:
-                i, kind = came[j]
-                out.append((KINDS[kind], of.cuts[i], of.cuts[j]))
+                i, kind = divmod(came[j], len(KINDS))
+                out.append((KINDS[kind], cuts[i], cuts[j]))
                 j = i
         return out[::-1]
 
@@ -250,7 +280,7 @@ def _log_sum(values: list[float]) -> float:
 
 #: Regions of the corpus that the weights are fitted on, besides the made-up ones.
 SAMPLED_REGIONS = 300
-MADE_UP = 240
+MADE_UP = 280
 MARGIN = 2.0
 
 
@@ -273,6 +303,8 @@ def made_up(n: int) -> list[tuple[str, list[Span]]]:
     forms = [
         lambda: ("email", f"{word()}{draw.choice(['', '.', '_'])}{draw.choice([word(), number(2)])}@{word()}.{draw.choice(['com', 'org', 'net', 'example.com'])}"),
         lambda: ("email", f"{word()} @ {word()}.{draw.choice(['com', 'org', 'net'])}"),
+        lambda: ("email", f"{word()}{draw.choice(['.', '_'])}{word()} @ {word()}.{draw.choice(['com', 'org', 'net'])}"),
+        lambda: ("email", f"{word()}{draw.choice(['', '.' + word()])} @ {'.'.join(word() for _ in range(draw.randint(2, 4)))}.{draw.choice(['com', 'org', 'net'])}"),
         lambda: ("ip", ".".join(str(draw.randint(0, 255)) for _ in range(4))),
         lambda: ("card", card(draw.choice(["", " ", "-", "."]))),
         lambda: ("phone", f"+{draw.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}"),
@@ -356,7 +388,7 @@ def all_spans(text: str, model: SemiMarkov, margin: float = MARGIN) -> tuple[lis
     added: list[Span] = []
     if TRIGGER.search(text):
         for start, end in regions(text):
-            for kind, a, b in model.best(lattice(text, start, end), margin):
+            for kind, a, b in model.best(text[start:end], margin):
                 a, b = a + start, b + start
                 if all(b <= x or a >= y for x, y in _near(taken, a, b)) and all(b <= x or a >= y for _, x, y in added[-3:]):
                     added.append((kind, a, b))
@@ -376,7 +408,7 @@ def _joined(spans: list[Span]) -> str:
 
 
 def personal_data(docs: DataFrame, model: SemiMarkov | None = None, key: str = "doc_id", text: str = "text", margin: float = MARGIN) -> DataFrame:
-    """`key`, the numbers of base spans by kind, base_sha256 and spans of every row.
+    """`key`, the numbers of base spans by kind, base_sha256, spans and n_spans, the number of all spans, of every row.
 
     spans lists base and added spans as kind:start:end, base_sha256 hashes the same list of base spans alone. Null and
     empty texts have none. Repeated rows and null keys come back as they are, an empty table gives no
@@ -388,17 +420,18 @@ def personal_data(docs: DataFrame, model: SemiMarkov | None = None, key: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = SemiMarkov(shared.value)
         for batch in sliced(batches, 1):
-            counts, sums, lists = [[] for _ in KINDS], [], []
+            counts, sums, lists, n = [[] for _ in KINDS], [], [], []
             for value in batch.column(1).to_pylist():
                 base, full = all_spans(value or "", field, margin)
                 for column, kind in zip(counts, KINDS):
                     column.append(sum(k == kind for k, _, _ in base))
                 sums.append(hashlib.sha256(_joined(base).encode()).hexdigest())
                 lists.append(_joined(full))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sums, pa.string()), pa.array(lists, pa.string())], [key, *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                n.append(len(full))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sums, pa.string()), pa.array(lists, pa.string()), pa.array(n, pa.int64())], [key, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"])
 
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+    return rows.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string, n_spans long")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -412,7 +445,11 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def masked_documents(docs: DataFrame, model: SemiMarkov | None = None, key: str = "doc_id", text: str = "text", size: str = "n_chars", margin: float = MARGIN) -> DataFrame:
-    """`docs` with personal data masked and the column `size`, if there is one, set to the new number of characters."""
+    """`docs` with personal data masked and the column `size`, if there is one, set to the new number of characters.
+
+    Rows are masked one by one: null and empty texts stay as they are, repeated rows and null keys come back as often, an
+    empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model or trained(docs, key, text)).weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -124,6 +124,7 @@ def test_personal_data_query_keeps_base_spans(spark, sf_dir, documents):
         assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in base) for k in pii.KINDS]
         assert set(filter(None, joined.split(","))) <= set(filter(None, row.spans.split(",")))
+        assert row.n_spans == len([x for x in row.spans.split(",") if x])
 
 
 def test_field_on_unseen_texts(field):
@@ -145,11 +146,46 @@ def test_dynamic_program_equals_all_segmentations(field):
         options += [float(s.max()) - 1.0 + best(j) for (i, j, _), s in zip(of.segments, scores) if i == at]
         return max(options)
 
-    spans = field.best(of, 1.0)
+    spans = field.best(text, 1.0)
     value = {(of.cuts[i], of.cuts[j]): float(s.max()) - 1.0 for (i, j, _), s in zip(of.segments, scores)}
     assert sum(value[a, b] for _, a, b in spans) == pytest.approx(best(0))
 
 
+def test_regions_hold_whole_segments():
+    """Every candidate segment of a whole text lies in a region of it."""
+    draw = random.Random(8)
+    for _ in range(1500):
+        text = "".join(draw.choice(["a", "bc", "x" * 63, "x" * 70, "1", "23", ".", " ", " ", "@", "-", "é", "\n", "/", "("]) for _ in range(draw.randint(0, 60)))
+        found = list(pii.regions(text))
+        assert all(a < b <= c for (a, b), (c, _) in zip(found, found[1:]))
+        for j, segments in pii.segments_by_end(text):
+            for _, a, b in segments:
+                assert any(x <= a and b <= y for x, y in found), (text, a, b, found)
+
+
+@pytest.mark.parametrize(
+    ("text", "masked"),
+    [
+        ("write to name @ department.university.example.org", "write to [EMAIL]"),
+        ("averyveryverylongpersonalname.surname @ mail.org", "[EMAIL]"),
+        ("then call (555) 123-4567 or so", "then call [PHONE] or so"),
+    ],
+)
+def test_spans_are_marked_whole(field, text, masked):
+    assert pii.masked(text, pii.all_spans(text, field)[1]) == masked
+
+
+def test_a_long_text_of_numbers_needs_little_memory(field):
+    import tracemalloc
+
+    text = " ".join(str(i * 7919 % 99991) for i in range(9000))
+    tracemalloc.start()
+    base, full = pii.all_spans(text, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert base == pii.base_spans(text) and peak < 12_000_000
+
+
 def test_personal_data_edges(edge_docs, no_docs, field):
     got = pii.personal_data(edge_docs, field).collect()
     assert len(got) == len(EDGES)
