@@ -62,6 +62,9 @@ PORTABLE = {
         select l_suppkey as line, l_partkey as bus_id,
           cast(sum(cast(l_discount as decimal(6,4)) - cast(0.05 as decimal(6,4))) as decimal(18,4)) as factor
         from lineitem group by l_suppkey, l_partkey""",
+    "v_dense_ptdf": """
+        select l_suppkey % 40 as line, l_partkey % 120 as bus_id, cast(sum(cast(l_discount as decimal(6,4)) - cast(0.05 as decimal(6,4))) as decimal(18,4)) as factor
+        from lineitem group by l_suppkey % 40, l_partkey % 120""",
     "v_flow_dual": """
         select cast(date_trunc('hour', ts) as {ts}) as ts, user_id % (select max(s_suppkey) from supplier) + 1 as line,
           cast(sum(cast(value as decimal(8,4))) as decimal(18,4)) as mu

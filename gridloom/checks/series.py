@@ -391,6 +391,30 @@ def _(t: Tables) -> DataFrame:
     return line_flow(t)
 
 
+_DENSE = """(select ts, bus_id % 120 as bus_id, sum(injection) as injection from v_injection group by ts, bus_id % 120)"""
+
+
+@query(
+    "dense_flow",
+    f"""select ts, line, round(cast(sum(factor * injection) as double), 6) as flow from {_DENSE} i join v_dense_ptdf p on p.bus_id = i.bus_id
+        where factor <> 0 and injection <> 0 group by ts, line""",
+)
+def _(t: Tables) -> DataFrame:
+    injection = t.v_injection.withColumn("bus_id", F.col("bus_id") % 120)
+    return rounded(N.ptdf_flow(t.v_dense_ptdf, injection, tile=32), 6, "flow")
+
+
+@query(
+    "dense_congestion",
+    """select ts, bus_id, round(cast(sum(mu * factor) as double), 6) as congestion
+       from (select ts, line % 40 as line, sum(mu) as mu from v_flow_dual group by ts, line % 40) d join v_dense_ptdf p on p.line = d.line
+       where mu <> 0 and factor <> 0 group by ts, bus_id""",
+)
+def _(t: Tables) -> DataFrame:
+    dual = t.v_flow_dual.withColumn("line", F.col("line") % 40)
+    return rounded(N.congestion_component(dual, t.v_dense_ptdf, tile=16), 6, "congestion")
+
+
 @query(
     "lodf_from_ptdf",
     """with br as (select s_suppkey as line, s_suppkey as f, s_suppkey * 7 % (select max(p_partkey) from part) + 1 as t from supplier where s_nationkey = 3),

@@ -256,3 +256,25 @@ def test_objective_uses_the_price_of_each_interval(spark):
     dispatch = spark.createDataFrame([(1, "g", 10.0, 5.0), (2, "g", 100.0, 5.0), (1, "free", None, 3.0)], "ts int, unit string, price double, power double")
     unserved = spark.createDataFrame([(1, 0.0), (2, 2.0)], "ts int, unserved double")
     assert A.objective_value(dispatch, unserved, 1000.0).first().objective == 550.0 + 2000.0
+
+
+def test_tiles_sum_before_rows_leave(spark):
+    """A dense product: far fewer rows than products, the same flows, nodal prices and gaps."""
+    draw = np.random.default_rng(3)
+    dense = [(line, bus, float(draw.normal())) for line in range(30) for bus in range(-5, 95) if (line + bus) % 11]
+    power = [(ts, bus, float(draw.normal())) for ts in range(12) for bus in range(-5, 95, 1 + ts % 3)] + [(3, 7, 1.5), (3, None, 2.0), (None, 7, 2.0)]
+    ptdf = spark.createDataFrame([*dense, (None, 7, 1.0), (4, None, 1.0), (5, 8, None)], "line long, bus_id long, factor double")
+    injection = spark.createDataFrame(power, "ts int, bus_id long, injection double")
+    plain = {(r.ts, r.line): r.flow for r in N.ptdf_flow(ptdf, injection).collect()}
+    for tile in (1, 16, 1000):
+        got = {(r.ts, r.line): r.flow for r in N.ptdf_flow(ptdf, injection, tile).collect()}
+        assert got.keys() == plain.keys() and all(got[k] == pytest.approx(plain[k]) for k in plain)
+    per_bus = injection.dropna().groupBy("ts", "bus_id").agg(F.sum("injection").alias("injection"))
+    parts = N.tile_products(per_bus, ptdf.dropna(), "bus_id", "line", "injection", 16)
+    products = per_bus.join(ptdf.dropna(), "bus_id").count()
+    assert parts.count() < products / 5
+    dual = spark.createDataFrame([(ts, line, float(draw.normal())) for ts in range(5) for line in range(0, 30, 2)], "ts int, line long, mu double")
+    points = spark.createDataFrame([(ts, bus) for ts in range(6) for bus in range(0, 90, 7)], "ts int, bus_id long")
+    energy = spark.createDataFrame([(ts, 10.0 + ts) for ts in range(5)], "ts int, price double")
+    prices = [{(r.ts, r.bus_id): r.lmp for r in N.lmp(points, energy, dual, ptdf, tile).collect()} for tile in (None, 8)]
+    assert prices[0].keys() == prices[1].keys() and all(prices[1][k] == (None if v is None else pytest.approx(v)) for k, v in prices[0].items())
