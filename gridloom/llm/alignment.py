@@ -154,18 +154,21 @@ class Aligner:
         self.known: dict[str, Aligned | None] = {}
         self.held = 0
 
-    def align(self, texts: list[str]) -> Iterator[list[Aligned]]:
+    def align(self, texts: list[str]) -> list[list[Aligned]]:
         """The parts of each text; none where the tokens do not spell it."""
         chunks = [None if not t or not self.v.cuts or ODD_BLANKS.search(t) else CHUNK.findall(" " + t) for t in texts]
-        new = dict.fromkeys(c for row in chunks if row for c in row if c not in self.known)
-        fresh = dict(zip(new, self._chunks(list(new))))
-        for text, row in zip(texts, chunks):
-            parts = [self.known.get(c) or fresh.get(c) for c in row] if row else [None]
-            yield self._whole(text) if any(p is None for p in parts) else parts
-        for chunk, made in fresh.items():
-            if made is not None and self.held < CACHED_BYTES:
-                self.held += made.size() + 4 * len(chunk)
-                self.known[chunk] = made
+        new = [c for c in set().union(*(row for row in chunks if row)) if c not in self.known]
+        self.known.update(zip(new, self._chunks(new)))
+        take = self.known.__getitem__
+        found = [list(map(take, row)) if row else [None] for row in chunks]
+        for chunk in new:
+            made = self.known[chunk]
+            size = made.size() + 4 * len(chunk) if made else CACHED_BYTES
+            if self.held + size > CACHED_BYTES:  # what is beyond the bound leaves again
+                del self.known[chunk]
+            else:
+                self.held += size
+        return [self._whole(text) if None in parts else parts for text, parts in zip(texts, found)]
 
     def _whole(self, text: str) -> list[Aligned]:
         if not text:

@@ -72,7 +72,7 @@ class Encoder:
         whole = iter(self.library.encode_batch_fast([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
         words = [WORD.findall(text.lower()) if s else None for text, s in zip(texts, simple)]
         known = self.cache
-        new = list({word for row in words if row for word in row if word not in known})
+        new = [word for word in set().union(*(row for row in words if row)) if word not in known]
         if new:
             known.update(zip(new, self._encode_words(new)))
         take = known.__getitem__

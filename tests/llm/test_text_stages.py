@@ -301,7 +301,7 @@ def test_containment_of_random_texts_equals_all_pairs(spark):
 
 
 def test_native_operators_run_no_python(spark, sf_dir, plan):
-    for name in ("op8_url_rules", "op9_decontaminate"):
+    for name in ("op8_url_rules", "op9_decontaminate", "op10_warc"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", text)
 
