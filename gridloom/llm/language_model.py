@@ -28,8 +28,9 @@ from gridloom.llm.common import as_bytes, written
 from gridloom.llm.tokens import default_path, encoded, encoder
 from gridloom.session import fresh_path
 
-#: Bound of the word table that every task gets.
+#: Bounds of the word table that every task gets: words, and bytes of a word; every other word is joined.
 FREQUENT_WORDS = 200_000
+LONGEST_SENT = 64
 #: Rounds that share the windows of all training texts among them.
 ROUNDS = 2
 #: Distinct words that a counting task holds before it passes them on.
@@ -81,7 +82,11 @@ def _counted(held: Counter) -> pa.RecordBatch:
 
 
 def frequent_words(counts: DataFrame, most: int) -> tuple[dict[bytes, int], np.ndarray]:
-    """Places of the words of the highest counts, down to a count at which they are at most `most`, and their counts."""
+    """Places of the words of the highest counts, down to a count at which they are at most `most`, and their counts.
+
+    Words of more than `LONGEST_SENT` bytes are not among them.
+    """
+    counts = counts.where(F.octet_length("word") <= LONGEST_SENT)
     band = F.floor(F.log2("n") * 8)
     bands = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
     least, total = None, 0

@@ -193,7 +193,9 @@ def packed_conversations(
 ) -> DataFrame:
     """Pack instruction data: an example is a conversation, its turns in order; ids of `answers` turns bear loss.
 
-    Turns are gathered per conversation, whose length is bounded by the dialogue, not by the table.
+    Turns are gathered per conversation, whose length is bounded by the dialogue, not by the table. A null text is its end
+    id, a null role is no answer, null turns come first; rows without a key are one conversation; repeated turns stay; an
+    empty table gives no rows. Other columns are not looked at.
     """
     path = path or default_path()
     gathered = turns.groupBy(F.col(key)).agg(

@@ -226,7 +226,10 @@ def judged(docs: DataFrame, rules: Rules = Rules(), key: str = "doc_id", text: s
 
 
 def kept_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
-    """The rows of `docs` that pass the rules, with all of their columns, row by row."""
+    """The rows of `docs` that pass the rules, with all of their columns, row by row.
+
+    Null and empty texts fail, repeated rows and null keys are judged like any other, an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):

@@ -164,7 +164,10 @@ def _block_row(number: int, keys: list, held: list[np.ndarray], ranks: np.ndarra
 
 
 def read_tokens(spark: SparkSession, folder: str, make, schema: str) -> DataFrame:
-    """Rows that `make(file number, place in the file, key, ids)` gives for each document of the files in `folder`."""
+    """Rows that `make(file number, place in the file, key, ids)` gives for each document of the files in `folder`.
+
+    Null and repeated keys come back as they were written; files without documents give no rows.
+    """
     files = spark.read.format("binaryFile")
     order = next(ranks for _, _, _, ranks in blocks(files.load(f"{folder}/ranks/part-*").where("length > 0").first().content))
     ids_of = spark.sparkContext.broadcast(order)

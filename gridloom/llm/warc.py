@@ -138,7 +138,8 @@ def read_archives(spark: SparkSession, folder: str, key: str = "page_id") -> Dat
     """(key, payload_bytes, payload_digest, record_type, refers_to) of every record of the archives in `folder`.
 
     Digest and size of a response are those of the payload that was read; a revisit has those that it declares.
-    A record whose payload holds version lines is put together from its pieces.
+    A record whose payload holds version lines is put together from its pieces. A record without a numeric page in its
+    id has a null key; repeated records come back as often; other types are left out; no archives, no rows.
     """
     parsed = _parsed(_pieces(spark, folder))
     complete = F.col("size") >= F.col("body_at") + F.col("length")
