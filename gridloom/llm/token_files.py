@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import sliced, written
+from gridloom.llm.common import TEXT_AT_ONCE, sliced, written
 from gridloom.llm.tokens import crc32, default_path, encoded, encoder
 from gridloom.session import fresh_path
 
@@ -101,11 +101,8 @@ def id_counts(tokens: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         total = np.zeros(tool.size, np.int64)
-        for batch in batches:
-            for raw in batch.column(0):
-                total += np.bincount(np.frombuffer(raw.as_py(), tool.dtype), minlength=tool.size) if len(raw.as_py()) > 4 * tool.size else 0
-                if len(raw.as_py()) <= 4 * tool.size:
-                    np.add.at(total, np.frombuffer(raw.as_py(), tool.dtype), 1)
+        for part in sliced(batches, 0, 8 * TEXT_AT_ONCE):
+            total += np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), tool.dtype), minlength=tool.size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 

@@ -53,6 +53,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -64,6 +65,9 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.cached = 0
         if self.by_word:
+            # The words come normalized and split, so their ids follow from the merges alone.
+            self.merges = Tokenizer(self.library.model)
+            self.merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
             self.ends_word = np.zeros(self.size, bool)
             self.ends_word[[number for token, number in rules["model"]["vocab"].items() if token.endswith(WORD_END)]] = True
 
@@ -72,11 +76,14 @@ class Encoder:
         whole = iter(self.library.encode_batch_fast([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
         words = [WORD.findall(text.lower()) if s else None for text, s in zip(texts, simple)]
         known = self.cache
-        new = [word for word in set().union(*(row for row in words if row)) if word not in known]
+        found = [list(map(known.get, row)) if row is not None else [] for row in words]
+        holes = [(ids, i, row[i]) for row, ids in zip(words, found) if None in ids for i, one in enumerate(ids) if one is None]
+        new = list({word for _, _, word in holes})
         if new:
             known.update(zip(new, self._encode_words(new)))
-        take = known.__getitem__
-        out = [b"".join(map(take, row)) if row is not None else np.array(next(whole).ids, self.dtype).tobytes() for row in words]
+            for ids, i, word in holes:
+                ids[i] = known[word]
+        out = [b"".join(ids) if row is not None else np.array(next(whole).ids, self.dtype).tobytes() for row, ids in zip(words, found)]
         for word in new:
             size = ENTRY_BYTES + len(word) + len(known[word])
             if self.cached + size > CACHED_BYTES:  # what is beyond the bound leaves again
@@ -86,7 +93,7 @@ class Encoder:
         return out
 
     def _encode_words(self, words: list[str]) -> Iterable[bytes]:
-        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
+        ids = np.array(self.merges.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
         ends = (np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize
         if len(ends) != len(words):
             raise ValueError("the vocabulary splits words in another way than expected")
