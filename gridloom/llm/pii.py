@@ -280,7 +280,7 @@ def _log_sum(values: list[float]) -> float:
 
 #: Regions of the corpus that the weights are fitted on, besides the made-up ones.
 SAMPLED_REGIONS = 300
-MADE_UP = 280
+MADE_UP = 294
 MARGIN = 2.0
 
 
@@ -318,6 +318,7 @@ def made_up(n: int) -> list[tuple[str, list[Span]]]:
         lambda: (None, number(draw.randint(1, 15))),
         lambda: (None, f"{number(3)}, {number(3)} {word()} {number(4)}"),
         lambda: (None, f"{word()}{number(4)}{word()}{number(6)}"),
+        lambda: (None, " ".join(draw.choice("wvxk") + part for part in card(" ").split())),
         lambda: (None, f"{word()} @{word()}"),
         lambda: (None, f"{number(2)}:{number(2)}:{number(2)}"),
         lambda: (None, f"{number(1)} {number(2)} {number(3)} {number(2)}"),

@@ -169,6 +169,7 @@ def test_regions_hold_whole_segments():
         ("write to name @ department.university.example.org", "write to [EMAIL]"),
         ("averyveryverylongpersonalname.surname @ mail.org", "[EMAIL]"),
         ("then call (555) 123-4567 or so", "then call [PHONE] or so"),
+        (" ".join(f"w{i}" for i in range(1000, 1400)), " ".join(f"w{i}" for i in range(1000, 1400))),
     ],
 )
 def test_spans_are_marked_whole(field, text, masked):
