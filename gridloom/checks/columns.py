@@ -9,6 +9,7 @@ from gridloom import fixed
 from gridloom.checks.fixtures import HIERARCHY, Tables
 from gridloom.checks.registry import doubles, query, rounded
 from gridloom.functions.time import day_block
+from gridloom.session import fresh_path
 from gridloom.operators import columns as C
 from gridloom.operators import filters as P
 from gridloom.operators import joins as J
@@ -225,7 +226,10 @@ def _(t: Tables) -> DataFrame:
 @query("components_of_type", "select comp_type, name from v_component where comp_type in ('ThermalStandard', 'Source')")
 def _(t: Tables) -> DataFrame:
     closure = P.type_closure(t.spark, t.hierarchy)
-    return P.components_of_type(t.v_component, closure, "Device").select("comp_type", "name")
+    # the type as a stored column, as components have it; as a constant of each table it would turn the join into a loop
+    path = fresh_path(t.spark, "components")
+    t.v_component.write.parquet(path)
+    return P.components_of_type(t.spark.read.parquet(path), closure, "Device").select("comp_type", "name")
 
 
 @query("component_by_name", "select comp_type, name from v_component where comp_type = 'Bus' and name = 'Customer#000000042'")
