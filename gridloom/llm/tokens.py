@@ -36,7 +36,7 @@ BEYOND_LATIN_1 = re.compile("[^\x00-\xff]")
 
 END_ID = 1
 #: Bytes of words and their ids that a worker keeps; later words are encoded each time that they come up.
-CACHED_BYTES = 24 << 20
+CACHED_BYTES = 56 << 20
 #: What a kept word takes besides its letters and ids.
 ENTRY_BYTES = 160
 
