@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -278,3 +279,20 @@ def test_tiles_sum_before_rows_leave(spark):
     energy = spark.createDataFrame([(ts, 10.0 + ts) for ts in range(5)], "ts int, price double")
     prices = [{(r.ts, r.bus_id): r.lmp for r in N.lmp(points, energy, dual, ptdf, tile).collect()} for tile in (None, 8)]
     assert prices[0].keys() == prices[1].keys() and all(prices[1][k] == (None if v is None else pytest.approx(v)) for k, v in prices[0].items())
+
+
+def test_products_that_stay_in_their_task(spark, plan, monkeypatch):
+    factors = spark.sql("select id % 30 as line, id % 47 as bus_id, cast(id % 5 - 2 as double) as factor from range(1410) where id % 3 > 0 union all select 29, null, 1.0D")
+    dual = spark.sql("select nullif(timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id % 300 as int)), timestamp_ntz'2024-01-01') as ts, id % 29 as line, cast(id % 7 - 3 as double) as mu from range(4000)")
+    want = sorted(map(str, N.congestion_component(dual, factors).collect()))
+    monkeypatch.setattr(N, "PRODUCTS_PER_TASK", 2000)
+    for per_row, others in ((0, 20), (0, 1000), (10**9, 20)):  # cells of several blocks, of one, and the products themselves
+        monkeypatch.setattr(N, "PRODUCTS_PER_ROW", per_row)
+        monkeypatch.setattr(N, "OTHERS_PER_CELL", others)
+        got = N.congestion_component(dual, factors)
+        assert sorted(map(str, got.collect())) == want
+        text = plan(got).split("Initial Plan")[0]
+        # neither the join nor the partial sums have fewer tasks than the products need; of cells, no product is shuffled
+        assert ("Exchange hashpartitioning(ts" in text) == (per_row > 0)
+        tasks = [int(x) for x in re.findall(r", (\d+)\), REPARTITION_BY_NUM", text)]
+        assert tasks and min(tasks) >= (4 if per_row == 0 else 30)
