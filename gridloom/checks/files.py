@@ -164,8 +164,8 @@ def _(t: Tables) -> DataFrame:
 
 
 def spread_branches(t: Tables) -> DataFrame:
-    """Branch rows in as many partitions as a shuffle has: each row grows to a whole document."""
-    return t.v_branch.repartition(shuffle_width(t.spark), "branch_id")
+    """Branch rows in as many partitions as a shuffle has, by case: each row grows to a whole document."""
+    return t.v_branch.withColumn("case_id", text("branch_id")).repartition(shuffle_width(t.spark), "case_id")
 
 
 def system_documents(t: Tables) -> DataFrame:
@@ -195,7 +195,7 @@ def system_documents(t: Tables) -> DataFrame:
         F.lit('{"data":{"components":['), body,
         F.lit(']},"frequency":60.0,"units_settings":{"base_value":100.0,"unit_system":"SYSTEM_BASE"}}'),
     )
-    return spread_branches(t).select(text("branch_id").alias("case_id"), document.alias("text"))
+    return spread_branches(t).select("case_id", document.alias("text"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.session import shuffle_width
@@ -109,32 +109,46 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 # The lines of a written document: its opening, which no component can look like, and its end.
 _OPENING = '"data":{"components":['
 _END = "]}}"
+#: Blank lines behind a document, or a part of one: no component leaves them, as only the last one of a case has no comma.
+_MARK = "\n\t\n\t"
+#: Components of a part at most, which one row holds; and of a row of a document that is laid out by many tasks.
+PART = 4096
+ROW = 16
 
 
-def _document_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(case_id, opening, body) of the lines of documents that `write_system_json` wrote: a document's opening, or a component.
+def _document_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(case_id, opening, bodies) of the documents, or parts of documents, that `write_system_json` wrote.
 
-    A file is read in splits; the case of a component is that of the last opening before it.
+    A file is read in splits. A document in one part names its case; only parts of others are moved, to take the case of the
+    last opening before them.
     """
-    lines = stored(read_lines(spark, path), "document-lines")
-    opens = F.col("value").endswith(_OPENING)
-    opened = F.when(opens, F.struct(F.get_json_object(F.concat("value", F.lit(_END)), "$.case_id").alias("case_id")))
-    rows = carried(lines.withColumn("opened", opened), F.col("opened"), "case").where(F.col("value") != _END)
-    body = F.when(~opens, F.regexp_replace("value", ",$", ""))
-    return rows.select("case.case_id", F.when(opens, F.concat("value", F.lit(_END))).alias("opening"), body.alias("body"))
+    read = spark.read.text(path, recursiveFileLookup=True, lineSep=f"{_MARK}\n")
+    lines = F.split("value", "\n")
+    opens, ends = F.substring_index("value", "\n", 1).endswith(_OPENING), F.col("value").endswith(f"\n{_END}")
+    opening = F.when(opens, F.concat(F.substring_index("value", "\n", 1), F.lit(_END)))
+    first, last = F.when(opens, 2).otherwise(1), F.when(ends, 1).otherwise(0)
+    bodies = F.transform(F.slice(lines, first, F.size(lines) - last - first + 1), lambda b: F.regexp_replace(b, ",$", ""))
+    parts = read.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
+        (opens & ends).alias("whole"), opening.alias("opening"), bodies.alias("bodies"),
+    )
+    case = F.get_json_object("opening", "$.case_id")
+    whole = parts.where("whole").select(case.alias("case_id"), "opening", "bodies")
+    pieces = carried(parts.where("not whole"), F.when(F.col("opening").isNotNull(), F.struct(case.alias("case_id"))), "case")
+    return whole.unionByName(pieces.select("case.case_id", "opening", "bodies"))
 
 
 def read_system_json(spark: SparkSession, path: str, one_per_line: bool = False, fields: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Serialised cases to component tables; all components under one roof as `components`, settings as `settings`.
 
     A document per file, or with `one_per_line` a component per line, as `write_system_json` writes documents; these
-    are read in splits, so that a case of any size is read by many tasks. Documents are parsed once: the components are
+    are read in splits, so that a case of any size is read by many tasks. Components are parsed once: they are
     stored in the shared folder by type, so that a type's table reads only its own.
     """
     if one_per_line:
-        lines = stored(_document_lines(spark, path), "system-lines")
-        components = _labelled(lines.where(F.col("body").isNotNull()).select("case_id", "body"))
-        settings = system_settings(lines.where(F.col("opening").isNotNull()).select("case_id", F.col("opening").alias("text")))
+        parts = _document_parts(spark, path)
+        components = _labelled(parts.select("case_id", F.explode("bodies").alias("body")))
+        settings = system_settings(parts.where(F.col("opening").isNotNull()).select("case_id", F.col("opening").alias("text")))
     else:
         cases = read_documents(spark, path)
         components, settings = system_components(cases), system_settings(cases)
@@ -148,22 +162,41 @@ def write_system_json(components: DataFrame, settings: DataFrame, path: str, for
 
     `components(case_id, body)` are JSON objects, each with its type in `__metadata__.type`;
     `settings(case_id, base_power, unit_system, frequency)`, a row per case. A document is an opening line, a line for
-    each component, and a closing line; the files of the folder, read one after the other, are the documents of all
-    cases. The lines are laid out by ranges of (case, place), so that a case of any size is written by many tasks and no
-    row holds it. A case without components is written too; components of a case without settings are left out. A line
+    each component, and a closing line, and blank lines; the files of the folder, read one after the other, are the documents of all
+    cases. Components of a case that stand in one block of the input are a part of its document, which one row holds. Cases of
+    one part are written where they lie; the parts of others are laid out by ranges of (case, place), so that a case of any size is
+    written by many tasks. A case without components is written too; components of a case without settings are left out. A line
     feed between the tokens of a component becomes a blank.
     """
-    one_line = F.regexp_replace("body", r"\r?\n", " ")
-    numbered = components.select("case_id", one_line.alias("body"), F.monotonically_increasing_id().alias("place"))
-    numbered = stored(numbered.join(settings.select("case_id"), "case_id", "left_semi"), "components")
-    last = numbered.groupBy("case_id").agg(F.max("place").alias("place")).select("place", F.lit("").alias("comma"))
-    body = numbered.join(last, "place", "left").select("case_id", F.lit(1).alias("part"), "place", F.concat("body", F.coalesce("comma", F.lit(","))).alias("value"))
+    place = F.monotonically_increasing_id()
     head = F.to_json(F.struct(F.col("case_id"), "frequency", F.struct(F.col("base_power").alias("base_value"), "unit_system").alias("units_settings")))
-    opening = settings.select("case_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("place"), F.concat(F.regexp_replace(head, r"\}$", ","), F.lit(_OPENING)).alias("value"))
-    closing = settings.select("case_id", F.lit(2).alias("part"), F.lit(0).cast("long").alias("place"), F.lit(_END).alias("value"))
-    order = ["case_id", "part", "place"]
-    lines = opening.unionByName(body).unionByName(closing).repartitionByRange(shuffle_width(settings.sparkSession), *order).sortWithinPartitions(*order)
-    lines.select("value").write.mode("overwrite" if force else "errorifexists").text(path)
+    heads = settings.select("case_id", F.concat(F.regexp_replace(head, r"\}$", ","), F.lit(_OPENING)).alias("head"))
+    # a case with several rows of settings has its components in one document, and empty ones beside it
+    heads = stored(heads.withColumn("copy", F.row_number().over(Window.partitionBy("case_id").orderBy("head"))), "heads")
+    first = heads.where("copy = 1").select("case_id", "head")
+    one_line = F.regexp_replace("body", r"\r?\n", " ")
+    numbered = components.select("case_id", one_line.alias("body"), place.alias("place")).where(F.col("body").isNotNull() & F.col("case_id").isNotNull())
+    blocks = numbered.groupBy("case_id", F.floor(F.col("place") / PART).alias("block"))
+    parts = blocks.agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "body"))), lambda c: c["body"]).alias("bodies"))
+    parts = stored(parts.join(first, "case_id"), "parts")
+    cases = parts.groupBy("case_id").agg(F.count(F.lit(1)).alias("parts"), F.max("block").alias("block"))
+    several = stored(cases.where("parts > 1").select("case_id", F.col("block").alias("last")), "several")
+    order = ["case_id", "block", "nth"]
+    document = F.concat("head", F.lit("\n"), F.array_join("bodies", ",\n"), F.lit(f"\n{_END}{_MARK}"))
+    empty = F.concat("head", F.lit(f"\n{_END}{_MARK}"))
+    lines = parts.join(several, "case_id", "left_anti").select(document.alias("value"))
+    lines = lines.unionByName(heads.join(cases.select("case_id", F.lit(1).alias("copy")), ["case_id", "copy"], "left_anti").select(empty.alias("value")))
+    if not several.isEmpty():
+        chunk = F.floor((F.size("bodies") - 1) / ROW)
+        texts = F.transform(F.sequence(F.lit(0).cast("long"), chunk), lambda i: F.array_join(F.slice("bodies", (i * ROW + 1).cast("int"), ROW), ",\n"))
+        last = (F.col("block") == F.col("last")) & (F.col("nth") == F.col("end"))
+        value = F.concat("text", F.when(last, F.lit(f"\n{_END}")).otherwise(F.lit(",")), F.lit(_MARK))
+        opened = several.join(first, "case_id").select("case_id", F.lit(-1).cast("long").alias("block"), F.lit(0).alias("nth"), F.concat("head", F.lit(_MARK)).alias("value"))
+        rows = parts.join(several, "case_id")
+        rows = rows.select("case_id", "block", "last", chunk.alias("end"), F.posexplode(texts).alias("nth", "text")).select(*order, value.alias("value"))
+        rows = rows.unionByName(opened).repartitionByRange(shuffle_width(settings.sparkSession), *order).sortWithinPartitions(*order)
+        lines = lines.unionByName(rows.select("value"))
+    lines.write.mode("overwrite" if force else "errorifexists").text(path)
 
 
 def write_component_folder(components: dict[str, DataFrame], path: str, force: bool = False) -> None:

@@ -328,6 +328,24 @@ def test_one_case_is_written_and_read_by_many_tasks(spark, tmp_path, small_split
         assert got == sorted((c, b.replace("\n", " ")) for c, b in rows)
 
 
+def test_small_documents_are_rows_of_their_own(spark, tmp_path):
+    body = lambda i: json.dumps({"__metadata__": {"type": "Bus"}, "name": f"b{i}"})
+    rows = [(f"c{i // 5}", body(i)) for i in range(500)] + [("blank", "\t")]
+    settings = [(f"c{i}", float(i), "x", 60.0) for i in range(100)] + [("c7", 7.5, "x", 50.0), (None, 1.0, "x", 1.0), ("blank", 1.0, "x", 1.0)]
+    components = spark.createDataFrame(rows, "case_id string, body string").coalesce(1)
+    settings = spark.createDataFrame(settings, "case_id string, base_power double, unit_system string, frequency double")
+    path = str(tmp_path / "systems")
+    SJ.write_system_json(components, settings, path)
+    texts = [r.value for r in spark.read.text(path, lineSep="\n\t\n\t\n").collect()]
+    assert len(texts) == 103 and all(x.endswith("\n]}}") and "[\n" in x for x in texts)  # no row of two documents, none cut
+    assert sum(x.count('"Bus"') for x in texts) == 500
+    parts = SJ._document_parts(spark, path).where("opening is not null")
+    assert parts.count() == 103
+    back = SJ.read_system_json(spark, path, one_per_line=True)
+    assert sorted(map(str, back["settings"].collect())) == sorted(map(str, settings.collect()))
+    assert sorted((r.case_id, r.body) for r in back["components"].collect()) == sorted(rows)
+
+
 def test_systems_come_back_as_they_were_written(spark, tmp_path):
     bodies = [
         ("one", {"__metadata__": {"type": "Bus"}, "name": "N", "number": 1}),
