@@ -18,6 +18,7 @@ from gridloom.session import fresh_path, shuffle_width
 from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
+from gridloom.sources.split_lines import stored
 from gridloom.operators.quality import list_datasets
 from gridloom.sources.results import read_realized, read_result, write_result
 from gridloom.sources.store import dataset_catalog, materialize_once
@@ -208,7 +209,7 @@ def _(t: Tables) -> DataFrame:
     documents = system_documents(t)
     SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path)
     tables = SJ.read_system_json(t.spark, path, one_per_line=True)
-    bus = tables["Bus"].select("case_id", F.col("internal.uuid.value").alias("bus_uuid"), "name", "number")
+    bus = stored(tables["Bus"].select("case_id", F.col("internal.uuid.value").alias("bus_uuid"), "name", "number"), "bus")
     arc = tables["Arc"].select("case_id", F.col("internal.uuid.value").alias("arc_uuid"), F.col("from.value").alias("f"), F.col("to.value").alias("t"))
     line = tables["Line"].select("case_id", "name", "r", "x", F.col("b.from").alias("b_from"), "rate", F.col("arc.value").alias("arc_uuid"))
     f = bus.select("case_id", F.col("bus_uuid").alias("f"), F.col("name").alias("from_name"))

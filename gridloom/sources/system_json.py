@@ -53,7 +53,8 @@ COMPONENT_FIELDS = {
     "LoadZone": f"name string, peak_active_power double, peak_reactive_power double, {_INTERNAL}",
 }
 
-_DOCUMENT = "data struct<components: array<string>>, frequency double, units_settings struct<base_value: double, unit_system: string>"
+_SETTINGS = "frequency double, units_settings struct<base_value: double, unit_system: string>"
+_DOCUMENT = f"data struct<components: array<string>>, {_SETTINGS}"
 
 
 def system_components(cases: DataFrame) -> DataFrame:
@@ -66,12 +67,13 @@ def system_components(cases: DataFrame) -> DataFrame:
 
 
 def _labelled(bodies: DataFrame) -> DataFrame:
-    return bodies.select("case_id", F.get_json_object("body", "$.__metadata__.type").alias("comp_type"), F.get_json_object("body", "$.name").alias("name"), "body")
+    label = F.from_json("body", "__metadata__ struct<type: string>, name string").alias("label")
+    return bodies.select("case_id", label, "body").select("case_id", F.col("label.__metadata__.type").alias("comp_type"), F.col("label.name").alias("name"), "body")
 
 
 def system_settings(cases: DataFrame) -> DataFrame:
     """One row per case: base power, unit system and frequency."""
-    return cases.select("case_id", F.from_json("text", _DOCUMENT).alias("doc")).select(
+    return cases.select("case_id", F.from_json("text", _SETTINGS).alias("doc")).select(
         "case_id",
         F.col("doc.units_settings.base_value").alias("base_power"),
         F.col("doc.units_settings.unit_system").alias("unit_system"),
@@ -123,18 +125,21 @@ def _document_parts(spark: SparkSession, path: str) -> DataFrame:
     last opening before them.
     """
     read = spark.read.text(path, recursiveFileLookup=True, lineSep=f"{_MARK}\n")
-    lines = F.split("value", "\n")
+    lines = F.split(F.replace("value", F.lit(",\n"), F.lit("\n")), "\n")
     opens, ends = F.substring_index("value", "\n", 1).endswith(_OPENING), F.col("value").endswith(f"\n{_END}")
     opening = F.when(opens, F.concat(F.substring_index("value", "\n", 1), F.lit(_END)))
     first, last = F.when(opens, 2).otherwise(1), F.when(ends, 1).otherwise(0)
-    bodies = F.transform(F.slice(lines, first, F.size(lines) - last - first + 1), lambda b: F.regexp_replace(b, ",$", ""))
+    bodies = F.slice(lines, first, F.size(lines) - last - first + 1)
     parts = read.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
-        (opens & ends).alias("whole"), opening.alias("opening"), bodies.alias("bodies"),
+        (opens & ends).alias("whole"), ends.alias("ends"), opening.alias("opening"), bodies.alias("bodies"),
     )
     case = F.get_json_object("opening", "$.case_id")
     whole = parts.where("whole").select(case.alias("case_id"), "opening", "bodies")
-    pieces = carried(parts.where("not whole"), F.when(F.col("opening").isNotNull(), F.struct(case.alias("case_id"))), "case")
+    # the last line of a piece keeps its comma, as no line feed follows
+    cut = F.when(F.col("ends"), F.col("bodies")).otherwise(F.transform("bodies", lambda b: F.regexp_replace(b, ",$", "")))
+    rest = stored(parts.where("not whole").withColumn("bodies", cut), "pieces")
+    pieces = carried(rest, F.when(F.col("opening").isNotNull(), F.struct(case.alias("case_id"))), "case")
     return whole.unionByName(pieces.select("case.case_id", "opening", "bodies"))
 
 
@@ -174,10 +179,10 @@ def write_system_json(components: DataFrame, settings: DataFrame, path: str, for
     # a case with several rows of settings has its components in one document, and empty ones beside it
     heads = stored(heads.withColumn("copy", F.row_number().over(Window.partitionBy("case_id").orderBy("head"))), "heads")
     first = heads.where("copy = 1").select("case_id", "head")
-    one_line = F.regexp_replace("body", r"\r?\n", " ")
+    one_line = F.replace(F.replace("body", F.lit("\r\n"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     numbered = components.select("case_id", one_line.alias("body"), place.alias("place")).where(F.col("body").isNotNull() & F.col("case_id").isNotNull())
     blocks = numbered.groupBy("case_id", F.floor(F.col("place") / PART).alias("block"))
-    parts = blocks.agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "body"))), lambda c: c["body"]).alias("bodies"))
+    parts = blocks.agg(F.sort_array(F.collect_list(F.struct("place", "body")))["body"].alias("bodies"))
     parts = stored(parts.join(first, "case_id"), "parts")
     cases = parts.groupBy("case_id").agg(F.count(F.lit(1)).alias("parts"), F.max("block").alias("block"))
     several = stored(cases.where("parts > 1").select("case_id", F.col("block").alias("last")), "several")

@@ -346,6 +346,23 @@ def test_small_documents_are_rows_of_their_own(spark, tmp_path):
     assert sorted((r.case_id, r.body) for r in back["components"].collect()) == sorted(rows)
 
 
+def test_documents_are_read_once(spark, tmp_path, plan):
+    """Settings are parsed without the components, a component's type and name in one go, and whole documents are scanned once."""
+    bodies = ['{"__metadata__":{"type":"Bus"},"name":"b"}', '{"__metadata__":{"type":"Bus"},\r\n"name":7}', '["odd",', '{"name":null}']
+    components = spark.createDataFrame([("a", b) for b in bodies] + [("b", bodies[0])], "case_id string, body string").coalesce(1)
+    settings = spark.createDataFrame([("a", 1.0, "x", 50.0), ("b", 2.0, "x", 50.0)], "case_id string, base_power double, unit_system string, frequency double")
+    path = str(tmp_path / "systems")
+    SJ.write_system_json(components, settings, path)
+    text = spark.createDataFrame([("c", '{"data":{"components":[{}]},"frequency":50.0,"units_settings":{"base_value":1.0,"unit_system":"y"}}')], "case_id string, text string")
+    assert SJ.system_settings(text).first() == ("c", 1.0, "y", 50.0) and "components" not in plan(SJ.system_settings(text))
+    parts = plan(SJ._document_parts(spark, path))
+    assert parts.count("FileScan text") == 1 and "get_json_object" not in plan(SJ.system_components(text))
+    back = SJ.read_system_json(spark, path, one_per_line=True)["components"]
+    assert sorted((r.case_id, r.comp_type or "", r.name or "", r.body) for r in back.collect()) == sorted(
+        [("a", "Bus", "b", bodies[0]), ("a", "Bus", "7", bodies[1].replace("\r\n", " ")), ("a", "", "", bodies[2]), ("a", "", "", bodies[3]), ("b", "Bus", "b", bodies[0])]
+    )
+
+
 def test_systems_come_back_as_they_were_written(spark, tmp_path):
     bodies = [
         ("one", {"__metadata__": {"type": "Bus"}, "name": "N", "number": 1}),
