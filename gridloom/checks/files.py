@@ -261,6 +261,11 @@ def _(t: Tables) -> DataFrame:
 _MARKS = ["BUS", "LOAD", "FIXED SHUNT", "GENERATOR", "BRANCH", "TRANSFORMER", "AREA", *["OTHER"] * 5, "ZONE", *["OTHER"] * 6]
 
 
+# On a local disk a file and its checksum file take four calls of `chmod`, the file alone one, and cases are
+# many small files. Other file systems have no such files.
+_NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def _block(bus: str) -> Column:
     return F.floor(F.col(bus) / 1000).alias("block")
 
@@ -306,7 +311,8 @@ def raw_case_files(t: Tables) -> str:
     for part in rows[1:]:
         out = out.unionByName(part)
     folder = fresh_path(t.spark, "raw-cases")
-    out.repartition(*case).sortWithinPartitions(*case, "section", "id").select("value", *case).write.partitionBy(*case).text(folder)
+    out = out.repartition(*case).sortWithinPartitions(*case, "section", "id").select("value", *case)
+    out.write.options(**_NO_CHECKSUM_FILES).partitionBy(*case).text(folder)
     return folder
 
 

@@ -7,12 +7,12 @@ section, so a section's table reads only its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.fixed import RAW_BUS_TYPES, RAW_SECTIONS
 from gridloom.functions.lookup import look_up
-from gridloom.sources.split_lines import read_lines, running, stored, with_states
+from gridloom.sources.split_lines import numbered, read_lines, running, stored, with_states
 
 # Three header lines, and the line that ends a section.
 _HEADER_LINES = 3
@@ -80,10 +80,13 @@ def raw_headers(lines: DataFrame) -> DataFrame:
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
-    """Lines with their number in the file, without remarks; `ends` says whether a line ends a section."""
+    """Lines with their number in the file, without remarks; `ends` says whether a line ends a section.
+
+    A line's place in its split is its number there, so they are not sorted.
+    """
     plain = F.trim(F.regexp_replace("value", _COMMENT, "$1"))
     lines = stored(lines.select("file", "split", "at", F.col("value").rlike(_END).alias("ends"), plain.alias("value")), "raw-lines")
-    return running(lines, F.lit(1), "line").withColumn("ends", F.col("ends") & (F.col("line") > _HEADER_LINES))
+    return numbered(lines, "at", "line").withColumn("ends", F.col("ends") & (F.col("line") > _HEADER_LINES))
 
 
 def _records(lines: DataFrame) -> DataFrame:
@@ -93,9 +96,11 @@ def _records(lines: DataFrame) -> DataFrame:
     before it: an automaton that counts the lines left of the present one.
     """
     names = F.array(*map(F.lit, RAW_SECTIONS))
-    data = running(lines, F.col("ends"), "number").where((F.col("line") > _HEADER_LINES) & ~F.col("ends") & ~F.col("value").isin("", "Q"))
-    data = data.select("file", "split", "at", "value", F.try_element_at(names, (F.col("number") + 1).cast("int")).alias("section")).where(F.col("section").isNotNull())
-    data = stored(running(data, F.lit(1), "position", ["file", "section"]), "raw-data", "section")
+    is_data = (F.col("line") > _HEADER_LINES) & ~F.col("ends") & ~F.col("value").isin("", "Q")
+    inside = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    data = running(lines.withColumn("nth", F.sum(is_data.cast("long")).over(inside)), F.col("ends"), "number").where(is_data)
+    data = data.select("file", "split", "nth", "value", F.try_element_at(names, (F.col("number") + 1).cast("int")).alias("section")).where(F.col("section").isNotNull())
+    data = numbered(stored(data, "raw-data", "section"), "nth", "position", ["file", "section"])
     one = data.where("section <> 'transformer'").select("section", F.col("file").alias("case_id"), "position", F.array("value").alias("lines"))
     third = F.trim(F.try_element_at(F.split("value", ","), F.lit(3)))
     more = F.when(F.coalesce(third, F.lit("")).isin("0", ""), 3).otherwise(4)
@@ -128,8 +133,8 @@ def raw_sections(lines: DataFrame) -> dict[str, DataFrame]:
     a missing one is 100. A transformer cut off at the end of its section has nulls for what is missing. A file
     without lines has no rows.
     """
-    lines = stored(_numbered(lines), "raw-numbered")
-    header = raw_headers(lines)
+    lines = _numbered(lines)
+    header = stored(raw_headers(lines), "raw-headers")
     base = header.select("case_id", F.coalesce("base_mva", F.lit(100.0)).alias("base_mva"))
     records = stored(_records(lines).join(base, "case_id"), "raw-records", "section")
     return {"header": header} | _typed(records)

@@ -229,6 +229,41 @@ def test_raw_file_cut_anywhere_gives_the_same_tables(spark, tmp_path, raw, small
     assert len(want["transformer"]) == 3 and len(want["bus"]) == 40
 
 
+def test_lines_are_numbered_where_they_lie(spark, tmp_path, small_splits, plan):
+    """Lines are numbered by a row per split that is joined to them: they are neither sorted nor windowed for it."""
+    for name, n in (("a.txt", 300), ("b.txt", 1), ("c.txt", 7)):
+        (tmp_path / name).write_text("".join(f"{i + 1} {'x' * (i % 37)}\n" for i in range(n)))
+    for size in (64, 10**6):
+        small_splits(size)
+        lines = R._numbered(read_lines(spark, str(tmp_path)))
+        text = plan(lines)
+        assert "Window" not in text and "Sort " not in text
+        got = sorted((r.file.split("/")[-1], r.line, int(r.value.split(" ")[0])) for r in lines.collect())
+        assert got == [(name, i + 1, i + 1) for name, n in (("a.txt", 300), ("b.txt", 1), ("c.txt", 7)) for i in range(n)]
+
+
+def test_raw_cases_have_no_checksum_files(spark, tmp_path):
+    """On a local disk a case is one file, with a call of `chmod` in place of four."""
+    import os
+
+    from gridloom.checks.files import raw_case_files
+    from gridloom.checks.fixtures import Tables
+
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "EAST")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "A", 0), (1, "B", 0)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", [(i, f"c{i}", i % 2, 5.0, "M") for i in (1, 2, 1001, 1002)]),
+        "part": ("p_partkey long, p_type string, p_size int, p_retailprice double, p_brand string", [(1, "ECONOMY", 3, 7.0, "x")]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double", [(1, 1, "1-URGENT", 9.0), (2, 1002, "5-LOW", 9.0)]),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    folder = raw_case_files(Tables(spark, str(tmp_path))).removeprefix("file:")
+    names = [f for _, _, files in os.walk(folder) for f in files if not f.startswith("_") and "_SUCCESS" not in f]
+    assert len(names) == 4 and not any(n.endswith(".crc") for n in names)
+    assert R.ingest_raw_cases(spark, folder)["bus"].count() == 4
+
+
 def test_long_raw_lines(spark, tmp_path):
     long = "y" * 1_000_000
     records = {"BUS": [f"5, 'A', 10, 3, 1, 1, 1, 1.0, 0.0, 1.1, 0.9 / {long}", f"6, 'B{long}', 10", "7, 'open / quote"], "LOAD": [", ".join(["1"] * 20_000)]}
