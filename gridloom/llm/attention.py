@@ -40,6 +40,8 @@ LARGEST = np.float32(60)
 #: Choices whose odds are multiplied at once, each below e^50 + 1.
 LEVELS_AT_ONCE = 14
 TINY = np.float32(1e-30)
+#: Windows whose attention is made together, so that its arrays stay in a core's cache. Windows do not mix, so the number changes no result.
+WINDOWS_AT_ONCE = 8
 
 
 class Huffman:
@@ -151,32 +153,43 @@ class Model:
         s, p = self.shape, self.p
         keys_at = start[:, None] + np.arange(-s.context, s.stride)
         usable = (keys_at >= begin[:, None]) & (keys_at < end[:, None])
-        row = rows[np.where(usable, keys_at, begin[:, None])]
+        row = rows.take(np.where(usable, keys_at, begin[:, None]))
         own = row[:, s.context :]
-        q, k, v = p["query"][own], p["key"][row], p["value"][row]
+        # `take` copies whole rows, several times as fast as an index in brackets
+        q, k, v = p["query"].take(own, 0), p["key"].take(row, 0), p["value"].take(row, 0)
         apart = np.arange(s.stride)[:, None] + s.context - np.arange(s.context + s.stride)[None, :]
-        bias = np.where(apart >= 0, p["near"][np.maximum(apart, 0)], np.float32(-1e9)).astype(np.float32)
-        score = q @ k.transpose(0, 2, 1)
-        score += bias  # the causal mask and the distances
-        edge = np.flatnonzero(~usable.all(1))  # only the first and last windows of a text
-        score[edge] += np.where(usable[edge], np.float32(0), np.float32(-1e9))[:, None, :]
-        np.minimum(score, LARGEST, out=score)
-        np.exp(score, out=score)
-        score[edge, :, s.context] += TINY  # a place behind the end of its text sees something, too
-        total = score.sum(2, keepdims=True)
-        h = score @ v
-        h /= total
-        h += p["last"][own]
+        bias = np.where(apart >= 0, p["near"].take(np.maximum(apart, 0)), np.float32(-1e9)).astype(np.float32)
+        edge = ~usable.all(1)  # only the first and last windows of a text
+        shut, tiny = np.where(usable, np.float32(0), np.float32(-1e9))[:, None, :], np.where(edge, TINY, np.float32(0))[:, None]
+        weights = np.empty((len(start) if attention else min(len(start), WINDOWS_AT_ONCE), s.stride, s.context + s.stride), np.float32)
+        h = np.empty(q.shape, np.float32)
+        for lo in range(0, len(start), WINDOWS_AT_ONCE):
+            some = slice(lo, min(lo + WINDOWS_AT_ONCE, len(start)))
+            score = weights[some] if attention else weights[: some.stop - lo]
+            np.matmul(q[some], k[some].transpose(0, 2, 1), out=score)
+            score += bias  # the causal mask and the distances
+            on_edge = edge[some].any()
+            if on_edge:
+                score += shut[some]
+            if score.max() > LARGEST:
+                np.minimum(score, LARGEST, out=score)
+            np.exp(score, out=score)
+            if on_edge:
+                score[:, :, s.context] += tiny[some]  # a place behind the end of its text sees something, too
+            total = score.sum(2, keepdims=True)
+            np.matmul(score, v[some], out=h[some])
+            h[some] /= total
+            if attention:
+                score /= total
+        h += p["last"].take(own, 0)
         h /= 1 + np.abs(h)
-        if attention:
-            score /= total
-        return {"row": row, "own": own, "q": q, "k": k, "v": v, "attention": score, "h": h, "apart": apart, "usable": usable}
+        return {"row": row, "own": own, "q": q, "k": k, "v": v, "attention": weights, "h": h, "apart": apart}
 
     def log_probabilities(self, ids: np.ndarray, ends: np.ndarray, at_once: int = 128) -> np.ndarray:
         """Natural log probability of the id after each place of `ids`; the end mark follows a text's last place."""
         begin = np.r_[0, ends[:-1]]
         start, text = self.windows(ids, ends)
-        rows = self.row[ids]
+        rows = self.row.take(ids)
         follow = np.r_[ids[1:], 0]
         follow[ends - 1] = len(self.row) - 1
         out = np.zeros(len(ids), np.float32)
@@ -190,25 +203,25 @@ class Model:
             place = first[:, None] + steps
             scored = place < ends[of][:, None]
             place, h = (place.reshape(-1), h.reshape(-1, h.shape[2])) if scored.all() else (place[scored], h[scored])
-            target = follow[place]
-            path, turn = node[target], sign[target]
+            target = follow.take(place)
+            path, turn = node.take(target, 0), sign.take(target, 0)
             z = np.empty(path.shape, np.float32)
             every = h @ choice[: u + 1].T  # the upper choices of all places at once
-            z[:, :k] = every.reshape(-1)[path[:, :k] + np.arange(len(h), dtype=np.int32)[:, None] * (u + 1)]
-            np.einsum("tld,td->tl", choice[path[:, k:]], h, out=z[:, k:])
-            z += odds[path]
+            z[:, :k] = every.reshape(-1).take(path[:, :k] + np.arange(len(h), dtype=np.int32)[:, None] * (u + 1))
+            np.einsum("tld,td->tl", choice.take(path[:, k:], 0), h, out=z[:, k:])
+            z += odds.take(path)
             z *= -turn
             np.minimum(z, np.float32(50), out=z)
             np.exp(z, out=z)
             z += 1
-            out[place] = rest[target] - sum(np.log(z[:, at : at + LEVELS_AT_ONCE].prod(1, dtype=np.float64)) for at in range(0, z.shape[1], LEVELS_AT_ONCE))
+            out[place] = rest.take(target) - sum(np.log(_product(z[:, at : at + LEVELS_AT_ONCE])) for at in range(0, z.shape[1], LEVELS_AT_ONCE))
         return out
 
     def train(self, ids: np.ndarray, ends: np.ndarray, chosen: np.ndarray, memory: dict[str, np.ndarray], rate: float = 0.08, at_once: int = 64) -> None:
         """Adagrad steps on the windows `chosen` (numbers of `windows`)."""
         begin = np.r_[0, ends[:-1]]
         start, text = self.windows(ids, ends)
-        rows = self.row[ids]
+        rows = self.row.take(ids)
         follow = np.r_[ids[1:], 0]
         follow[ends - 1] = len(self.row) - 1
         for lo in range(0, len(chosen), at_once):
@@ -220,40 +233,52 @@ class Model:
         f = self._attend(rows, first, begin, end, attention=True)
         place = first[:, None] + np.arange(s.stride)
         scored = (place < end[:, None]).reshape(-1)
-        target = follow[np.where(scored, place.reshape(-1), 0)]
-        path, turn = self.tree.node[target], self.tree.sign[target] * scored[:, None]
+        target = follow.take(np.where(scored, place.reshape(-1), 0))
+        path, turn = self.tree.node.take(target, 0), self.tree.sign.take(target, 0) * scored[:, None]
         h, u, k = f["h"].reshape(-1, s.width), s.upper, self.tree.upper_levels
         # The upper choices of all places are one product, and so is what they add to each choice; free places add nothing.
         upper, at = p["choice"][: u + 1], path[:, :k] + np.arange(len(h), dtype=np.int32)[:, None] * (u + 1)
         every = h @ upper.T
-        lower = p["choice"][path[:, k:]]
-        z = np.concatenate([every.reshape(-1)[at], np.einsum("tld,td->tl", lower, h)], 1) + p["odds"][path]
+        lower = p["choice"].take(path[:, k:], 0)
+        z = np.concatenate([every.reshape(-1).take(at), np.einsum("tld,td->tl", lower, h)], 1) + p["odds"].take(path)
         dz = turn / (1 + np.exp(np.clip(turn * z, -30, 30)))
+        low = dz[:, k:].reshape(-1)
         moved = np.zeros_like(every)
         moved.reshape(-1)[at] = dz[:, :k]
         dh = (moved @ upper + np.einsum("tl,tld->td", dz[:, k:], lower)) * (1 - np.abs(h)) ** 2
-        dodds = np.bincount(path[:, k:].reshape(-1), dz[:, k:].reshape(-1), len(p["odds"])).astype(np.float32)
+        dodds = np.bincount(path[:, k:].reshape(-1), low, len(p["odds"])).astype(np.float32)
         dodds[: u + 1] += moved.sum(0)
         dh = dh.reshape(f["h"].shape)
         a = f["attention"]
-        ds = dh @ f["v"].transpose(0, 2, 1)
-        ds -= np.einsum("bsk,bsk->bs", ds, a)[:, :, None]
-        ds *= a
+        ds, dq, dk, dv = np.empty_like(a), np.empty_like(f["q"]), np.empty_like(f["k"]), np.empty_like(f["v"])
+        for lo in range(0, len(a), WINDOWS_AT_ONCE):
+            some = slice(lo, lo + WINDOWS_AT_ONCE)
+            now, seen = ds[some], a[some]
+            np.matmul(dh[some], f["v"][some].transpose(0, 2, 1), out=now)
+            now -= np.einsum("bsk,bsk->bs", now, seen)[:, :, None]
+            now *= seen
+            np.matmul(now, f["k"][some], out=dq[some])
+            np.matmul(now.transpose(0, 2, 1), f["q"][some], out=dk[some])
+            np.matmul(seen.transpose(0, 2, 1), dh[some], out=dv[some])
         keep = f["apart"] >= 0
         dnear = np.bincount(f["apart"][keep], ds.sum(0)[keep], len(p["near"])).astype(np.float32)
+        # Of the places for lower choices, those that hold one: more than half are free.
+        lower_at, levels = path[:, k:].reshape(-1), path.shape[1] - k
+        held = np.flatnonzero(lower_at != u)
+        dlower = h.take(held // levels, 0) * low.take(held)[:, None]
         grown = [
-            (("choice",), path[:, k:].reshape(-1), [(dz[:, k:, None] * h[:, None, :]).reshape(-1, s.width)]),
-            (("last", "query"), f["own"].reshape(-1), [dh.reshape(-1, s.width), (ds @ f["k"]).reshape(-1, s.width)]),
-            (("key", "value"), f["row"].reshape(-1), [(ds.transpose(0, 2, 1) @ f["q"]).reshape(-1, s.width), (a.transpose(0, 2, 1) @ dh).reshape(-1, s.width)]),
+            (("choice",), lower_at.take(held), [dlower]),
+            (("last", "query"), f["own"].reshape(-1), [dh.reshape(-1, s.width), dq.reshape(-1, s.width)]),
+            (("key", "value"), f["row"].reshape(-1), [dk.reshape(-1, s.width), dv.reshape(-1, s.width)]),
         ]
         sums = {"choice": moved.T @ h}
         for names, at, changes in grown:
             order = np.argsort(at.astype(np.uint16), kind="stable")  # 16 bits are sorted by counting
-            at = at[order]
-            lead = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            one = at[lead]
+            at = at.take(order)
+            lead = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])  # none where no place has a lower choice
+            one = at.take(lead)
             for name, change in zip(names, changes):
-                total = np.add.reduceat(change[order], lead, 0)
+                total = np.add.reduceat(change.take(order, 0), lead, 0)
                 if name in sums:
                     sums[name], whole = np.zeros_like(p[name]), sums[name]
                     sums[name][: len(whole)] = whole
@@ -261,8 +286,9 @@ class Model:
                     memory[name] += sums[name] ** 2
                     p[name] += rate * sums[name] / np.sqrt(memory[name] + 1e-6)
                 else:
-                    memory[name][one] += total**2
-                    p[name][one] += rate * total / np.sqrt(memory[name][one] + 1e-6)
+                    squares = memory[name].take(one, 0) + total**2
+                    memory[name][one] = squares
+                    p[name][one] = p[name].take(one, 0) + rate * total / np.sqrt(squares + 1e-6)
         for name, total in (("odds", dodds), ("near", dnear)):
             memory[name] += total**2
             p[name] += 0.3 * rate * total / np.sqrt(memory[name] + 1e-6)
@@ -283,6 +309,14 @@ class Model:
         return out
 
 
+def _product(z: np.ndarray) -> np.ndarray:
+    """Products of the rows, column after column, in 64 bits."""
+    out = z[:, 0].astype(np.float64)
+    for i in range(1, z.shape[1]):
+        out *= z[:, i]
+    return out
+
+
 def rows_of_texts(texts: Iterator[np.ndarray], mark: int) -> tuple[np.ndarray, np.ndarray]:
     """Texts in a row, each behind a begin mark, and where each ends."""
     parts, ends, at = [], [], 0

@@ -215,6 +215,68 @@ def test_gradients_raise_the_likelihood_of_held_out_text():
     assert model.log_probabilities(held, held_ends).mean() > before + 0.8
 
 
+def window_texts():
+    draw = np.random.default_rng(8)
+    return attention.rows_of_texts((draw.integers(0, 39, n) for n in (90, 0, 3, 4, 61)), 39)
+
+
+@pytest.mark.parametrize("together", [1, 3, 1000])
+def test_windows_made_together_change_no_result(monkeypatch, together):
+    """Only a few windows' attention is held at a time; neither a step nor a score depends on how many."""
+    rows, ends = window_texts()
+    got = []
+    for number in (attention.WINDOWS_AT_ONCE, together):
+        monkeypatch.setattr(attention, "WINDOWS_AT_ONCE", number)
+        model = tiny_model()
+        memory = model.memory()
+        for _ in range(2):
+            model.train(rows, ends, np.arange(len(model.windows(rows, ends)[0])), memory, at_once=11)
+        got.append((model.flat(), model.log_probabilities(rows, ends, at_once=7)))
+    for one, other in zip(*got):
+        assert np.allclose(one, other, rtol=0, atol=1e-6)
+
+
+def test_a_step_follows_the_gradient_of_every_table():
+    """The first step on one window is the Adagrad step by the slopes of its log probability, taken by differences."""
+    draw = np.random.default_rng(9)
+    model = tiny_model()
+    for name in model.TABLES[:6]:
+        model.p[name] = model.p[name] + draw.standard_normal(model.p[name].shape).astype(np.float32) * 0.3
+    model.p["choice"][6] = 0
+    ids, ends = np.array([39, 38, 1, 2]), np.array([4])
+    start = {name: value.copy() for name, value in model.p.items()}
+    slopes = {}
+    for name in ("last", "query", "key", "value", "near", "choice", "odds"):
+        slopes[name] = np.zeros(start[name].shape)
+        for place in np.ndindex(start[name].shape):
+            ways = []
+            for by in (0.01, -0.01):
+                model.p[name][place] = start[name][place] + np.float32(by)
+                ways.append(model.log_probabilities(ids, ends).astype(float).sum())
+            model.p[name][place] = start[name][place]
+            slopes[name][place] = (ways[0] - ways[1]) / 0.02
+    memory = model.memory()
+    model.train(ids, ends, np.array([0]), memory)
+    for name, slope in slopes.items():
+        rate = 0.08 * (0.3 if name in ("odds", "near") else 1)
+        if name in ("choice", "odds"):  # free places
+            slope[6] = 0
+        want = rate * slope / np.sqrt(0.1 + slope**2 + 1e-6)
+        assert np.allclose(model.p[name] - start[name], want, atol=1e-3), name
+
+
+def test_steps_on_ids_without_lower_choices():
+    """Places for lower choices that are free take no part in a step; there may be no others."""
+    model = tiny_model(5)
+    assert (model.tree.node[:, model.tree.upper_levels :] == model.shape.upper).all()
+    rows, ends = np.r_[4, np.tile([0, 1], 8)], np.array([17])
+    before, lower, memory = model.log_probabilities(rows, ends).sum(), model.p["choice"][model.shape.upper + 1 :].copy(), model.memory()
+    for _ in range(3):
+        model.train(rows, ends, np.arange(len(model.windows(rows, ends)[0])), memory)
+    assert model.log_probabilities(rows, ends).sum() > before
+    assert np.array_equal(model.p["choice"][model.shape.upper + 1 :], lower)
+
+
 def plain_base(docs):
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in docs]
     words = [[*(t or "").encode().lower().split(), b""] for _, t in docs]
