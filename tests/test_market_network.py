@@ -296,3 +296,22 @@ def test_products_that_stay_in_their_task(spark, plan, monkeypatch):
         assert ("Exchange hashpartitioning(ts" in text) == (per_row > 0)
         tasks = [int(x) for x in re.findall(r", (\d+)\), REPARTITION_BY_NUM", text)]
         assert tasks and min(tasks) >= (4 if per_row == 0 else 30)
+
+
+def test_cells_are_full_and_carry_no_gaps(spark, plan, monkeypatch):
+    """Copies of vectors hold the values that are there only, tiles of stamps are full, and each cell is a task."""
+    for name, to in (("PRODUCTS_PER_TASK", 10), ("PRODUCTS_PER_ROW", 0), ("OTHERS_PER_CELL", 20), ("COPIES_PER_TASK", 500)):
+        monkeypatch.setattr(N, name, to)
+    dual = spark.sql("select nullif(id % 320, 63) as ts, id % 29 as line, cast(id % 7 + 1 as decimal(18,4)) as mu from range(0, 4000, 3)")
+    factors = spark.sql("select id % 30 as line, if(id % 40 = 0, null, id % 40) as bus_id, cast(id % 5 - 2 as decimal(18,4)) as factor from range(1200) union all select null, 1, 1.0")
+    per_line = dual.groupBy("ts", "line").agg(F.sum("mu").alias("mu"))
+    want = per_line.join(factors.where("factor <> 0"), "line").groupBy("ts", "bus_id").agg(F.sum(F.col("mu") * F.col("factor")).alias("congestion"))
+    got = N.congestion_component(dual, factors)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    text = plan(got).split("Initial Plan")[0]
+    blocks = -(-factors.agg(F.approx_count_distinct("bus_id")).first()[0] // 20)
+    assert "direct_shuffle_partition_id(cell" in text and f", {5 * blocks}), REPARTITION_BY_NUM" in text  # 320 stamps are five tiles
+    stamps = per_line.select("ts").distinct().coalesce(1).withColumn("slot", F.monotonically_increasing_id().cast("int"))
+    stamps = stamps.select("ts", F.floor(F.col("slot") / 64).alias("tile"), F.col("slot") % 64).toDF("ts", "tile", "slot")
+    rows = N._rows_of_stamps(per_line, stamps, "line", "mu", 4)
+    assert rows.agg(F.sum(F.size("values")), F.sum(F.bit_count("mask"))).first() == (per_line.count(),) * 2
