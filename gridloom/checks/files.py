@@ -163,6 +163,9 @@ def _(t: Tables) -> DataFrame:
 
 # ---- serialised systems ----
 
+# Fixed value: documents of small cases repeat their field names, so plain text takes more disk than all else that is kept.
+_CODEC = "lz4"
+
 
 def spread_branches(t: Tables) -> DataFrame:
     """Branch rows in as many partitions as a shuffle has, by case: each row grows to a whole document."""
@@ -207,7 +210,7 @@ def system_documents(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "systems")
     documents = system_documents(t)
-    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path)
+    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path, compression=_CODEC)
     tables = SJ.read_system_json(t.spark, path, one_per_line=True)
     bus = stored(tables["Bus"].select("case_id", F.col("internal.uuid.value").alias("bus_uuid"), "name", "number"), "bus")
     arc = tables["Arc"].select("case_id", F.col("internal.uuid.value").alias("arc_uuid"), F.col("from.value").alias("f"), F.col("to.value").alias("t"))
@@ -234,7 +237,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     documents = system_documents(t)
     path = fresh_path(t.spark, "systems")
-    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path)
+    SJ.write_system_json(SJ.system_components(documents), SJ.system_settings(documents), path, compression=_CODEC)
     back = SJ.read_system_json(t.spark, path, one_per_line=True)
     return back["settings"].join(back["components"].groupBy("case_id").agg(F.count(F.lit(1)).alias("n")), "case_id")
 

@@ -162,9 +162,12 @@ def read_system_json(spark: SparkSession, path: str, one_per_line: bool = False,
     return component_tables(kept, fields) | {"components": kept, "settings": settings}
 
 
-def write_system_json(components: DataFrame, settings: DataFrame, path: str, force: bool = False) -> None:
+def write_system_json(components: DataFrame, settings: DataFrame, path: str, force: bool = False, compression: str | None = None) -> None:
     """Systems as documents that `read_system_json` reads again with `one_per_line`; `force` overwrites.
 
+    `compression` names a codec of Spark's text writer, such as `lz4`; the text is the same. A compressed file is read by
+    one task, so there are as many readers at most as there were writers.
+
     `components(case_id, body)` are JSON objects, each with its type in `__metadata__.type`;
     `settings(case_id, base_power, unit_system, frequency)`, a row per case. A document is an opening line, a line for
     each component, and a closing line, and blank lines; the files of the folder, read one after the other, are the documents of all
@@ -201,7 +204,7 @@ def write_system_json(components: DataFrame, settings: DataFrame, path: str, for
         rows = rows.select("case_id", "block", "last", chunk.alias("end"), F.posexplode(texts).alias("nth", "text")).select(*order, value.alias("value"))
         rows = rows.unionByName(opened).repartitionByRange(shuffle_width(settings.sparkSession), *order).sortWithinPartitions(*order)
         lines = lines.unionByName(rows.select("value"))
-    lines.write.mode("overwrite" if force else "errorifexists").text(path)
+    lines.write.mode("overwrite" if force else "errorifexists").text(path, compression=compression)
 
 
 def write_component_folder(components: dict[str, DataFrame], path: str, force: bool = False) -> None:

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from gridloom.checks.catalog import all_queries
+from gridloom.session import scratch
 from gridloom.sources import pointers as PT
 from gridloom.sources import raw_cases as R
 from gridloom.sources import system_json as SJ
@@ -398,6 +401,32 @@ def test_documents_are_read_once(spark, tmp_path, plan):
     )
 
 
+def test_compressed_documents_come_back(spark, tmp_path, small_splits):
+    """The same documents with a codec: small cases and one of many parts, each file read from its start."""
+    body = lambda i: json.dumps({"__metadata__": {"type": "Bus"}, "name": f"b{i}", "number": i})
+    rows = [("big", body(i)) for i in range(3000)] + [(f"small{i % 50}", body(i)) for i in range(400)]
+    components = spark.createDataFrame(rows, "case_id string, body string").repartition(5)
+    cases = sorted({c for c, _ in rows}) + ["nothing in it"]
+    settings = spark.createDataFrame([(c, 100.0, "x", 60.0) for c in cases], "case_id string, base_power double, unit_system string, frequency double")
+    sizes = {}
+    for codec in (None, "lz4"):
+        path = tmp_path / f"systems-{codec}"
+        SJ.write_system_json(components, settings, str(path), compression=codec)
+        files = [f for f in path.iterdir() if f.name.startswith("part-")]
+        assert len(files) > 2 and all(f.name.endswith(".lz4") for f in files) == (codec is not None)
+        sizes[codec] = sum(f.stat().st_size for f in files)
+        small_splits(3000)
+        back = SJ.read_system_json(spark, str(path), one_per_line=True)
+        assert sorted(r.case_id for r in back["settings"].collect()) == sorted(cases)
+        assert sorted((r.case_id, r.body) for r in back["components"].collect()) == sorted(rows)
+    assert sizes["lz4"] * 3 < sizes[None]
+    small_splits(10**8)
+    with scratch(spark) as folder:  # and the query keeps no plain text
+        all_queries()["read_system_json"](spark, "/root/testdata/sf0.001").count()
+        parts = [f for f in Path(folder.removeprefix("file://")).glob("systems-*/part-*")]
+        assert parts and all(f.name.endswith(".lz4") for f in parts)
+
+
 def test_systems_come_back_as_they_were_written(spark, tmp_path):
     bodies = [
         ("one", {"__metadata__": {"type": "Bus"}, "name": "N", "number": 1}),
